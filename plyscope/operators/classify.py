@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plyscope.functions import core as fx
 from plyscope.params import Params
 
 MASSIVE = "Massive Blunder"
@@ -38,7 +37,7 @@ def _category(massive: Column, blunder: Column, mistake: Column) -> Column:
 def classify_misses(df: DataFrame, p: Params = Params(), turn: str = "is_playing_turn",
                     delta: str = "variance_score_playing", prev: str = "prev_score_playing",
                     score: str = "score_playing", step: str = "move_number") -> DataFrame:
-    """Own-turn and opponent-turn miss categories, their plies and the position status.
+    """Own-turn and opponent-turn miss categories and their plies.
 
     A drop in a lopsided position (previous ≤ −limit or new ≥ +limit) is only a Mistake.
     """
@@ -51,7 +50,6 @@ def classify_misses(df: DataFrame, p: Params = Params(), turn: str = "is_playing
         "massive_blunder_move_number_playing": F.when(pm, n),
         "miss_category_opponent": _category(om, ob, ok),
         "miss_move_number_opponent": F.when(ok, n),
-        "position_status_playing": fx.position_status(s, p.even_limit),
     })
 
 

@@ -23,6 +23,23 @@ def ratio_to_first(df: DataFrame, value: str, partition: Sequence[str], order: s
     return df.withColumn(out, F.try_divide(F.col(value), first))
 
 
+def ratio_to_first_of_group(df: DataFrame, value: str, group_col: str, groups: Sequence[str],
+                            partition: Sequence[str], order: str, out: str) -> DataFrame:
+    """M12 on a shared window: value ÷ the value on the first step of the row's group (e.g. colour)
+    inside the partition; NULL-respecting like FIRST_VALUE, ÷0 → NULL.
+
+    ``min_by(value, step-of-that-group)`` over the whole partition gives the first value of each
+    group in one pass, so no separate (entity, group) window and exchange are needed.
+    """
+    w = _window(partition, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    g, step = F.col(group_col), F.col(order)
+    first = None
+    for name in groups:
+        v = F.min_by(F.col(value), F.when(g == F.lit(name), step)).over(w)
+        first = F.when(g == F.lit(name), v) if first is None else first.when(g == F.lit(name), v)
+    return df.withColumn(out, F.try_divide(F.col(value), first))
+
+
 def score_swing(df: DataFrame, score: str, partition: Sequence[str], order: str,
                 prev_out: str, delta_out: str) -> DataFrame:
     """Previous score and the change since it, per partition in step order."""

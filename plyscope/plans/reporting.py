@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from plyscope.operators import classify as cl
 from plyscope.operators import sequence as sq
 from plyscope.operators.joins import broadcast_if_small, count_over
 from plyscope.params import Params
+from plyscope.session import checkpoint_dir
 
 GAME_KEYS = ("game_uuid", "username")
 
@@ -55,9 +58,10 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
                      mapping_rows: int | None = None) -> DataFrame:
     """One row per (player, game, ply) with swings, miss categories and their context.
 
-    Game-level work (scope, alias, bands, clock parsing) is done before the join so it runs once per
-    game; the clock of a ply is read from the game's parsed clock array instead of joining an
-    exploded clock table. All windows share the leading key ``game_uuid``.
+    Game-level work (scope, alias, bands, clock marks) is done before the join so it runs once per
+    game; the clock of a ply is read from the game's mark array (no exploded clock table, no second
+    join). Every window uses the same spec — (game, player) ordered by ply — so the plan has one
+    exchange (none when the join already hash-partitions by game) and one sort.
     """
     p = params
     g = merge_accounts(scope_games(games, p), mapping, p, mapping_rows).select(
@@ -68,28 +72,33 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
         "opponent_rating",
         fx.band_rating(F.col("opponent_rating"), p.rating_edges).alias("opponent_rating_range"),
         "playing_result",
-        fx.clock_seconds_array("pgn").alias("__clocks"))
+        fx.clock_marks("pgn").alias("__marks"))
     mv = moves.select("game_uuid", "move_number", "move", "player_color_turn", "score_white", "score_black",
                       "win_probability_white", "win_probability_black")
     ply = F.col("move_number")
-    clocks = F.col("__clocks")
+    marks = F.col("__marks")
     side = F.col("playing_as")
     turn = F.col("player_color_turn") == side
     j = (g.join(mv, "game_uuid", "inner")
          .withColumns({
-             "time_remaining_seconds": F.when((ply >= 1) & (ply <= F.size(clocks)),
-                                              F.element_at(clocks, ply.cast("int"))),
+             "time_remaining_seconds": fx.clock_to_seconds(
+                 F.when((ply >= 1) & (ply <= F.size(marks)), F.element_at(marks, ply.cast("int")))),
              "game_phase": fx.band_phase(ply, p.game_phases),
              "is_playing_turn": turn,
              "playing_turn_name": F.when(turn, F.lit("Playing Turn")).otherwise(F.lit("Opponent Turn")),
              "score_playing": fx.pick_by_side(side, "score_white", "score_black"),
              "win_probability_playing": fx.pick_by_side(side, "win_probability_white", "win_probability_black"),
-         }))
-    j = sq.ratio_to_first(j, "time_remaining_seconds", ["game_uuid", "player_color_turn"], "move_number",
-                          "prct_time_remaining")
+             "position_status_playing": fx.position_status(F.col("score_playing"), p.even_limit),
+         })
+         .drop("__marks"))
+    # Clock ÷ clock after the first ply of the same colour in the game. Every player row of a game
+    # carries the same plies, so the (game, player) partition finds the same first ply as a
+    # (game, colour) partition would.
+    j = sq.ratio_to_first_of_group(j, "time_remaining_seconds", "player_color_turn", ("White", "Black"),
+                                   GAME_KEYS, "move_number", "prct_time_remaining")
     j = sq.score_swing(j, "score_playing", GAME_KEYS, "move_number", "prev_score_playing", "variance_score_playing")
-    j = cl.classify_misses(j, p)
     j = sq.lag_of(j, "position_status_playing", GAME_KEYS, "move_number", "prev_position_status_playing")
+    j = cl.classify_misses(j, p)
     j = j.withColumn("miss_context_playing", cl.miss_context(F.col("miss_category_playing"),
                                                              F.col("prev_position_status_playing")))
     first = cl.massive_blunder_turn(F.col("miss_category_playing"), F.col("miss_category_opponent"),
@@ -139,17 +148,28 @@ def _measures(p: Params):
     return out
 
 
-def aggregate_games(gwm: DataFrame, params: Params = Params()) -> DataFrame:
+def _reliable_checkpoint(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def aggregate_games(gwm: DataFrame, params: Params = Params(),
+                    materialize: Callable[[DataFrame], DataFrame] | None = _reliable_checkpoint) -> DataFrame:
     """Per (player, game) and per (player, game, phase) in one grouping-sets aggregate.
 
     The game and phase levels come out of one Expand + partial/final aggregate; ``has_enough_games``
     counts rows per (player, class, month, opponent range, level key) via an aggregate joined back.
+    The grouped result is used twice (counted, then joined with its counts); ``materialize`` (by
+    default a reliable checkpoint in ``spark.checkpoint.dir``) makes it computed once — otherwise
+    the two branches prune different columns and the whole move-grain plan would run twice.
     """
     p = params
     dims = [F.any_value(F.col(c), True).alias(c) for c in AGG_DIMENSIONS]
     agg = (gwm.groupingSets([["username", "game_uuid", "game_phase"], ["username", "game_uuid"]],
                             "username", "game_uuid", "game_phase")
            .agg(F.grouping("game_phase").alias("__g"), *dims, *_measures(p)))
+    if materialize is not None:
+        agg = materialize(agg)
     agg = (agg.withColumns({
         "game_phase_key": F.when(F.col("__g") == 1, F.lit("Recent Games")).otherwise(F.col("game_phase")),
         "aggregation_level": F.when(F.col("__g") == 1, F.lit("Games")).otherwise(F.lit("Game Phases")),

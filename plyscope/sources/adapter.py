@@ -125,3 +125,16 @@ def staging_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staging_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging_moves_from(plies(spark, sf_dir))
+
+
+def land_staging(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, str]:
+    """Write the two staging tables derived from the driver tables under ``base`` (the load step).
+
+    The plies are written once and both tables are derived from them, so the ply window runs once.
+    """
+    p = plies(spark, sf_dir)
+    p.write.mode("overwrite").parquet(f"{base}/plies")
+    written = spark.read.parquet(f"{base}/plies")
+    staging_games_from(written).write.mode("overwrite").parquet(f"{base}/games")
+    staging_moves_from(written).write.mode("overwrite").parquet(f"{base}/moves")
+    return f"{base}/games", f"{base}/moves"
