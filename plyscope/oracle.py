@@ -93,7 +93,7 @@ def _model_ctes(p: Params, mapping) -> str:
         return f"CASE {whens} ELSE {_q(f'{p.rating_edges[-1]:04d}+')} END"
 
     start = f"CAST(date_trunc('month', DATE {_q(str(p.as_of))} - INTERVAL {p.month_history_depth} MONTH) AS DATE)"
-    mvals = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in mapping)
+    mvals = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in mapping) or "(NULL, NULL)"
     mb, bl, mi = p.massive_blunder_drop, p.blunder_drop, p.mistake_drop
     bal, ev = p.balanced_limit, p.even_limit
     return f"""

@@ -20,7 +20,6 @@ DEFAULT_PHASES = (
 )
 DEFAULT_RATING_EDGES = (400, 600, 800, 1000, 1200, 1400, 1600, 1800)
 DEFAULT_TIME_CLASSES = ("blitz", "rapid", "bullet")
-DEFAULT_USERNAME_MAPPING = (("piwi100", "Zundorn"), ("Zundorn", "Zundorn"))
 STANDARD_INITIAL_SETUP = "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1"
 RESULTS_LOSE = ("checkmated", "resigned", "abandoned", "timeout")
 RESULTS_WIN = ("win",)
@@ -58,8 +57,10 @@ class Params:
     benchmark_window_months: int = 1
     recent_window_weeks: int = 1
     win_probability_slope: float = 0.004
-    username_mapping: tuple = DEFAULT_USERNAME_MAPPING
-    min_archive: str | None = "2025/02"
+    # Alias seed: (account name, display name) pairs; the display name maps to itself. Empty by
+    # default — it is deployment data, supplied by the user (or read from CSV with S4).
+    username_mapping: tuple = ()
+    min_archive: str | None = None
     games_prefix: str = "games_infos_"
     moves_prefix: str = "games_moves_"
     # None means "today" (current_date() of the session); tests and the adapter pin it.

@@ -210,12 +210,13 @@ def test_has_enough_games_strict(spark):
 def test_scope_and_alias(spark):
     rows = [game(uuid="old", end=epoch(2024, 9, 30)), game(uuid="new", end=epoch(2024, 10, 1, 10)),
             game(uuid="daily", time_class="daily"), game(uuid="unrated", rated=False),
-            game(uuid="alias", username="Piwi100", white="piwi100", black="x")]
+            game(uuid="alias", username="Alt_Alice", white="alt_alice", black="x")]
     g = im.games(games_df(spark, rows), P)
     s = rp.scope_games(g, P)
     assert sorted(r.game_uuid for r in s.collect()) == ["alias", "new"]
-    merged = {r.game_uuid: r.username for r in rp.merge_accounts(s, rp.mapping_frame(spark, P), P).collect()}
-    assert merged == {"alias": "Zundorn", "new": "Alice"}
+    p = P.with_(username_mapping=(("alt_alice", "Alice"), ("Alice", "Alice")))
+    merged = {r.game_uuid: r.username for r in rp.merge_accounts(s, rp.mapping_frame(spark, p), p).collect()}
+    assert merged == {"alias": "Alice", "new": "Alice"}
 
 
 def test_sample_grid(spark):
