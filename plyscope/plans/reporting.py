@@ -79,7 +79,10 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
     marks = F.col("__marks")
     side = F.col("playing_as")
     turn = F.col("player_color_turn") == side
-    j = (g.join(mv, "game_uuid", "inner")
+    # Sort-merge join on the game key: the plan the cluster gets anyway (both sides far above any
+    # broadcast limit). It also keeps a small local run from broadcasting the fact table, in which
+    # case generated code re-evaluates the per-game clock extraction for every matched ply.
+    j = (g.join(mv.hint("merge"), "game_uuid", "inner")
          .withColumns({
              "time_remaining_seconds": fx.clock_to_seconds(
                  F.when((ply >= 1) & (ply <= F.size(marks)), F.element_at(marks, ply.cast("int")))),
