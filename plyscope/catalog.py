@@ -62,9 +62,9 @@ def _models(spark, sf, p: Params = P):
     return im.games(sg, p), im.games_moves(sm, p)
 
 
-def gwm(spark, sf, p: Params = P) -> DataFrame:
+def gwm(spark, sf, p: Params = P, game_filter=None) -> DataFrame:
     g, m = _models(spark, sf, p)
-    return rp.games_with_moves(g, m, rp.mapping_frame(spark, p), p, len(p.username_mapping))
+    return rp.games_with_moves(g, m, rp.mapping_frame(spark, p), p, len(p.username_mapping), game_filter)
 
 
 def agg(spark, sf, p: Params = P) -> DataFrame:
@@ -227,12 +227,12 @@ def q_benchmark(spark, sf):
 
 
 def q_sample_grid(spark, sf):
-    return dm.sample_grid(gwm(spark, sf), P)
+    return dm.sample_grid(gwm(spark, sf, P, dm.recent_games_filter(P)), P)
 
 
 def q_audit(spark, sf):
     user, tclass, rng = AUDIT_SUBJECT
-    return dm.audit_blunder_rates(gwm(spark, sf, PB), user, tclass, rng, PB)
+    return dm.audit_blunder_rates(gwm(spark, sf, PB, dm.audit_games_filter(tclass, rng)), user, tclass, rng, PB)
 
 
 # ---------------------------------------------------------------- data quality

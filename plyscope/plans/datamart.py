@@ -96,6 +96,17 @@ def benchmark(agg: DataFrame, params: Params = Params()) -> DataFrame:
     return b.join(top, ["username", "time_class", "playing_rating_range"], "inner").select(*BENCH_COLUMNS)
 
 
+def recent_games_filter(params: Params = Params()):
+    """Game-level predicate of the recent-week datamart, to prune games before the move grain."""
+    return F.col("end_time_date") >= fx.week_window_start(params.as_of, params.recent_window_weeks)
+
+
+def audit_games_filter(time_class: str, rating_range: str):
+    """Game-level predicate of the audit (class, equal ranges, one range)."""
+    return ((F.col("time_class") == time_class) & (F.col("playing_rating_range") == F.col("opponent_rating_range"))
+            & (F.col("playing_rating_range") == rating_range))
+
+
 RECENT_COLUMNS = ("game_uuid", "username", "time_class", "playing_result", "opponent_rating_range", "url",
                   "end_time", "playing_as", "move_number", "score_playing")
 
@@ -111,10 +122,13 @@ def sample_grid(gwm: DataFrame, params: Params = Params()) -> DataFrame:
     """
     p = params
     start = fx.week_window_start(p.as_of, p.recent_window_weeks)
+    recent = F.col("end_time_date") >= start
+    if "end_time_month" in gwm.columns:  # redundant month bound: prunes month partitions of a stored table
+        recent = recent & (F.col("end_time_month") >= F.date_format(start, "yyyy-MM"))
     grid = F.array(*[F.lit(int(x)).cast("bigint") for x in p.sample_grid])
     on_grid = F.col("move_number").isin(*[int(x) for x in p.sample_grid])
     dims = ["time_class", "playing_result", "opponent_rating_range", "url", "end_time", "playing_as"]
-    g = (gwm.filter(F.col("end_time_date") >= start)
+    g = (gwm.filter(recent)
          .groupBy("game_uuid", "username")
          .agg(*[F.any_value(F.col(c), True).alias(c) for c in dims],
               F.collect_list(F.when(on_grid, F.struct(F.col("move_number").alias("ply"),

@@ -58,14 +58,25 @@ def _max_printed(pgn, pattern: str):
 
 def processing_completeness(games_df: DataFrame, moves_df: DataFrame) -> DataFrame:
     """K3: (player, game) whose printed half-move count differs from the number of scored rows
-    (unscored games, duplicated move rows, partially scored games)."""
-    g = games_df.groupBy("username", "game_uuid").agg(F.any_value("pgn").alias("pgn"))
+    (unscored games, duplicated move rows, partially scored games).
+
+    The printed counts are taken map-side from each game row, so only (player, game, two numbers)
+    is shuffled; the move text is fetched back for the failing pairs only.
+    """
+    per_row = games_df.select("username", "game_uuid",
+                              _max_printed(F.col("pgn"), WHITE_MOVE_NUMBER_PATTERN).alias("p1"),
+                              _max_printed(F.col("pgn"), BLACK_MOVE_NUMBER_PATTERN).alias("p2"))
+    g = per_row.groupBy("username", "game_uuid").agg(F.any_value(F.struct("p1", "p2")).alias("__p"))
     m = moves_df.groupBy("game_uuid").agg(F.count(F.lit(1)).alias("nb_moves"))
-    out = (g.join(m, "game_uuid", "left")
-           .withColumns({"nb_move_p1": _max_printed(F.col("pgn"), WHITE_MOVE_NUMBER_PATTERN),
-                         "nb_move_p2": _max_printed(F.col("pgn"), BLACK_MOVE_NUMBER_PATTERN)}))
     z = F.lit(0)
-    return out.filter(F.coalesce("nb_move_p1", z) + F.coalesce("nb_move_p2", z) != F.coalesce("nb_moves", z)) \
+    bad = (g.join(m, "game_uuid", "left")
+           .select("username", "game_uuid", "nb_moves", F.col("__p.p1").alias("nb_move_p1"),
+                   F.col("__p.p2").alias("nb_move_p2"))
+           .filter(F.coalesce("nb_move_p1", z) + F.coalesce("nb_move_p2", z) != F.coalesce("nb_moves", z)))
+    text = (games_df.select("username", "game_uuid", "pgn")
+            .join(bad.select("username", "game_uuid"), ["username", "game_uuid"], "left_semi")
+            .groupBy("username", "game_uuid").agg(F.any_value("pgn").alias("pgn")))
+    return bad.join(text, ["username", "game_uuid"], "left") \
               .select("username", "game_uuid", "pgn", "nb_moves", "nb_move_p1", "nb_move_p2")
 
 

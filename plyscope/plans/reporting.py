@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyscope import schemas
@@ -55,13 +55,17 @@ def merge_accounts(games: DataFrame, mapping: DataFrame, params: Params = Params
 
 
 def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, params: Params = Params(),
-                     mapping_rows: int | None = None) -> DataFrame:
+                     mapping_rows: int | None = None, game_filter: Column | None = None) -> DataFrame:
     """One row per (player, game, ply) with swings, miss categories and their context.
 
     Game-level work (scope, alias, bands, clock marks) is done before the join so it runs once per
     game; the clock of a ply is read from the game's mark array (no exploded clock table, no second
     join). Every window uses the same spec — (game, player) ordered by ply — so the plan has one
     exchange (none when the join already hash-partitions by game) and one sort.
+
+    ``game_filter`` is an optional predicate on game-level columns (e.g. a date window, a class, the
+    rating bands). A filter on the finished table cannot be pushed below its windows, so consumers
+    that need a subset of games pass it here, where it prunes games before the join.
     """
     p = params
     g = merge_accounts(scope_games(games, p), mapping, p, mapping_rows).select(
@@ -73,6 +77,8 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
         fx.band_rating(F.col("opponent_rating"), p.rating_edges).alias("opponent_rating_range"),
         "playing_result",
         fx.clock_marks("pgn").alias("__marks"))
+    if game_filter is not None:
+        g = g.filter(game_filter)
     mv = moves.select("game_uuid", "move_number", "move", "player_color_turn", "score_white", "score_black",
                       "win_probability_white", "win_probability_black")
     ply = F.col("move_number")
