@@ -9,6 +9,7 @@ reads only the last month partitions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plyscope import schemas
 from plyscope.plans import datamart as dm
@@ -51,7 +52,7 @@ def run(spark: SparkSession, staging_games: DataFrame, staging_moves: DataFrame,
     ig.materialize_table(dm.games_only(agg), paths["agg_games_with_moves_only_games"])
     ig.materialize_table(dm.benchmark(agg, params), paths["agg_games_benchmark"])
     ig.materialize_table(dm.sample_grid(gwm, params), paths["games_with_moves_only_recent"],
-                         sort_within=["end_time"])
+                         sort_within=[F.desc("end_time")])  # L1: newest games first in each file
     ig.materialize_table(qa.report(views["games"], views["games_moves"], params), paths["data_tests"])
     return paths
 

@@ -6,9 +6,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the semantics depend on (UTC session, ANSI) and the scale knobs (AQE).
+# Settings the semantics depend on (ANSI) and the scale knobs (AQE). The models do not depend on the
+# session time zone (local times are derived from epoch seconds explicitly).
 REQUIRED_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -24,6 +24,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
+         .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)

@@ -143,7 +143,7 @@ def append_snapshot(df: DataFrame, root: str, load_ts: str) -> None:
        .partitionBy(schemas.LOAD_PARTITION).parquet(root))
 
 
-def materialize_table(df: DataFrame, path: str, sort_within: list[str] | None = None) -> None:
+def materialize_table(df: DataFrame, path: str, sort_within: list | None = None) -> None:
     """Drop-and-create a table (Parquet files at ``path``)."""
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     out.write.mode("overwrite").parquet(path)
