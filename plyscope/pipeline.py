@@ -46,7 +46,9 @@ def run(spark: SparkSession, staging_games: DataFrame, staging_moves: DataFrame,
      .parquet(paths["games_with_moves"]))
     gwm = spark.read.parquet(paths["games_with_moves"])
 
-    ig.materialize_table(rp.aggregate_games(gwm, params), paths["agg_games_with_moves"])
+    # Partitioned by level so the game-level datamart (P20) reads one partition.
+    ig.materialize_table(rp.aggregate_games(gwm, params), paths["agg_games_with_moves"],
+                         partition_by=["aggregation_level"])
     agg = spark.read.parquet(paths["agg_games_with_moves"])
 
     ig.materialize_table(dm.games_only(agg), paths["agg_games_with_moves_only_games"])

@@ -143,10 +143,14 @@ def append_snapshot(df: DataFrame, root: str, load_ts: str) -> None:
        .partitionBy(schemas.LOAD_PARTITION).parquet(root))
 
 
-def materialize_table(df: DataFrame, path: str, sort_within: list | None = None) -> None:
-    """Drop-and-create a table (Parquet files at ``path``)."""
+def materialize_table(df: DataFrame, path: str, sort_within: list | None = None,
+                      partition_by: list[str] | None = None) -> None:
+    """Drop-and-create a table (Parquet files at ``path``), optionally partitioned."""
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    out.write.mode("overwrite").parquet(path)
+    w = out.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
 
 
 def new_games_batch(spark: SparkSession, archives: DataFrame, games_root: str, params: Params,
