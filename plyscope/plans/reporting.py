@@ -150,7 +150,8 @@ def _measures(p: Params):
         F.count_if(F.col("miss_context_playing") == F.lit("Throw")).alias("nb_throw_playing"),
         F.count_if(F.col("miss_context_playing") == F.lit("Missed Opportunity")).alias("nb_missed_opportunity_playing"),
         # Lower-middle median (the 50th of 100 quantiles), exact and deterministic per group.
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY score_playing)").alias("median_score_playing"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY score_playing)").cast("bigint")
+         .alias("median_score_playing"),
         F.max(score).alias("max_score_playing"),
         F.min(score).alias("min_score_playing"),
         F.stddev_samp(score).alias("std_score_playing"),

@@ -63,10 +63,20 @@ def test_every_query_has_oracle_or_is_declared_non_sql():
     assert set(sql) <= set(q)
 
 
+_DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(se.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = se.queries()[name](spark, SF).toPandas()
-    ddf = duck.execute(se.oracle_sql()[name]).df()
+    df = se.queries()[name](spark, SF)
+    sql = se.oracle_sql()[name]
+    spark_types = {f.name: _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    assert spark_types == duck_types
+    sdf = df.toPandas()
+    ddf = duck.execute(sql).df()
     assert sorted(sdf.columns) == sorted(ddf.columns)
     assert _rows(sdf) == _rows(ddf)
 
