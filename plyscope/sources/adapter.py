@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plyscope.operators.joins import broadcast_if_small
+
 # Fixed values of the adapter (FIXTURES.md §4).
 TIME_CLASSES_BY_SUPPKEY = ("blitz", "rapid", "bullet", "daily")
 TIME_CONTROL_BY_CLASS = {"blitz": "180", "rapid": "600", "bullet": "60", "daily": "1/86400"}
@@ -19,6 +21,7 @@ OPPONENT = "opp"
 LOAD_DATE = "2001-11-04 00:00:00"
 LOAD_TS = "20011104_0000"
 URL_PREFIX = "https://example.invalid/"
+SUPPLIER_BROADCAST_ROWS = 2_000_000
 PLY_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
@@ -44,6 +47,9 @@ def plies(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(F.broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name")),
                  F.col("n_regionkey") == F.col("r_regionkey"))
            .select("s_suppkey", "r_name"))
+    # One row per supplier: broadcast only below a row bound (a count of the dimension), otherwise
+    # a shuffle join; never the fact table.
+    who = broadcast_if_small(who, SUPPLIER_BROADCAST_ROWS)
     base = (li.join(who, li.l_suppkey == who.s_suppkey)
             .withColumn("y", F.year("l_shipdate").cast("bigint")))
     w = Window.partitionBy("l_suppkey", "y").orderBy(*PLY_ORDER)
