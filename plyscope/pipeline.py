@@ -64,3 +64,16 @@ def run_from_snapshots(spark: SparkSession, games_root: str, moves_root: str, ou
     """Entry 3 over the dated staging snapshots."""
     return run(spark, ig.read_snapshots(spark, games_root, schemas.GAMES),
                ig.read_snapshots(spark, moves_root, schemas.MOVES), out_dir, params)
+
+
+def score_new_games(spark: SparkSession, games_root: str, moves_root: str, evaluator_factory,
+                    load_ts: str | None = None, num_partitions: int | None = None) -> str:
+    """Entry 2: score every processable game that has no scored move yet and append the plies as a
+    dated move snapshot (X1 → X2 → S9). Returns the snapshot suffix used."""
+    from plyscope.plans.scoring import score_moves
+    games = ig.read_snapshots(spark, games_root, schemas.GAMES)
+    moves = ig.read_snapshots(spark, moves_root, schemas.MOVES)
+    todo = ig.select_unscored_games(games, moves)
+    ts = load_ts or ig.load_suffix()
+    ig.append_snapshot(score_moves(todo, evaluator_factory, num_partitions), moves_root, ts)
+    return ts

@@ -193,3 +193,22 @@ def test_ingest_stream_runs_once(spark, tmpdir_path):
     ingest_stream(spark, landing, root, ckpt, clock=clock).awaitTermination()
     got = sorted(r.game_uuid for r in ig.read_snapshots(spark, root, schemas.GAMES).collect())
     assert got == ["s1", "s2", "s3"]   # the late game (ends before the mark) is not loaded, as documented
+
+
+def test_score_new_games_incremental(spark, tmpdir_path):
+    from plyscope import pipeline
+    games_root, moves_root = f"{tmpdir_path}/games", f"{tmpdir_path}/moves"
+    rows = [game(uuid="a", text=pgn(clocks_falling(2), moves=["e4", "e5"])),
+            game(uuid="b", text=pgn(clocks_falling(3), moves=["d4", "d5", "c4"]))]
+    ig.append_snapshot(games_df(spark, rows), games_root, "1")
+    factory = lambda: sc.TokenTableEvaluator({"e4": 30})
+    pipeline.score_new_games(spark, games_root, moves_root, factory, load_ts="m1", num_partitions=2)
+    moves = ig.read_snapshots(spark, moves_root, schemas.MOVES)
+    assert moves.count() == 5
+    # second run: nothing left to score, no new snapshot
+    pipeline.score_new_games(spark, games_root, moves_root, factory, load_ts="m2", num_partitions=2)
+    assert not os.path.exists(f"{moves_root}/load_ts=m2")
+    ig.append_snapshot(games_df(spark, [game(uuid="c", text=pgn(clocks_falling(1)))]), games_root, "2")
+    pipeline.score_new_games(spark, games_root, moves_root, factory, load_ts="m3", num_partitions=2)
+    got = ig.read_snapshots(spark, moves_root, schemas.MOVES).filter("load_ts = 'm3'").collect()
+    assert [(r.game_uuid, r.move_number, r.score_white) for r in got] == [("c", 1, 30)]
