@@ -180,7 +180,7 @@ w_base AS (
          CASE WHEN g.playing_as = 'White' THEN gm.win_probability_white
               WHEN g.playing_as = 'Black' THEN gm.win_probability_black END AS win_probability_playing
   FROM games_scope g
-  JOIN games_moves gm ON g.game_uuid = gm.game_uuid
+  JOIN games_moves gm ON g.game_uuid = gm.game_uuid AND g.game_uuid <> ''
   LEFT JOIN username_mapping um ON lower(um.username) = lower(g.username)
   LEFT JOIN games_times gt ON g.game_uuid = gt.game_uuid AND g.username = gt.username
                           AND gm.move_number = gt.move_number
@@ -497,7 +497,7 @@ SELECT game_uuid, username, end_time_integer FROM (
   LEFT JOIN (SELECT DISTINCT m.game_uuid FROM stg_moves m
              JOIN stg_games d ON d.game_uuid = m.game_uuid AND d.end_time_integer < {prev_epoch}) s
     ON g.game_uuid = s.game_uuid
-  WHERE s.game_uuid IS NULL AND length(g.pgn) > 0 AND g.rules = 'chess'
+  WHERE s.game_uuid IS NULL AND length(g.pgn) > 0 AND g.rules = 'chess' AND g.game_uuid <> ''
 ) WHERE rn = 1""",
         "q_plies": base + f""", tok AS (
   SELECT game_uuid, regexp_extract_all(pgn, {_q(PLY_TOKEN_PATTERN)}, 1) AS moves,

@@ -77,6 +77,9 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
         fx.band_rating(F.col("opponent_rating"), p.rating_edges).alias("opponent_rating_range"),
         "playing_result",
         fx.clock_marks("pgn").alias("__marks"))
+    # A missing uuid is loaded as '' (S3 defaults); such rows share no real key and would pair every
+    # keyless game with every keyless move, so they are kept out of the join.
+    g = g.filter(F.col("game_uuid") != F.lit(""))
     if game_filter is not None:
         g = g.filter(game_filter)
     mv = moves.select("game_uuid", "move_number", "move", "player_color_turn", "score_white", "score_black",

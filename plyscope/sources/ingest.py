@@ -175,7 +175,8 @@ def load_games(spark: SparkSession, landing: str, games_root: str, params: Param
 def select_unscored_games(games: DataFrame, moves: DataFrame) -> DataFrame:
     """Processable games with no scored move yet, one row per game (the latest load wins)."""
     scored = moves.select("game_uuid").distinct()
-    cand = (games.filter((F.length("pgn") > 0) & (F.col("rules") == F.lit("chess")))
+    cand = (games.filter((F.length("pgn") > 0) & (F.col("rules") == F.lit("chess"))
+                         & (F.col("game_uuid") != F.lit("")))  # keyless games cannot be matched later
             .join(scored, "game_uuid", "left_anti"))
     order = F.col(schemas.LOAD_PARTITION) if schemas.LOAD_PARTITION in games.columns else F.col("bq_load_date")
     # One row per game: two tracked players of one game share its moves. Take the row of the

@@ -291,3 +291,10 @@ def test_audit_rates(spark):
     assert (r["username"].nb_games, r["username"].nb_games_blunder, r["username"].nb_games_massive_blunder) == (2, 1, 1)
     assert r["username"].rate_blunder == 0.5 and r["username"].rate_massive_blunder == 0.5
     assert (r["benchmark"].nb_games, r["benchmark"].nb_games_blunder, r["benchmark"].rate_massive_blunder) == (1, 1, 0.0)
+
+
+def test_keyless_games_are_not_paired(spark):
+    g1, _ = _scores_game(spark, [0, 0], uuid="")
+    g2 = dict(g1, url="other")
+    m = moves_df(spark, "", [0, 0, 0])
+    assert _gwm(spark, [g1, g2], m).count() == 0
