@@ -57,3 +57,11 @@ def test_data_tests_pass_on_consistent_data(built):
     rows = {x.check_name: (x.failures, x.status) for x in built["data_tests"].collect()}
     assert rows["assert_move_number_consistency"] == (0, "pass")
     assert rows["assert_stockfish_processing"] == (0, "pass")
+
+
+def test_rates_in_unit_interval(built):
+    b = built["agg_games_benchmark"]
+    rate_cols = [c for c in b.columns if "rate_" in c]
+    assert rate_cols
+    for c in rate_cols:
+        assert b.filter(f"{c} < 0 OR {c} > 1").count() == 0
