@@ -13,8 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _window(partition: Sequence[str], order: str):
-    return Window.partitionBy(*partition).orderBy(F.col(order).asc())
+def _order_cols(order) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def _window(partition: Sequence[str], order):
+    """Window over ``partition`` ordered by ``order`` (a step column, or step then tie-breakers)."""
+    return Window.partitionBy(*partition).orderBy(*[F.col(c).asc() for c in _order_cols(order)])
 
 
 def ratio_to_first(df: DataFrame, value: str, partition: Sequence[str], order: str, out: str) -> DataFrame:
@@ -32,7 +37,7 @@ def ratio_to_first_of_group(df: DataFrame, value: str, group_col: str, groups: S
     group in one pass, so no separate (entity, group) window and exchange are needed.
     """
     w = _window(partition, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    g, step = F.col(group_col), F.col(order)
+    g, step = F.col(group_col), F.col(_order_cols(order)[0])
     first = None
     for name in groups:
         v = F.min_by(F.col(value), F.when(g == F.lit(name), step)).over(w)

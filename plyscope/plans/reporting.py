@@ -16,6 +16,9 @@ from plyscope.params import Params
 from plyscope.session import checkpoint_dir
 
 GAME_KEYS = ("game_uuid", "username")
+# Ply order inside a (game, player) partition. Two aliases of one person in the same game merge into
+# one partition with two rows per ply; their raw account name breaks the tie deterministically.
+PLY_ORDER = ("move_number", "__raw_username")
 
 GWM_COLUMNS = (
     "game_uuid", "archive_url", "username", "url", "end_time", "end_time_date", "end_time_month",
@@ -68,8 +71,9 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
     that need a subset of games pass it here, where it prunes games before the join.
     """
     p = params
-    g = merge_accounts(scope_games(games, p), mapping, p, mapping_rows).select(
-        "game_uuid", "archive_url", "username", "url", "end_time", "end_time_date", "end_time_month",
+    scoped = scope_games(games, p).withColumn("__raw_username", F.col("username"))
+    g = merge_accounts(scoped, mapping, p, mapping_rows).select(
+        "game_uuid", "archive_url", "username", "__raw_username", "url", "end_time", "end_time_date", "end_time_month",
         "time_class", "time_control", "white_username", "white_rating", "black_username", "black_rating",
         "bq_load_date", "playing_as", "playing_rating",
         fx.band_rating(F.col("playing_rating"), p.rating_edges).alias("playing_rating_range"),
@@ -107,15 +111,15 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
     # carries the same plies, so the (game, player) partition finds the same first ply as a
     # (game, colour) partition would.
     j = sq.ratio_to_first_of_group(j, "time_remaining_seconds", "player_color_turn", ("White", "Black"),
-                                   GAME_KEYS, "move_number", "prct_time_remaining")
-    j = sq.score_swing(j, "score_playing", GAME_KEYS, "move_number", "prev_score_playing", "variance_score_playing")
-    j = sq.lag_of(j, "position_status_playing", GAME_KEYS, "move_number", "prev_position_status_playing")
+                                   GAME_KEYS, PLY_ORDER, "prct_time_remaining")
+    j = sq.score_swing(j, "score_playing", GAME_KEYS, PLY_ORDER, "prev_score_playing", "variance_score_playing")
+    j = sq.lag_of(j, "position_status_playing", GAME_KEYS, PLY_ORDER, "prev_position_status_playing")
     j = cl.classify_misses(j, p)
     j = j.withColumn("miss_context_playing", cl.miss_context(F.col("miss_category_playing"),
                                                              F.col("prev_position_status_playing")))
     first = cl.massive_blunder_turn(F.col("miss_category_playing"), F.col("miss_category_opponent"),
                                     F.col("playing_turn_name"))
-    j = sq.first_non_null_over(j, first, GAME_KEYS, "move_number", "first_blunder_playing_turn_name")
+    j = sq.first_non_null_over(j, first, GAME_KEYS, PLY_ORDER, "first_blunder_playing_turn_name")
     return j.select(*GWM_COLUMNS)
 
 

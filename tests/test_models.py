@@ -298,3 +298,18 @@ def test_keyless_games_are_not_paired(spark):
     g2 = dict(g1, url="other")
     m = moves_df(spark, "", [0, 0, 0])
     assert _gwm(spark, [g1, g2], m).count() == 0
+
+
+def test_two_aliases_in_one_game_known_edge(spark):
+    """Q4: both accounts of one person in one game merge into one name; plies appear twice and the
+    raw account name orders the duplicates, so the result is deterministic."""
+    text = pgn(clocks_falling(4))
+    a = game(uuid="q4", username="alt_alice", white="alt_alice", black="Alice", text=text)
+    b = game(uuid="q4", username="Alice", white="alt_alice", black="Alice", text=text)
+    m = moves_df(spark, "q4", [0, -300, -300, 0])
+    p = P.with_(username_mapping=(("alt_alice", "Alice"), ("Alice", "Alice")))
+    rows = _gwm(spark, [a, b], m, p).collect()
+    assert len(rows) == 8 and {r.username for r in rows} == {"Alice"}
+    again = _gwm(spark, [b, a], m, p).collect()
+    key = lambda r: (r.move_number, r.playing_as, r.prev_score_playing, r.miss_category_playing)
+    assert sorted(map(key, rows), key=str) == sorted(map(key, again), key=str)
