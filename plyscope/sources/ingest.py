@@ -173,14 +173,21 @@ def load_games(spark: SparkSession, landing: str, games_root: str, params: Param
 
 
 def select_unscored_games(games: DataFrame, moves: DataFrame) -> DataFrame:
-    """Processable games with no scored move yet, one row per game (the latest load wins)."""
+    """Processable games with no scored move yet, one row per game (the latest load wins, then
+    the larger player name).
+
+    Only narrow key columns go through the anti join and the per-game choice; the full rows (with
+    the move text) are fetched for the chosen keys by a semi join, which AQE broadcasts when the
+    day's work list is small, so the history of move texts is not shuffled.
+    """
     scored = moves.select("game_uuid").distinct()
-    cand = (games.filter((F.length("pgn") > 0) & (F.col("rules") == F.lit("chess"))
-                         & (F.col("game_uuid") != F.lit("")))  # keyless games cannot be matched later
-            .join(scored, "game_uuid", "left_anti"))
-    order = F.col(schemas.LOAD_PARTITION) if schemas.LOAD_PARTITION in games.columns else F.col("bq_load_date")
-    # One row per game: two tracked players of one game share its moves. Take the row of the
-    # latest load (then the largest player name) instead of an arbitrary one.
-    best = cand.groupBy("game_uuid").agg(F.max_by(F.struct(*[F.col(c) for c in cand.columns]),
-                                                  F.struct(order, F.col("username"))).alias("__r"))
-    return best.select("__r.*")
+    ok = games.filter((F.length("pgn") > 0) & (F.col("rules") == F.lit("chess"))
+                      & (F.col("game_uuid") != F.lit("")))  # keyless games cannot be matched later
+    order = schemas.LOAD_PARTITION if schemas.LOAD_PARTITION in games.columns else "bq_load_date"
+    keys = (ok.select("game_uuid", "username", order)
+            .join(scored, "game_uuid", "left_anti")
+            .groupBy("game_uuid")
+            .agg(F.max_by(F.struct("username", order), F.struct(order, "username")).alias("__k"))
+            .select("game_uuid", F.col("__k.username").alias("username"), F.col(f"__k.{order}").alias(order)))
+    # the same row loaded twice in one batch would match twice: keep one per game
+    return ok.join(keys, ["game_uuid", "username", order], "left_semi").dropDuplicates(["game_uuid"])
