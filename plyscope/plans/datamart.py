@@ -150,25 +150,31 @@ AUDIT_COLUMNS = ("population", "nb_games", "nb_games_blunder", "nb_games_massive
 def audit_blunder_rates(gwm: DataFrame, username: str, time_class: str, rating_range: str,
                         params: Params = Params()) -> DataFrame:
     """Distinct games, games with a blunder / massive blunder and their rates, for one player
-    (recent window) and for everyone else (all dates), on equal-level games of one class and range."""
+    (recent window) and for everyone else (all dates), on equal-level games of one class and range.
+
+    One pass over the move grain: each row is tagged with its population and both populations are
+    counted in one grouped distinct aggregate; a two-row frame keeps an empty population's zero row,
+    as the reference's two global aggregates do.
+    """
     p = params
     miss = F.col("miss_category_playing")
-    base = gwm.filter((F.col("time_class") == time_class)
-                      & (F.col("playing_rating_range") == F.col("opponent_rating_range"))
-                      & (F.col("playing_rating_range") == rating_range))
-
-    def agg(df, label):
-        r = df.agg(F.count_distinct("game_uuid").alias("nb_games"),
-                   F.count_distinct(F.when(miss.isin(*cl.BLUNDERS), F.col("game_uuid"))).alias("nb_games_blunder"),
-                   F.count_distinct(F.when(miss == F.lit(cl.MASSIVE), F.col("game_uuid")))
-                   .alias("nb_games_massive_blunder"))
-        return r.select(F.lit(label).alias("population"), "*",
-                        F.try_divide(F.col("nb_games_blunder").cast("double"), F.col("nb_games").cast("double"))
-                        .alias("rate_blunder"),
-                        F.try_divide(F.col("nb_games_massive_blunder").cast("double"), F.col("nb_games").cast("double"))
-                        .alias("rate_massive_blunder"))
-
     start = fx.month_window_start(p.as_of, p.benchmark_window_months)
-    player = agg(base.filter((F.col("username") == username) & (F.col("end_time_date") >= start)), "username")
-    others = agg(base.filter(F.col("username") != username), "benchmark")
-    return player.unionByName(others).select(*AUDIT_COLUMNS)
+    user = F.col("username")
+    population = (F.when((user == username) & (F.col("end_time_date") >= start), F.lit("username"))
+                   .when(user != username, F.lit("benchmark")))
+    base = gwm.filter(audit_games_filter(time_class, rating_range)).withColumn("population", population) \
+              .filter(F.col("population").isNotNull())
+    counts = base.groupBy("population").agg(
+        F.count_distinct("game_uuid").alias("nb_games"),
+        F.count_distinct(F.when(miss.isin(*cl.BLUNDERS), F.col("game_uuid"))).alias("nb_games_blunder"),
+        F.count_distinct(F.when(miss == F.lit(cl.MASSIVE), F.col("game_uuid"))).alias("nb_games_massive_blunder"))
+    both = gwm.sparkSession.createDataFrame([("username",), ("benchmark",)], "population string")
+    out = F.broadcast(both).join(counts, "population", "left")  # two literal rows: a fixed-size side
+    z = F.lit(0).cast("bigint")
+    out = out.select("population", *[F.coalesce(F.col(c), z).alias(c)
+                                      for c in ("nb_games", "nb_games_blunder", "nb_games_massive_blunder")])
+    return out.select("*",
+                      F.try_divide(F.col("nb_games_blunder").cast("double"), F.col("nb_games").cast("double"))
+                      .alias("rate_blunder"),
+                      F.try_divide(F.col("nb_games_massive_blunder").cast("double"), F.col("nb_games").cast("double"))
+                      .alias("rate_massive_blunder")).select(*AUDIT_COLUMNS)
