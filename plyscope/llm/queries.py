@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from plyscope.llm.common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.decontaminate import decontaminate
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plyscope.llm.jaccard import jaccard_groups
     return jaccard_groups(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
@@ -18,4 +23,29 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP1 = rf"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, least(10, len(w)) AS length,
+         unnest(list_transform(range(0, greatest(1, len(w) - 9)), lambda i: array_to_string(w[i + 1:i + 10], ' '))) AS wtext
+  FROM item_words WHERE len(w) > 0),
+doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+grams AS (
+  SELECT r, length, unnest(list_transform(range(0, len(w) - length + 1),
+         lambda p: {{'p': p, 't': array_to_string(w[p + 1:p + length], ' ')}})) AS g
+  FROM doc_words, (SELECT DISTINCT length FROM item_windows) WHERE len(w) >= length),
+occurring AS (SELECT r, g.p AS p, grams.length, item FROM grams JOIN item_windows i ON g.t = i.wtext AND grams.length = i.length),
+hit AS (SELECT r, count(DISTINCT p + o) AS n FROM (SELECT r, p, unnest(range(0, length)) AS o FROM occurring) GROUP BY r),
+listed AS (SELECT r, count(DISTINCT item) AS n, array_to_string(list_sort(list_distinct(list(item))), ',') AS ids FROM occurring GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(listed.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""
+
+SQL: dict[str, str] = {"op1_decontaminate": _OP1}
