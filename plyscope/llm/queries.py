@@ -21,6 +21,11 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.secrets import scan_secrets
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -48,4 +53,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
 FROM doc_words LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
 
-SQL: dict[str, str] = {"op1_decontaminate": _OP1}
+
+def _op8() -> str:
+    from plyscope.llm.secrets import COMPLEMENT, KINDS, NUMBER, SCOPE
+    quoted = {k: v[0].replace("'", "''") for k, v in KINDS.items()}
+    counts = {"assign": f"length(regexp_extract(m, '{quoted['assign']}', 2)) >= 6",
+              "private": "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')"}
+    found = " UNION ALL ".join(f"""
+      SELECT r, '{k}' AS name, {NUMBER[k]} AS kind, '{v[1]}' AS role, ends - length(m) AS s, ends AS e FROM (
+        SELECT r, m, sum(gap + length(m)) OVER (PARTITION BY r ORDER BY i) AS ends FROM (
+          SELECT r, unnest(range(1, len(hits) + 1)) AS i, unnest(hits) AS m,
+                 unnest(list_transform(gaps[1:len(hits)], lambda g: length(g))) AS gap
+          FROM (SELECT r, regexp_extract_all(t, '{quoted[k]}') AS hits, string_split_regex(t, '{quoted[k]}') AS gaps FROM docs)))
+      WHERE {counts.get(k, "true")}""" for k, v in KINDS.items())
+    needs = " OR ".join(f"(w.name = '{k}' AND o.role IN ({', '.join(repr(x) for x in v)}))" for k, v in COMPLEMENT.items())
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS MATERIALIZED ({found}),
+weak AS (SELECT * FROM found w WHERE kind >= 3 AND NOT EXISTS (
+  SELECT 1 FROM found b WHERE b.r = w.r AND b.kind < 3 AND b.s < w.e AND b.e > w.s)),
+parts AS (SELECT * FROM found WHERE kind < 3 UNION ALL SELECT * FROM weak),
+spans AS (SELECT * FROM found WHERE kind < 3 UNION ALL
+  SELECT * FROM weak w WHERE EXISTS (SELECT 1 FROM parts o WHERE o.r = w.r AND abs(o.s - w.s) <= {SCOPE} AND ({needs}))),
+per AS (SELECT r, count(*) FILTER (name = 'assign') AS a, count(*) FILTER (name = 'access') AS c,
+  count(*) FILTER (name = 'hex') AS h, count(*) FILTER (kind >= 3) AS l,
+  string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (kind < 3) AS base,
+  string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) AS spans FROM spans GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(l, 0) AS n_linked
+FROM docs LEFT JOIN per USING (r)
+"""
+
+
+SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op8_secrets": _op8()}
