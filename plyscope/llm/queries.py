@@ -16,11 +16,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.quality import score_quality
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plyscope.llm.jaccard import jaccard_groups
     return jaccard_groups(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from plyscope.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plyscope.llm.secrets import scan_secrets
     return scan_secrets(table(spark, sf_dir, "documents"))
