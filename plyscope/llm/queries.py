@@ -32,11 +32,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.sharding import sharding_digest
+    return sharding_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plyscope.llm.secrets import scan_secrets
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from plyscope.llm.tokencount import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
