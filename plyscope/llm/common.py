@@ -51,3 +51,12 @@ def prepare(spark: SparkSession) -> None:
 def held_out(id_col: str = "doc_id"):
     """crc32 of the id as text, modulo 5, is 0; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def bounded_sample(rows: DataFrame, n: int, id_col: str = "doc_id", salt: int = 5) -> DataFrame:
+    """At most ``n`` of the rows, chosen by a hash of the id (all of them where they are no more)."""
+    total = rows.select(id_col).count()
+    if total > n:
+        share = int(1_000_000 * min(1.0, 1.1 * n / total)) + 1
+        rows = rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(salt)), F.lit(1_000_000)) < share)
+    return rows.limit(n)

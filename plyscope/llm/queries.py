@@ -26,6 +26,11 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.langid import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from plyscope.llm.packing import pack

@@ -83,12 +83,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)  # one row for each bucket
     starts = counts.select(F.col("bucket").alias("__b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     out = rows.join(starts, rows["bucket"] == F.col("__b")).withColumn("at", F.col("first") + F.col("place"))
-    n = F.lit(max(total, 1)).cast("decimal(20,0)")
     # shard s holds the places from ceil(s * total / shards) on
-    which = F.floor(F.col("at").cast("decimal(20,0)") * shards / n)
-    which = F.floor((F.col("at") * F.lit(shards)) / F.lit(max(total, 1))) if total * shards < 1 << 52 else which
-    out = out.withColumn("shard", which.cast("int"))
-    first = F.ceil(F.col("shard").cast("long") * F.lit(total) / F.lit(shards)).cast("long")
+    out = out.withColumn("shard", F.expr(f"int((at * {shards}) div {max(total, 1)})"))
+    first = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
     return out.withColumn("slot", F.col("at") - first).drop("__b", "first", "at", "bucket", "place")
 
 
