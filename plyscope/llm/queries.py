@@ -6,7 +6,6 @@ Each query applies its operator, with production parameters, to the whole intend
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plyscope.llm.common import table
 
@@ -21,6 +20,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plyscope.llm.jaccard import jaccard_groups
     return jaccard_groups(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
@@ -53,7 +57,17 @@ def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {name: fn for name, fn in list(globals().items()) if (name.startswith("op") or name == "pipeline") and callable(fn)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -125,7 +125,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """``docs`` with every span in the text replaced by ``mark`` (touching or overlapping spans by
-    one). ``docs`` must hold a unique ``__rid``. Rows without spans, null texts too, stay as they are."""
+    one), and the column ``__redacted``. ``docs`` must hold a unique ``__rid``. Rows without spans, null
+    texts too, stay as they are."""
     _, spans = find_spans_by(docs, text_col)
     before = W.partitionBy(RID).orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
     upto = W.partitionBy(RID).orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0)
@@ -140,7 +141,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> D
     pieces = F.transform(F.arrays_zip(ends.alias("e"), starts.alias("s")),
                          lambda p: F.substring(text, (p["e"] + 1).cast("int"), (p["s"] - p["e"]).cast("int")))
     out = docs.join(cuts, docs[RID] == cuts["__r"], "left")
-    return out.withColumn(text_col, F.when(cut.isNotNull(), F.array_join(pieces, mark)).otherwise(text)).drop("__r", "__cuts")
+    return out.withColumn(text_col, F.when(cut.isNotNull(), F.array_join(pieces, mark)).otherwise(text)).withColumn("__redacted", cut.isNotNull()).drop("__r", "__cuts")
 
 
 def find_spans_by(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
