@@ -8,7 +8,6 @@ engines' last-bit differences do not matter to the oracle comparison.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import uuid
 from collections.abc import Callable
 
@@ -26,32 +25,49 @@ from plyscope.sources import ingest as ig
 
 P = ADAPTER_PARAMS
 PB = BENCHMARK_PARAMS
+# A limit that some cells reach and others do not; the reference's default months; keyless games kept.
+PE = P.with_(min_games_played=1)
+PS = P.with_(month_history_depth=Params().month_history_depth)
+PK = P.with_(keep_keyless=True)
 # Alias seed used by the alias-merge query (case differs on purpose).
 ALIAS_SEED = (("asia", "EURASIA"), ("Europe", "EURASIA"))
 # Audit subject (username, class, range) on the driver tables.
-AUDIT_SUBJECT = ("ASIA", "blitz", "0600-0800")
+AUDIT_SUBJECT = ("MIDDLE EAST", "blitz", "1800+")
 # "Previous load" cut for the incremental-ingest queries: what ended before this was loaded before.
 PREVIOUS_LOAD_END = _dt.date(1999, 1, 1)
 PREVIOUS_LOAD_EPOCH = int((_dt.datetime(1999, 1, 1) - _dt.datetime(1970, 1, 1)).total_seconds())
 ARCHIVE_MIN_MONTH = "1996/01"
 ROUND = 9
+# Values of printed moves for the wiring check of the scoring hook.
+SCORE_TABLE = {"AF": 35, "NF": -20, "NO": 10, "RF": -45}
 
 
 def _r(c: str):
     return F.round(F.col(c), ROUND).alias(c)
 
 
-_LANDED: dict[tuple[str, str], tuple[str, str]] = {}
+_LANDED: dict[tuple[str, str, str], tuple[str, str]] = {}
+_SOURCES = ("lineitem", "supplier", "nation", "region")
+
+
+def _version(spark, sf) -> str:
+    """Names, sizes and times of the source files, from their listing: rewritten input lands anew."""
+    rows = None
+    for t in _SOURCES:
+        f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{sf}/{t}.parquet")
+        f = f.select("path", "length", "modificationTime")
+        rows = f if rows is None else rows.unionByName(f)
+    return str(rows.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first())
 
 
 def _staging(spark, sf):
-    """Staging tables for ``sf``: derived from the driver tables once per application and landed in
-    the shared checkpoint folder (the load step), then read back with their explicit schemas."""
+    """Staging tables for ``sf``: derived from the driver tables once per application and state of the
+    input, landed in the shared checkpoint folder (the load step) and read back."""
     from plyscope import schemas
     from plyscope.session import checkpoint_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    key = (spark.sparkContext.applicationId, sf, _version(spark, sf))
     if key not in _LANDED:
-        base = os.path.join(checkpoint_dir(spark), f"staging-{uuid.uuid4().hex}")
+        base = f"{checkpoint_dir(spark)}/staging-{uuid.uuid4().hex}"
         _LANDED[key] = adapter.land_staging(spark, sf, base)
     g, m = _LANDED[key]
     return spark.read.schema(schemas.GAMES).parquet(g), spark.read.schema(schemas.MOVES).parquet(m)
@@ -64,11 +80,11 @@ def _models(spark, sf, p: Params = P):
 
 def gwm(spark, sf, p: Params = P, game_filter=None) -> DataFrame:
     g, m = _models(spark, sf, p)
-    return rp.games_with_moves(g, m, rp.mapping_frame(spark, p), p, len(p.username_mapping), game_filter)
+    return rp.games_with_moves(g, m, rp.mapping_frame(spark, p), p, game_filter)
 
 
-def agg(spark, sf, p: Params = P) -> DataFrame:
-    return rp.aggregate_games(gwm(spark, sf, p), p)
+def agg(spark, sf, p: Params = P, with_flag: bool = False) -> DataFrame:
+    return rp.aggregate_games(gwm(spark, sf, p), p, with_flag)
 
 
 def agg_table(spark, sf, p: Params = P) -> DataFrame:
@@ -112,13 +128,13 @@ def q_clock_seconds(spark, sf):
 
 def q_scope_recent(spark, sf):
     g, _ = _models(spark, sf)
-    return rp.scope_games(g, P).select("game_uuid", "username", "end_time_date", "time_class", "rated")
+    return rp.scope_games(g, PS).select("game_uuid", "username", "end_time_date", "time_class", "rated")
 
 
 def q_alias_merge(spark, sf):
     g, _ = _models(spark, sf)
     p = P.with_(username_mapping=ALIAS_SEED)
-    return rp.merge_accounts(rp.scope_games(g, p), rp.mapping_frame(spark, p), p, len(ALIAS_SEED)) \
+    return rp.merge_accounts(rp.scope_games(g, p), rp.mapping_frame(spark, p)) \
              .select("game_uuid", "username", "white_username", "black_username")
 
 
@@ -167,17 +183,24 @@ def q_games_with_moves(spark, sf):
     return w.select(*[_r(c) if c in ("win_probability_playing", "prct_time_remaining") else c for c in w.columns])
 
 
+def q_keyless_kept(spark, sf):
+    """The move-grain rows with keyless games kept: every keyless game meets every keyless move. Only
+    columns that do not depend on an order within a game, which keyless games share."""
+    return gwm(spark, sf, PK).select("game_uuid", "username", "url", "move_number", "move", "player_color_turn",
+                                     "is_playing_turn", "score_playing", "playing_rating_range")
+
+
 # ---------------------------------------------------------------- aggregate
 
-def _agg_rounded(spark, sf):
-    a = agg(spark, sf)
+def _agg_rounded(spark, sf, with_flag: bool = False):
+    a = agg(spark, sf, with_flag=with_flag)
     return a.select(*[_r(c) if c in ("std_score_playing", "first_blunder_playing_prct_time_remaining",
                                      "first_massive_blunder_playing_prct_time_remaining") else c
                       for c in a.columns])
 
 
 def q_agg_levels(spark, sf):
-    return _agg_rounded(spark, sf)
+    return _agg_rounded(spark, sf, with_flag=True)
 
 
 _AGG_KEYS = ["username", "game_uuid", "game_phase", "game_phase_key", "aggregation_level"]
@@ -208,12 +231,12 @@ def q_decisive(spark, sf):
 
 
 def q_enough_games(spark, sf):
-    return agg(spark, sf).select(*_AGG_KEYS, "time_class", "end_time_month", "opponent_rating_range",
+    return agg(spark, sf, PE, with_flag=True).select(*_AGG_KEYS, "time_class", "end_time_month", "opponent_rating_range",
                                  "has_enough_games")
 
 
 def q_games_only(spark, sf):
-    return dm.games_only(_agg_rounded(spark, sf))
+    return dm.games_only(_agg_rounded(spark, sf, with_flag=True))
 
 
 # ---------------------------------------------------------------- benchmark, grid, audit
@@ -260,6 +283,11 @@ def q_completeness(spark, sf):
     return qa.processing_completeness(g, m)
 
 
+def q_keyless_report(spark, sf):
+    g, m = _models(spark, sf)
+    return qa.keyless(g, m)
+
+
 def q_quality_report(spark, sf):
     g, m = _models(spark, sf)
     return qa.report(g, m, P)
@@ -292,7 +320,7 @@ def q_unscored(spark, sf):
     sg, sm = _staging(spark, sf)
     done = sg.filter(F.col("end_time_integer") < PREVIOUS_LOAD_EPOCH).select("game_uuid")
     scored = sm.join(done, "game_uuid", "left_semi")
-    return ig.select_unscored_games(sg, scored).select("game_uuid", "username", "end_time_integer")
+    return ig.select_unscored_games(sg, scored, keep_keyless=False).select("game_uuid", "username", "end_time_integer")
 
 
 def q_plies(spark, sf):
@@ -302,8 +330,9 @@ def q_plies(spark, sf):
 
 def q_score_hook(spark, sf):
     g, _ = _models(spark, sf)
-    table = {"AF": 35, "NF": -20, "NO": 10, "RF": -45}
-    return sc.score_moves(g, lambda: sc.TokenTableEvaluator(table))
+    # one row per game: a game that two players loaded is scored once
+    once = g.filter(F.col("game_uuid") != "").groupBy("game_uuid").agg(F.any_value("pgn").alias("pgn"))
+    return sc.score_moves(once, lambda: sc.TokenTableEvaluator(SCORE_TABLE))
 
 
 def q_ingest_stream(spark, sf):
@@ -312,7 +341,7 @@ def q_ingest_stream(spark, sf):
     from plyscope.session import checkpoint_dir
     from plyscope.streaming.ingest_stream import ingest_stream
 
-    base = os.path.join(checkpoint_dir(spark), f"ingest-{uuid.uuid4().hex}")
+    base = f"{checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
     landing, root, ckpt = f"{base}/landing", f"{base}/games", f"{base}/ckpt"
     sg, _ = _staging(spark, sf)
     ig.land_archives(sg, landing)

@@ -34,11 +34,14 @@ def is_processable_game(pgn="pgn", rules="rules", initial_setup="initial_setup")
 def local_datetime(epoch_seconds="end_time_integer", tz: str = "Europe/Paris") -> Column:
     """M2: epoch seconds → wall-clock TIMESTAMP_NTZ in ``tz`` (DST aware).
 
-    The instant is turned into a wall clock of the session zone and converted from there, so the
-    result does not depend on ``spark.sql.session.timeZone``.
+    The seconds are added to a zone-free 1970-01-01, which is the wall clock in UTC, and converted
+    from there. No wall clock of the session zone (ambiguous for an hour a year) is ever formed.
     """
-    wall_session = F.timestamp_seconds(_c(epoch_seconds)).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit(tz), wall_session)
+    secs = _c(epoch_seconds)
+    days = F.floor(secs / 86400)
+    utc = (F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+           + F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), (secs - days * 86400).cast("decimal(18,6)")))
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
 def local_date(local_dt: Column) -> Column:
@@ -156,7 +159,10 @@ def max_score_type(max_score: Column, mid: int) -> Column:
 # ---------------------------------------------------------------- date windows
 
 def as_of_date(as_of: _dt.date | None) -> Column:
-    return F.current_date() if as_of is None else F.lit(as_of)
+    """``as_of``, or today's date in UTC whatever the session zone."""
+    if as_of is not None:
+        return F.lit(as_of)
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.current_timestamp()) / 86400).cast("int"))
 
 
 def month_window_start(as_of: _dt.date | None, months: int) -> Column:

@@ -20,20 +20,11 @@ def indicator_counts(df: DataFrame, keys: Sequence[str], indicators: dict[str, C
                                  *[F.count_if(c).alias(n) for n, c in indicators.items()])
 
 
-def others_counts(members: DataFrame, population: DataFrame, member_col: str, cell: Sequence[str],
-                  indicators: dict[str, Column], total: str) -> DataFrame:
-    """For each row of ``members`` (keyed by member + cell): counts over population rows of the same cell
-    whose member differs (NULL members never differ from anyone, as with SQL ``<>``).
-
-    Returns ``members`` joined with the counts; rows with no other population row are dropped
-    (inner-join semantics of the direct form).
-    """
-    pop = population.filter(F.col(member_col).isNotNull())
-    cell_tot = indicator_counts(pop, cell, indicators, total)
-    own = indicator_counts(pop, [member_col, *cell], indicators, total)
-    own = own.select(member_col, *cell, *[F.col(n).alias(f"__own_{n}") for n in [total, *indicators]])
-    out = (members.filter(F.col(member_col).isNotNull()).join(cell_tot, list(cell), "inner")
-           .join(own, [member_col, *cell], "left"))
-    for n in [total, *indicators]:
-        out = out.withColumn(n, F.col(n) - F.coalesce(F.col(f"__own_{n}"), F.lit(0)))
-    return out.drop(*[f"__own_{n}" for n in [total, *indicators]]).filter(F.col(total) > 0)
+def with_others(per_member: DataFrame, member_col: str, cell: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """``per_member`` (one row per member and cell, counts in ``totals``) with each total replaced by
+    that of the cell's *other* members. NULL members never differ from anyone, as with SQL ``<>``, so
+    they are neither compared nor counted. The cell totals are rolled up from the member totals."""
+    known = per_member.filter(F.col(member_col).isNotNull())
+    cells = known.groupBy(*cell).agg(*[F.sum(n).alias(f"__cell_{n}") for n in totals])
+    both = known.join(cells, list(cell))
+    return both.withColumns({n: F.col(f"__cell_{n}") - F.col(n) for n in totals}).drop(*[f"__cell_{n}" for n in totals])

@@ -1,4 +1,4 @@
-"""Join and count helpers that keep broadcast decisions behind a size bound."""
+"""Count helpers; broadcasts are left to the optimizer, which knows the sizes."""
 
 from __future__ import annotations
 
@@ -8,24 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, row_limit: int, known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only when the side is proven small (known size or a counted seed).
-
-    Counting is only done for seed-like inputs that callers pass here; data that grows with the
-    warehouse is never routed through this helper, AQE decides for those at run time.
-    """
-    n = known_rows if known_rows is not None else df.limit(row_limit + 1).count()
-    return F.broadcast(df) if n <= row_limit else df
-
-
-def count_over(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+def count_over(df: DataFrame, keys: Sequence[str], out: str, keyed: DataFrame | None = None) -> DataFrame:
     """Rows per key group attached to every row (like ``COUNT(*) OVER (PARTITION BY keys)``).
 
     Written as a partial/final aggregate joined back on null-safe keys instead of a window: a
     window would move a whole group into one task, while the aggregate combines map-side and the
     join back is split by AQE's skew handling when one group holds a large share of the rows.
+    ``keyed`` may give the same rows from a cheaper plan (only the keys are needed to count).
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    counts = (keyed if keyed is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
     renamed = counts.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], out)
     cond = None
     for i, k in enumerate(keys):

@@ -1,9 +1,9 @@
 """DuckDB SQL for every registered query: the oracle of the driver's correctness check.
 
-Written in the reference's relational form on purpose (exploded clock table joined on three keys,
-plain player × cohort join, grid self-join, windows for first/last values), so it checks the
-Spark-side rewrites rather than repeating them. Tables region, nation, supplier and lineitem are
-the driver's views.
+It states results, not steps. Each game row is one record whose plies, clocks and sides are lists; a
+ply sees the ply before it by list index. Categories, bands, phases and outcomes are rows of small
+lookup tables. Checks are written from what they mean. The SQL shares only parameters and the
+adapter's constants with the Spark code.
 """
 
 from __future__ import annotations
@@ -11,559 +11,478 @@ from __future__ import annotations
 from plyscope import catalog as cat
 from plyscope.functions.core import rating_band_labels
 from plyscope.params import (
-    BLACK_MOVE_NUMBER_PATTERN, CLOCK_HOURS_PATTERN, CLOCK_MARK_PATTERN, CLOCK_MINUTES_PATTERN,
-    CLOCK_SECONDS_PATTERN, RESULTS_DRAW, RESULTS_LOSE, RESULTS_WIN, STANDARD_INITIAL_SETUP,
+    BLACK_MOVE_NUMBER_PATTERN, CLOCK_MARK_PATTERN, RESULTS_DRAW, RESULTS_LOSE, RESULTS_WIN, STANDARD_INITIAL_SETUP,
     WHITE_MOVE_NUMBER_PATTERN, Params,
 )
-from plyscope.plans.scoring import PLY_TOKEN_PATTERN
+from plyscope.plans.quality import NOT_NULL_GAMES, NOT_NULL_MOVES
+from plyscope.plans.reporting import AGG_COLUMNS, GWM_COLUMNS
+from plyscope.plans.scoring import TEXT_NOISE
 from plyscope.sources import adapter as ad
+from plyscope.sources.ingest import ARCHIVE_BASE
 
 R = cat.ROUND
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+def _q(s) -> str:
+    return "'" + str(s).replace("'", "''") + "'"
 
 
-def _in(values) -> str:
-    return ", ".join(_q(v) for v in values)
+def _values(rows) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(map(str, r)) + ")" for r in rows) + ")"
 
 
-def _staging_ctes() -> str:
-    tc = " ".join(f"WHEN {i} THEN {_q(c)}" for i, c in enumerate(ad.TIME_CLASSES_BY_SUPPKEY))
-    tcl = " ".join(f"WHEN {_q(c)} THEN {_q(v)}" for c, v in ad.TIME_CONTROL_BY_CLASS.items())
-    wr = " ".join(f"WHEN {i} THEN {_q(w)}" for i, (w, _) in enumerate(ad.RESULTS_BY_CODE))
-    br = " ".join(f"WHEN {i} THEN {_q(b)}" for i, (_, b) in enumerate(ad.RESULTS_BY_CODE))
-    secs = "(3600 - 20 * move_number)"
+def _pick(key: str, options) -> str:
+    """The (zero-based) ``key``-th of some literals."""
+    return f"[{', '.join(map(_q, options))}][1 + {key}]"
+
+
+# ---------------------------------------------------------------- staging (the adapter's rules)
+
+def _staging() -> str:
+    case = {name: f"k % {m} = {r}" for name, (m, r) in ad.CASES.items()}
+    clock = "3600 - 20 * n"
+    tclass = _pick("k % 4", ad.TIME_CLASSES_BY_SUPPKEY)
+    control = "map {" + ", ".join(f"{_q(a)}: {_q(b)}" for a, b in ad.TIME_CONTROL_BY_CLASS.items()) + "}"
     return f"""
-stg_base AS (
-  SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, l.l_extendedprice,
-         l.l_returnflag, l.l_linestatus, l.l_shipdate, r.r_name, CAST(year(l.l_shipdate) AS BIGINT) AS y
-  FROM lineitem l
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN nation n ON s.s_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey
+item AS (
+  SELECT l_suppkey AS k, CAST(year(l_shipdate) AS BIGINT) AS y, r_name AS region, l_shipdate AS shipped,
+         l_returnflag || l_linestatus AS move, CAST(l_quantity AS INTEGER) * 40 - 1020 AS value,
+         CASE WHEN l_suppkey = {ad.KEYLESS_SUPPLIER} THEN '' ELSE concat_ws('-', 'g', l_suppkey, year(l_shipdate)) END AS game_uuid,
+         CAST(row_number() OVER (PARTITION BY l_suppkey, year(l_shipdate)
+              ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS BIGINT) AS n
+  FROM lineitem, supplier, nation, region
+  WHERE l_suppkey = s_suppkey AND s_nationkey = n_nationkey AND n_regionkey = r_regionkey
 ),
-stg_plies AS (
-  SELECT *,
-         CAST(row_number() OVER (PARTITION BY l_suppkey, y
-              ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS BIGINT) AS move_number,
-         'g-' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(y AS VARCHAR) AS game_uuid
-  FROM stg_base
+played AS (
+  SELECT k, y, region, game_uuid, max(shipped) AS ended, max(n) AS plies,
+         string_agg(CASE WHEN n % 2 = 1 THEN CAST((n + 1) // 2 AS VARCHAR) || '. '
+                         WHEN {case['black_unnumbered']} THEN '' ELSE CAST(n // 2 AS VARCHAR) || '... ' END
+                    || move || CASE WHEN {case['no_clocks']} THEN ' '
+                         ELSE printf(' {{[%%clk 0:%02d:%02d.5]}} ', CAST(({clock}) // 60 AS INTEGER), CAST(({clock}) % 60 AS INTEGER)) END,
+                    '' ORDER BY n) AS body
+  FROM item GROUP BY ALL
 ),
 stg_moves AS (
-  SELECT game_uuid, move_number, l_returnflag || l_linestatus AS move,
-         CAST(CAST(l_quantity AS INTEGER) * 40 - 1020 AS BIGINT) AS score_white
-  FROM stg_plies
-),
-stg_games0 AS (
-  SELECT game_uuid, l_suppkey AS k, y, r_name, max(l_shipdate) AS end_ntz,
-         string_agg(CAST((move_number + 1) // 2 AS VARCHAR)
-                    || CASE WHEN move_number % 2 = 1 THEN '. ' ELSE '... ' END
-                    || l_returnflag || l_linestatus || ' {{[%clk 0:'
-                    || lpad(CAST({secs} // 60 AS VARCHAR), 2, '0') || ':'
-                    || lpad(CAST({secs} % 60 AS VARCHAR), 2, '0') || '.5]}} ', '' ORDER BY move_number) AS pgn
-  FROM stg_plies GROUP BY game_uuid, l_suppkey, y, r_name
+  SELECT item.game_uuid, n AS move_number, move,
+         CAST(trunc(value / CASE WHEN {case['calm']} THEN 20 WHEN {case['quiet']} THEN 4 ELSE 1 END) AS BIGINT) AS score_white
+  FROM item JOIN played USING (k, y),
+       unnest(range(CASE WHEN {case['ply_scored_twice']} AND n = 2 THEN 2 ELSE 1 END)) AS copy(c)
+  WHERE NOT ({case['unscored']}) AND NOT ({case['last_ply_unscored']} AND n = plies)
 ),
 stg_games AS (
-  SELECT {_q(ad.URL_PREFIX)} || r_name || '/games/' || strftime(end_ntz, '%Y/%m') AS archive_url,
-         r_name AS username, {_q(ad.LOAD_DATE)} AS bq_load_date,
-         {_q(ad.URL_PREFIX + 'game/')} || game_uuid AS url, pgn,
-         CASE (CASE k % 4 {tc} END) {tcl} END AS time_control,
-         CAST(epoch(end_ntz) AS BIGINT) AS end_time_integer,
-         k % 10 <> 0 AS rated, '' AS tcn, game_uuid, '' AS initial_setup, '' AS fen,
-         CASE k % 4 {tc} END AS time_class, 'chess' AS rules,
-         CASE WHEN k % 2 = 0 THEN r_name ELSE {_q(ad.OPPONENT)} END AS white_username,
-         CAST(350 + (k * 37 % 5) * 200 AS BIGINT) AS white_rating,
-         CASE (k + y) % 4 {wr} END AS white_result, '' AS white_id, '' AS white_uuid,
-         CASE WHEN k % 2 = 0 THEN {_q(ad.OPPONENT)} ELSE r_name END AS black_username,
-         CAST(350 + ((k * 37 + (y + 1) % 2) % 5) * 200 AS BIGINT) AS black_rating,
-         CASE (k + y) % 4 {br} END AS black_result, '' AS black_id, '' AS black_uuid
-  FROM stg_games0
+  SELECT {_q(ad.URL_PREFIX)} || player || '/games/' || strftime(ended, '%Y/%m') AS archive_url,
+         player AS username, {_q(ad.LOAD_DATE)} AS bq_load_date,
+         {_q(ad.URL_PREFIX + 'game/')} || concat_ws('-', k, y) AS url,
+         CASE WHEN {case['no_text']} THEN '' ELSE body END AS pgn,
+         {control}[{tclass}] AS time_control, CAST(epoch(ended) AS BIGINT) AS end_time_integer,
+         k % 10 <> 0 AS rated, '' AS tcn, game_uuid,
+         CASE WHEN {case['custom_setup']} THEN {_q(ad.CUSTOM_SETUP)}
+              WHEN {case['standard_setup']} THEN {_q(STANDARD_INITIAL_SETUP)} ELSE '' END AS initial_setup,
+         '' AS fen, {tclass} AS time_class, CASE WHEN {case['other_rules']} THEN 'chess960' ELSE 'chess' END AS rules,
+         seats[1] AS white_username,
+         CASE WHEN NOT ({case['no_white_rating']}) THEN CAST(350 + (k * 37 % 9) * 200 AS BIGINT) END AS white_rating,
+         {_pick('(k + y) % 4', [w for w, _ in ad.RESULTS_BY_CODE])} AS white_result, '' AS white_id, '' AS white_uuid,
+         seats[2] AS black_username,
+         CAST(350 + ((k * 37 + (y + 1) % 2) % 9) * 200 AS BIGINT) AS black_rating,
+         {_pick('(k + y) % 4', [b for _, b in ad.RESULTS_BY_CODE])} AS black_result, '' AS black_id, '' AS black_uuid
+  FROM (SELECT *, unnest(CASE WHEN {case['two_players']} THEN [region, {_q(ad.OPPONENT)}] ELSE [region] END) AS player,
+               CASE WHEN {case['side_unknown']} THEN ['guest', 'visitor']
+                    WHEN k % 2 = 0 THEN [region, {_q(ad.OPPONENT)}] ELSE [{_q(ad.OPPONENT)}, region] END AS seats
+        FROM played)
 )"""
 
 
-def _model_ctes(p: Params, mapping) -> str:
-    tz = _q(p.target_timezone)
-    phases = " ".join(f"WHEN gm.move_number <= {u} THEN {_q(lbl)}" for u, lbl, _ in p.game_phases if u is not None)
-    last_phase = [lbl for u, lbl, _ in p.game_phases if u is None][0]
+# ---------------------------------------------------------------- lookups
 
-    def band(col):
-        whens = " ".join(f"WHEN {col} < {e} THEN {_q(lbl)}" for e, lbl in rating_band_labels(p.rating_edges))
-        return f"CASE {whens} ELSE {_q(f'{p.rating_edges[-1]:04d}+')} END"
+def _lookups(p: Params) -> str:
+    outcome = [(_q(c), _q(label)) for label, codes in (("Lose", RESULTS_LOSE), ("Win", RESULTS_WIN), ("Draw", RESULTS_DRAW))
+               for c in codes]
+    edges = rating_band_labels(p.rating_edges)
+    band = [(low, high, _q(label)) for (high, label), low in zip(edges, [-10**9, *[e for e, _ in edges]])]
+    phase = [(2**40 if upto is None else upto, _q(label)) for upto, label, _ in p.game_phases]
+    miss = [(_q("Massive Blunder"), p.massive_blunder_drop, True), (_q("Blunder"), p.blunder_drop, True),
+            (_q("Mistake"), p.mistake_drop, False)]
+    return f"""
+outcome AS (SELECT * FROM {_values(outcome)} t(code, label)),
+band AS (SELECT * FROM {_values(band)} t(low, high, label)),
+phase AS (SELECT * FROM {_values(phase)} t(upto, label)),
+-- a miss: how many points the mover lost, and whether the position must have been contested
+miss AS (SELECT * FROM {_values(miss)} t(name, loss, contested))"""
 
-    start = f"CAST(date_trunc('month', DATE {_q(str(p.as_of))} - INTERVAL {p.month_history_depth} MONTH) AS DATE)"
-    mvals = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in mapping) or "(NULL, NULL)"
-    mb, bl, mi = p.massive_blunder_drop, p.blunder_drop, p.mistake_drop
-    bal, ev = p.balanced_limit, p.even_limit
+
+def _months_before(p: Params, months: int) -> str:
+    return f"CAST(date_trunc('month', DATE {_q(p.as_of)} - INTERVAL {months} MONTH) AS DATE)"
+
+
+def _games(p: Params) -> str:
+    def band(c):
+        return f"coalesce((SELECT label FROM band WHERE {c} >= low AND {c} < high), {_q(f'{p.rating_edges[-1]:04d}+')})"
     return f"""
-games_f AS (
-  SELECT * FROM stg_games
-  WHERE length(pgn) > 0 AND rules = 'chess'
-    AND (length(initial_setup) = 0 OR initial_setup = {_q(STANDARD_INITIAL_SETUP)})
-),
-games_t AS (
-  SELECT *, timezone({tz}, to_timestamp(end_time_integer)) AS end_time FROM games_f
+seated AS (
+  SELECT *, list_position([lower(white_username), lower(black_username)], lower(username)) AS seat,
+         timezone({_q(p.target_timezone)}, to_timestamp(end_time_integer)) AS end_time
+  FROM stg_games
+  WHERE pgn <> '' AND rules = 'chess' AND initial_setup IN ('', {_q(STANDARD_INITIAL_SETUP)})
 ),
-games_p AS (
-  SELECT *, CAST(end_time AS DATE) AS end_time_date, strftime(end_time, '%Y-%m') AS end_time_month,
-         CASE WHEN lower(username) = lower(white_username) THEN 'White'
-              WHEN lower(username) = lower(black_username) THEN 'Black' END AS playing_as
-  FROM games_t
+games AS (
+  SELECT seated.* EXCLUDE (seat), CAST(end_time AS DATE) AS end_time_date, strftime(end_time, '%Y-%m') AS end_time_month,
+         ['White', 'Black'][seat] AS playing_as, [white_result, black_result][seat] AS playing_result_detailed,
+         [white_rating, black_rating][seat] AS playing_rating, [black_rating, white_rating][seat] AS opponent_rating,
+         label AS playing_result
+  FROM seated LEFT JOIN outcome ON code = [white_result, black_result][seat]
 ),
-games_r AS (
-  SELECT *,
-         CASE WHEN playing_as = 'White' THEN white_result WHEN playing_as = 'Black' THEN black_result END
-           AS playing_result_detailed,
-         CASE WHEN playing_as = 'White' THEN white_rating WHEN playing_as = 'Black' THEN black_rating END
-           AS playing_rating,
-         CASE WHEN playing_as = 'White' THEN black_rating WHEN playing_as = 'Black' THEN white_rating END
-           AS opponent_rating
-  FROM games_p
+-- a game's clocks in seconds, by ply
+clocked AS (
+  SELECT username, game_uuid, row_number() OVER () AS row, marks,
+         list_transform(marks, lambda m: list_sum(list_transform([1, 2, 3], lambda i:
+           CAST(string_split(regexp_extract(m, 'clk ([^]]+)', 1), ':')[i] AS DOUBLE) * [3600, 60, 1][i]))) AS secs
+  FROM (SELECT *, regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)}) AS marks FROM games)
 ),
-games AS (
-  SELECT *,
-         CASE WHEN playing_result_detailed IN ({_in(RESULTS_LOSE)}) THEN 'Lose'
-              WHEN playing_result_detailed IN ({_in(RESULTS_WIN)}) THEN 'Win'
-              WHEN playing_result_detailed IN ({_in(RESULTS_DRAW)}) THEN 'Draw' END AS playing_result
-  FROM games_r
+games_times AS (
+  SELECT username, game_uuid, marks[i] AS time_remaining, i AS move_number, secs[i] AS time_remaining_seconds
+  FROM (SELECT *, unnest(range(1, len(marks) + 1)) AS i FROM clocked)
 ),
 games_moves AS (
-  SELECT game_uuid, CAST(move_number AS BIGINT) AS move_number, move, score_white,
-         CASE WHEN move_number % 2 = 1 THEN 'White' ELSE 'Black' END AS player_color_turn,
-         -score_white AS score_black,
+  SELECT *, ['Black', 'White'][1 + move_number % 2] AS player_color_turn, -score_white AS score_black,
          1 / (1 + exp(-{p.win_probability_slope} * score_white)) AS win_probability_white,
          1 - 1 / (1 + exp(-{p.win_probability_slope} * score_white)) AS win_probability_black
   FROM stg_moves
 ),
-gt_marks AS (
-  SELECT username, game_uuid, regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)}) AS marks FROM games
-),
-gt_rows AS (
-  SELECT username, game_uuid, unnest(marks) AS time_remaining,
-         CAST(generate_subscripts(marks, 1) AS BIGINT) AS move_number
-  FROM gt_marks
-),
-games_times AS (
-  SELECT username, game_uuid, time_remaining, move_number,
-         CAST(nullif(regexp_extract(time_remaining, {_q(CLOCK_HOURS_PATTERN)}, 1), '') AS BIGINT) * 3600
-       + CAST(nullif(regexp_extract(time_remaining, {_q(CLOCK_MINUTES_PATTERN)}, 1), '') AS BIGINT) * 60
-       + CAST(nullif(regexp_extract(time_remaining, {_q(CLOCK_SECONDS_PATTERN)}, 1), '') AS DOUBLE)
-         AS time_remaining_seconds
-  FROM gt_rows
-),
-username_mapping AS (
-  SELECT * FROM (VALUES {mvals}) AS m(username, target_username)
-),
-games_scope AS (
-  SELECT * FROM games
-  WHERE end_time_date >= {start} AND rated AND time_class IN ({_in(p.time_classes)})
-),
-w_base AS (
-  SELECT g.game_uuid, g.archive_url, COALESCE(um.target_username, g.username) AS username, g.url,
-         g.end_time, g.end_time_date, g.end_time_month, g.time_class, g.time_control, g.white_username,
-         g.white_rating, g.black_username, g.black_rating, g.bq_load_date, gm.move_number,
-         gt.time_remaining_seconds,
-         gt.time_remaining_seconds / nullif(first_value(gt.time_remaining_seconds) OVER (
-             PARTITION BY g.game_uuid, gm.player_color_turn ORDER BY gm.move_number), 0) AS prct_time_remaining,
-         gm.move,
-         CASE {phases} ELSE {_q(last_phase)} END AS game_phase,
-         gm.player_color_turn, g.playing_as,
-         gm.player_color_turn = g.playing_as AS is_playing_turn,
-         CASE WHEN gm.player_color_turn = g.playing_as THEN 'Playing Turn' ELSE 'Opponent Turn' END
-           AS playing_turn_name,
-         g.playing_rating, {band('g.playing_rating')} AS playing_rating_range,
-         g.opponent_rating, {band('g.opponent_rating')} AS opponent_rating_range,
-         g.playing_result,
-         CASE WHEN g.playing_as = 'White' THEN gm.score_white WHEN g.playing_as = 'Black' THEN gm.score_black END
-           AS score_playing,
-         CASE WHEN g.playing_as = 'White' THEN gm.win_probability_white
-              WHEN g.playing_as = 'Black' THEN gm.win_probability_black END AS win_probability_playing
-  FROM games_scope g
-  JOIN games_moves gm ON g.game_uuid = gm.game_uuid AND g.game_uuid <> ''
-  LEFT JOIN username_mapping um ON lower(um.username) = lower(g.username)
-  LEFT JOIN games_times gt ON g.game_uuid = gt.game_uuid AND g.username = gt.username
-                          AND gm.move_number = gt.move_number
-),
-w_prev AS (
-  SELECT *,
-         lag(score_playing) OVER (PARTITION BY game_uuid, username ORDER BY move_number) AS prev_score_playing,
-         score_playing - lag(score_playing) OVER (PARTITION BY game_uuid, username ORDER BY move_number)
-           AS variance_score_playing
-  FROM w_base
-),
-w_pos AS (
-  SELECT *,
-    CASE WHEN is_playing_turn AND variance_score_playing <= -{mb} AND prev_score_playing > -{bal}
-              AND score_playing < {bal} THEN 'Massive Blunder'
-         WHEN is_playing_turn AND variance_score_playing <= -{bl} AND prev_score_playing > -{bal}
-              AND score_playing < {bal} THEN 'Blunder'
-         WHEN is_playing_turn AND variance_score_playing <= -{mi} THEN 'Mistake' END AS miss_category_playing,
-    CASE WHEN is_playing_turn AND variance_score_playing <= -{mi} THEN move_number END AS miss_move_number_playing,
-    CASE WHEN is_playing_turn AND variance_score_playing <= -{mb} AND prev_score_playing > -{bal}
-              AND score_playing < {bal} THEN move_number END AS massive_blunder_move_number_playing,
-    CASE WHEN NOT is_playing_turn AND variance_score_playing >= {mb} AND prev_score_playing < {bal}
-              AND score_playing > -{bal} THEN 'Massive Blunder'
-         WHEN NOT is_playing_turn AND variance_score_playing >= {bl} AND prev_score_playing < {bal}
-              AND score_playing > -{bal} THEN 'Blunder'
-         WHEN NOT is_playing_turn AND variance_score_playing >= {mi} THEN 'Mistake' END AS miss_category_opponent,
-    CASE WHEN NOT is_playing_turn AND variance_score_playing >= {mi} THEN move_number END
-      AS miss_move_number_opponent,
-    CASE WHEN abs(score_playing) <= {ev} THEN 'Even' WHEN score_playing <= -{ev} THEN 'Disadvantage'
-         WHEN score_playing >= {ev} THEN 'Advantage' END AS position_status_playing
-  FROM w_prev
+scoped AS (
+  SELECT *, {band('playing_rating')} AS playing_rating_range, {band('opponent_rating')} AS opponent_rating_range
+  FROM games
+  WHERE end_time_date >= {_months_before(p, p.month_history_depth)} AND rated
+    AND list_contains([{', '.join(map(_q, p.time_classes))}], time_class)
+)"""
+
+
+def _status(score: str, p: Params) -> str:
+    return (f"CASE WHEN {score} BETWEEN -{p.even_limit} AND {p.even_limit} THEN 'Even' "
+            f"ELSE ['Disadvantage', 'Advantage'][CAST((3 + sign({score})) / 2 AS INTEGER)] END")
+
+
+def _plies(p: Params) -> str:
+    """games_with_moves: every ply of a game row, with the ply before it, seen from both chairs."""
+    keyed = "" if p.keep_keyless else "WHERE game_uuid <> ''"
+    bal = p.balanced_limit
+    named = {
+        "time_remaining_seconds": "clock", "prct_time_remaining": "clock / nullif(first_clock, 0)", "move_number": "n",
+        "game_phase": "(SELECT min_by(label, upto) FROM phase WHERE n <= upto)",
+        "player_color_turn": "colour", "is_playing_turn": "own",
+        "playing_turn_name": "CASE WHEN own THEN 'Playing Turn' ELSE 'Opponent Turn' END",
+        "score_playing": "score", "win_probability_playing": "chance", "prev_score_playing": "before",
+        "variance_score_playing": "score - before",
+        "miss_category_playing": "CASE WHEN own THEN fault END",
+        "miss_move_number_playing": "CASE WHEN own AND fault IS NOT NULL THEN n END",
+        "massive_blunder_move_number_playing": "CASE WHEN own AND fault = 'Massive Blunder' THEN n END",
+        "miss_category_opponent": "CASE WHEN NOT own THEN fault END",
+        "miss_move_number_opponent": "CASE WHEN NOT own AND fault IS NOT NULL THEN n END",
+        "position_status_playing": _status("score", p), "prev_position_status_playing": _status("before", p),
+        "miss_context_playing": f"CASE WHEN own AND fault <> 'Mistake' THEN map {{'Even': 'Throw', 'Disadvantage': 'Throw', "
+                                f"'Advantage': 'Missed Opportunity'}}[{_status('before', p)}] END",
+        "first_blunder_playing_turn_name": "first_massive",
+    }
+    cols = ",\n    ".join(f"{named[c]} AS {c}" if c in named else c for c in GWM_COLUMNS)
+    return f"""
+record AS (
+  SELECT s.*, row_number() OVER () AS row,
+         regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)}) AS marks
+  FROM scoped s {keyed}
 ),
-w_prevpos AS (
-  SELECT *, lag(position_status_playing) OVER (PARTITION BY game_uuid, username ORDER BY move_number)
-              AS prev_position_status_playing
-  FROM w_pos
+scored AS (SELECT game_uuid, list(m ORDER BY m.move_number) AS plies FROM games_moves m GROUP BY game_uuid),
+ply AS (
+  SELECT record.* EXCLUDE (pgn, marks), u.cur.move_number AS n, u.cur.move AS move, u.cur.player_color_turn AS colour,
+         u.cur.player_color_turn = playing_as AS own,
+         CASE playing_as WHEN 'White' THEN u.cur.score_white WHEN 'Black' THEN -u.cur.score_white END AS score,
+         CASE playing_as WHEN 'White' THEN u.prev.score_white WHEN 'Black' THEN -u.prev.score_white END AS before,
+         CASE playing_as WHEN 'White' THEN u.cur.win_probability_white WHEN 'Black' THEN u.cur.win_probability_black END AS chance,
+         secs[u.cur.move_number] AS clock, secs[u.start] AS first_clock
+  FROM (SELECT record.*, unnest(list_transform(range(1, len(plies) + 1), lambda i: {{'cur': plies[i], 'prev': plies[i - 1],
+                 'start': list_min(list_transform(list_filter(plies, lambda q: q.player_color_turn = plies[i].player_color_turn),
+                                                  lambda q: q.move_number))}})) AS u,
+               list_transform(marks, lambda m: list_sum(list_transform([1, 2, 3], lambda i:
+                 CAST(string_split(regexp_extract(m, 'clk ([^]]+)', 1), ':')[i] AS DOUBLE) * [3600, 60, 1][i]))) AS secs
+        FROM record JOIN scored USING (game_uuid)) AS record
 ),
-w_ctx AS (
-  SELECT *,
-    CASE WHEN miss_category_playing IN ('Blunder', 'Massive Blunder')
-              AND prev_position_status_playing IN ('Even', 'Disadvantage') THEN 'Throw'
-         WHEN miss_category_playing IN ('Blunder', 'Massive Blunder')
-              AND prev_position_status_playing IN ('Advantage') THEN 'Missed Opportunity' END AS miss_context_playing
-  FROM w_prevpos
+judged AS (
+  -- the mover's loss and chair decide the fault: the gravest miss whose conditions hold
+  SELECT *, (SELECT max_by(name, loss) FROM miss
+             WHERE CASE WHEN own THEN before - score ELSE score - before END >= loss
+               AND (NOT contested OR (CASE WHEN own THEN before ELSE -before END > -{bal}
+                                      AND CASE WHEN own THEN score ELSE -score END < {bal}))
+               AND own IS NOT NULL) AS fault
+  FROM ply
 ),
 games_with_moves AS (
-  SELECT *,
-    first_value(CASE WHEN COALESCE(miss_category_playing, miss_category_opponent) = 'Massive Blunder'
-                     THEN playing_turn_name END IGNORE NULLS)
-      OVER (PARTITION BY game_uuid, username ORDER BY move_number
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_blunder_playing_turn_name
-  FROM w_ctx
+  SELECT {cols}
+  FROM (SELECT judged.*, first_massive FROM judged LEFT JOIN (
+          SELECT row, min_by(CASE WHEN own THEN 'Playing Turn' ELSE 'Opponent Turn' END, n) FILTER (fault = 'Massive Blunder')
+                 AS first_massive FROM judged GROUP BY row) USING (row))
 )"""
 
 
-def _agg_cte(p: Params) -> str:
-    pivots = []
-    for _, label, key in p.game_phases:
-        pivots.append(f"CAST(count(CASE WHEN game_phase = {_q(label)} AND miss_category_playing = 'Massive Blunder' THEN 1 END) AS BIGINT)"
-                      f" AS nb_massive_blunder_{key}_playing")
-        pivots.append(f"CAST(count(CASE WHEN game_phase = {_q(label)} AND miss_category_playing IN ('Blunder', 'Massive Blunder') THEN 1 END)"
-                      f" AS BIGINT) AS nb_blunder_{key}_playing")
-    pv = ",\n    ".join(pivots)
-    dims = ",\n    ".join(f"any_value({c}) AS {c}" for c in (
-        "url", "end_time", "end_time_date", "end_time_month", "playing_rating", "playing_rating_range",
-        "opponent_rating", "opponent_rating_range", "playing_as", "playing_result", "time_class", "time_control",
-        "first_blunder_playing_turn_name"))
+def _agg(p: Params) -> str:
+    blunder = "miss_category_playing LIKE '%Blunder'"
+    massive = "miss_category_playing = 'Massive Blunder'"
+    count = lambda cond: f"CAST(count(*) FILTER ({cond}) AS BIGINT)"
+    least = lambda cond: f"min(prct_time_remaining) FILTER ({cond})"
     lo, mid = p.should_win_low, p.should_win_mid
+    made = {
+        "game_phase_key": "coalesce(game_phase, 'Recent Games')", "aggregation_level": "level",
+        "nb_moves": "count(move_number)", "nb_blunder_playing": count(blunder), "nb_massive_blunder_playing": count(massive),
+        "nb_moves_above_decisive_advantage": count(f"score_playing > {mid}"),
+        "first_blunder_playing_prct_time_remaining": least(blunder),
+        "first_massive_blunder_playing_prct_time_remaining": least(massive),
+        "massive_blunder_move_number_playing": "string_agg(CAST(massive_blunder_move_number_playing AS VARCHAR), ', ' "
+                                               "ORDER BY massive_blunder_move_number_playing)",
+        "nb_throw_playing": count("miss_context_playing = 'Throw'"),
+        "nb_missed_opportunity_playing": count("miss_context_playing = 'Missed Opportunity'"),
+        "median_score_playing": "quantile_disc(score_playing, 0.5)", "max_score_playing": "max(score_playing)",
+        "min_score_playing": "min(score_playing)", "std_score_playing": "stddev_samp(score_playing)",
+        "max_score_playing_range": f"CASE WHEN max(score_playing) < {lo} THEN '0-{lo}' WHEN max(score_playing) < {mid} "
+                                   f"THEN '{lo}-{mid}' ELSE '{mid}+' END",
+        "max_score_playing_type": f"concat(CASE WHEN max(score_playing) > {mid} THEN 'D' ELSE 'No d' END, 'ecisive advantage')",
+    }
+    for _, label, key in p.game_phases:
+        here = "" if label is None else f"phase_of_ply = {_q(label)} AND "
+        made[f"nb_blunder_{key}_playing"] = count(here + blunder)
+        made[f"nb_massive_blunder_{key}_playing"] = count(here + massive)
+    keys = ("username", "game_uuid", "game_phase")
+    cols = ",\n    ".join(c if c in keys else f"{made.get(c, f'any_value({c})')} AS {c}"
+                          for c in AGG_COLUMNS(p) if c != "has_enough_games")
+    cell = "username, time_class, end_time_month, opponent_rating_range, game_phase_key"
     return f"""
-agg_fields AS (
-  SELECT username, game_uuid, game_phase,
-    CASE WHEN grouping(game_phase) = 1 THEN 'Recent Games' ELSE game_phase END AS game_phase_key,
-    CASE WHEN grouping(game_phase) = 1 THEN 'Games' ELSE 'Game Phases' END AS aggregation_level,
-    {dims},
-    count(move_number) AS nb_moves,
-    CAST(count(CASE WHEN miss_category_playing IN ('Blunder', 'Massive Blunder') THEN 1 END) AS BIGINT) AS nb_blunder_playing,
-    CAST(count(CASE WHEN miss_category_playing = 'Massive Blunder' THEN 1 END) AS BIGINT) AS nb_massive_blunder_playing,
-    CAST(count(CASE WHEN score_playing > {mid} THEN 1 END) AS BIGINT) AS nb_moves_above_decisive_advantage,
-    min(CASE WHEN miss_category_playing IN ('Blunder', 'Massive Blunder') THEN prct_time_remaining END)
-      AS first_blunder_playing_prct_time_remaining,
-    min(CASE WHEN miss_category_playing = 'Massive Blunder' THEN prct_time_remaining END)
-      AS first_massive_blunder_playing_prct_time_remaining,
-    {pv},
-    string_agg(CAST(massive_blunder_move_number_playing AS VARCHAR), ', '
-               ORDER BY massive_blunder_move_number_playing) AS massive_blunder_move_number_playing,
-    CAST(count(CASE WHEN miss_context_playing = 'Throw' THEN 1 END) AS BIGINT) AS nb_throw_playing,
-    CAST(count(CASE WHEN miss_context_playing = 'Missed Opportunity' THEN 1 END) AS BIGINT) AS nb_missed_opportunity_playing,
-    quantile_disc(score_playing, 0.5) AS median_score_playing,
-    max(score_playing) AS max_score_playing,
-    min(score_playing) AS min_score_playing,
-    stddev_samp(score_playing) AS std_score_playing,
-    CASE WHEN max(score_playing) < {lo} THEN '0-{lo}' WHEN max(score_playing) < {mid} THEN '{lo}-{mid}'
-         ELSE '{mid}+' END AS max_score_playing_range,
-    CASE WHEN max(score_playing) > {mid} THEN 'Decisive advantage' ELSE 'No decisive advantage' END
-      AS max_score_playing_type
-  FROM games_with_moves
-  GROUP BY GROUPING SETS ((username, game_uuid, game_phase), (username, game_uuid))
+levelled AS (
+  SELECT w.* EXCLUDE (game_phase), w.game_phase AS phase_of_ply, level,
+         CASE level WHEN 'Game Phases' THEN w.game_phase END AS game_phase
+  FROM games_with_moves w, {_values([(_q('Games'),), (_q('Game Phases'),)])} l(level)
+),
+summed AS (
+  SELECT {cols}
+  FROM levelled GROUP BY username, game_uuid, game_phase, level
 ),
 agg_games AS (
-  SELECT *, count(*) OVER (PARTITION BY username, time_class, end_time_month, opponent_rating_range,
-                                        game_phase_key) > {p.min_games_played} AS has_enough_games
-  FROM agg_fields
+  SELECT summed.*, size > {p.min_games_played} AS has_enough_games
+  FROM summed JOIN (SELECT {cell}, count(*) AS size FROM summed GROUP BY ALL) USING ({cell})
 )"""
 
 
-def _bench_ctes(p: Params) -> str:
-    start = f"CAST(date_trunc('month', DATE {_q(str(p.as_of))} - INTERVAL {p.benchmark_window_months} MONTH) AS DATE)"
-    t50, t70, t90 = p.clock_thresholds
+def _bench(p: Params) -> str:
+    ratio = "first_massive_blunder_playing_prct_time_remaining"
+    flags = {"nb_blunder_playing": "nb_blunder_playing > 0", "nb_massive_blunder_playing": "nb_massive_blunder_playing > 0",
+             **{f"nb_massive_blunder_playing_prct_time_{round(t * 100)}": f"{ratio} > {t}" for t in p.clock_thresholds},
+             "nb_throw_playing": "nb_throw_playing > 0", "nb_missed_opportunity_playing": "nb_missed_opportunity_playing > 0"}
+    rates = lambda head: ", ".join(
+        f"avg(CAST(coalesce({f}, false) AS INTEGER)) AS {head}rate_{n}" for n, f in flags.items())
     n = p.min_games_played
-
-    def rates(a):
-        return f"""count(CASE WHEN {a}nb_blunder_playing > 0 THEN 1 END) / count(*) AS rate_nb_blunder_playing,
-    count(CASE WHEN {a}nb_massive_blunder_playing > 0 THEN 1 END) / count(*) AS rate_nb_massive_blunder_playing,
-    count(CASE WHEN {a}first_massive_blunder_playing_prct_time_remaining > {t50} THEN 1 END) / count(*)
-      AS rate_nb_massive_blunder_playing_prct_time_50,
-    count(CASE WHEN {a}first_massive_blunder_playing_prct_time_remaining > {t70} THEN 1 END) / count(*)
-      AS rate_nb_massive_blunder_playing_prct_time_70,
-    count(CASE WHEN {a}first_massive_blunder_playing_prct_time_remaining > {t90} THEN 1 END) / count(*)
-      AS rate_nb_massive_blunder_playing_prct_time_90,
-    count(CASE WHEN {a}nb_throw_playing > 0 THEN 1 END) / count(*) AS rate_nb_throw_playing,
-    count(CASE WHEN {a}nb_missed_opportunity_playing > 0 THEN 1 END) / count(*) AS rate_nb_missed_opportunity_playing"""
-
-    bench_rates = rates("gp.").replace(" AS rate_", " AS bench_rate_")
     return f"""
-username_info AS (
-  SELECT username, time_class, playing_rating_range, game_phase_key, aggregation_level,
-    {rates('')},
-    count(*) AS nb_games
-  FROM agg_games
-  WHERE playing_rating_range = opponent_rating_range AND end_time_date >= {start}
-  GROUP BY ALL
-  HAVING count(*) > {n}
+equals AS (SELECT * FROM agg_games WHERE playing_rating_range = opponent_rating_range),
+mine AS (
+  SELECT username, time_class, playing_rating_range, game_phase_key, aggregation_level, {rates('')}, count(*) AS nb_games
+  FROM equals WHERE end_time_date >= {_months_before(p, p.benchmark_window_months)}
+  GROUP BY ALL HAVING nb_games > {n}
+),
+against AS (
+  SELECT mine.*, o.* FROM mine, LATERAL (
+    SELECT {rates('bench_')}, count(*) AS bench_nb_games FROM equals e
+    WHERE (e.time_class, e.playing_rating_range, e.game_phase_key) = (mine.time_class, mine.playing_rating_range, mine.game_phase_key)
+      AND e.username <> mine.username) o
+  WHERE bench_nb_games > {n}
 ),
-benchmark_metrics AS (
-  SELECT u.username, u.game_phase_key, u.time_class, u.playing_rating_range, u.aggregation_level,
-    any_value(u.rate_nb_blunder_playing) AS rate_nb_blunder_playing,
-    any_value(u.rate_nb_massive_blunder_playing) AS rate_nb_massive_blunder_playing,
-    any_value(u.rate_nb_massive_blunder_playing_prct_time_50) AS rate_nb_massive_blunder_playing_prct_time_50,
-    any_value(u.rate_nb_massive_blunder_playing_prct_time_70) AS rate_nb_massive_blunder_playing_prct_time_70,
-    any_value(u.rate_nb_massive_blunder_playing_prct_time_90) AS rate_nb_massive_blunder_playing_prct_time_90,
-    any_value(u.rate_nb_throw_playing) AS rate_nb_throw_playing,
-    any_value(u.rate_nb_missed_opportunity_playing) AS rate_nb_missed_opportunity_playing,
-    any_value(u.nb_games) AS nb_games,
-    {bench_rates},
-    count(*) AS bench_nb_games
-  FROM username_info u
-  LEFT JOIN agg_games gp
-    ON gp.username <> u.username AND gp.game_phase_key = u.game_phase_key
-   AND gp.time_class = u.time_class AND gp.playing_rating_range = u.playing_rating_range
-  WHERE gp.playing_rating_range = gp.opponent_rating_range
+favourite AS (
+  SELECT username, time_class, max(playing_rating_range) FILTER (nb_games = most) AS most_relevant_playing_rating_range,
+         CAST(sum(nb_games) AS BIGINT) AS nb_games
+  FROM (SELECT *, max(nb_games) OVER (PARTITION BY username, time_class) AS most FROM against WHERE aggregation_level = 'Games')
   GROUP BY ALL
-  HAVING count(*) > {n}
+)"""
+
+
+# ---------------------------------------------------------------- checks
+
+def _checks() -> str:
+    printed = lambda pattern: (
+        f"list_max(list_transform(regexp_extract_all(pgn, {_q(pattern)}, 1), lambda x: CAST(x AS BIGINT)))")
+    return f"""
+-- a game's clocks cover plies 1 to their number; its scored plies should begin and end there
+covered AS (SELECT game_uuid, max(len(marks)) AS clocks FROM clocked GROUP BY ALL HAVING clocks > 0),
+scored_span AS (SELECT game_uuid, count(*) AS rows, max(move_number) AS last, min(move_number) AS first
+                FROM games_moves GROUP BY ALL),
+off_span AS (
+  SELECT game_uuid, clocks AS max_move_number_times, CAST(1 AS BIGINT) AS min_move_number_times,
+         last AS max_move_number_moves, first AS min_move_number_moves
+  FROM covered JOIN scored_span USING (game_uuid) WHERE last <> clocks OR first <> 1
 ),
-frequent_ranked AS (
-  SELECT username, time_class, playing_rating_range, nb_games,
-         row_number() OVER (PARTITION BY username, time_class
-                            ORDER BY nb_games DESC, playing_rating_range DESC) AS rk
-  FROM benchmark_metrics WHERE aggregation_level = 'Games'
+-- the printed move numbers say how many rows a game should have
+off_count AS (
+  SELECT username, game_uuid, pgn, rows AS nb_moves, p['w'] AS nb_move_p1, p['b'] AS nb_move_p2
+  FROM (SELECT username, game_uuid, max(pgn) AS pgn, max({{'w': {printed(WHITE_MOVE_NUMBER_PATTERN)},
+               'b': {printed(BLACK_MOVE_NUMBER_PATTERN)}}}) AS p FROM games GROUP BY ALL)
+  LEFT JOIN scored_span USING (game_uuid)
+  WHERE coalesce(rows, 0) <> coalesce(p['w'], 0) + coalesce(p['b'], 0)
 ),
-define_most_frequent_range AS (
-  SELECT username, time_class,
-         max(CASE WHEN rk = 1 THEN playing_rating_range END) AS most_relevant_playing_rating_range,
-         CAST(sum(nb_games) AS BIGINT) AS nb_games
-  FROM frequent_ranked GROUP BY username, time_class
+nulls AS (
+  {' UNION ALL '.join(f"SELECT '{model}' AS model, '{c}' AS column_name, count(*) - count({c}) AS failures FROM {model}"
+                      for model, cols in (("games", NOT_NULL_GAMES), ("games_moves", NOT_NULL_MOVES)) for c in cols)}
+),
+keyless AS (
+  SELECT 'games' AS model, count(*) AS failures FROM games WHERE game_uuid = ''
+  UNION ALL SELECT 'games_moves', count(*) FROM games_moves WHERE game_uuid = ''
 )"""
 
 
+def _tokens(text: str) -> str:
+    for pattern in TEXT_NOISE:
+        text = f"regexp_replace({text}, {_q(pattern)}, ' ', 'g')"
+    return f"list_filter(string_split_regex({text}, '\\s+'), lambda t: t <> '')"
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
-def oracle_sql() -> dict[str, str]:
-    P, PB = cat.P, cat.PB
-    st = _staging_ctes()
-    base = _with(st, _model_ctes(P, P.username_mapping))
-    base_b = _with(st, _model_ctes(PB, PB.username_mapping), _agg_cte(PB), _bench_ctes(PB))
-    base_a = _with(st, _model_ctes(P, P.username_mapping), _agg_cte(P))
-    alias = _with(st, _model_ctes(P, cat.ALIAS_SEED))
-    keys = "username, game_uuid, game_phase, game_phase_key, aggregation_level"
-    phase_cols = []
-    for _, _, k in P.game_phases:
-        phase_cols += [f"nb_massive_blunder_{k}_playing", f"nb_blunder_{k}_playing"]
-    nb_cols = ", ".join(["nb_moves", "nb_blunder_playing", "nb_massive_blunder_playing",
-                         "nb_moves_above_decisive_advantage", *phase_cols, "nb_throw_playing",
-                         "nb_missed_opportunity_playing"])
-    agg_round = (f"SELECT * REPLACE (round(std_score_playing, {R}) AS std_score_playing, "
-                 f"round(first_blunder_playing_prct_time_remaining, {R}) AS first_blunder_playing_prct_time_remaining, "
-                 f"round(first_massive_blunder_playing_prct_time_remaining, {R}) "
-                 f"AS first_massive_blunder_playing_prct_time_remaining) FROM agg_games")
-    grid = ", ".join(str(int(x)) for x in P.sample_grid)
-    week_start = (f"CAST(date_trunc('week', DATE {_q(str(P.as_of))} - INTERVAL {7 * P.recent_window_weeks} DAY)"
-                  f" AS DATE)")
-    audit_user, audit_tc, audit_rng = cat.AUDIT_SUBJECT
-    audit_start = (f"CAST(date_trunc('month', DATE {_q(str(PB.as_of))} - INTERVAL {PB.benchmark_window_months} MONTH)"
-                   f" AS DATE)")
-    prev_epoch = cat.PREVIOUS_LOAD_EPOCH
-
-    def audit_part(label, where):
-        return f"""SELECT {_q(label)} AS population, count(DISTINCT game_uuid) AS nb_games,
-  count(DISTINCT CASE WHEN miss_category_playing IN ('Blunder', 'Massive Blunder') THEN game_uuid END) AS nb_games_blunder,
-  count(DISTINCT CASE WHEN miss_category_playing = 'Massive Blunder' THEN game_uuid END) AS nb_games_massive_blunder
-FROM games_with_moves
-WHERE time_class = {_q(audit_tc)} AND playing_rating_range = opponent_rating_range
-  AND playing_rating_range = {_q(audit_rng)} AND {where}"""
-
-    history_prev = f"""hist AS (
-  SELECT username, max(archive_url) AS latest_archive_url, max(end_time_integer) AS latest_end_time
-  FROM stg_games WHERE end_time_integer < {prev_epoch} GROUP BY username
-)"""
-
-    out = {
-        "q_clean_games": base + "SELECT * EXCLUDE (pgn) FROM games",
-        "q_local_time": base + "SELECT game_uuid, username, end_time_integer, end_time, end_time_date, end_time_month FROM games",
-        "q_orient_result": base + ("SELECT game_uuid, username, playing_as, playing_result_detailed, playing_result, "
-                                   "playing_rating, opponent_rating FROM games"),
-        "q_moves_winprob": base + (f"SELECT game_uuid, move_number, move, score_white, player_color_turn, score_black, "
-                                   f"round(win_probability_white, {R}) AS win_probability_white, "
-                                   f"round(win_probability_black, {R}) AS win_probability_black FROM games_moves"),
-        "q_clock_seconds": base + "SELECT * FROM games_times",
-        "q_scope_recent": base + "SELECT game_uuid, username, end_time_date, time_class, rated FROM games_scope",
-        "q_alias_merge": alias + ("SELECT g.game_uuid, COALESCE(um.target_username, g.username) AS username, "
-                                  "g.white_username, g.black_username FROM games_scope g "
-                                  "LEFT JOIN username_mapping um ON lower(um.username) = lower(g.username)"),
-        "q_clock_ratio": base + (f"SELECT game_uuid, username, move_number, player_color_turn, time_remaining_seconds, "
-                                 f"round(prct_time_remaining, {R}) AS prct_time_remaining FROM games_with_moves"),
-        "q_bands": base + ("SELECT game_uuid, username, move_number, game_phase, playing_rating, playing_rating_range, "
-                           "opponent_rating, opponent_rating_range FROM games_with_moves"),
-        "q_score_swing": base + (f"SELECT game_uuid, username, move_number, is_playing_turn, playing_turn_name, "
-                                 f"score_playing, round(win_probability_playing, {R}) AS win_probability_playing, "
-                                 f"prev_score_playing, variance_score_playing FROM games_with_moves"),
-        "q_miss_playing": base + ("SELECT game_uuid, username, move_number, miss_category_playing, "
-                                  "miss_move_number_playing, massive_blunder_move_number_playing FROM games_with_moves"),
-        "q_miss_opponent": base + ("SELECT game_uuid, username, move_number, miss_category_opponent, "
-                                   "miss_move_number_opponent FROM games_with_moves"),
-        "q_position_status": base + ("SELECT game_uuid, username, move_number, position_status_playing, "
-                                     "prev_position_status_playing FROM games_with_moves"),
-        "q_miss_context": base + ("SELECT game_uuid, username, move_number, miss_category_playing, miss_context_playing "
-                                  "FROM games_with_moves"),
-        "q_first_massive_side": base + ("SELECT DISTINCT game_uuid, username, first_blunder_playing_turn_name "
-                                        "FROM games_with_moves"),
-        "q_games_with_moves": base + (f"SELECT * REPLACE (round(win_probability_playing, {R}) AS win_probability_playing, "
-                                      f"round(prct_time_remaining, {R}) AS prct_time_remaining) FROM games_with_moves"),
-        "q_agg_levels": base_a + agg_round,
-        "q_agg_phase_pivot": base_a + f"SELECT {keys}, {nb_cols} FROM agg_games",
-        "q_agg_clock_min": base_a + (f"SELECT {keys}, first_blunder_playing_prct_time_remaining, "
-                                     f"first_massive_blunder_playing_prct_time_remaining FROM ({agg_round})"),
-        "q_agg_stats": base_a + (f"SELECT {keys}, median_score_playing, max_score_playing, min_score_playing, "
-                                 f"std_score_playing FROM ({agg_round})"),
-        "q_agg_string": base_a + f"SELECT {keys}, massive_blunder_move_number_playing FROM agg_games",
-        "q_decisive": base_a + (f"SELECT {keys}, nb_moves_above_decisive_advantage, max_score_playing, "
-                                f"max_score_playing_range, max_score_playing_type FROM agg_games"),
-        "q_enough_games": base_a + (f"SELECT {keys}, time_class, end_time_month, opponent_rating_range, "
-                                    f"has_enough_games FROM agg_games"),
-        "q_games_only": base_a + f"SELECT * FROM ({agg_round}) WHERE aggregation_level = 'Games'",
-        "q_player_rates": base_b + "SELECT * FROM username_info",
-        "q_cohort": base_b + "SELECT * FROM benchmark_metrics",
-        "q_frequent_range": base_b + "SELECT * FROM define_most_frequent_range",
-        "q_benchmark": base_b + ("SELECT b.* FROM benchmark_metrics b JOIN define_most_frequent_range f "
-                                 "ON b.username = f.username AND b.time_class = f.time_class "
-                                 "AND b.playing_rating_range = f.most_relevant_playing_rating_range"),
-        "q_sample_grid": base + f""", expected AS (
-  SELECT game_uuid, username, any_value(time_class) AS time_class, any_value(playing_result) AS playing_result,
-         any_value(opponent_rating_range) AS opponent_rating_range, any_value(url) AS url,
-         any_value(end_time) AS end_time, any_value(playing_as) AS playing_as,
-         [{grid}]::BIGINT[] AS expected_move_number
-  FROM games_with_moves WHERE end_time_date >= {week_start}
-  GROUP BY game_uuid, username
-), pts AS (
-  SELECT e.* EXCLUDE (expected_move_number), unnest(e.expected_move_number) AS move_number FROM expected e
-), joined AS (
-  SELECT pts.*, w.score_playing FROM pts
-  LEFT JOIN games_with_moves w
-    ON w.username = pts.username AND w.game_uuid = pts.game_uuid AND w.move_number = pts.move_number
-)
-SELECT * EXCLUDE (score_playing),
-  COALESCE(score_playing, last_value(score_playing IGNORE NULLS) OVER (
-    PARTITION BY game_uuid, username ORDER BY move_number
-    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS score_playing
-FROM joined""".replace("SELECT", "SELECT", 1),
-        "q_audit": _with(st, _model_ctes(PB, PB.username_mapping)) + f""", parts AS (
-  {audit_part('username', f"username = {_q(audit_user)} AND end_time_date >= {audit_start}")}
-  UNION ALL
-  {audit_part('benchmark', f"username <> {_q(audit_user)}")}
-)
-SELECT population, nb_games, nb_games_blunder, nb_games_massive_blunder,
-       nb_games_blunder / nullif(nb_games, 0) AS rate_blunder,
-       nb_games_massive_blunder / nullif(nb_games, 0) AS rate_massive_blunder
-FROM parts""",
-        "q_not_null": base + _not_null_sql(),
-        "q_move_consistency": base + _consistency_body() + """
-SELECT * FROM agg_times FULL OUTER JOIN agg_moves USING (game_uuid)
-WHERE TRUE AND max_move_number_times <> max_move_number_moves
-   OR min_move_number_times <> min_move_number_moves""",
-        "q_completeness": base + _completeness_body() + """
-SELECT username, game_uuid, pgn, nb_moves, nb_move_p1, nb_move_p2 FROM extract_moves_count
-WHERE COALESCE(nb_move_p1, 0) + COALESCE(nb_move_p2, 0) <> COALESCE(nb_moves, 0)""",
-        "q_quality_report": base + _quality_report_sql(P),
-        "q_high_water": _with(st) + ("SELECT username, max(archive_url) AS latest_archive_url, "
-                                     "max(end_time_integer) AS latest_end_time FROM stg_games GROUP BY username"),
-        "q_archive_filter": _with(st, history_prev) + f"""
-SELECT a.username, a.archive_url
-FROM (SELECT DISTINCT username, archive_url FROM stg_games) a
-LEFT JOIN hist h ON a.username = h.username
-WHERE (h.latest_archive_url IS NULL OR h.latest_archive_url = '' OR a.archive_url >= h.latest_archive_url)
-  AND right(a.archive_url, 7) >= {_q(cat.ARCHIVE_MIN_MONTH)}""",
-        "q_new_games": _with(st, history_prev) + """
-SELECT g.game_uuid, g.username, g.end_time_integer
-FROM stg_games g LEFT JOIN hist h ON g.username = h.username
-WHERE g.end_time_integer > COALESCE(h.latest_end_time, 0)""",
-        "q_unscored": _with(st) + f"""
-SELECT game_uuid, username, end_time_integer FROM (
-  SELECT g.*, row_number() OVER (PARTITION BY g.game_uuid ORDER BY g.bq_load_date DESC, g.username DESC) AS rn
-  FROM stg_games g
-  LEFT JOIN (SELECT DISTINCT m.game_uuid FROM stg_moves m
-             JOIN stg_games d ON d.game_uuid = m.game_uuid AND d.end_time_integer < {prev_epoch}) s
-    ON g.game_uuid = s.game_uuid
-  WHERE s.game_uuid IS NULL AND length(g.pgn) > 0 AND g.rules = 'chess' AND g.game_uuid <> ''
-) WHERE rn = 1""",
-        "q_plies": base + f""", tok AS (
-  SELECT game_uuid, regexp_extract_all(pgn, {_q(PLY_TOKEN_PATTERN)}, 1) AS moves,
-         regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)}) AS marks
-  FROM (SELECT game_uuid, any_value(pgn) AS pgn FROM games GROUP BY game_uuid)
-), idx AS (
-  SELECT game_uuid, moves, marks, unnest(range(1, greatest(len(moves), len(marks)) + 1)) AS i FROM tok
-)
-SELECT game_uuid, CAST(i AS BIGINT) AS move_number, moves[i] AS move,
-  CAST(nullif(regexp_extract(marks[i], {_q(CLOCK_HOURS_PATTERN)}, 1), '') AS BIGINT) * 3600
-  + CAST(nullif(regexp_extract(marks[i], {_q(CLOCK_MINUTES_PATTERN)}, 1), '') AS BIGINT) * 60
-  + CAST(nullif(regexp_extract(marks[i], {_q(CLOCK_SECONDS_PATTERN)}, 1), '') AS DOUBLE) AS time_remaining_seconds
-FROM idx""",
-    }
-    return out
+def _rounded(columns, rounded) -> str:
+    return ", ".join(f"round({c}, {R}) AS {c}" if c in rounded else c for c in columns)
 
 
-def _not_null_sql() -> str:
-    from plyscope.plans.quality import NOT_NULL_GAMES, NOT_NULL_MOVES
-    parts = [f"SELECT 'games' AS model, {_q(c)} AS column_name, CAST(count(CASE WHEN {c} IS NULL THEN 1 END) AS BIGINT) AS failures "
-             f"FROM games" for c in NOT_NULL_GAMES]
-    parts += [f"SELECT 'games_moves' AS model, {_q(c)} AS column_name, CAST(count(CASE WHEN {c} IS NULL THEN 1 END) AS BIGINT) AS failures "
-              f"FROM games_moves" for c in NOT_NULL_MOVES]
-    return "\n" + "\nUNION ALL\n".join(parts)
+def oracle_sql() -> dict[str, str]:
+    P, PB = cat.P, cat.PB
+    st = _staging()
 
+    def model(p: Params, *more: str) -> str:
+        return _with(st, _lookups(p), _games(p), *more)
 
-def _consistency_body() -> str:
-    return """, agg_times AS (
-  SELECT game_uuid, max(move_number) AS max_move_number_times, min(move_number) AS min_move_number_times
-  FROM games_times JOIN games USING (game_uuid) GROUP BY 1
-), agg_moves AS (
-  SELECT game_uuid, max(move_number) AS max_move_number_moves, min(move_number) AS min_move_number_moves
-  FROM games_moves JOIN games USING (game_uuid) GROUP BY 1
-)"""
+    cleaned, checks = model(P), model(P, _checks())
+    plies, agg = model(P, _plies(P)), model(P, _plies(P), _agg(P))
+    bench = model(PB, _plies(PB), _agg(PB), _bench(PB))
+    ply_rounded = ("win_probability_playing", "prct_time_remaining")
+    agg_rounded = ("std_score_playing", "first_blunder_playing_prct_time_remaining",
+                   "first_massive_blunder_playing_prct_time_remaining")
+    level_keys = ["username", "game_uuid", "game_phase", "game_phase_key", "aggregation_level"]
 
+    def of_games(*columns: str) -> str:
+        return cleaned + "SELECT " + ", ".join(columns) + " FROM games"
 
-def _completeness_body() -> str:
-    return f""", agg_game AS (
-  SELECT username, game_uuid, any_value(pgn) AS pgn FROM games GROUP BY 1, 2
-), agg_moves_c AS (
-  SELECT game_uuid, count(*) AS nb_moves FROM games_moves GROUP BY 1
-), extract_moves_count AS (
-  SELECT agg_game.*, agg_moves_c.nb_moves,
-    list_max(list_transform(regexp_extract_all(pgn, {_q(WHITE_MOVE_NUMBER_PATTERN)}, 1), lambda x: CAST(x AS BIGINT)))
-      AS nb_move_p1,
-    list_max(list_transform(regexp_extract_all(pgn, {_q(BLACK_MOVE_NUMBER_PATTERN)}, 1), lambda x: CAST(x AS BIGINT)))
-      AS nb_move_p2
-  FROM agg_game LEFT JOIN agg_moves_c USING (game_uuid)
-)"""
+    def of_plies(*columns: str) -> str:
+        return plies + f"SELECT game_uuid, username, {_rounded(columns, ply_rounded)} FROM games_with_moves"
 
+    def of_agg(*columns: str, sql: str = agg) -> str:
+        return sql + f"SELECT {_rounded([*level_keys, *columns], agg_rounded)} FROM agg_games"
 
-def _quality_report_sql(p: Params) -> str:
-    from plyscope.plans.quality import NOT_NULL_GAMES, NOT_NULL_MOVES
-    nn = [f"SELECT 'not_null_games_{c}' AS check_name, CAST(count(CASE WHEN {c} IS NULL THEN 1 END) AS BIGINT) AS failures FROM games"
-          for c in NOT_NULL_GAMES]
-    nn += [f"SELECT 'not_null_games_moves_{c}' AS check_name, CAST(count(CASE WHEN {c} IS NULL THEN 1 END) AS BIGINT) AS failures "
-           f"FROM games_moves" for c in NOT_NULL_MOVES]
-    return _consistency_body() + _completeness_body() + f""", checks AS (
-  {' UNION ALL '.join(nn)}
-  UNION ALL
-  SELECT 'assert_move_number_consistency', count(*) FROM agg_times FULL OUTER JOIN agg_moves USING (game_uuid)
-    WHERE TRUE AND max_move_number_times <> max_move_number_moves OR min_move_number_times <> min_move_number_moves
-  UNION ALL
-  SELECT 'assert_stockfish_processing', count(*) FROM extract_moves_count
-    WHERE COALESCE(nb_move_p1, 0) + COALESCE(nb_move_p2, 0) <> COALESCE(nb_moves, 0)
+    whole_agg = agg + f"SELECT {_rounded(AGG_COLUMNS(P), agg_rounded)} FROM agg_games"
+    alias = _values([(_q(a), _q(b)) for a, b in cat.ALIAS_SEED])
+    grid = ", ".join(str(int(x)) for x in P.sample_grid)
+    week = f"CAST(date_trunc('week', DATE {_q(P.as_of)} - INTERVAL {7 * P.recent_window_weeks} DAY) AS DATE)"
+    user, tclass, rng = cat.AUDIT_SUBJECT
+    earlier = f"end_time_integer < {cat.PREVIOUS_LOAD_EPOCH}"
+    seen = f"seen AS (SELECT username, max(archive_url) AS url, max(end_time_integer) AS mark FROM stg_games WHERE {earlier} GROUP BY ALL)"
+    worth = _values([(_q(t), v) for t, v in cat.SCORE_TABLE.items()])
+    token_games = ("SELECT any_value(pgn) AS pgn, game_uuid FROM games WHERE game_uuid <> '' GROUP BY game_uuid")
+
+    return {
+        "q_clean_games": cleaned + "SELECT * EXCLUDE (pgn) FROM games",
+        "q_local_time": of_games("game_uuid", "username", "end_time_integer", "end_time", "end_time_date", "end_time_month"),
+        "q_orient_result": of_games("game_uuid", "username", "playing_as", "playing_result_detailed", "playing_result",
+                                    "playing_rating", "opponent_rating"),
+        "q_moves_winprob": cleaned + "SELECT " + _rounded(
+            ["game_uuid", "move_number", "move", "score_white", "player_color_turn", "score_black", "win_probability_white",
+             "win_probability_black"], ("win_probability_white", "win_probability_black")) + " FROM games_moves",
+        "q_clock_seconds": cleaned + "SELECT * FROM games_times",
+        "q_scope_recent": model(cat.PS) + "SELECT game_uuid, username, end_time_date, time_class, rated FROM scoped",
+        "q_alias_merge": cleaned + f"""SELECT game_uuid, coalesce(shown, s.username) AS username, white_username, black_username
+FROM scoped s LEFT JOIN (SELECT * FROM {alias} a(account, shown)) ON lower(account) = lower(s.username)""",
+        "q_clock_ratio": of_plies("move_number", "player_color_turn", "time_remaining_seconds", "prct_time_remaining"),
+        "q_bands": of_plies("move_number", "game_phase", "playing_rating", "playing_rating_range", "opponent_rating",
+                            "opponent_rating_range"),
+        "q_score_swing": of_plies("move_number", "is_playing_turn", "playing_turn_name", "score_playing",
+                                  "win_probability_playing", "prev_score_playing", "variance_score_playing"),
+        "q_miss_playing": of_plies("move_number", "miss_category_playing", "miss_move_number_playing",
+                                   "massive_blunder_move_number_playing"),
+        "q_miss_opponent": of_plies("move_number", "miss_category_opponent", "miss_move_number_opponent"),
+        "q_position_status": of_plies("move_number", "position_status_playing", "prev_position_status_playing"),
+        "q_miss_context": of_plies("move_number", "miss_category_playing", "miss_context_playing"),
+        "q_first_massive_side": plies + "SELECT DISTINCT game_uuid, username, first_blunder_playing_turn_name FROM games_with_moves",
+        "q_games_with_moves": plies + f"SELECT {_rounded(GWM_COLUMNS, ply_rounded)} FROM games_with_moves",
+        "q_keyless_kept": cleaned + f"""SELECT s.game_uuid, username, url, m.move_number, m.move, m.player_color_turn,
+  m.player_color_turn = playing_as AS is_playing_turn,
+  m.score_white * map {{'White': 1, 'Black': -1}}[playing_as] AS score_playing, playing_rating_range
+FROM scoped s, games_moves m WHERE m.game_uuid = s.game_uuid""",
+        "q_agg_levels": whole_agg,
+        "q_agg_phase_pivot": of_agg(*[c for c in AGG_COLUMNS(P) if c.startswith("nb_")]),
+        "q_agg_clock_min": of_agg(*agg_rounded[1:]),
+        "q_agg_stats": of_agg("median_score_playing", "max_score_playing", "min_score_playing", "std_score_playing"),
+        "q_agg_string": of_agg("massive_blunder_move_number_playing"),
+        "q_decisive": of_agg("nb_moves_above_decisive_advantage", "max_score_playing", "max_score_playing_range",
+                             "max_score_playing_type"),
+        "q_enough_games": of_agg("time_class", "end_time_month", "opponent_rating_range", "has_enough_games",
+                                 sql=model(cat.PE, _plies(cat.PE), _agg(cat.PE))),
+        "q_games_only": whole_agg + " WHERE aggregation_level = 'Games'",
+        "q_player_rates": bench + "SELECT * FROM mine",
+        "q_cohort": bench + "SELECT * FROM against",
+        "q_frequent_range": bench + "SELECT * FROM favourite",
+        "q_benchmark": bench + """SELECT a.* FROM against a WHERE (username, time_class, playing_rating_range) IN (
+  SELECT (username, time_class, most_relevant_playing_rating_range) FROM favourite)""",
+        "q_sample_grid": plies + f""", recent AS (
+  SELECT DISTINCT game_uuid, username, time_class, playing_result, opponent_rating_range, url, end_time, playing_as
+  FROM games_with_moves WHERE end_time_date >= {week}
+), sampled AS (
+  SELECT game_uuid, username, move_number, score_playing FROM games_with_moves WHERE move_number IN ({grid})
+), latest AS (
+  SELECT game_uuid, username, max_by(score_playing, move_number) AS score FROM sampled WHERE score_playing IS NOT NULL GROUP BY ALL
+)
+SELECT recent.*, CAST(g.n AS BIGINT) AS move_number, coalesce(score_playing, score) AS score_playing
+FROM recent CROSS JOIN unnest([{grid}]) g(n)
+LEFT JOIN sampled s ON s.game_uuid = recent.game_uuid AND s.username = recent.username AND s.move_number = g.n
+LEFT JOIN latest t ON t.game_uuid = recent.game_uuid AND t.username = recent.username""",
+        "q_audit": model(PB, _plies(PB)) + f""", judged_games AS (
+  SELECT game_uuid, CASE username WHEN {_q(user)} THEN 'username' ELSE 'benchmark' END AS population,
+         bool_or(coalesce(miss_category_playing LIKE '%Blunder', false)) AS b,
+         bool_or(coalesce(miss_category_playing = 'Massive Blunder', false)) AS m
+  FROM games_with_moves
+  WHERE time_class = {_q(tclass)} AND playing_rating_range = {_q(rng)} AND opponent_rating_range = {_q(rng)}
+    AND (username <> {_q(user)} OR end_time_date >= {_months_before(PB, PB.benchmark_window_months)})
+  GROUP BY ALL
 )
-SELECT check_name, failures,
-  CASE WHEN failures > {p.error_if} THEN 'error' WHEN failures > {p.warn_if} THEN 'warn' ELSE 'pass' END AS status
-FROM checks"""
+SELECT population, count(game_uuid) AS nb_games, count(*) FILTER (b) AS nb_games_blunder, count(*) FILTER (m) AS nb_games_massive_blunder,
+       avg(CAST(b AS INTEGER)) AS rate_blunder, avg(CAST(m AS INTEGER)) AS rate_massive_blunder
+FROM {_values([(_q('username'),), (_q('benchmark'),)])} v(population) LEFT JOIN judged_games USING (population)
+GROUP BY population""",
+        "q_not_null": checks + "SELECT * FROM nulls",
+        "q_move_consistency": checks + "SELECT * FROM off_span",
+        "q_completeness": checks + "SELECT * FROM off_count",
+        "q_keyless_report": checks + "SELECT * FROM keyless",
+        "q_quality_report": checks + f"""SELECT check_name, failures,
+  CASE WHEN failures > {P.error_if} THEN 'error' WHEN failures > {P.warn_if} THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT concat_ws('_', 'not_null', model, column_name) AS check_name, failures FROM nulls
+  UNION ALL SELECT 'keyless_' || model, failures FROM keyless
+  UNION ALL SELECT 'assert_move_number_consistency', count(*) FROM off_span
+  UNION ALL SELECT 'assert_stockfish_processing', count(*) FROM off_count)""",
+        "q_high_water": _with(st) + ("SELECT username, max(archive_url) AS latest_archive_url, "
+                                     "max(end_time_integer) AS latest_end_time FROM stg_games GROUP BY ALL"),
+        "q_archive_filter": _with(st, seen) + f"""SELECT DISTINCT username, archive_url FROM stg_games LEFT JOIN seen USING (username)
+WHERE archive_url >= coalesce(url, '') AND archive_url[-7:] >= {_q(cat.ARCHIVE_MIN_MONTH)}""".replace("coalesce(url", "coalesce(seen.url"),
+        "q_new_games": _with(st, seen) + """SELECT game_uuid, username, end_time_integer FROM stg_games
+LEFT JOIN seen USING (username) WHERE end_time_integer > coalesce(mark, 0)""",
+        "q_unscored": _with(st) + f"""SELECT game_uuid, max(username) AS username, any_value(end_time_integer) AS end_time_integer
+FROM stg_games
+WHERE pgn <> '' AND rules = 'chess' AND game_uuid <> '' AND game_uuid NOT IN (
+  SELECT game_uuid FROM stg_moves WHERE game_uuid IN (SELECT game_uuid FROM stg_games WHERE {earlier}))
+GROUP BY game_uuid""",
+        "q_plies": cleaned + f""", read AS (
+  SELECT game_uuid, {_tokens('pgn')} AS moves, secs
+  FROM (SELECT game_uuid, any_value(pgn) AS pgn FROM games WHERE game_uuid <> '' GROUP BY ALL
+        UNION ALL SELECT game_uuid, pgn FROM games WHERE game_uuid = ''),
+  LATERAL (SELECT list_transform(regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)}), lambda m: list_sum(list_transform([1, 2, 3],
+    lambda i: CAST(string_split(regexp_extract(m, 'clk ([^]]+)', 1), ':')[i] AS DOUBLE) * [3600, 60, 1][i]))) AS secs)
+)
+SELECT game_uuid, i AS move_number, moves[i] AS move, secs[i] AS time_remaining_seconds
+FROM (SELECT *, unnest(range(1, greatest(len(moves), len(secs)) + 1)) AS i FROM read)""",
+        "q_score_hook": cleaned + f""", token AS (
+  SELECT game_uuid, unnest(moves) AS move, unnest(range(1, len(moves) + 1)) AS n
+  FROM (SELECT game_uuid, {_tokens('pgn')} AS moves FROM ({token_games}))
+)
+SELECT game_uuid, n AS move_number, t.move, CAST(sum(coalesce(w.v, 0) * CASE n % 2 WHEN 1 THEN 1 ELSE -1 END)
+  OVER (PARTITION BY game_uuid ORDER BY n) AS BIGINT) AS score_white
+FROM token t LEFT JOIN {worth} w(move, v) ON w.move = t.move""",
+        "q_ingest_stream": _with(st) + f"""SELECT * EXCLUDE (bq_load_date) REPLACE (
+  {_q(ARCHIVE_BASE)} || username || '/games/' || archive_url[-7:] AS archive_url) FROM stg_games WHERE end_time_integer > 0""",
+    }

@@ -68,8 +68,9 @@ class Params:
     # Severity limits of the data tests: warn if failures > warn_if, error if > error_if.
     warn_if: int = 1
     error_if: int = 10
-    # Largest mapping/seed table that is broadcast without a size check failing.
-    broadcast_row_limit: int = 100_000
+    # Games without a uuid are loaded with ''; False keeps them out of the games-moves join (where they
+    # would all pair with all keyless moves) and of the scoring work list. They are counted either way.
+    keep_keyless: bool = True
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
@@ -81,5 +82,5 @@ class Params:
 
 # Parameters for the driver tables (see FIXTURES.md §4): the synthetic history ends on 2001-11-04,
 # so the reporting window is pinned there and widened to cover all loaded years.
-ADAPTER_PARAMS = Params(as_of=_dt.date(2001, 11, 4), month_history_depth=84)
-BENCHMARK_PARAMS = ADAPTER_PARAMS.with_(benchmark_window_months=84, min_games_played=1)
+ADAPTER_PARAMS = Params(as_of=_dt.date(2001, 11, 4), month_history_depth=60, keep_keyless=False)
+BENCHMARK_PARAMS = ADAPTER_PARAMS.with_(month_history_depth=84, benchmark_window_months=48, min_games_played=3)

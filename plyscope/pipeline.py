@@ -42,7 +42,8 @@ def run(spark: SparkSession, staging_games: DataFrame, staging_moves: DataFrame,
     views = register_views(spark, staging_games, staging_moves, params, mapping)
     paths = {t: f"{out_dir}/{t}" for t in TABLES}
 
-    (views["games_with_moves"].write.mode("overwrite").partitionBy("end_time_month")
+    # one partition (or a few, where a month is large) per month, so few files
+    (views["games_with_moves"].hint("rebalance", "end_time_month").write.mode("overwrite").partitionBy("end_time_month")
      .parquet(paths["games_with_moves"]))
     gwm = spark.read.parquet(paths["games_with_moves"])
 
@@ -67,13 +68,14 @@ def run_from_snapshots(spark: SparkSession, games_root: str, moves_root: str, ou
 
 
 def score_new_games(spark: SparkSession, games_root: str, moves_root: str, evaluator_factory,
-                    load_ts: str | None = None, num_partitions: int | None = None) -> str:
+                    load_ts: str | None = None, num_partitions: int | None = None,
+                    keep_keyless: bool = True) -> str:
     """Entry 2: score every processable game that has no scored move yet and append the plies as a
     dated move snapshot (X1 → X2 → S9). Returns the snapshot suffix used."""
     from plyscope.plans.scoring import score_moves
     games = ig.read_snapshots(spark, games_root, schemas.GAMES)
     moves = ig.read_snapshots(spark, moves_root, schemas.MOVES)
-    todo = ig.select_unscored_games(games, moves)
+    todo = ig.select_unscored_games(games, moves, keep_keyless)
     ts = load_ts or ig.load_suffix()
     ig.append_snapshot(score_moves(todo, evaluator_factory, num_partitions), moves_root, ts)
     return ts

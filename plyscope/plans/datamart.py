@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plyscope.functions import core as fx
 from plyscope.operators import classify as cl
-from plyscope.operators.cohort import others_counts
+from plyscope.operators.cohort import indicator_counts, with_others
 from plyscope.params import Params
 
 
@@ -45,32 +45,35 @@ def _equal_level(agg: DataFrame) -> DataFrame:
     return agg.filter(F.col("playing_rating_range") == F.col("opponent_rating_range"))
 
 
+def _recent(p: Params):
+    return F.col("end_time_date") >= fx.month_window_start(p.as_of, p.benchmark_window_months)
+
+
 def player_rates(agg: DataFrame, params: Params = Params()) -> DataFrame:
     """Per player × class × own range × level key, rates over recent equal-level games (> N)."""
     p = params
-    start = fx.month_window_start(p.as_of, p.benchmark_window_months)
-    recent = _equal_level(agg).filter(F.col("end_time_date") >= start)
-    ind = _indicators(p)
-    counts = recent.groupBy(*BENCH_KEYS).agg(F.count(F.lit(1)).alias("nb_games"),
-                                             *[F.count_if(c).alias(n) for n, c in ind.items()])
+    counts = indicator_counts(_equal_level(agg).filter(_recent(p)), BENCH_KEYS, _indicators(p), "nb_games")
     counts = counts.filter(F.col("nb_games") > p.min_games_played)
     return _rates(counts, "nb_games").select(*BENCH_KEYS, *RATE_NAMES, "nb_games")
 
 
 def cohort_benchmark(agg: DataFrame, params: Params = Params()) -> DataFrame:
     """Each player's rates next to the same rates over all other players of the cell
-    (class, range, level key; every loaded date), kept when the cohort has > N games."""
+    (class, range, level key; every loaded date), kept when the cohort has > N games.
+
+    One pass over the aggregate gives each player's recent counts and all-time counts; the latter,
+    rolled up per cell minus the player's own, are the cohort's."""
     p = params
-    mine = player_rates(agg, p)
-    ind = _indicators(p)
-    cell = ["time_class", "playing_rating_range", "game_phase_key"]
-    # others_counts names its outputs after the indicators; give them the bench_ names.
-    bench_ind = {f"bench_{n}": c for n, c in ind.items()}
-    both = others_counts(mine, _equal_level(agg), "username", cell, bench_ind, "bench_nb_games")
-    both = both.filter(F.col("bench_nb_games") > p.min_games_played)
-    both = both.withColumns({f"bench_{n}": F.try_divide(F.col(f"bench_{n}").cast("double"),
-                                                        F.col("bench_nb_games").cast("double"))
-                             for n in RATE_NAMES})
+    ind, recent = _indicators(p), _recent(p)
+    bench = [f"bench_{n}" for n in RATE_NAMES] + ["bench_nb_games"]
+    per = (_equal_level(agg).groupBy(*BENCH_KEYS)
+           .agg(F.count_if(recent).alias("nb_games"), *[F.count_if(recent & c).alias(n) for n, c in ind.items()],
+                F.count(F.lit(1)).alias("bench_nb_games"), *[F.count_if(c).alias(f"bench_{n}") for n, c in ind.items()]))
+    both = with_others(per, "username", ["time_class", "playing_rating_range", "game_phase_key"], bench)
+    both = both.filter((F.col("nb_games") > p.min_games_played) & (F.col("bench_nb_games") > p.min_games_played))
+    both = _rates(both, "nb_games").withColumns({
+        f"bench_{n}": F.try_divide(F.col(f"bench_{n}").cast("double"), F.col("bench_nb_games").cast("double"))
+        for n in RATE_NAMES})
     return both.select(*BENCH_COLUMNS)
 
 
@@ -89,11 +92,14 @@ def most_frequent_range(bench: DataFrame) -> DataFrame:
 
 
 def benchmark(agg: DataFrame, params: Params = Params()) -> DataFrame:
-    """The benchmark datamart, restricted to each player's most frequent range."""
-    b = cohort_benchmark(agg, params)
-    top = most_frequent_range(b).select(
-        "username", "time_class", F.col("most_relevant_playing_rating_range").alias("playing_rating_range"))
-    return b.join(top, ["username", "time_class", "playing_rating_range"], "inner").select(*BENCH_COLUMNS)
+    """The benchmark datamart, restricted to each player's most frequent range.
+
+    The favourite is found on the benchmark's own rows: a window per (player, class), which holds at
+    most ranges × level keys rows."""
+    of_player = Window.partitionBy("username", "time_class")
+    games = F.when(F.col("aggregation_level") == F.lit("Games"), F.struct("nb_games", "playing_rating_range"))
+    b = cohort_benchmark(agg, params).withColumn("__top", F.max(games).over(of_player))
+    return b.filter(F.col("playing_rating_range") == F.col("__top.playing_rating_range")).select(*BENCH_COLUMNS)
 
 
 def recent_games_filter(params: Params = Params()):
@@ -152,24 +158,24 @@ def audit_blunder_rates(gwm: DataFrame, username: str, time_class: str, rating_r
     """Distinct games, games with a blunder / massive blunder and their rates, for one player
     (recent window) and for everyone else (all dates), on equal-level games of one class and range.
 
-    One pass over the move grain: each row is tagged with its population and both populations are
-    counted in one grouped distinct aggregate; a two-row frame keeps an empty population's zero row,
-    as the reference's two global aggregates do.
+    One pass over the move grain: each row is tagged with its population, each game becomes one row
+    with its two flags (which reuses the game partitioning), and the flags are counted; a two-row
+    frame keeps an empty population's zero row, as two global aggregates would.
     """
     p = params
     miss = F.col("miss_category_playing")
-    start = fx.month_window_start(p.as_of, p.benchmark_window_months)
     user = F.col("username")
-    population = (F.when((user == username) & (F.col("end_time_date") >= start), F.lit("username"))
+    population = (F.when((user == username) & _recent(p), F.lit("username"))
                    .when(user != username, F.lit("benchmark")))
     base = gwm.filter(audit_games_filter(time_class, rating_range)).withColumn("population", population) \
               .filter(F.col("population").isNotNull())
-    counts = base.groupBy("population").agg(
-        F.count_distinct("game_uuid").alias("nb_games"),
-        F.count_distinct(F.when(miss.isin(*cl.BLUNDERS), F.col("game_uuid"))).alias("nb_games_blunder"),
-        F.count_distinct(F.when(miss == F.lit(cl.MASSIVE), F.col("game_uuid"))).alias("nb_games_massive_blunder"))
+    per_game = base.groupBy("game_uuid", "population").agg(
+        F.bool_or(miss.isin(*cl.BLUNDERS)).alias("blunder"), F.bool_or(miss == F.lit(cl.MASSIVE)).alias("massive"))
+    counts = per_game.groupBy("population").agg(
+        F.count("game_uuid").alias("nb_games"), F.count_if("blunder").alias("nb_games_blunder"),
+        F.count_if("massive").alias("nb_games_massive_blunder"))
     both = gwm.sparkSession.createDataFrame([("username",), ("benchmark",)], "population string")
-    out = F.broadcast(both).join(counts, "population", "left")  # two literal rows: a fixed-size side
+    out = both.join(counts, "population", "left")
     z = F.lit(0).cast("bigint")
     out = out.select("population", *[F.coalesce(F.col(c), z).alias(c)
                                       for c in ("nb_games", "nb_games_blunder", "nb_games_massive_blunder")])

@@ -56,28 +56,34 @@ def _max_printed(pgn, pattern: str):
     return F.array_max(F.transform(F.regexp_extract_all(pgn, F.lit(pattern), 1), lambda x: x.cast("bigint")))
 
 
+def _incomplete(games_df: DataFrame, moves_df: DataFrame) -> DataFrame:
+    """K3's failing (player, game) pairs with their counts, without the text."""
+    per_row = games_df.select("username", "game_uuid",
+                              _max_printed(F.col("pgn"), WHITE_MOVE_NUMBER_PATTERN).alias("p1"),
+                              _max_printed(F.col("pgn"), BLACK_MOVE_NUMBER_PATTERN).alias("p2"))
+    # one text per pair, as a rule; where there are several (keyless games) the largest, not any
+    g = per_row.groupBy("username", "game_uuid").agg(F.max(F.struct("p1", "p2")).alias("__p"))
+    m = moves_df.groupBy("game_uuid").agg(F.count(F.lit(1)).alias("nb_moves"))
+    z = F.lit(0)
+    return (g.join(m, "game_uuid", "left")
+            .select("username", "game_uuid", "nb_moves", F.col("__p.p1").alias("nb_move_p1"),
+                    F.col("__p.p2").alias("nb_move_p2"))
+            .filter(F.coalesce("nb_move_p1", z) + F.coalesce("nb_move_p2", z) != F.coalesce("nb_moves", z)))
+
+
 def processing_completeness(games_df: DataFrame, moves_df: DataFrame) -> DataFrame:
     """K3: (player, game) whose printed half-move count differs from the number of scored rows
     (unscored games, duplicated move rows, partially scored games).
 
     The printed counts are taken map-side from each game row, so only (player, game, two numbers)
-    is shuffled; the move text is fetched back for the failing pairs only.
+    is shuffled; the move text is joined back to the failing pairs, which are computed once.
     """
-    per_row = games_df.select("username", "game_uuid",
-                              _max_printed(F.col("pgn"), WHITE_MOVE_NUMBER_PATTERN).alias("p1"),
-                              _max_printed(F.col("pgn"), BLACK_MOVE_NUMBER_PATTERN).alias("p2"))
-    g = per_row.groupBy("username", "game_uuid").agg(F.any_value(F.struct("p1", "p2")).alias("__p"))
-    m = moves_df.groupBy("game_uuid").agg(F.count(F.lit(1)).alias("nb_moves"))
-    z = F.lit(0)
-    bad = (g.join(m, "game_uuid", "left")
-           .select("username", "game_uuid", "nb_moves", F.col("__p.p1").alias("nb_move_p1"),
-                   F.col("__p.p2").alias("nb_move_p2"))
-           .filter(F.coalesce("nb_move_p1", z) + F.coalesce("nb_move_p2", z) != F.coalesce("nb_moves", z)))
-    text = (games_df.select("username", "game_uuid", "pgn")
-            .join(bad.select("username", "game_uuid"), ["username", "game_uuid"], "left_semi")
-            .groupBy("username", "game_uuid").agg(F.any_value("pgn").alias("pgn")))
-    return bad.join(text, ["username", "game_uuid"], "left") \
-              .select("username", "game_uuid", "pgn", "nb_moves", "nb_move_p1", "nb_move_p2")
+    bad = _incomplete(games_df, moves_df)
+    keys = ["username", "game_uuid"]
+    found = bad.join(games_df.select(*keys, "pgn"), keys)
+    return (found.groupBy(*keys).agg(F.max("pgn").alias("pgn"),
+                                     *[F.any_value(c).alias(c) for c in ("nb_moves", "nb_move_p1", "nb_move_p2")])
+            .select("username", "game_uuid", "pgn", "nb_moves", "nb_move_p1", "nb_move_p2"))
 
 
 def severity(failures, p: Params = Params()):
@@ -87,14 +93,22 @@ def severity(failures, p: Params = Params()):
              .otherwise(F.lit("pass")))
 
 
+def keyless(games_df: DataFrame, moves_df: DataFrame) -> DataFrame:
+    """Rows without a game uuid, per model: they cannot be matched, whatever ``keep_keyless`` says."""
+    count = lambda df, model: df.agg(F.count_if(F.col("game_uuid") == F.lit("")).alias("failures")).select(
+        F.lit(model).alias("model"), "failures")
+    return count(games_df, "games").unionByName(count(moves_df, "games_moves"))
+
+
 def report(games_df: DataFrame, moves_df: DataFrame, params: Params = Params()) -> DataFrame:
     """All checks as one DataFrame: (check_name, failures, status)."""
     nn = not_null_report(games_df, moves_df).select(
         F.concat(F.lit("not_null_"), F.col("model"), F.lit("_"), F.col("column_name")).alias("check_name"),
         F.col("failures").cast("bigint").alias("failures"))
     tests = [("assert_move_number_consistency", move_number_consistency(games_df, moves_df)),
-             ("assert_stockfish_processing", processing_completeness(games_df, moves_df))]
+             ("assert_stockfish_processing", _incomplete(games_df, moves_df))]
     counted = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
                for name, df in tests]
+    counted.append(keyless(games_df, moves_df).select(F.concat(F.lit("keyless_"), "model").alias("check_name"), "failures"))
     allc = reduce(DataFrame.unionByName, counted, nn)
     return allc.withColumn("status", severity(F.col("failures"), params))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +9,8 @@ from plyscope import schemas
 from plyscope.functions import core as fx
 from plyscope.operators import classify as cl
 from plyscope.operators import sequence as sq
-from plyscope.operators.joins import broadcast_if_small, count_over
+from plyscope.operators.joins import count_over
 from plyscope.params import Params
-from plyscope.session import checkpoint_dir
 
 GAME_KEYS = ("game_uuid", "username")
 # Ply order inside a (game, player) partition. Two aliases of one person in the same game merge into
@@ -47,22 +44,20 @@ def scope_games(games: DataFrame, params: Params = Params()) -> DataFrame:
                     & F.col("time_class").isin(*params.time_classes)))
 
 
-def merge_accounts(games: DataFrame, mapping: DataFrame, params: Params = Params(),
-                   mapping_rows: int | None = None) -> DataFrame:
+def merge_accounts(games: DataFrame, mapping: DataFrame) -> DataFrame:
     """Replace a name by its alias target (case-insensitive), keep it when unmapped."""
     m = mapping.select(F.lower("username").alias("__alias"), F.col("target_username").alias("__target"))
-    m = broadcast_if_small(m, params.broadcast_row_limit, mapping_rows)
     return (games.join(m, F.lower(games["username"]) == m["__alias"], "left")
             .withColumn("username", F.coalesce(F.col("__target"), games["username"]))
             .drop("__alias", "__target"))
 
 
 def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, params: Params = Params(),
-                     mapping_rows: int | None = None, game_filter: Column | None = None) -> DataFrame:
+                     game_filter: Column | None = None) -> DataFrame:
     """One row per (player, game, ply) with swings, miss categories and their context.
 
-    Game-level work (scope, alias, bands, clock marks) is done before the join so it runs once per
-    game; the clock of a ply is read from the game's mark array (no exploded clock table, no second
+    Game-level work (scope, alias, bands, clock seconds) is done before the join so it runs once per
+    game; the clock of a ply is read from the game's own array (no exploded clock table, no second
     join). Every window uses the same spec — (game, player) ordered by ply — so the plan has one
     exchange (none when the join already hash-partitions by game) and one sort.
 
@@ -72,7 +67,7 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
     """
     p = params
     scoped = scope_games(games, p).withColumn("__raw_username", F.col("username"))
-    g = merge_accounts(scoped, mapping, p, mapping_rows).select(
+    g = merge_accounts(scoped, mapping).select(
         "game_uuid", "archive_url", "username", "__raw_username", "url", "end_time", "end_time_date", "end_time_month",
         "time_class", "time_control", "white_username", "white_rating", "black_username", "black_rating",
         "bq_load_date", "playing_as", "playing_rating",
@@ -80,25 +75,25 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
         "opponent_rating",
         fx.band_rating(F.col("opponent_rating"), p.rating_edges).alias("opponent_rating_range"),
         "playing_result",
-        fx.clock_marks("pgn").alias("__marks"))
-    # A missing uuid is loaded as '' (S3 defaults); such rows share no real key and would pair every
-    # keyless game with every keyless move, so they are kept out of the join.
-    g = g.filter(F.col("game_uuid") != F.lit(""))
+        fx.clock_seconds_array("pgn").alias("__secs"))
+    # A missing uuid is loaded as '' (S3 defaults). Such rows share no real key: the join pairs every
+    # keyless game with every keyless move. They are kept unless ``keep_keyless`` is switched off, and
+    # counted by the quality report either way.
+    if not p.keep_keyless:
+        g = g.filter(F.col("game_uuid") != F.lit(""))
     if game_filter is not None:
         g = g.filter(game_filter)
     mv = moves.select("game_uuid", "move_number", "move", "player_color_turn", "score_white", "score_black",
                       "win_probability_white", "win_probability_black")
     ply = F.col("move_number")
-    marks = F.col("__marks")
+    secs = F.col("__secs")
     side = F.col("playing_as")
     turn = F.col("player_color_turn") == side
-    # Sort-merge join on the game key: the plan the cluster gets anyway (both sides far above any
-    # broadcast limit). It also keeps a small local run from broadcasting the fact table, in which
-    # case generated code re-evaluates the per-game clock extraction for every matched ply.
-    j = (g.join(mv.hint("merge"), "game_uuid", "inner")
+    # No join hint: a small game set (one week, one class) is broadcast at run time or filters the
+    # moves scan; otherwise this is a sort-merge join on the game key.
+    j = (g.join(mv, "game_uuid", "inner")
          .withColumns({
-             "time_remaining_seconds": fx.clock_to_seconds(
-                 F.when((ply >= 1) & (ply <= F.size(marks)), F.element_at(marks, ply.cast("int")))),
+             "time_remaining_seconds": F.when((ply >= 1) & (ply <= F.size(secs)), F.element_at(secs, ply.cast("int"))),
              "game_phase": fx.band_phase(ply, p.game_phases),
              "is_playing_turn": turn,
              "playing_turn_name": F.when(turn, F.lit("Playing Turn")).otherwise(F.lit("Opponent Turn")),
@@ -106,7 +101,7 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
              "win_probability_playing": fx.pick_by_side(side, "win_probability_white", "win_probability_black"),
              "position_status_playing": fx.position_status(F.col("score_playing"), p.even_limit),
          })
-         .drop("__marks"))
+         .drop("__secs"))
     # Clock ÷ clock after the first ply of the same colour in the game. Every player row of a game
     # carries the same plies, so the (game, player) partition finds the same first ply as a
     # (game, colour) partition would.
@@ -166,36 +161,32 @@ def _measures(p: Params):
     return out
 
 
-def _reliable_checkpoint(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def aggregate_games(gwm: DataFrame, params: Params = Params(),
-                    materialize: Callable[[DataFrame], DataFrame] | None = _reliable_checkpoint) -> DataFrame:
+def aggregate_games(gwm: DataFrame, params: Params = Params(), with_flag: bool = True) -> DataFrame:
     """Per (player, game) and per (player, game, phase) in one grouping-sets aggregate.
 
-    The game and phase levels come out of one Expand + partial/final aggregate; ``has_enough_games``
-    counts rows per (player, class, month, opponent range, level key) via an aggregate joined back.
-    The grouped result is used twice (counted, then joined with its counts); ``materialize`` (by
-    default a reliable checkpoint in ``spark.checkpoint.dir``) makes it computed once — otherwise
-    the two branches prune different columns and the whole move-grain plan would run twice.
+    Lazy. ``has_enough_games`` counts the rows of each (player, class, month, opponent range, level
+    key) in a second, narrow branch over the same rows: it needs no move-level measure, so the
+    optimizer prunes the windows from it. ``with_flag=False`` leaves the flag and its branch out.
     """
     p = params
     dims = [F.any_value(F.col(c), True).alias(c) for c in AGG_DIMENSIONS]
-    agg = (gwm.groupingSets([["username", "game_uuid", "game_phase"], ["username", "game_uuid"]],
-                            "username", "game_uuid", "game_phase")
-           .agg(F.grouping("game_phase").alias("__g"), *dims, *_measures(p)))
-    if materialize is not None:
-        agg = materialize(agg)
-    agg = (agg.withColumns({
-        "game_phase_key": F.when(F.col("__g") == 1, F.lit("Recent Games")).otherwise(F.col("game_phase")),
+    level_key = F.when(F.col("__g") == 1, F.lit("Recent Games")).otherwise(F.col("game_phase"))
+
+    def levels(*measures):
+        return gwm.groupingSets([["username", "game_uuid", "game_phase"], ["username", "game_uuid"]],
+                                "username", "game_uuid", "game_phase").agg(F.grouping("game_phase").alias("__g"), *measures)
+
+    agg = (levels(*dims, *_measures(p)).withColumns({
+        "game_phase_key": level_key,
         "aggregation_level": F.when(F.col("__g") == 1, F.lit("Games")).otherwise(F.lit("Game Phases")),
         "max_score_playing_range": fx.max_score_range(F.col("max_score_playing"), p.should_win_low, p.should_win_mid),
         "max_score_playing_type": fx.max_score_type(F.col("max_score_playing"), p.should_win_mid),
     }).drop("__g"))
     cell = ["username", "time_class", "end_time_month", "opponent_rating_range", "game_phase_key"]
-    agg = count_over(agg, cell, "__n")
+    if not with_flag:
+        return agg.select(*[c for c in AGG_COLUMNS(p) if c != "has_enough_games"])
+    narrow = levels(*[F.any_value(F.col(c), True).alias(c) for c in cell[1:-1]]).withColumn("game_phase_key", level_key)
+    agg = count_over(agg, cell, "__n", narrow)
     agg = agg.withColumn("has_enough_games", F.col("__n") > p.min_games_played).drop("__n")
     return agg.select(*AGG_COLUMNS(p))
 

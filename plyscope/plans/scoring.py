@@ -15,22 +15,34 @@ from pyspark.sql import functions as F
 
 from plyscope import schemas
 from plyscope.functions import core as fx
-
-# A ply in chess-server move text: "12. e4 {...}" (white) or "12... e5 {...}" (black).
-PLY_TOKEN_PATTERN = r"\d+\.(?:\.\.)? ([^\s{}]+)"
+from plyscope.session import ship_code
 
 MOVES_DDL = "game_uuid string, move_number bigint, move string, score_white bigint"
 
+# What move text holds besides moves: comments, header lines, variations, glyphs, move numbers, results.
+# Variations nest, so the innermost parentheses are removed as often as they are expected to nest.
+NESTED_VARIATIONS = 6
+TEXT_NOISE = (r"\{[^}]*\}", r"(?m)^[ \t]*\[[^\]]*\]", *[r"\([^()]*\)"] * NESTED_VARIATIONS,
+              r"\$\d+", r"\d+\.+", r"(^|\s)(1-0|0-1|1/2-1/2|\*)(\s|$)")
+
 
 def ply_tokens(pgn="pgn"):
-    return F.regexp_extract_all(F.col(pgn) if isinstance(pgn, str) else pgn, F.lit(PLY_TOKEN_PATTERN), 1)
+    """The printed moves of a move text in order, whether or not it numbers black's moves."""
+    text = F.col(pgn) if isinstance(pgn, str) else pgn
+    for pattern in TEXT_NOISE:
+        text = F.regexp_replace(text, F.lit(pattern), F.lit(" "))
+    return F.filter(F.split(text, r"\s+"), lambda t: t != "")
 
 
 def extract_plies(games: DataFrame) -> DataFrame:
-    """(game, ply, printed move, seconds left) for every ply of every game (one row per game uuid)."""
-    g = games.select("game_uuid", "pgn").dropDuplicates(["game_uuid"])
-    z = g.select("game_uuid", F.arrays_zip(ply_tokens("pgn").alias("move"),
-                                           fx.clock_seconds_array("pgn").alias("secs")).alias("z"))
+    """(game, ply, printed move, seconds left) for every ply of every game.
+
+    One row per game with a uuid (several players may have loaded it); keyless games are different
+    games and are all kept. Only the extracted arrays are shuffled, not the texts."""
+    g = games.select("game_uuid", F.arrays_zip(ply_tokens("pgn").alias("move"),
+                                               fx.clock_seconds_array("pgn").alias("secs")).alias("z"))
+    keyed = g.filter(F.col("game_uuid") != "").groupBy("game_uuid").agg(F.any_value("z").alias("z"))
+    z = keyed.unionByName(g.filter((F.col("game_uuid") == "") | F.col("game_uuid").isNull()))
     return z.select("game_uuid", F.posexplode("z").alias("pos", "p")).select(
         "game_uuid", (F.col("pos") + 1).cast("bigint").alias("move_number"),
         F.col("p.move").alias("move"), F.col("p.secs").alias("time_remaining_seconds"))
@@ -43,11 +55,14 @@ def score_moves(games: DataFrame, evaluator_factory: Callable[[], Evaluator],
                 num_partitions: int | None = None) -> DataFrame:
     """One row per scored ply ``(game_uuid, move_number, move, score_white)``.
 
-    Games are spread by ``game_uuid`` and each partition builds one evaluator; a game whose text has
-    no readable ply yields no rows.
+    Games are dealt evenly into ``num_partitions`` (by default four for each core; a given number is
+    not coalesced at run time) and each partition builds one evaluator; a game whose text has no
+    readable ply yields no rows.
     """
-    src = games.select("game_uuid", ply_tokens("pgn").alias("tokens"))
-    src = src.repartition(num_partitions, "game_uuid") if num_partitions else src.repartition("game_uuid")
+    spark = games.sparkSession
+    ship_code(spark)
+    parts = num_partitions or 4 * spark.sparkContext.defaultParallelism
+    src = games.select("game_uuid", ply_tokens("pgn").alias("tokens")).repartition(parts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         evaluate = evaluator_factory()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plyscope.operators.joins import broadcast_if_small
+from plyscope.params import STANDARD_INITIAL_SETUP
 
 # Fixed values of the adapter (FIXTURES.md §4).
 TIME_CLASSES_BY_SUPPKEY = ("blitz", "rapid", "bullet", "daily")
@@ -21,10 +21,23 @@ OPPONENT = "opp"
 LOAD_DATE = "2001-11-04 00:00:00"
 LOAD_TS = "20011104_0000"
 URL_PREFIX = "https://example.invalid/"
-SUPPLIER_BROADCAST_ROWS = 2_000_000
+# Seeded special cases: {name: (modulus, remainder)} of the supplier key; FIXTURES.md §4.
+CASES = {
+    "last_ply_unscored": (13, 5), "ply_scored_twice": (17, 3), "unscored": (19, 7), "no_white_rating": (11, 4),
+    "other_rules": (23, 6), "custom_setup": (23, 9), "standard_setup": (23, 10), "no_text": (29, 8),
+    "two_players": (7, 2), "black_unnumbered": (5, 1), "no_clocks": (9, 4), "side_unknown": (37, 14),
+    "calm": (6, 0), "quiet": (8, 4),
+}
+KEYLESS_SUPPLIER = 12
+CUSTOM_SETUP = "8/8/8/8/8/8/8/8 w - - 0 1"
 PLY_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
+def _case(name: str):
+    modulus, remainder = CASES[name]
+    return F.col("l_suppkey") % modulus == remainder
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,22 +53,19 @@ def plies(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    # supplier → region name: nation and region are tiny fixed dimensions.
+    # supplier → region name; the optimizer broadcasts what is small enough.
     who = (_read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-           .join(F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")),
+           .join(_read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
                  F.col("s_nationkey") == F.col("n_nationkey"))
-           .join(F.broadcast(_read(spark, sf_dir, "region").select("r_regionkey", "r_name")),
+           .join(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"),
                  F.col("n_regionkey") == F.col("r_regionkey"))
            .select("s_suppkey", "r_name"))
-    # One row per supplier: broadcast only below a row bound (a count of the dimension), otherwise
-    # a shuffle join; never the fact table.
-    who = broadcast_if_small(who, SUPPLIER_BROADCAST_ROWS)
     base = (li.join(who, li.l_suppkey == who.s_suppkey)
             .withColumn("y", F.year("l_shipdate").cast("bigint")))
     w = Window.partitionBy("l_suppkey", "y").orderBy(*PLY_ORDER)
     return (base.withColumn("move_number", F.row_number().over(w).cast("bigint"))
-            .withColumn("game_uuid", F.concat(F.lit("g-"), F.col("l_suppkey").cast("string"),
-                                              F.lit("-"), F.col("y").cast("string"))))
+            .withColumn("game_uuid", F.when(F.col("l_suppkey") == KEYLESS_SUPPLIER, F.lit("")).otherwise(
+                F.concat(F.lit("g-"), F.col("l_suppkey").cast("string"), F.lit("-"), F.col("y").cast("string")))))
 
 
 def _ply_text(move_number, move):
@@ -64,25 +74,33 @@ def _ply_text(move_number, move):
     mm = F.lpad((secs / 60).cast("bigint").cast("string"), 2, "0")
     ss = F.lpad((secs % 60).cast("string"), 2, "0")
     prefix = F.when(move_number % 2 == 1, F.concat(n.cast("string"), F.lit(". "))) \
-        .otherwise(F.concat(n.cast("string"), F.lit("... ")))
-    return F.concat(prefix, move, F.lit(" {[%clk 0:"), mm, F.lit(":"), ss, F.lit(".5]} "))
+        .when(_case("black_unnumbered"), F.lit("")).otherwise(F.concat(n.cast("string"), F.lit("... ")))
+    clock = F.when(_case("no_clocks"), F.lit(" ")).otherwise(F.concat(F.lit(" {[%clk 0:"), mm, F.lit(":"), ss, F.lit(".5]} ")))
+    return F.concat(prefix, move, clock)
 
 
 def staging_moves_from(p: DataFrame) -> DataFrame:
-    return p.select(
-        "game_uuid", "move_number",
-        F.concat("l_returnflag", "l_linestatus").alias("move"),
-        (F.col("l_quantity").cast("int") * 40 - 1020).cast("bigint").alias("score_white"))
+    """The scored plies: some games are unscored, lack their last ply or have a ply twice."""
+    last = F.max("move_number").over(Window.partitionBy("l_suppkey", "y"))
+    score = (F.col("l_quantity").cast("int") * 40 - 1020) / F.when(_case("calm"), 20).when(_case("quiet"), 4).otherwise(1)
+    kept = p.withColumn("__last", last).filter(
+        ~_case("unscored") & ~(_case("last_ply_unscored") & (F.col("move_number") == F.col("__last"))))
+    times = F.when(_case("ply_scored_twice") & (F.col("move_number") == 2), 2).otherwise(1)
+    return kept.select(
+        "game_uuid", "move_number", F.concat("l_returnflag", "l_linestatus").alias("move"),
+        score.cast("bigint").alias("score_white"), F.explode(F.sequence(F.lit(1), times)).alias("__t")).drop("__t")
 
 
 def staging_games_from(p: DataFrame) -> DataFrame:
     """One row per game: aggregated over its plies (move text in ply order, end = last ship date)."""
+    players = F.when(_case("two_players"), F.array("r_name", F.lit(OPPONENT))).otherwise(F.array("r_name"))
     g = (p.groupBy("game_uuid", "l_suppkey", "y", "r_name")
          .agg(F.max("l_shipdate").alias("end_ntz"),
               F.sort_array(F.collect_list(F.struct(
                   "move_number",
                   _ply_text(F.col("move_number"), F.concat("l_returnflag", "l_linestatus")).alias("t")))
-              ).alias("ply_texts")))
+              ).alias("ply_texts"))
+         .withColumn("player", F.explode(players)))
     k = F.col("l_suppkey")
     white_is_player = (k % 2 == 0)
     tclass = F.element_at(F.array(*[F.lit(x) for x in TIME_CLASSES_BY_SUPPKEY]), (k % 4 + 1).cast("int"))
@@ -91,28 +109,32 @@ def staging_games_from(p: DataFrame) -> DataFrame:
     bres = F.element_at(F.array(*[F.lit(b) for _, b in RESULTS_BY_CODE]), code)
     tc_map = F.create_map(*[F.lit(x) for kv in TIME_CONTROL_BY_CLASS.items() for x in kv])
     return g.select(
-        F.concat(F.lit(URL_PREFIX), F.col("r_name"), F.lit("/games/"),
+        F.concat(F.lit(URL_PREFIX), F.col("player"), F.lit("/games/"),
                  F.date_format("end_ntz", "yyyy/MM")).alias("archive_url"),
-        F.col("r_name").alias("username"),
+        F.col("player").alias("username"),
         F.lit(LOAD_DATE).alias("bq_load_date"),
-        F.concat(F.lit(URL_PREFIX + "game/"), F.col("game_uuid")).alias("url"),
-        F.array_join(F.transform("ply_texts", lambda s: s["t"]), "").alias("pgn"),
+        F.concat(F.lit(URL_PREFIX + "game/"), k.cast("string"), F.lit("-"), F.col("y").cast("string")).alias("url"),
+        F.when(_case("no_text"), F.lit("")).otherwise(
+            F.array_join(F.transform("ply_texts", lambda s: s["t"]), "")).alias("pgn"),
         F.element_at(tc_map, tclass).alias("time_control"),
         _epoch_seconds_ntz(F.col("end_ntz")).alias("end_time_integer"),
         (k % 10 != 0).alias("rated"),
         F.lit("").alias("tcn"),
         F.col("game_uuid"),
-        F.lit("").alias("initial_setup"),
+        F.when(_case("custom_setup"), F.lit(CUSTOM_SETUP)).when(_case("standard_setup"), F.lit(STANDARD_INITIAL_SETUP))
+         .otherwise(F.lit("")).alias("initial_setup"),
         F.lit("").alias("fen"),
         tclass.alias("time_class"),
-        F.lit("chess").alias("rules"),
-        F.when(white_is_player, F.col("r_name")).otherwise(F.lit(OPPONENT)).alias("white_username"),
-        (F.lit(350) + (k * 37 % 5) * 200).cast("bigint").alias("white_rating"),
+        F.when(_case("other_rules"), F.lit("chess960")).otherwise(F.lit("chess")).alias("rules"),
+        F.when(_case("side_unknown"), F.lit("guest")).when(white_is_player, F.col("r_name"))
+         .otherwise(F.lit(OPPONENT)).alias("white_username"),
+        F.when(~_case("no_white_rating"), (F.lit(350) + (k * 37 % 9) * 200).cast("bigint")).alias("white_rating"),
         wres.alias("white_result"),
         F.lit("").alias("white_id"),
         F.lit("").alias("white_uuid"),
-        F.when(white_is_player, F.lit(OPPONENT)).otherwise(F.col("r_name")).alias("black_username"),
-        (F.lit(350) + ((k * 37 + (F.col("y") + 1) % 2) % 5) * 200).cast("bigint").alias("black_rating"),
+        F.when(_case("side_unknown"), F.lit("visitor")).when(white_is_player, F.lit(OPPONENT))
+         .otherwise(F.col("r_name")).alias("black_username"),
+        (F.lit(350) + ((k * 37 + (F.col("y") + 1) % 2) % 9) * 200).cast("bigint").alias("black_rating"),
         bres.alias("black_result"),
         F.lit("").alias("black_id"),
         F.lit("").alias("black_uuid"),

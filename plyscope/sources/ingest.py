@@ -19,6 +19,8 @@ from plyscope import schemas
 from plyscope.params import Params
 
 ARCHIVE_BASE = "https://api.example.invalid/pub/player/"
+# Up to so many players of a load are named in the partition filter.
+PRUNE_PLAYERS = 1000
 LANDING_SCHEMA = T.StructType([*schemas.ARCHIVE.fields, T.StructField("username", T.StringType()),
                                T.StructField("archive", T.StringType())])
 
@@ -60,21 +62,53 @@ def with_archive_identity(raw: DataFrame, archive_base: str = ARCHIVE_BASE) -> D
 
 def read_archive_json(spark: SparkSession, landing: str, archive_base: str = ARCHIVE_BASE) -> DataFrame:
     """S3: landed archive files → one row per archive with its games array."""
-    raw = spark.read.schema(LANDING_SCHEMA).option("multiLine", True).json(landing)
+    raw = spark.read.schema(LANDING_SCHEMA).json(landing)
     return with_archive_identity(raw, archive_base)
 
 
-def land_archives(games: DataFrame, landing: str) -> None:
-    """Write staging-shaped games back as archive objects in the landing layout (fixtures, replays)."""
+def list_archives(spark: SparkSession, landing: str) -> DataFrame:
+    """(username, archive) of the landing zone's objects, from their paths: no object is opened. Hive
+    style escapes in the names are undone."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select("path").distinct()
+    part = lambda k: F.url_decode(F.replace(F.regexp_extract("path", f"/{k}=([^/]+)/", 1), F.lit("+"), F.lit("%2B")))
+    return names.select(part("username").alias("username"), part("archive").alias("archive")).distinct()
+
+
+def read_selected_archives(spark: SparkSession, landing: str, history: DataFrame, params: Params,
+                           archive_base: str = ARCHIVE_BASE) -> DataFrame:
+    """S6 and S7 before the read: the archives to load are selected from the listing by history and
+    month. The earliest selected month, and the players where they are few, prune the partitions that
+    are opened; a semi join keeps exactly the selected archives."""
+    listed = list_archives(spark, landing)
+    url = F.concat(F.lit(archive_base), "username", F.lit("/games/"), F.regexp_replace("archive", "-", "/"))
+    keep = filter_archives_by_min_month(
+        filter_archives_by_history(listed.withColumn("archive_url", url), history), params.min_archive)
+    first, players = keep.agg(F.min("archive"), F.count_distinct("username")).first()
+    raw = spark.read.schema(LANDING_SCHEMA).json(landing).filter(F.col("archive") >= (first or "9999-99"))
+    if 0 < players <= PRUNE_PLAYERS:
+        raw = raw.filter(F.col("username").isin([r[0] for r in keep.select("username").distinct().collect()]))
+    kept = keep.select(F.col("username").alias("__u"), F.col("archive").alias("__a"))
+    chosen = raw.join(kept, (raw["username"] == kept["__u"]) & (raw["archive"] == kept["__a"]), "left_semi")
+    return with_archive_identity(chosen, archive_base)
+
+
+def land_archives(games: DataFrame, landing: str, games_per_object: int = 200) -> None:
+    """Write staging-shaped games back as archive objects in the landing layout (fixtures, replays).
+
+    A (player, month) becomes as many objects as it needs, of about ``games_per_object`` games each,
+    one object per line: no row grows with the archive. Rows are dealt to objects by a hash of the game."""
     side = lambda s: F.struct(F.col(f"{s}_username").alias("username"), F.col(f"{s}_rating").alias("rating"),
                               F.col(f"{s}_result").alias("result"), F.col(f"{s}_id").alias("@id"),
                               F.col(f"{s}_uuid").alias("uuid"))
     game = F.struct("url", "pgn", "time_control", F.col("end_time_integer").alias("end_time"), "rated", "tcn",
                     F.col("game_uuid").alias("uuid"), "initial_setup", "fen", "time_class", "rules",
                     side("white").alias("white"), side("black").alias("black"))
-    (games.withColumn("archive", F.regexp_replace(F.right("archive_url", F.lit(7)), "/", "-"))
-     .groupBy("username", "archive").agg(F.collect_list(game).alias("games"))
-     .write.mode("overwrite").partitionBy("username", "archive").json(landing))
+    keys = ["username", "archive"]
+    dated = games.withColumn("archive", F.regexp_replace(F.right("archive_url", F.lit(7)), "/", "-"))
+    objects = dated.groupBy(*keys).agg(F.ceil(F.count("*") / games_per_object).alias("__objects"))
+    dealt = dated.join(objects, keys).withColumn("__object", F.pmod(F.xxhash64("url", "game_uuid", "end_time_integer"), "__objects"))
+    (dealt.groupBy(*keys, "__object").agg(F.collect_list(game).alias("games")).drop("__object")
+     .write.mode("overwrite").partitionBy(*keys).json(landing))
 
 
 def read_snapshots(spark: SparkSession, root: str, schema) -> DataFrame:
@@ -84,7 +118,9 @@ def read_snapshots(spark: SparkSession, root: str, schema) -> DataFrame:
         T.StructType([*schema.fields, T.StructField(schemas.LOAD_PARTITION, T.StringType())])
     try:
         return spark.read.schema(full).parquet(root)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing root means "first load"
+            raise
         return spark.createDataFrame([], full)
 
 
@@ -153,26 +189,20 @@ def materialize_table(df: DataFrame, path: str, sort_within: list | None = None,
     w.parquet(path)
 
 
-def new_games_batch(spark: SparkSession, archives: DataFrame, games_root: str, params: Params,
-                    load_time: str) -> DataFrame:
-    """Entry 1 as one lazy plan: archive filters (S6, S7) → flatten (S3) → new games only."""
-    history = load_history(read_snapshots(spark, games_root, schemas.GAMES))
-    keep = filter_archives_by_min_month(filter_archives_by_history(archives, history), params.min_archive)
-    return filter_new_games(flatten_archive_games(keep, load_time), history)
-
-
 def load_games(spark: SparkSession, landing: str, games_root: str, params: Params = Params(),
                now: _dt.datetime | None = None, archive_base: str = ARCHIVE_BASE) -> str:
-    """Run Entry 1 on landed files and append the batch; returns the load suffix used."""
+    """Entry 1 on landed files, as one lazy plan appended at the end: archive selection from the
+    listing (S6, S7) → flatten (S3) → new games only (S8). Returns the load suffix used."""
     now = now or _dt.datetime.now()
-    batch = new_games_batch(spark, read_archive_json(spark, landing, archive_base), games_root, params,
-                            now.strftime("%Y-%m-%d %H:%M:%S"))
+    history = load_history(read_snapshots(spark, games_root, schemas.GAMES))
+    archives = read_selected_archives(spark, landing, history, params, archive_base)
+    batch = filter_new_games(flatten_archive_games(archives, now.strftime("%Y-%m-%d %H:%M:%S")), history)
     ts = load_suffix(now)
     append_snapshot(batch, games_root, ts)
     return ts
 
 
-def select_unscored_games(games: DataFrame, moves: DataFrame) -> DataFrame:
+def select_unscored_games(games: DataFrame, moves: DataFrame, keep_keyless: bool = True) -> DataFrame:
     """Processable games with no scored move yet, one row per game (the latest load wins, then
     the larger player name).
 
@@ -181,8 +211,9 @@ def select_unscored_games(games: DataFrame, moves: DataFrame) -> DataFrame:
     day's work list is small, so the history of move texts is not shuffled.
     """
     scored = moves.select("game_uuid").distinct()
-    ok = games.filter((F.length("pgn") > 0) & (F.col("rules") == F.lit("chess"))
-                      & (F.col("game_uuid") != F.lit("")))  # keyless games cannot be matched later
+    ok = games.filter((F.length("pgn") > 0) & (F.col("rules") == F.lit("chess")))
+    if not keep_keyless:  # else all of them fold into one work item, as one game without a uuid
+        ok = ok.filter(F.col("game_uuid") != F.lit(""))
     order = schemas.LOAD_PARTITION if schemas.LOAD_PARTITION in games.columns else "bq_load_date"
     keys = (ok.select("game_uuid", "username", order)
             .join(scored, "game_uuid", "left_anti")

@@ -1,39 +1,48 @@
 """The daily incremental load as a Structured Streaming job over the landing folder.
 
 The file source's checkpoint remembers which archive files were already read (it replaces the
-archive-URL high-water mark); each micro-batch is flattened, filtered against the per-player
-``end_time`` high-water mark of what is already stored (S8) and appended as a dated snapshot.
+archive-URL high-water mark); the per-player ``end_time``
+high-water mark of what is already stored (S8) is taken once, when the run starts, and written to the
+shared folder; each micro-batch is flattened, filtered against it and appended as a dated snapshot.
+A run may therefore be split into any number of micro-batches, in any order of months.
 ``trigger(availableNow=True)`` gives the daily-batch behaviour: read what landed, then stop.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from plyscope import schemas
+from plyscope.session import checkpoint_dir
 from plyscope.sources import ingest
 
 
-def archive_stream(spark: SparkSession, landing: str, archive_base: str = ingest.ARCHIVE_BASE) -> DataFrame:
-    raw = spark.readStream.schema(ingest.LANDING_SCHEMA).option("multiLine", True).json(landing)
-    return ingest.with_archive_identity(raw, archive_base)
+def archive_stream(spark: SparkSession, landing: str, archive_base: str = ingest.ARCHIVE_BASE,
+                   files_per_batch: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(ingest.LANDING_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return ingest.with_archive_identity(reader.json(landing), archive_base)
 
 
 def ingest_stream(spark: SparkSession, landing: str, games_root: str, checkpoint: str,
-                  archive_base: str = ingest.ARCHIVE_BASE, clock=None):
+                  archive_base: str = ingest.ARCHIVE_BASE, clock=None, files_per_batch: int | None = None):
     """Start the stream; returns the StreamingQuery (call ``awaitTermination()``)."""
     clock = clock or _dt.datetime.now
+    marks = f"{checkpoint_dir(spark)}/marks-{uuid.uuid4().hex}"
+    ingest.load_history(ingest.read_snapshots(spark, games_root, schemas.GAMES)).write.parquet(marks)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         now = clock()
-        history = ingest.load_history(ingest.read_snapshots(batch.sparkSession, games_root, schemas.GAMES))
+        history = batch.sparkSession.read.schema(schemas.HISTORY).parquet(marks)
         flat = ingest.flatten_archive_games(batch, now.strftime("%Y-%m-%d %H:%M:%S"))
         ingest.append_snapshot(ingest.filter_new_games(flat, history), games_root,
                                f"{ingest.load_suffix(now)}_{epoch_id}")
 
-    return (archive_stream(spark, landing, archive_base).writeStream
+    return (archive_stream(spark, landing, archive_base, files_per_batch).writeStream
             .foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)

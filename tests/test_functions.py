@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -115,3 +116,17 @@ def test_max_score_bands(spark):
     typ = _one(spark, rows, "m bigint", fx.max_score_type(F.col("m"), 500))
     assert rng == ["0-300", "300-500", "300-500", "500+", "500+", "500+"]
     assert typ == ["No decisive advantage"] * 4 + ["Decisive advantage", "No decisive advantage"]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC", "Europe/Paris"])
+def test_local_time_in_the_session_zones_repeated_hour(spark, zone):
+    """Two instants an hour apart that share a wall clock in New York (2024-11-03 01:30)."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(1730611800,), (1730615400,), (-1,)], "t bigint").select(
+            "t", fx.local_datetime("t").cast("string").alias("d")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert {r.t: r.d for r in rows} == {1730611800: "2024-11-03 06:30:00", 1730615400: "2024-11-03 07:30:00",
+                                        -1: "1970-01-01 00:59:59"}

@@ -215,7 +215,7 @@ def test_scope_and_alias(spark):
     s = rp.scope_games(g, P)
     assert sorted(r.game_uuid for r in s.collect()) == ["alias", "new"]
     p = P.with_(username_mapping=(("alt_alice", "Alice"), ("Alice", "Alice")))
-    merged = {r.game_uuid: r.username for r in rp.merge_accounts(s, rp.mapping_frame(spark, p), p).collect()}
+    merged = {r.game_uuid: r.username for r in rp.merge_accounts(s, rp.mapping_frame(spark, p)).collect()}
     assert merged == {"alias": "Alice", "new": "Alice"}
 
 
@@ -293,11 +293,20 @@ def test_audit_rates(spark):
     assert (r["benchmark"].nb_games, r["benchmark"].nb_games_blunder, r["benchmark"].rate_massive_blunder) == (1, 1, 0.0)
 
 
-def test_keyless_games_are_not_paired(spark):
+@pytest.mark.parametrize("keep,rows", [(True, 6), (False, 0)])
+def test_keyless_games_switch(spark, keep, rows):
     g1, _ = _scores_game(spark, [0, 0], uuid="")
     g2 = dict(g1, url="other")
     m = moves_df(spark, "", [0, 0, 0])
-    assert _gwm(spark, [g1, g2], m).count() == 0
+    assert _gwm(spark, [g1, g2], m, P.with_(keep_keyless=keep)).count() == rows
+
+
+def test_game_loaded_twice_has_one_row_per_load_and_ply(spark):
+    """A (player, game) pair loaded twice: two rows per ply, each with its own row's clocks (a join of
+    an exploded clock table would give four)."""
+    g1, m = _scores_game(spark, [0, 0], uuid="twice")
+    out = _gwm(spark, [g1, dict(g1, url="again")], m).groupBy("move_number").count().collect()
+    assert {r.move_number: r["count"] for r in out} == {1: 2, 2: 2}
 
 
 def test_two_aliases_in_one_game_known_edge(spark):

@@ -67,7 +67,14 @@ def test_report(spark):
     got = {r.check_name: (r.failures, r.status) for r in qa.report(g, m, P).collect()}
     assert got["assert_stockfish_processing"] == (3, "warn")
     assert got["assert_move_number_consistency"] == (1, "pass")
-    assert len(got) == 11
+    assert len(got) == 13
+    assert got["keyless_games"] == (0, "pass")
+
+
+def test_keyless_rows_are_counted(spark):
+    g = im.games(games_df(spark, [game(uuid=""), game(uuid="k")]), P)
+    m = im.games_moves(moves_df(spark, "", [0, 0, 0]), P)
+    assert {r.model: r.failures for r in qa.keyless(g, m).collect()} == {"games": 1, "games_moves": 3}
 
 
 # ---------------------------------------------------------------- ingest
@@ -171,6 +178,30 @@ def test_extract_plies(spark):
     assert got == [(1, "e4", 180.0), (2, "e5", 179.0), (3, "Nf3", 170.0)]
 
 
+@pytest.mark.parametrize("text,moves", [
+    ("1. e4 e5 2. Nf3 Nc6 3. Bb5 a6", ["e4", "e5", "Nf3", "Nc6", "Bb5", "a6"]),
+    ('[Event "A (b) 1. x"]\n[Site "?"]\n\n1. e4 {best (by test) 2. d4} e5 (1... c5 2. Nf3 (2. c3 d5) d6) 2. Nf3 $1 1-0', ["e4", "e5", "Nf3"]),
+    ("1.e4 e5 2.O-O 1/2-1/2", ["e4", "e5", "O-O"]), ("*", []), ("", []), (None, []),
+])
+def test_ply_tokens_of_any_move_text(spark, text, moves):
+    df = spark.createDataFrame([(text,)], "pgn string").select(sc.ply_tokens("pgn").alias("t"))
+    assert (df.first().t or []) == moves
+
+
+def test_extract_plies_keeps_keyless_games_apart(spark):
+    rows = [game(uuid="", text="1. a b 2. c"), game(uuid="", text="1. a b 2. c d 3. e"),
+            game(uuid="k", text="1. a b"), game(uuid="k", username="Bob", text="1. a b")]
+    out = sc.extract_plies(games_df(spark, rows))
+    assert out.filter("game_uuid = ''").count() == 8 and out.filter("game_uuid = 'k'").count() == 2
+
+
+def test_scoring_uses_all_cores_by_default(spark):
+    rows = [game(uuid=f"g{i}", text="1. e4 e5") for i in range(400)]
+    out = sc.score_moves(games_df(spark, rows), lambda: sc.TokenTableEvaluator({}))
+    parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= spark.sparkContext.defaultParallelism
+
+
 def test_score_hook(spark):
     rows = [game(uuid="a", text=pgn(clocks_falling(3), moves=["e4", "e5", "Qh5"])), game(uuid="empty", text="*")]
     out = sc.score_moves(games_df(spark, rows), lambda: sc.TokenTableEvaluator({"Qh5": 90, "e5": 10}), 2)
@@ -195,6 +226,51 @@ def test_ingest_stream_runs_once(spark, tmpdir_path):
     assert got == ["s1", "s2", "s3"]   # the late game (ends before the mark) is not loaded, as documented
 
 
+def test_ingest_stream_takes_the_mark_once_per_run(spark, tmpdir_path):
+    """Two micro-batches in one run, the newer month first: the older month's games are not lost."""
+    import time
+    from plyscope.streaming.ingest_stream import ingest_stream
+    landing, root, ckpt = f"{tmpdir_path}/landing", f"{tmpdir_path}/games", f"{tmpdir_path}/ckpt"
+    _land(landing, "alice", "2025-03", [_api_game("new", 900)])
+    time.sleep(1.1)  # the file source reads older files first
+    _land(landing, "alice", "2025-02", [_api_game("old", 100)])
+    ingest_stream(spark, landing, root, ckpt, files_per_batch=1).awaitTermination()
+    got = ig.read_snapshots(spark, root, schemas.GAMES)
+    assert sorted(r.game_uuid for r in got.collect()) == ["new", "old"]
+    assert got.select("load_ts").distinct().count() == 2
+
+
+def test_load_reads_only_selected_archives(spark, tmpdir_path):
+    landing, root = f"{tmpdir_path}/landing", f"{tmpdir_path}/games"
+    _land(landing, "alice", "2025-01", [_api_game("g1", 100)])
+    _land(landing, "alice", "2025-02", [_api_game("g2", 200)])
+    _land(landing, "a b", "2025-01", [_api_game("g3", 50)])
+    ig.load_games(spark, landing, root, P, now=dt.datetime(2025, 3, 1))
+    history = ig.load_history(ig.read_snapshots(spark, root, schemas.GAMES))
+    listed = {(r.username, r.archive) for r in ig.list_archives(spark, landing).collect()}
+    assert listed == {("alice", "2025-01"), ("alice", "2025-02"), ("a b", "2025-01")}
+    chosen = ig.read_selected_archives(spark, landing, history, P)
+    assert sorted(r.archive_url[-7:] for r in chosen.filter("username = 'alice'").collect()) == ["2025/02"]
+    assert chosen.count() == 2
+    late = ig.read_selected_archives(spark, landing, history, P.with_(min_archive="2025/02"))
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(late._jdf.queryExecution(), "formatted")
+    scan = [x for x in plan.splitlines() if x.startswith("PartitionFilters") and "2025-02" in x]
+    assert scan and "alice" in scan[0] and late.count() == 1
+
+
+def test_unreadable_root_is_not_a_first_load(spark, tmpdir_path):
+    open(f"{tmpdir_path}/junk.parquet", "w").write("no parquet")
+    with pytest.raises(Exception, match="junk.parquet"):
+        ig.read_snapshots(spark, f"{tmpdir_path}/junk.parquet", schemas.GAMES).count()
+
+
+def test_landed_objects_are_bounded(spark, tmpdir_path):
+    rows = [game(uuid=f"g{i}", end=1000 + i) for i in range(50)]
+    ig.land_archives(games_df(spark, rows), f"{tmpdir_path}/l", games_per_object=5)
+    back = ig.read_archive_json(spark, f"{tmpdir_path}/l")
+    assert back.count() > 4 and back.select(F.explode("games")).count() == 50
+
+
 def test_score_new_games_incremental(spark, tmpdir_path):
     from plyscope import pipeline
     games_root, moves_root = f"{tmpdir_path}/games", f"{tmpdir_path}/moves"
