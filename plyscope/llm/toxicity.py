@@ -226,7 +226,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     sides = []
     for y in (1, 0):
         ids = written(bounded_sample(known.filter(F.col("toxic") == y).select("doc_id"), sample))
-        sides.append((written(base.join(ids, "doc_id", "left_semi").select("text")), ids.count()))
+        # at most ``sample`` ids, so they are broadcast and no text is shuffled
+        sides.append((written(base.join(F.broadcast(ids), "doc_id", "left_semi").select("text")), ids.count()))
     (toxic, n_toxic), (clean, n_clean) = sides
     lexicon = learn_lexicon(toxic, clean, n_toxic, n_clean) if n_toxic and n_clean else np.zeros(0, np.uint64)
     shared = spark.sparkContext.broadcast(lexicon)
