@@ -245,6 +245,11 @@ def q_player_rates(spark, sf):
     return dm.player_rates(agg_table(spark, sf, PB), PB)
 
 
+def q_avg_median(spark, sf):
+    out = dm.average_median(agg_table(spark, sf, PB), PB)
+    return out.select(*dm.BENCH_KEYS, _r("avg_median_score_playing"))
+
+
 def q_cohort(spark, sf):
     return dm.cohort_benchmark(agg_table(spark, sf, PB), PB)
 

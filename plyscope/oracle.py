@@ -417,6 +417,9 @@ FROM scoped s, games_moves m WHERE m.game_uuid = s.game_uuid""",
                                  sql=model(cat.PE, _plies(cat.PE), _agg(cat.PE))),
         "q_games_only": whole_agg + " WHERE aggregation_level = 'Games'",
         "q_player_rates": bench + "SELECT * FROM mine",
+        "q_avg_median": bench + f"""SELECT username, time_class, playing_rating_range, game_phase_key, aggregation_level,
+  round(avg(median_score_playing), {R}) AS avg_median_score_playing
+FROM equals WHERE end_time_date >= {_months_before(PB, PB.benchmark_window_months)} GROUP BY ALL""",
         "q_cohort": bench + "SELECT * FROM against",
         "q_frequent_range": bench + "SELECT * FROM favourite",
         "q_benchmark": bench + """SELECT a.* FROM against a WHERE (username, time_class, playing_rating_range) IN (

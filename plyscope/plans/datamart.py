@@ -57,6 +57,13 @@ def player_rates(agg: DataFrame, params: Params = Params()) -> DataFrame:
     return _rates(counts, "nb_games").select(*BENCH_KEYS, *RATE_NAMES, "nb_games")
 
 
+def average_median(agg: DataFrame, params: Params = Params()) -> DataFrame:
+    """Per player × class × own range × level key, the mean of the games' median scores (recent
+    equal-level games)."""
+    return _equal_level(agg).filter(_recent(params)).groupBy(*BENCH_KEYS).agg(
+        F.avg("median_score_playing").alias("avg_median_score_playing"))
+
+
 def cohort_benchmark(agg: DataFrame, params: Params = Params()) -> DataFrame:
     """Each player's rates next to the same rates over all other players of the cell
     (class, range, level key; every loaded date), kept when the cohort has > N games.
