@@ -10,8 +10,9 @@ of lengths makes each step a search over distinct lengths). Then the bin's small
 out if two unpacked pieces fit its expanded gap more tightly; the piece taken out is packed later.
 
 Results: a null text is empty and has one piece, the end id. Repeated rows are packed each on its own.
-An empty table gives an empty result. Memory: a group holds lengths and row numbers only; a text is
-tokenized whole, word by word, through a bounded cache.
+An empty table gives an empty result. Memory: a group holds lengths and row numbers only, or at most
+``GROUP_WITH_IDS`` pieces with their ids; a text is tokenized whole, word by word, through a bounded
+cache.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ END_ID = 1
 GROUP = 50_000
 #: chunks in each of a cache's two generations (about 200 bytes each)
 CACHE = 350_000
+GROUP_WITH_IDS = 2_000
 LONGEST_CACHED = 64
 
 
@@ -162,7 +164,7 @@ def best_two_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     return where, offset
 
 
-def _pack(length: int, salt: int):
+def _pack(length: int):
     def run(batches):
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -186,9 +188,10 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID,
     cols = pieces.columns
     full = pieces.filter(F.col("length") == length)
     rest = pieces.filter(F.col("length") < length)
-    groups = max(1, -(-rest.count() // group))
+    # pieces that carry their ids (up to 16 kB each) are packed in smaller groups
+    groups = max(1, -(-rest.count() // (min(group, GROUP_WITH_IDS) if with_ids else group)))
     packed = rest.repartition(groups).mapInArrow(
-        _pack(length, 0), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", __bin long, offset long")
+        _pack(length), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", __bin long, offset long")
     # ids: group and bin for packed pieces, negative numbers for full ones
     packed = packed.select(*cols, (F.spark_partition_id().cast("long") * (1 << 32) + F.col("__bin")).alias("sequence_id"), "offset")
     alone = full.select(*cols, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
