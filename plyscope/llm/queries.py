@@ -95,6 +95,25 @@ FROM doc_words LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
 
 
+_OP4 = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(0, len(w) - 3), lambda i: array_to_string(w[i + 1:i + 4], ' ')) END)) AS s FROM words),
+sized AS (
+  SELECT r, doc_id, s, len(s) AS n, CASE WHEN len(s) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY s) END AS set_copies FROM sets),
+members AS (SELECT r, n, unnest(s) AS shingle FROM sized),
+pairs AS (
+  SELECT a.r AS x, b.r AS y FROM members a JOIN members b ON a.shingle = b.shingle AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT r AS x, r AS y FROM sized UNION SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x)
+SELECT sized.doc_id, CAST(any_value(sized.n) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id,
+       CAST(any_value(sized.set_copies) AS BIGINT) AS set_copies
+FROM reach JOIN sized ON sized.r = reach.x JOIN sized o ON o.r = reach.y GROUP BY sized.r, sized.doc_id
+"""
+
+
 def _op8() -> str:
     from plyscope.llm.secrets import COMPLEMENT, KINDS, NUMBER, SCOPE
     quoted = {k: v[0].replace("'", "''") for k, v in KINDS.items()}
@@ -126,4 +145,4 @@ FROM docs LEFT JOIN per USING (r)
 """
 
 
-SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op8_secrets": _op8()}
+SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op4_ngram_jaccard": _OP4, "op8_secrets": _op8()}
