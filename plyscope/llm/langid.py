@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from plyscope.llm import textops as tx
 from plyscope.llm.common import bounded_sample, held_out, prepare
 
-#: rows used for training, at most (chosen by a hash of the id); about 6 kB each on the driver
+#: rows used for training, at most (chosen by a hash of the id); some kB each on the driver
 SAMPLE = 4_000
 BUCKETS = 1 << 15
 DIM = 16
@@ -73,10 +73,11 @@ def _bags(batches):
         for i, j, ids, rows in subwords(batch.column("text")):
             for r in range(j - i):
                 u, c = np.unique(np.concatenate([x[b[r]:b[r + 1]] for x, b in zip(ids, rows)]), return_counts=True)
-                bags.append(u)
-                counts.append(c.astype(np.float32))
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(bags, pa.list_(pa.int32())),
-                                          pa.array(counts, pa.list_(pa.float32()))], ["lang", "ids", "counts"])
+                bags.append(u.astype("<i4").tobytes())
+                counts.append(c.astype("<f4").tobytes())
+        # as bytes: lists would become Python numbers on the driver
+        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(bags, pa.binary()),
+                                          pa.array(counts, pa.binary())], ["lang", "ids", "counts"])
 
 
 def _forward(e, w, b, ids, counts, lens):
@@ -147,13 +148,13 @@ def train(bags: list, counts: list, labels: np.ndarray, classes: int, epochs: in
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    got = bounded_sample(rows, sample).select("text", "lang").mapInArrow(_bags, "lang string, ids array<int>, counts array<float>").toPandas()
+    got = bounded_sample(rows, sample).select("text", "lang").mapInArrow(_bags, "lang string, ids binary, counts binary").toPandas()
     got = got[got["ids"].map(len) > 0].sort_values("lang", kind="stable")
     if not len(got):
         return None
     names = sorted(got["lang"].unique())
     labels = got["lang"].map({n: i for i, n in enumerate(names)}).to_numpy()
-    model = train([np.asarray(x) for x in got["ids"]], [np.asarray(x, np.float32) for x in got["counts"]], labels, len(names))
+    model = train([np.frombuffer(x, "<i4") for x in got["ids"]], [np.frombuffer(x, "<f4") for x in got["counts"]], labels, len(names))
     return model | {"names": names}
 
 
