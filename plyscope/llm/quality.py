@@ -112,7 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None
     own = own.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    got = (texts.join(chosen, "doc_id").select("text", "quality")
+    # at most ``sample`` rows, so they are broadcast and no text is shuffled
+    got = (texts.join(F.broadcast(chosen), "doc_id").select("text", "quality")
            .mapInArrow(_featured, "quality int, x array<double>").toPandas())
     if got["quality"].nunique() < 2:
         return None
