@@ -1,8 +1,8 @@
 """The corpus pipeline: five stages, each an operator of ``plyscope.llm`` whose decisions take effect.
 
 Every stage takes (spark, docs, sf_dir), with docs the Parquet table its predecessor wrote, and
-returns a DataFrame; all but the last return the columns of docs. Row identity within a stage is a
-written row id, so repeated rows, repeated or null ids and extra columns are kept apart.
+returns a DataFrame; all but the last return the columns of docs. Rows are told apart within a stage
+by their file and place in it, so repeated rows, repeated or null ids and extra columns cause no mix-up.
 """
 
 from __future__ import annotations
@@ -10,17 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyscope.llm.common import RID, table, with_rid, written
+from plyscope.llm.common import RID, if_small, numbered, table, written
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    names = [c for c in docs.columns if c != RID]
-    return with_rid(docs.select(*[F.col(f"`{c}`") for c in names])), names
+    return numbered(docs), [c for c in docs.columns if c != RID]
 
 
 def _without(docs: DataFrame, names: list[str], dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose row id is in ``dropped``."""
-    gone = dropped.select(F.col("doc_id").alias("__gone"))
+    """``docs`` without the rows whose row id is in ``dropped``, which is written first. Few ids are
+    broadcast, so that no text is shuffled; many are joined."""
+    gone = if_small(written(dropped.select(F.col("doc_id").alias("__gone"))))
     return docs.join(gone, docs[RID] == gone["__gone"], "left_anti").select(*[F.col(f"`{c}`") for c in names])
 
 
@@ -43,7 +43,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", RID)).alias("first")).select("component_id", f"first.{RID}")
     gone = named.select(F.col(RID).alias("doc_id"), "component_id").join(
         stays, "component_id").filter(F.col("doc_id") != F.col(RID)).select("doc_id")
-    return _without(docs, names, written(gone))
+    return _without(docs, names, gone)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     from plyscope.llm.decontaminate import decontaminate
     docs, names = _numbered(docs)
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"), id_col=RID)
-    return _without(docs, names, written(found.filter("contaminated").select("doc_id")))
+    return _without(docs, names, found.filter("contaminated").select("doc_id"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plyscope.session import checkpoint_dir, ship_code
@@ -31,6 +33,25 @@ def with_rid(df: DataFrame) -> DataFrame:
     return written(df.withColumn(RID, F.monotonically_increasing_id()))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` plus ``__rid``. Where ``df`` is a file scan, the id is the row's file and place in it, so
+    nothing is copied and every later scan finds the same ids; otherwise the rows are written with one."""
+    names = [F.col(f"`{c}`") for c in df.columns if c != RID]
+    try:
+        placed = df.select(*names, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        return with_rid(df.select(*names))
+    files = placed.select("__file").distinct()
+    files = written(files.withColumn("__no", F.row_number().over(W.orderBy("__file")).cast("long")))
+    rid = F.shiftleft(F.col("__no"), 36) + F.col("__row")
+    return placed.join(files, "__file").select(*names, rid.alias(RID))
+
+
+def if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` marked for broadcast where a count shows that it has at most ``rows`` (narrow) rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def ascii_lower(col):
     """A-Z to a-z and nothing else."""
     return F.translate(col, LOWER_FROM, LOWER_TO)

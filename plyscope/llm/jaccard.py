@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import RID, id_text, prepare, with_rid, written
+from plyscope.llm.common import RID, id_text, if_small, prepare, with_rid, written
 from plyscope.llm.graph import components
 
 GROUPS = 64
@@ -241,10 +241,9 @@ def _page_search(num: int, den: int):
 
 def _semi(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     """``df`` rows whose key is among the distinct ``ids``: broadcast where their count is small."""
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    other = ids.select(*[F.col(c).alias(f"__{c}") for c in on])
+    other = if_small(ids.select(*[F.col(c).alias(f"__{c}") for c in on]), BROADCAST_IDS)
     cond = [df[c].eqNullSafe(other[f"__{c}"]) for c in on]
-    return df.join(F.broadcast(other) if small else other, cond, "left_semi")
+    return df.join(other, cond, "left_semi")
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plyscope.llm.common import RID, id_text, with_rid, written
+from plyscope.llm.common import RID, id_text, if_small, with_rid, written
 
 SCOPE = 400
 
@@ -140,7 +140,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> D
     starts = F.concat(F.transform(cut, lambda c: c["start"]), F.array(F.length(text).cast("long")))
     pieces = F.transform(F.arrays_zip(ends.alias("e"), starts.alias("s")),
                          lambda p: F.substring(text, (p["e"] + 1).cast("int"), (p["s"] - p["e"]).cast("int")))
-    out = docs.join(cuts, docs[RID] == cuts["__r"], "left")
+    cuts = if_small(written(cuts), 100_000)
+    out = docs.join(cuts, docs[RID] == F.col("__r"), "left")
     return out.withColumn(text_col, F.when(cut.isNotNull(), F.array_join(pieces, mark)).otherwise(text)).withColumn("__redacted", cut.isNotNull()).drop("__r", "__cuts")
 
 
