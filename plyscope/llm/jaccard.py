@@ -18,7 +18,8 @@ Pages are resolved in two steps, so that a page of many near copies never become
 2. pages that still hold several components are searched through R-trees over the count vectors,
    for pairs across components only. Pages over ``PAGE`` rows are joined into families (pages that
    share members), which are dealt into chunks and searched chunk by chunk against chunk.
-Surviving pairs are verified on the exact shingle sets (64-bit hashes). Sets that are equal are
+Surviving pairs are held against finer counts and then verified on the exact shingle sets (64-bit
+hashes). Sets that are equal are
 collapsed before all this.
 
 Results: no words or null text: ``n_shingles`` 0, component of its own. Repeated rows are kept, each
@@ -38,6 +39,8 @@ from plyscope.llm.common import RID, id_text, if_small, prepare, with_rid, writt
 from plyscope.llm.graph import components
 
 GROUPS = 64
+#: groups of the finer count vectors that candidate pairs are held against before verification
+FINE = 512
 FANOUT = 32
 PAGE = 256
 CHUNK = 512
@@ -126,22 +129,23 @@ def _points(size: int, num: int, den: int):
 def _full_sets(size: int):
     def run(batches):
         for batch in batches:
-            rows = [(*_digest(u), u.tobytes()) for u in sets_of(batch.column("text"), size)]
-            d1, d2, s = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                                              pa.array(s, pa.binary())], ["d1", "d2", "items"])
+            rows = [(*_digest(u), u.tobytes(), np.bincount((u & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
+                     .astype("<u4").tobytes()) for u in sets_of(batch.column("text"), size)]
+            d1, d2, s, fine = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(s, pa.binary()),
+                                              pa.array(fine, pa.binary())], ["d1", "d2", "items", "fine"])
     return run
 
 
-def _bound_filter(num: int, den: int):
-    """Pairs whose summed coordinate minima still allow a link."""
+def _bound_filter(num: int, den: int, groups: int):
+    """Pairs whose summed coordinate minima, over so many groups, still allow a link."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            va = np.frombuffer(b"".join(batch.column("va").to_pylist()), "<u4").reshape(-1, GROUPS)
-            vb = np.frombuffer(b"".join(batch.column("vb").to_pylist()), "<u4").reshape(-1, GROUPS)
-            most = np.minimum(va, vb).sum(1, dtype=np.int64)
+            most = np.concatenate([
+                np.minimum(*(np.frombuffer(b"".join(batch.column(c).slice(i, 1024).to_pylist()), "<u4").reshape(-1, groups)
+                             for c in ("va", "vb"))).sum(1, dtype=np.int64) for i in range(0, batch.num_rows, 1024)])
             keep = linked(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), most, num, den)
             yield batch.filter(pa.array(keep)).select(["a", "b"])
     return run
@@ -274,7 +278,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         right = where.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("vec").alias("vb"))
         sized = pairs.join(left, "a").join(right, "b").filter(
             F.col("na") * num <= F.col("nb") * den).filter(F.col("nb") * num <= F.col("na") * den)
-        return sized.select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den), "a long, b long")
+        return sized.select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, GROUPS), "a long, b long")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that are linked, on sets rebuilt from the texts of just those documents."""
@@ -282,9 +286,14 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         nodes = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct()
         keyed = written(nodes.join(points.select(F.col(RID).alias("rid"), "doc_id", "d1", "d2"), "rid"))
         full = (_semi(base, keyed.select("doc_id").distinct(), ["doc_id"])
-                .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary"))
-        sets = written(full.join(keyed.select("d1", "d2", "rid"), ["d1", "d2"]).select("rid", "items")
+                .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary, fine binary"))
+        sets = written(full.join(keyed.select("d1", "d2", "rid"), ["d1", "d2"]).select("rid", "items", "fine")
                        .dropDuplicates(["rid"]))
+        # most pairs that are no links fall to finer counts, before whole sets are sent for each pair
+        size = (F.octet_length("items") / 8).cast("long")
+        pairs = written(pairs.join(sets.select(F.col("rid").alias("a"), size.alias("na"), F.col("fine").alias("va")), "a")
+                        .join(sets.select(F.col("rid").alias("b"), size.alias("nb"), F.col("fine").alias("vb")), "b")
+                        .select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, FINE), "a long, b long"))
         both = (pairs.join(sets.select(F.col("rid").alias("a"), F.col("items").alias("ia")), "a")
                 .join(sets.select(F.col("rid").alias("b"), F.col("items").alias("ib")), "b"))
         return both.select("a", "b", "ia", "ib").mapInArrow(_exact_filter(num, den), "a long, b long")
