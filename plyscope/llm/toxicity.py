@@ -1,7 +1,8 @@
 """Toxicity by weak supervision (operator 10).
 
 Voters. Stems (words, and their first 4, 5, 6 and 8 bytes) that occur in labelled toxic documents
-and hardly in clean ones form the lexicon; it is dealt into ``LEXICONS`` lexicon voters by rank. Four
+and hardly in clean ones form the lexicon, all of them; each distinct text of the sample counts once, so
+copies do not make a text's own words common. It is dealt into ``LEXICONS`` lexicon voters by rank. Four
 pattern voters look at the text's shape: many distinct lexicon stems, repeated lexicon stems, shouting
 capitals, and exclamation marks. A voter fires or it does not.
 
@@ -11,7 +12,7 @@ documents, with the documents that carry a usable label clamped to it. Correlati
 the class are estimated from the same counts, and a voter's evidence is divided by how much of it its
 correlated voters repeat.
 
-Classifier. A ridge logistic regression on lexicon stems, voters and shape is trained on the label
+Classifier. A ridge logistic regression on lexicon stems (those beyond ``STEMS`` share columns), voters and shape is trained on the label
 model's posteriors for a bounded sample of documents, and scores every whole text.
 
 Labels of held-out rows (crc32 of the id modulo 5 is 0) are never read. Results: null text: empty;
@@ -36,9 +37,8 @@ from plyscope.llm.quality import fit_logistic, predict
 SAMPLE = 10_000
 #: documents whose posterior trains the classifier, at most
 TRAINED = 12_000
-#: lexicon stems, at most
+#: classifier columns of lexicon stems, at most; more stems share them by rank
 STEMS = 400
-CANDIDATES = 200_000
 LEXICONS, PATTERNS = 12, 4
 STEM_BYTES = (4, 5, 6, 8)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -66,36 +66,31 @@ def _text_stems(col: pa.Array):
         yield i, j, buf, offs, np.searchsorted(at, who, side="right") - 1, x, np.diff(at)
 
 
-def _stem_counts(known):
-    """Distinct (stem, documents with it) of a slice of documents; only known ones where given."""
-    def run(batches):
-        hashes = HashSet(known.value) if known is not None else None
-        for batch in batches:
-            for i, j, _, _, row, x, _ in _text_stems(batch.column("text")):
-                if hashes is not None:
-                    keep = hashes.where(x)
-                    row, x = row[keep], x[keep]
-                order = np.lexsort((row, x))
-                row, x = row[order], x[order]
-                first = np.concatenate(([True], (x[1:] != x[:-1]) | (row[1:] != row[:-1]))) if len(x) else np.zeros(0, bool)
-                u, c = np.unique(x[first], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(tx.as_signed(u)), pa.array(c.astype(np.int64))], ["stem", "n"])
-    return run
+def _stem_counts(batches):
+    """Distinct (stem, documents with it) of a slice of documents."""
+    for batch in batches:
+        for _, _, _, _, row, x, _ in _text_stems(batch.column("text")):
+            order = np.lexsort((row, x))
+            row, x = row[order], x[order]
+            first = np.concatenate(([True], (x[1:] != x[:-1]) | (row[1:] != row[:-1]))) if len(x) else np.zeros(0, bool)
+            u, c = np.unique(x[first], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(tx.as_signed(u)), pa.array(c.astype(np.int64))], ["stem", "n"])
 
 
 def learn_lexicon(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Stem hashes, the most frequent among toxic documents first."""
-    spark = toxic.sparkSession
+    """Hashes of all stems that tell toxic documents from clean ones, the best separating first. Both
+    tables hold distinct texts. Counts are compared in Spark, so that only those stems are collected."""
     least = max(2, n_toxic // 500)
-    seen = (toxic.mapInArrow(_stem_counts(None), "stem long, n long").groupBy("stem").agg(F.sum("n").alias("t"))
-            .filter(F.col("t") >= least).orderBy(F.desc("t"), "stem").limit(CANDIDATES).toPandas())
-    known = spark.sparkContext.broadcast(seen["stem"].to_numpy(np.int64).view(np.uint64))
-    other = clean.mapInArrow(_stem_counts(known), "stem long, n long").groupBy("stem").agg(F.sum("n").alias("c")).toPandas()
-    both = seen.merge(other, on="stem", how="left").fillna({"c": 0})
-    rate_t, rate_c = (both["t"] + 0.1) / (n_toxic + 1), (both["c"] + 0.5) / (n_clean + 1)
+
+    def counts(texts, name):
+        return texts.mapInArrow(_stem_counts, "stem long, n long").groupBy("stem").agg(F.sum("n").alias(name))
+    both = (counts(toxic, "t").filter(F.col("t") >= least).join(counts(clean, "c"), "stem", "left")
+            .select("stem", ((F.col("t") + 0.1) / (n_toxic + 1)).alias("rate_t"),
+                    ((F.coalesce("c", F.lit(0)) + 0.5) / (n_clean + 1)).alias("rate_c")))
     # at least twenty times as likely in toxic documents, with the clean count's uncertainty added
-    good = both[rate_t > 20 * (rate_c + 1.0 * np.sqrt(rate_c / (n_clean + 1)))]
-    good = good.sort_values(["t", "stem"], ascending=[False, True]).head(STEMS)
+    apart = F.col("rate_t") / (F.col("rate_c") + F.sqrt(F.col("rate_c") / (n_clean + 1)))
+    good = both.select("stem", apart.alias("apart")).filter(F.col("apart") > 20).toPandas()
+    good = good.sort_values(["apart", "stem"], ascending=[False, True])
     return good["stem"].to_numpy(np.int64).view(np.uint64)
 
 
@@ -181,10 +176,11 @@ def posterior(model: dict, fired: np.ndarray) -> np.ndarray:
 
 
 def _dense(n, cells, votes, shape, stems_n):
-    """Classifier inputs: stems by their density classes, voters, shape."""
+    """Classifier inputs: stems (at most ``STEMS`` columns) by their density classes, voters, shape."""
     r, s, count = cells
+    stems_n = min(stems_n, STEMS)
     x = np.zeros((n, stems_n + votes.shape[1] + shape.shape[1] + 2))
-    x[r, s] = 1.0
+    x[r, s % max(1, stems_n)] = 1.0
     x[:, stems_n:stems_n + votes.shape[1]] = votes
     x[:, stems_n + votes.shape[1]:-2] = shape
     x[:, -2] = np.minimum(np.bincount(r, minlength=n), 5)
@@ -227,7 +223,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     for y in (1, 0):
         ids = written(bounded_sample(known.filter(F.col("toxic") == y).select("doc_id"), sample))
         # at most ``sample`` ids, so they are broadcast and no text is shuffled
-        sides.append((written(base.join(F.broadcast(ids), "doc_id", "left_semi").select("text")), ids.count()))
+        texts = written(base.join(F.broadcast(ids), "doc_id", "left_semi").select("text").distinct())
+        sides.append((texts, texts.count()))
     (toxic, n_toxic), (clean, n_clean) = sides
     lexicon = learn_lexicon(toxic, clean, n_toxic, n_clean) if n_toxic and n_clean else np.zeros(0, np.uint64)
     shared = spark.sparkContext.broadcast(lexicon)

@@ -172,6 +172,29 @@ def test_toxicity_held_out_labels_are_not_read(spark):
     assert np.allclose(again["score"].to_numpy(), got["score"].to_numpy())
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_toxicity_copies_do_not_crowd_out_the_lexicon(spark, near):
+    """A third of the toxic rows are copies (or near copies) of one long text, whose words are no insults."""
+    rng = np.random.default_rng(6)
+    insults = ["vexlorp", "grumbash", "snidfell", "plonkard", "drubwick", "quagmuff", "yelkring", "zorbnit"]
+    hot = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}own{i}" for i in range(500)]
+    rows, labels = [], []
+    for i in range(600):
+        w = [f"word{rng.integers(200)}" for _ in range(30)]
+        toxic = i % 4 == 0
+        if i % 12 == 0:
+            w = [*hot, f"odd{i}"] if near else hot
+        elif toxic:
+            for k in rng.choice(30, 2, replace=False):
+                w[k] = insults[int(rng.integers(8))]
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.score_toxicity(docs, spark.createDataFrame(labels, LABELS)).toPandas()
+    truth = got["doc_id"] % 4 == 0
+    assert got[truth & (got["doc_id"] % 12 != 0)]["predicted"].mean() >= 0.95 and got[~truth]["predicted"].mean() <= 0.01
+
+
 def test_label_model_finds_voters_accuracies():
     rng = np.random.default_rng(8)
     m = toxicity.LEXICONS + toxicity.PATTERNS
