@@ -7,7 +7,8 @@ Packing runs in groups of about ``GROUP`` pieces, dealt round-robin, so that eac
 mix of lengths and costs at most its last, open sequence. In a group, bins are filled greedily: the
 largest piece left opens a bin, and the largest that still fits is added until none does (a histogram
 of lengths makes each step a search over distinct lengths). Then the bin's smallest piece is taken
-out if two unpacked pieces fit its expanded gap more tightly; the piece taken out is packed later.
+out if two unpacked pieces fit its expanded gap more tightly; the piece taken out is packed later. All
+pairs of lengths left are considered, and the tightest one is taken.
 
 Results: a null text is empty and has one piece, the end id. Repeated rows are packed each on its own.
 An empty table gives an empty result. Memory: a group holds lengths and row numbers only, or at most
@@ -130,6 +131,25 @@ def best_two_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
         stock[v].append(i)
         left[v] = True
 
+    lengths = np.arange(length + 1)
+
+    def tightest(room: int, more_than: int) -> tuple[int, int] | None:
+        """Lengths of the two pieces in stock (longer first) with the largest sum within ``room``, if it
+        is more than ``more_than``."""
+        most = room - int(left.argmax())    # beside the shortest piece in stock
+        first = np.flatnonzero(left[:most + 1]) if most > 0 else lengths[:0]
+        first = first[np.searchsorted(first, more_than // 2 + 1):]
+        if not len(first):
+            return None
+        below = np.maximum.accumulate(np.where(left[:most + 1], lengths[:most + 1], 0))
+        second = below[np.minimum(room - first, first)]
+        for k in np.flatnonzero(second == first):
+            if len(stock[int(first[k])]) < 2:
+                second[k] = below[first[k] - 1]
+        total = np.where(second > 0, first + second, 0)
+        k = len(total) - 1 - int(total[::-1].argmax())
+        return (int(first[k]), int(second[k])) if total[k] > more_than else None
+
     where, offset, bin_ = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), 0
     remaining = len(sizes)
     while remaining:
@@ -139,20 +159,10 @@ def best_two_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
             gap -= v
         if gap and len(inside) > 1:
             small, item = min(inside)
-            room, best = gap + small, (small, 0, 0)
-            first = largest(room - 1)
-            for _ in range(64):
-                if first * 2 < best[0] or first <= 0:
-                    break
-                second = largest(min(room - first, first))
-                if second and (second != first or len(stock[first]) > 1) and first + second > best[0]:
-                    best = (first + second, first, second)
-                    if best[0] == room:
-                        break
-                first = largest(first - 1)
-            if best[1]:
+            pair = tightest(gap + small, small)
+            if pair:
                 inside.remove((small, item))
-                inside += [(best[1], take(best[1])), (best[2], take(best[2]))]
+                inside += [(v, take(v)) for v in pair]
                 down[:] = np.arange(-1, length) if not left[small] else down
                 put(small, item)
         at = 0

@@ -91,6 +91,14 @@ def test_two_fit_replaces_the_smallest():
     assert bins[0] == bins[2] == bins[3] != bins[1]
 
 
+def test_two_fit_looks_beyond_lengths_that_fit_no_pair():
+    # 2000 + 1500 leave 596: 1500 makes way for 1090 + 1000, after 100 lengths too long for any partner
+    bins, _ = packing.best_two_fit(np.array([2000, 1500, 1090, 1000, *range(1400, 1500)]), 4096)
+    assert bins[0] == bins[2] == bins[3] != bins[1]
+    sizes = np.random.default_rng(3).integers(500, 1801, 50_000)
+    assert packing.best_two_fit(sizes, 4096)[0].max() + 1 <= 14_100     # 14,027 at best
+
+
 def test_packing_empty_table(spark):
     assert packing.pack(empty(spark), WORD).count() == 0
 
