@@ -102,19 +102,22 @@ def _score(keep: list[str], text_col: str, shared):
 def _featured(batches):
     for batch in batches:
         x = features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "quality", "h")],
+                                          pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "quality", "h", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """The document classifier, from at most ``sample`` labelled rows outside the held-out fold."""
+    """The document classifier, from at most ``sample`` labelled rows outside the held-out fold; of the
+    rows that share an id, the one with the least text hash."""
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     own = own.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     own = own.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # at most ``sample`` rows, so they are broadcast and no text is shuffled
-    got = (texts.join(F.broadcast(chosen), "doc_id").select("text", "quality")
-           .mapInArrow(_featured, "quality int, x array<double>").toPandas())
+    # at most ``sample`` ids, so they are broadcast and no text is shuffled
+    got = (texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", F.xxhash64("text").alias("h"), "text")
+           .mapInArrow(_featured, "doc_id long, quality int, h long, x array<double>")
+           .groupBy("doc_id", "quality").agg(F.min_by("x", "h").alias("x")).select("quality", "x").toPandas())
     if got["quality"].nunique() < 2:
         return None
     return fit_logistic(np.stack(got["x"].to_numpy()), got["quality"].to_numpy(float))

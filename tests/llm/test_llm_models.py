@@ -57,6 +57,18 @@ def test_quality_sites_shrink_toward_their_parents(spark, monkeypatch):
     assert got[1].quality_score < got[1].evidence and got[1001].quality_score > got[1001].evidence
 
 
+def test_quality_fits_one_row_per_labelled_id(spark, monkeypatch):
+    rows = [(i, f"text number {i} " * (1 + i % 7)) for i in range(60)]
+    rows += [(0, f"copy {k} of a repeated id") for k in range(300)]
+    labels = [(i, i % 2, 0) for i in range(60)]
+    seen = []
+    monkeypatch.setattr(quality, "fit_logistic", lambda x, y: seen.append(len(x)))
+    labels = spark.createDataFrame(labels, LABELS)
+    quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    held = labels.filter(held_out()).count()
+    assert seen == [60 - held]
+
+
 def test_quality_awkward_rows(spark):
     none = spark.createDataFrame([], LABELS)
     out = quality.score_quality(awkward(spark), none)
