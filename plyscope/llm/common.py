@@ -74,6 +74,27 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def even_sample(keys: DataFrame, n: int, salt: int = 5):
+    """At most ``n`` of the distinct rows (stratum, key) of ``keys``, chosen by a hash of the key, and the
+    strata's (distinct) sizes as a dict. All strata have the same quota, but those that are smaller are
+    taken whole and leave their share to the others. Of more than ``n`` strata, the largest are taken."""
+    keys = written(keys.select("stratum", "key").distinct())
+    sizes = {r["stratum"]: r["n"] for r in keys.groupBy("stratum").agg(F.count("*").alias("n"))
+             .orderBy(F.desc("n"), "stratum").limit(n).collect()}
+    low, high = 0, max(sizes.values(), default=0)
+    while low < high:   # the largest quota that keeps the sum within n
+        quota = (low + high + 1) // 2
+        low, high = (quota, high) if sum(min(v, quota) for v in sizes.values()) <= n else (low, quota - 1)
+    # by a threshold first, with a margin, so that only about the quota's rows are ranked
+    shares = [(k, min(1.0, (low + 6 * low ** 0.5 + 6) / v)) for k, v in sizes.items()]
+    kind = keys.schema["stratum"].dataType.simpleString()
+    shares = keys.sparkSession.createDataFrame(shares, f"stratum {kind}, share double")
+    order = F.xxhash64(F.col("key"), F.lit(salt))
+    near = keys.join(F.broadcast(shares), "stratum").filter(F.pmod(order, F.lit(1 << 40)) <= F.col("share") * (1 << 40))
+    near = near.withColumn("__place", F.row_number().over(W.partitionBy("stratum").orderBy(order, "key")))
+    return near.filter(F.col("__place") <= low).select("stratum", "key"), sizes
+
+
 def bounded_sample(rows: DataFrame, n: int, id_col: str = "doc_id", salt: int = 5) -> DataFrame:
     """At most ``n`` of the rows, chosen by a hash of the id (all of them where they are no more)."""
     total = rows.select(id_col).count()

@@ -3,10 +3,11 @@
 A text's subwords are the byte runs of 2 to 4 lower-cased letters inside its words, word edges
 included. Each is hashed to a row of an embedding matrix; a text is the average of its rows, and a
 linear softmax over it gives the languages. Embeddings and softmax are trained together by stochastic
-gradient descent in numpy, on a bounded sample of rows that are not held out; texts are also seen as
-random subsets of their subwords, so that short texts are learned too. A temperature fitted on a part
+gradient descent in numpy, on a bounded sample of distinct texts that are not held out, dealt evenly
+over the languages (a rare one is taken whole); texts are also seen as random subsets of their subwords, so that short texts are learned too. A temperature fitted on a part
 of the sample kept aside calibrates the scores, and the rejection threshold is the least score above
-which that part is right in ``PRECISION`` of the cases. Prediction reads every whole text.
+which that part is right in ``PRECISION`` of the cases (both with the languages' shares among all
+distinct texts). Prediction reads every whole text.
 
 Results: null text, or no letter: ``und``, score 0, rejected. Without any labelled row: ``und`` for
 all. Repeated rows are answered each on its own; an empty table gives an empty result. Other columns
@@ -23,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import bounded_sample, held_out, prepare
+from plyscope.llm.common import even_sample, held_out, prepare, written
 
-#: rows used for training, at most (chosen by a hash of the id); some kB each on the driver
+#: distinct texts used for training, at most (chosen by a hash of the text); some kB each on the driver
 SAMPLE = 4_000
 BUCKETS = 1 << 15
 DIM = 16
@@ -92,8 +93,9 @@ def _forward(e, w, b, ids, counts, lens):
 
 
 def train(bags: list, counts: list, labels: np.ndarray, classes: int, epochs: int = 6, batch: int = 32,
-          rate: float = 2.0, seed: int = 7) -> dict:
-    """Embeddings, softmax, temperature and threshold, by SGD on cross entropy."""
+          rate: float = 2.0, seed: int = 7, weight_of: np.ndarray | None = None) -> dict:
+    """Embeddings, softmax, temperature and threshold, by SGD on cross entropy. ``weight_of`` a class: texts
+    that one of its sampled texts stands for, when temperature and threshold are fitted."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(bags))
     kept = order[:max(1, len(bags) // 5)] if len(bags) >= 20 else order
@@ -129,18 +131,19 @@ def train(bags: list, counts: list, labels: np.ndarray, classes: int, epochs: in
         x = (e[bags[r]] * (counts[r] / counts[r].sum())[:, None]).sum(0)
         logit.append(x @ w + b)
     logit, truth = np.array(logit), labels[kept]
+    stands_for = np.ones(len(truth)) if weight_of is None else weight_of[truth]
 
     def scaled(t):
         z = logit / t
         p = np.exp(z - z.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
     temps = np.geomspace(0.2, 10, 60)
-    losses = [-np.log(scaled(t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in temps]
+    losses = [-(stands_for * np.log(scaled(t)[np.arange(len(truth)), truth] + 1e-12)).sum() for t in temps]
     t = float(temps[int(np.argmin(losses))])
     p = scaled(t)
     score, right = p.max(1), p.argmax(1) == truth
     down = np.argsort(-score)
-    precision = np.cumsum(right[down]) / np.arange(1, len(down) + 1)
+    precision = np.cumsum((right * stands_for)[down]) / np.cumsum(stands_for[down])
     good = np.flatnonzero(precision >= PRECISION)
     threshold = float(score[down][good[-1]]) if len(good) else 1.0
     return {"e": e, "w": w / t, "b": b / t, "threshold": threshold}
@@ -148,13 +151,19 @@ def train(bags: list, counts: list, labels: np.ndarray, classes: int, epochs: in
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    got = bounded_sample(rows, sample).select("text", "lang").mapInArrow(_bags, "lang string, ids binary, counts binary").toPandas()
-    got = got[got["ids"].map(len) > 0].sort_values("lang", kind="stable")
+    rows = rows.select("text", F.col("lang").alias("stratum"), F.xxhash64("text").alias("key"))
+    chosen, sizes = even_sample(rows, sample)
+    # at most ``sample`` texts, so their hashes are broadcast and copies meet in the partial aggregate
+    texts = rows.join(F.broadcast(written(chosen)), ["stratum", "key"]).select("text", F.col("stratum").alias("lang")).distinct()
+    got = texts.mapInArrow(_bags, "lang string, ids binary, counts binary").toPandas()
+    got = got[got["ids"].map(len) > 0].sort_values(["lang", "ids"], kind="stable")
     if not len(got):
         return None
     names = sorted(got["lang"].unique())
     labels = got["lang"].map({n: i for i, n in enumerate(names)}).to_numpy()
-    model = train([np.frombuffer(x, "<i4") for x in got["ids"]], [np.frombuffer(x, "<f4") for x in got["counts"]], labels, len(names))
+    stands_for = np.array([sizes[n] for n in names]) / np.bincount(labels)
+    model = train([np.frombuffer(x, "<i4") for x in got["ids"]], [np.frombuffer(x, "<f4") for x in got["counts"]], labels, len(names),
+                  weight_of=stands_for)
     return model | {"names": names}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from llm_fixtures import AWKWARD, awkward, clash, empty
 from plyscope.llm import langid, neighbours, quality, toxicity
-from plyscope.llm.common import held_out, table
+from plyscope.llm.common import even_sample, held_out, table
 
 SF = "/root/testdata/sf0.01"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -142,6 +142,31 @@ def test_language_held_out_accuracy_and_inputs(spark):
     assert (same.sort_values("doc_id")["lang_pred"].to_numpy() == got.sort_values("doc_id")["lang_pred"].to_numpy()).all()
 
 
+def test_language_rare_values_and_copies(spark):
+    """A language with 40 of 4,040 rows beside a sample of 200, and a third of the rows copies of one text."""
+    rng = np.random.default_rng(5)
+    own = {"aa": "bdaeg", "bb": "kliom", "cc": "zxuyw"}
+
+    def text(lang):
+        return " ".join("".join(rng.choice(list(own[lang]), 5)) for _ in range(30))
+    hot = text("aa")
+    rows = [(i, hot if i % 3 == 0 else text("aa" if i % 2 else "bb"), "aa" if i % 2 or i % 3 == 0 else "bb") for i in range(4_000)]
+    rows += [(4_000 + i, text("cc"), "cc") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs, sample=200).toPandas()
+    truth = got["doc_id"].map({r[0]: r[2] for r in rows})
+    for lang in own:
+        assert (got[truth == lang]["lang_pred"] == lang).mean() >= 0.95, lang
+
+
+def test_even_sample_is_even_and_bounded(spark):
+    keys = spark.range(10_000).select(F.when(F.col("id") < 7, "rare").when(F.col("id") < 4_000, "some").otherwise("most")
+                                      .alias("stratum"), F.col("id").alias("key"))
+    chosen, sizes = even_sample(keys.unionByName(keys), 1_007)
+    assert sizes == {"rare": 7, "some": 3_993, "most": 6_000}
+    assert {r["stratum"]: r["count"] for r in chosen.groupBy("stratum").count().collect()} == {"rare": 7, "some": 500, "most": 500}
+
+
 def test_language_awkward_rows(spark):
     got = {r.doc_id: r for r in langid.identify(awkward(spark)).collect()}
     assert got[1].lang_pred == got[2].lang_pred == got[4].lang_pred == got[5].lang_pred == "und"
