@@ -62,6 +62,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from plyscope.llm.alignment import align_counts
+    return align_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.variants import variant_groups
+    return variant_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plyscope.llm.warc import warc_digest
+    return warc_digest(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -145,4 +162,53 @@ FROM docs LEFT JOIN per USING (r)
 """
 
 
-SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op4_ngram_jaccard": _OP4, "op8_secrets": _op8()}
+# crc32 bit by bit: a list of steps, for each byte its value and then eight shifts (-1)
+_CRC32 = """CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(regexp_extract_all(hex(encode({})), '..'),
+  lambda b: list_prepend(('0x' || b)::BIGINT, [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+  lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) AS BIGINT)"""
+
+_OP12 = rf"""
+WITH RECURSIVE runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, times, {_CRC32.format("id || ':' || run")} AS h FROM runs),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+-- words one edit apart share a word itself or what is left of it after one deletion
+left_over AS (
+  SELECT word, n, unnest(list_distinct(list_prepend(word, list_transform(range(0, length(word)), lambda i: word[:i] || word[i + 2:])))) AS rest
+  FROM words),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM left_over a JOIN left_over b USING (rest)
+  WHERE a.word <> b.word AND CASE abs(length(a.word) - length(b.word))
+    WHEN 0 THEN len(list_filter(range(1, length(a.word) + 1), lambda i: a.word[i] <> b.word[i])) = 1 WHEN 1 THEN true ELSE false END),
+best AS (SELECT word, count(*) AS n_near, min({{'less': -other_n, 'bytes': encode(other), 'other': other}}) AS top FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.less >= 5 * n THEN top.other END AS form,
+         CASE WHEN -top.less >= 5 * n THEN -top.less END AS form_n FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS latest FROM formed UNION ALL
+  SELECT chain.word, formed.form FROM chain JOIN formed ON chain.latest = formed.word WHERE formed.form IS NOT NULL)
+SELECT f.word, f.form, c.latest AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM formed f JOIN chain c ON c.word = f.word JOIN formed l ON l.word = c.latest AND l.form IS NULL
+"""
+
+_OP13 = """
+WITH payloads AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS body FROM pages),
+digests AS (
+  SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha1(body) AS hex,
+         row_number() OVER (PARTITION BY body ORDER BY page_id DESC NULLS LAST, r DESC) AS place,
+         max(page_id) OVER (PARTITION BY body) AS latest FROM payloads)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  -- base32: five hexadecimal digits are four characters
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) AS BIGINT), 1)), '') AS payload_digest,
+  CASE place WHEN 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN latest END AS refers_to
+FROM digests
+"""
+
+SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op4_ngram_jaccard": _OP4, "op8_secrets": _op8(),
+                       "op12_spelling_variants": _OP12, "op13_warc": _OP13}
