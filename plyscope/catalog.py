@@ -11,7 +11,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plyscope.params import ADAPTER_PARAMS, BENCHMARK_PARAMS, Params
@@ -335,8 +335,9 @@ def q_plies(spark, sf):
 
 def q_score_hook(spark, sf):
     g, _ = _models(spark, sf)
-    # one row per game: a game that two players loaded is scored once
-    once = g.filter(F.col("game_uuid") != "").groupBy("game_uuid").agg(F.any_value("pgn").alias("pgn"))
+    # one row per game: a game that two players loaded is scored once; keyless games go by their url
+    key = F.when(F.col("game_uuid") != "", F.col("game_uuid")).otherwise(F.col("url"))
+    once = g.groupBy(key.alias("game_uuid")).agg(F.any_value("pgn").alias("pgn"))
     return sc.score_moves(once, lambda: sc.TokenTableEvaluator(SCORE_TABLE))
 
 
@@ -355,6 +356,62 @@ def q_ingest_stream(spark, sf):
     return ig.read_snapshots(spark, root, ig.schemas.GAMES).drop("load_ts", "bq_load_date")
 
 
+# ---------------------------------------------------------------- damaged archives
+
+GAMES_PER_LINE = 3
+LOAD_TIME = _dt.datetime(2001, 11, 5, 6, 30)
+# Fixed values of the seeded damage; a line's kind is (its number + month + length of the player's name) % 6.
+CUT_OFF, BAD_FIELD, MISSING_FIELDS, NOT_JSON, NO_OBJECT = range(5)
+CUT_CHARACTERS = 20
+
+
+def _land_damaged(sg: DataFrame, landing: str) -> None:
+    """The staging games as archive lines of up to three games by URL, most of them damaged by rule:
+    cut off within the last game; a first game with text for a rating; missing fields; a page of HTML
+    after the line; null for the first game."""
+    place = F.row_number().over(Window.partitionBy("username", "archive").orderBy("url")) - 1
+    g = (sg.withColumn("archive", F.regexp_replace(F.right("archive_url", F.lit(7)), "/", "-"))
+         .select("username", "archive", "url", F.to_json(ig.archive_game()).alias("t"))
+         .withColumn("place", place))
+    line = F.floor(F.col("place") / GAMES_PER_LINE)
+    first = F.col("place") % GAMES_PER_LINE == 0
+    kind = (line + F.right("archive", F.lit(2)).cast("int") + F.length("username")) % 6
+    g = g.select("username", "archive", "place", line.alias("line"), kind.alias("kind"), F.when(
+        (kind == BAD_FIELD) & first, F.regexp_replace("t", r'"rating":\d+', '"rating":"n/a"')).when(
+        kind == MISSING_FIELDS, F.regexp_replace("t", r'"(rated|time_class|rules)":("[^"]*"|true|false),', "")).when(
+        (kind == NO_OBJECT) & first, F.lit("null")).otherwise(F.col("t")).alias("t"))
+    lines = g.groupBy("username", "archive", "line", "kind").agg(F.sort_array(F.collect_list(F.struct("place", "t"))).alias("games"))
+    text = F.concat(F.lit('{"games":['), F.array_join("games.t", ","), F.lit("]}"))
+    whole = lines.select("username", "archive", "kind", text.alias("x"))
+    damaged = (F.when(F.col("kind") == CUT_OFF, F.left("x", F.length("x") - CUT_CHARACTERS))
+               .when(F.col("kind") == NOT_JSON, F.concat("x", F.lit("\n<html>502 Bad Gateway</html>"))).otherwise(F.col("x")))
+    whole.select(damaged.alias("value"), "username", "archive").write.partitionBy("username", "archive").text(landing)
+
+
+def _load_damaged(spark, sf) -> str:
+    from plyscope.session import checkpoint_dir
+    base = f"{checkpoint_dir(spark)}/damaged-{uuid.uuid4().hex}"
+    _land_damaged(_staging(spark, sf)[0], f"{base}/landing")
+    ig.load_games(spark, f"{base}/landing", f"{base}/games", Params(min_archive=None), now=LOAD_TIME)
+    return f"{base}/games"
+
+
+def q_quarantine_games(spark, sf):
+    """The snapshot of a load of damaged archives, audit columns and load suffix included."""
+    return ig.read_snapshots(spark, _load_damaged(spark, sf), ig.schemas.GAMES)
+
+
+def q_quarantine_accounts(spark, sf):
+    """S3: what that load read, kept and rejected, by player and month, beside the rejects it stored."""
+    root = _load_damaged(spark, sf)
+    keys = ["username", "archive"]
+    account = spark.read.schema(ig.ACCOUNTS).parquet(ig.accounts_root(root)).groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ig.ACCOUNTS.names if c not in ("file", *keys, "load_ts")])
+    stored = spark.read.schema(ig.REJECTS).parquet(ig.rejects_root(root)).groupBy(*keys).agg(
+        F.count("raw").alias("rejects_stored"))
+    return account.join(stored, keys, "left").withColumn("rejects_stored", F.coalesce("rejects_stored", F.lit(0)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)
 }

@@ -16,7 +16,6 @@ from plyscope.params import (
 )
 from plyscope.plans.quality import NOT_NULL_GAMES, NOT_NULL_MOVES
 from plyscope.plans.reporting import AGG_COLUMNS, GWM_COLUMNS
-from plyscope.plans.scoring import TEXT_NOISE
 from plyscope.sources import adapter as ad
 from plyscope.sources.ingest import ARCHIVE_BASE
 
@@ -58,7 +57,9 @@ played AS (
          string_agg(CASE WHEN n % 2 = 1 THEN CAST((n + 1) // 2 AS VARCHAR) || '. '
                          WHEN {case['black_unnumbered']} THEN '' ELSE CAST(n // 2 AS VARCHAR) || '... ' END
                     || move || CASE WHEN {case['no_clocks']} THEN ' '
-                         ELSE printf(' {{[%%clk 0:%02d:%02d.5]}} ', CAST(({clock}) // 60 AS INTEGER), CAST(({clock}) % 60 AS INTEGER)) END,
+                         ELSE printf(' {{[%%clk 0:%02d:%02d.5]}} ', CAST(({clock}) // 60 AS INTEGER), CAST(({clock}) % 60 AS INTEGER)) END
+                    || CASE WHEN {case['side_lines']} AND n % 10 = 0
+                         THEN repeat({_q(ad.SIDE_LINE)}, n // 10 + 1) || repeat(')', n // 10 + 1) || ' ' ELSE '' END,
                     '' ORDER BY n) AS body
   FROM item GROUP BY ALL
 ),
@@ -330,10 +331,33 @@ keyless AS (
 )"""
 
 
-def _tokens(text: str) -> str:
-    for pattern in TEXT_NOISE:
-        text = f"regexp_replace({text}, {_q(pattern)}, ' ', 'g')"
-    return f"list_filter(string_split_regex({text}, '\\s+'), lambda t: t <> '')"
+def _printed(source: str) -> str:
+    """The moves of the texts of ``source`` (key, pgn): words at depth 0, where depth counts the parentheses that
+    are open before a word; comments are words of their own. Then the game's list of moves."""
+    return f"""
+word AS (
+  SELECT key, i, w, sum(CASE w WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER (PARTITION BY key ORDER BY i) AS depth
+  FROM (SELECT key, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i
+        FROM (SELECT key, regexp_extract_all(pgn, '\\{{[^}}]*\\}}|[()]|[^\\s(){{}}]+') AS ws FROM ({source})))
+),
+printed AS (
+  SELECT key, list(m ORDER BY i) AS moves
+  FROM (SELECT key, i, regexp_replace(w, '^[0-9]+[.]+', '') AS m FROM word WHERE depth = 0 AND w <> ')' AND w NOT LIKE '{{%')
+  WHERE m NOT IN ('', '*', '1-0', '0-1', '1/2-1/2') GROUP BY key
+)"""
+
+
+def _damaged() -> str:
+    """Staging games dealt to archive lines, with the kind of damage of each line."""
+    return f"""
+dealt AS (
+  SELECT *, count(*) OVER (PARTITION BY username, archive, line) AS size FROM (
+    SELECT *, 1 + nth % {cat.GAMES_PER_LINE} AS place, nth // {cat.GAMES_PER_LINE} AS line,
+           (nth // {cat.GAMES_PER_LINE} + CAST(archive[-2:] AS INTEGER) + length(username)) % 6 AS kind
+    FROM (SELECT *, replace(archive_url[-7:], '/', '-') AS archive,
+                 row_number() OVER (PARTITION BY username, archive_url[-7:] ORDER BY url) - 1 AS nth FROM stg_games)
+  )
+)"""
 
 
 def _with(*parts: str) -> str:
@@ -376,7 +400,9 @@ def oracle_sql() -> dict[str, str]:
     earlier = f"end_time_integer < {cat.PREVIOUS_LOAD_EPOCH}"
     seen = f"seen AS (SELECT username, max(archive_url) AS url, max(end_time_integer) AS mark FROM stg_games WHERE {earlier} GROUP BY ALL)"
     worth = _values([(_q(t), v) for t, v in cat.SCORE_TABLE.items()])
-    token_games = ("SELECT any_value(pgn) AS pgn, game_uuid FROM games WHERE game_uuid <> '' GROUP BY game_uuid")
+    by_game = "SELECT CASE game_uuid WHEN '' THEN url ELSE game_uuid END AS key, any_value(game_uuid) AS game_uuid, any_value(pgn) AS pgn FROM games GROUP BY 1"
+    by_row = ("SELECT game_uuid AS key, game_uuid, any_value(pgn) AS pgn FROM games WHERE game_uuid <> '' GROUP BY ALL "
+              "UNION ALL SELECT 'row ' || row_number() OVER (), game_uuid, pgn FROM games WHERE game_uuid = ''")
 
     return {
         "q_clean_games": cleaned + "SELECT * EXCLUDE (pgn) FROM games",
@@ -470,22 +496,32 @@ FROM stg_games
 WHERE pgn <> '' AND rules = 'chess' AND game_uuid <> '' AND game_uuid NOT IN (
   SELECT game_uuid FROM stg_moves WHERE game_uuid IN (SELECT game_uuid FROM stg_games WHERE {earlier}))
 GROUP BY game_uuid""",
-        "q_plies": cleaned + f""", read AS (
-  SELECT game_uuid, {_tokens('pgn')} AS moves, secs
-  FROM (SELECT game_uuid, any_value(pgn) AS pgn FROM games WHERE game_uuid <> '' GROUP BY ALL
-        UNION ALL SELECT game_uuid, pgn FROM games WHERE game_uuid = ''),
-  LATERAL (SELECT list_transform(regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)}), lambda m: list_sum(list_transform([1, 2, 3],
-    lambda i: CAST(string_split(regexp_extract(m, 'clk ([^]]+)', 1), ':')[i] AS DOUBLE) * [3600, 60, 1][i]))) AS secs)
+        "q_plies": cleaned + f""", text AS MATERIALIZED ({by_row}), {_printed("FROM text SELECT key, pgn")},
+read AS (
+  SELECT game_uuid, coalesce(moves, []) AS moves, list_transform(regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)}), lambda m:
+    list_sum(list_transform([1, 2, 3], lambda i: CAST(string_split(regexp_extract(m, 'clk ([^]]+)', 1), ':')[i] AS DOUBLE) * [3600, 60, 1][i]))) AS secs
+  FROM text LEFT JOIN printed USING (key)
 )
 SELECT game_uuid, i AS move_number, moves[i] AS move, secs[i] AS time_remaining_seconds
 FROM (SELECT *, unnest(range(1, greatest(len(moves), len(secs)) + 1)) AS i FROM read)""",
-        "q_score_hook": cleaned + f""", token AS (
-  SELECT game_uuid, unnest(moves) AS move, unnest(range(1, len(moves) + 1)) AS n
-  FROM (SELECT game_uuid, {_tokens('pgn')} AS moves FROM ({token_games}))
-)
-SELECT game_uuid, n AS move_number, t.move, CAST(sum(coalesce(w.v, 0) * CASE n % 2 WHEN 1 THEN 1 ELSE -1 END)
-  OVER (PARTITION BY game_uuid ORDER BY n) AS BIGINT) AS score_white
+        "q_score_hook": cleaned + f""", {_printed(by_game)},
+token AS (SELECT key, unnest(moves) AS move, unnest(range(1, len(moves) + 1)) AS n FROM printed)
+SELECT key AS game_uuid, n AS move_number, t.move, CAST(sum(coalesce(w.v, 0) * CASE n % 2 WHEN 1 THEN 1 ELSE -1 END)
+  OVER (PARTITION BY key ORDER BY n) AS BIGINT) AS score_white
 FROM token t LEFT JOIN {worth} w(move, v) ON w.move = t.move""",
+        "q_quarantine_games": _with(st, _damaged()) + f"""SELECT * EXCLUDE (archive, nth, line, kind, place, size) REPLACE (
+  {_q(ARCHIVE_BASE)} || username || '/games/' || archive_url[-7:] AS archive_url, '2001-11-05 06:30:00' AS bq_load_date,
+  rated AND kind <> {cat.MISSING_FIELDS} AS rated, CASE WHEN kind <> {cat.MISSING_FIELDS} THEN time_class ELSE '' END AS time_class,
+  CASE WHEN kind <> {cat.MISSING_FIELDS} THEN rules ELSE '' END AS rules), '20011105_0630' AS load_ts
+FROM dealt WHERE NOT (kind = {cat.CUT_OFF} AND place = size) AND NOT (kind IN ({cat.BAD_FIELD}, {cat.NO_OBJECT}) AND place = 1)""",
+        "q_quarantine_accounts": _with(st, _damaged()) + f""", spoilt AS (SELECT username, archive, line, kind, any_value(size) AS size FROM dealt GROUP BY ALL)
+SELECT username, archive, CAST(count(*) + count(*) FILTER (kind = {cat.NOT_JSON}) AS BIGINT) AS lines,
+  CAST(count(*) FILTER (kind IN ({cat.CUT_OFF}, {cat.NOT_JSON})) AS BIGINT) AS broken_lines, CAST(sum(size) AS BIGINT) AS games_read,
+  CAST(sum(size) - count(*) FILTER (kind IN ({cat.CUT_OFF}, {cat.BAD_FIELD}, {cat.NO_OBJECT})) AS BIGINT) AS games_kept,
+  count(*) FILTER (kind = {cat.NOT_JSON}) AS rejected_line, count(*) FILTER (kind = {cat.CUT_OFF}) AS rejected_fragment,
+  count(*) FILTER (kind = {cat.NO_OBJECT}) AS rejected_element, count(*) FILTER (kind = {cat.BAD_FIELD}) AS rejected_field,
+  count(*) FILTER (kind IN ({cat.CUT_OFF}, {cat.BAD_FIELD}, {cat.NOT_JSON}, {cat.NO_OBJECT})) AS rejects_stored
+FROM spoilt GROUP BY ALL""",
         "q_ingest_stream": _with(st) + f"""SELECT * EXCLUDE (bq_load_date) REPLACE (
   {_q(ARCHIVE_BASE)} || username || '/games/' || archive_url[-7:] AS archive_url) FROM stg_games WHERE end_time_integer > 0""",
     }

@@ -15,23 +15,27 @@ from pyspark.sql import functions as F
 
 from plyscope import schemas
 from plyscope.functions import core as fx
+from plyscope.functions.nesting import outermost
 from plyscope.session import ship_code
 
 MOVES_DDL = "game_uuid string, move_number bigint, move string, score_white bigint"
 
-# What move text holds besides moves: comments, header lines, variations, glyphs, move numbers, results.
-# Variations nest, so the innermost parentheses are removed as often as they are expected to nest.
-NESTED_VARIATIONS = 6
-TEXT_NOISE = (r"\{[^}]*\}", r"(?m)^[ \t]*\[[^\]]*\]", *[r"\([^()]*\)"] * NESTED_VARIATIONS,
-              r"\$\d+", r"\d+\.+", r"(^|\s)(1-0|0-1|1/2-1/2|\*)(\s|$)")
+# What move text holds besides moves. Header lines and comments (in braces, or from a semicolon to the end of
+# the line) are found in one pass from left to right, so neither is looked for inside the other.
+HEADERS_AND_COMMENTS = (r'(?m)^(?:[ \t]*\[\w+\s*(?:"(?:[^"\\]|\\.)*+")?\s*\])+|\{[^}]*+\}?|;[^\n]*')
+GLYPHS_AND_NUMBERS = r"\$\d+|\d+\.+"
+RESULT_MARKS = ("1-0", "0-1", "1/2-1/2", "*")
 
 
 def ply_tokens(pgn="pgn"):
-    """The printed moves of a move text in order, whether or not it numbers black's moves."""
+    """The printed moves of a move text in order, whether or not it numbers black's moves. Variations (in
+    parentheses, nested to any depth) are left out by the depth automaton; a parenthesis that is never
+    closed hides the rest, one that closes nothing is ignored."""
     text = F.col(pgn) if isinstance(pgn, str) else pgn
-    for pattern in TEXT_NOISE:
-        text = F.regexp_replace(text, F.lit(pattern), F.lit(" "))
-    return F.filter(F.split(text, r"\s+"), lambda t: t != "")
+    text = F.regexp_replace(F.regexp_replace(text, F.lit(HEADERS_AND_COMMENTS), F.lit(" ")), F.lit(GLYPHS_AND_NUMBERS), F.lit(" "))
+    tokens = F.regexp_extract_all(text, F.lit(r"[()]|[^\s()]+"), F.lit(0))
+    moves = F.when(F.contains(text, F.lit("(")) | F.contains(text, F.lit(")")), outermost(tokens, ("(",), (")",))).otherwise(tokens)
+    return F.filter(moves, lambda t: ~t.isin(*RESULT_MARKS))
 
 
 def extract_plies(games: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -58,6 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def landed(df, name: str):
+    """``df`` written once as Parquet in the shared checkpoint folder and read back: cuts lineage in
+    storage that all executors share."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

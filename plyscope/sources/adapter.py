@@ -26,8 +26,10 @@ CASES = {
     "last_ply_unscored": (13, 5), "ply_scored_twice": (17, 3), "unscored": (19, 7), "no_white_rating": (11, 4),
     "other_rules": (23, 6), "custom_setup": (23, 9), "standard_setup": (23, 10), "no_text": (29, 8),
     "two_players": (7, 2), "black_unnumbered": (5, 1), "no_clocks": (9, 4), "side_unknown": (37, 14),
-    "calm": (6, 0), "quiet": (8, 4),
+    "calm": (6, 0), "quiet": (8, 4), "side_lines": (12, 7),
 }
+# A side line as deep as the ply number says, with a parenthesis inside a comment at each level.
+SIDE_LINE = "(XX {a ) b} "
 KEYLESS_SUPPLIER = 12
 CUSTOM_SETUP = "8/8/8/8/8/8/8/8 w - - 0 1"
 PLY_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
@@ -76,7 +78,10 @@ def _ply_text(move_number, move):
     prefix = F.when(move_number % 2 == 1, F.concat(n.cast("string"), F.lit(". "))) \
         .when(_case("black_unnumbered"), F.lit("")).otherwise(F.concat(n.cast("string"), F.lit("... ")))
     clock = F.when(_case("no_clocks"), F.lit(" ")).otherwise(F.concat(F.lit(" {[%clk 0:"), mm, F.lit(":"), ss, F.lit(".5]} ")))
-    return F.concat(prefix, move, clock)
+    depth = (move_number / 10).cast("int") + 1
+    side_line = F.when(_case("side_lines") & (move_number % 10 == 0), F.concat(
+        F.repeat(F.lit(SIDE_LINE), depth), F.repeat(F.lit(")"), depth), F.lit(" "))).otherwise(F.lit(""))
+    return F.concat(prefix, move, clock, side_line)
 
 
 def staging_moves_from(p: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from plyscope import schemas
 from plyscope.params import Params
+from plyscope.session import landed
+from plyscope.sources import quarantine
 
 ARCHIVE_BASE = "https://api.example.invalid/pub/player/"
 # Up to so many players of a load are named in the partition filter.
@@ -34,7 +36,11 @@ def flatten_archive_games(archives: DataFrame, load_time: str) -> DataFrame:
 
     ``archives`` has the ARCHIVE columns plus ``username`` and ``archive_url``.
     """
-    g = archives.select("archive_url", "username", F.explode("games").alias("g"))
+    return flatten_games(archives.select("archive_url", "username", F.explode("games").alias("g")), load_time)
+
+
+def flatten_games(g: DataFrame, load_time: str) -> DataFrame:
+    """games (``g``) with ``username`` and ``archive_url`` → staging rows."""
     cols = [F.col("archive_url"), F.col("username"), F.lit(load_time).alias("bq_load_date")]
     for name in ("url", "pgn", "time_control"):
         cols.append(_default(F.col(f"g.{name}"), "").alias(name))
@@ -55,13 +61,17 @@ def flatten_archive_games(archives: DataFrame, load_time: str) -> DataFrame:
 
 def with_archive_identity(raw: DataFrame, archive_base: str = ARCHIVE_BASE) -> DataFrame:
     """(username, archive_url) of each landed archive object, from its partition values."""
-    url = F.concat(F.lit(archive_base), F.col("username"), F.lit("/games/"),
-                   F.regexp_replace(F.col("archive"), "-", "/"))
-    return raw.select("games", "username", url.alias("archive_url"))
+    return raw.select("games", "username", _archive_url(archive_base).alias("archive_url"))
+
+
+def _archive_url(archive_base: str) -> Column:
+    return F.concat(F.lit(archive_base), F.col("username"), F.lit("/games/"),
+                    F.regexp_replace(F.col("archive"), "-", "/"))
 
 
 def read_archive_json(spark: SparkSession, landing: str, archive_base: str = ARCHIVE_BASE) -> DataFrame:
-    """S3: landed archive files → one row per archive with its games array."""
+    """S3: landed archive files → one row per archive with its games array. For files known to be sound;
+    loads go through ``quarantine``, which also accounts for what cannot be read."""
     raw = spark.read.schema(LANDING_SCHEMA).json(landing)
     return with_archive_identity(raw, archive_base)
 
@@ -74,22 +84,30 @@ def list_archives(spark: SparkSession, landing: str) -> DataFrame:
     return names.select(part("username").alias("username"), part("archive").alias("archive")).distinct()
 
 
-def read_selected_archives(spark: SparkSession, landing: str, history: DataFrame, params: Params,
-                           archive_base: str = ARCHIVE_BASE) -> DataFrame:
+def read_selected_lines(spark: SparkSession, landing: str, history: DataFrame, params: Params,
+                        archive_base: str = ARCHIVE_BASE) -> DataFrame:
     """S6 and S7 before the read: the archives to load are selected from the listing by history and
-    month. The earliest selected month, and the players where they are few, prune the partitions that
+    month; their lines are returned. The earliest selected month, and the players where they are few, prune the partitions that
     are opened; a semi join keeps exactly the selected archives."""
     listed = list_archives(spark, landing)
-    url = F.concat(F.lit(archive_base), "username", F.lit("/games/"), F.regexp_replace("archive", "-", "/"))
     keep = filter_archives_by_min_month(
-        filter_archives_by_history(listed.withColumn("archive_url", url), history), params.min_archive)
+        filter_archives_by_history(listed.withColumn("archive_url", _archive_url(archive_base)), history), params.min_archive)
     first, players = keep.agg(F.min("archive"), F.count_distinct("username")).first()
-    raw = spark.read.schema(LANDING_SCHEMA).json(landing).filter(F.col("archive") >= (first or "9999-99"))
+    raw = quarantine.read_lines(spark, landing).filter(F.col("archive") >= (first or "9999-99"))
     if 0 < players <= PRUNE_PLAYERS:
         raw = raw.filter(F.col("username").isin([r[0] for r in keep.select("username").distinct().collect()]))
     kept = keep.select(F.col("username").alias("__u"), F.col("archive").alias("__a"))
-    chosen = raw.join(kept, (raw["username"] == kept["__u"]) & (raw["archive"] == kept["__a"]), "left_semi")
-    return with_archive_identity(chosen, archive_base)
+    return raw.join(kept, (raw["username"] == kept["__u"]) & (raw["archive"] == kept["__a"]), "left_semi")
+
+
+def archive_game() -> Column:
+    """A staging row's game as the object that an archive lists."""
+    side = lambda s: F.struct(F.col(f"{s}_username").alias("username"), F.col(f"{s}_rating").alias("rating"),
+                              F.col(f"{s}_result").alias("result"), F.col(f"{s}_id").alias("@id"),
+                              F.col(f"{s}_uuid").alias("uuid"))
+    return F.struct("url", "pgn", "time_control", F.col("end_time_integer").alias("end_time"), "rated", "tcn",
+                    F.col("game_uuid").alias("uuid"), "initial_setup", "fen", "time_class", "rules",
+                    side("white").alias("white"), side("black").alias("black"))
 
 
 def land_archives(games: DataFrame, landing: str, games_per_object: int = 200) -> None:
@@ -97,12 +115,7 @@ def land_archives(games: DataFrame, landing: str, games_per_object: int = 200) -
 
     A (player, month) becomes as many objects as it needs, of about ``games_per_object`` games each,
     one object per line: no row grows with the archive. Rows are dealt to objects by a hash of the game."""
-    side = lambda s: F.struct(F.col(f"{s}_username").alias("username"), F.col(f"{s}_rating").alias("rating"),
-                              F.col(f"{s}_result").alias("result"), F.col(f"{s}_id").alias("@id"),
-                              F.col(f"{s}_uuid").alias("uuid"))
-    game = F.struct("url", "pgn", "time_control", F.col("end_time_integer").alias("end_time"), "rated", "tcn",
-                    F.col("game_uuid").alias("uuid"), "initial_setup", "fen", "time_class", "rules",
-                    side("white").alias("white"), side("black").alias("black"))
+    game = archive_game()
     keys = ["username", "archive"]
     dated = games.withColumn("archive", F.regexp_replace(F.right("archive_url", F.lit(7)), "/", "-"))
     objects = dated.groupBy(*keys).agg(F.ceil(F.count("*") / games_per_object).alias("__objects"))
@@ -189,16 +202,46 @@ def materialize_table(df: DataFrame, path: str, sort_within: list | None = None,
     w.parquet(path)
 
 
+_TEXT, _COUNT = T.StringType(), T.LongType()
+REJECTS = T.StructType([T.StructField(n, _TEXT) for n in ("file", "username", "archive", "reason", "raw", schemas.LOAD_PARTITION)])
+ACCOUNTS = T.StructType([
+    *[T.StructField(n, _TEXT) for n in ("file", "username", "archive")],
+    *[T.StructField(n, _COUNT) for n in ("lines", "broken_lines", "games_read", "games_kept", *[f"rejected_{r}" for r in quarantine.REASONS])],
+    T.StructField(schemas.LOAD_PARTITION, _TEXT)])
+
+
+def rejects_root(games_root: str) -> str:
+    """Where the rejects of the loads into ``games_root`` go."""
+    return f"{games_root.rstrip('/')}_rejects"
+
+
+def accounts_root(games_root: str) -> str:
+    """Where the per-file accounts of the loads into ``games_root`` go."""
+    return f"{games_root.rstrip('/')}_accounts"
+
+
+def append_lines(lines: DataFrame, history: DataFrame, games_root: str, now: _dt.datetime, load_ts: str,
+                 archive_base: str = ARCHIVE_BASE) -> None:
+    """Archive lines (file, username, archive, value) → the load's snapshot of new games (S8), its rejects
+    and its account of every file read. The lines are parsed once."""
+    parsed = landed(quarantine.parse_lines(lines), "parsed")
+    games = quarantine.kept(parsed).withColumn("archive_url", _archive_url(archive_base))
+    batch = filter_new_games(flatten_games(games, now.strftime("%Y-%m-%d %H:%M:%S")), history)
+    append_snapshot(quarantine.rejects(parsed), rejects_root(games_root), load_ts)
+    append_snapshot(quarantine.account(parsed), accounts_root(games_root), load_ts)
+    append_snapshot(batch, games_root, load_ts)
+
+
 def load_games(spark: SparkSession, landing: str, games_root: str, params: Params = Params(),
                now: _dt.datetime | None = None, archive_base: str = ARCHIVE_BASE) -> str:
-    """Entry 1 on landed files, as one lazy plan appended at the end: archive selection from the
-    listing (S6, S7) → flatten (S3) → new games only (S8). Returns the load suffix used."""
+    """Entry 1 on landed files: archive selection from the listing (S6, S7) → lines parsed, with
+    rejects and an account per file beside the games (S3) → new games only (S8). Returns the load
+    suffix used. An archive that is read again (the latest month) is accounted for again."""
     now = now or _dt.datetime.now()
     history = load_history(read_snapshots(spark, games_root, schemas.GAMES))
-    archives = read_selected_archives(spark, landing, history, params, archive_base)
-    batch = filter_new_games(flatten_archive_games(archives, now.strftime("%Y-%m-%d %H:%M:%S")), history)
+    lines = read_selected_lines(spark, landing, history, params, archive_base)
     ts = load_suffix(now)
-    append_snapshot(batch, games_root, ts)
+    append_lines(lines, history, games_root, now, ts, archive_base)
     return ts
 
 

@@ -249,10 +249,10 @@ def test_load_reads_only_selected_archives(spark, tmpdir_path):
     history = ig.load_history(ig.read_snapshots(spark, root, schemas.GAMES))
     listed = {(r.username, r.archive) for r in ig.list_archives(spark, landing).collect()}
     assert listed == {("alice", "2025-01"), ("alice", "2025-02"), ("a b", "2025-01")}
-    chosen = ig.read_selected_archives(spark, landing, history, P)
-    assert sorted(r.archive_url[-7:] for r in chosen.filter("username = 'alice'").collect()) == ["2025/02"]
+    chosen = ig.read_selected_lines(spark, landing, history, P)
+    assert [r.archive for r in chosen.filter("username = 'alice'").collect()] == ["2025-02"]
     assert chosen.count() == 2
-    late = ig.read_selected_archives(spark, landing, history, P.with_(min_archive="2025/02"))
+    late = ig.read_selected_lines(spark, landing, history, P.with_(min_archive="2025/02"))
     plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(late._jdf.queryExecution(), "formatted")
     scan = [x for x in plan.splitlines() if x.startswith("PartitionFilters") and "2025-02" in x]
     assert scan and "alice" in scan[0] and late.count() == 1

@@ -1,0 +1,164 @@
+"""Damaged archives and nested move text: the depth automaton, the rejects and the accounts."""
+
+import datetime as dt
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from plyscope import schemas
+from plyscope.functions.nesting import inside, outermost
+from plyscope.params import Params
+from plyscope.plans import scoring as sc
+from plyscope.sources import ingest as ig
+from plyscope.sources import quarantine as qn
+
+from fixtures import AS_OF
+
+P = Params(as_of=AS_OF)
+NOW = dt.datetime(2025, 3, 31, 6, 0)
+
+
+def _game(i, **more):
+    return {"url": f"u{i}", "pgn": '[Event "x \\"q\\" {[("]\n1. e4 {[%clk 0:01:00]} e5', "end_time": 100 + i, "uuid": f"g{i}",
+            "white": {"username": "a", "rating": 5}, "black": {"username": "b"}, **more}
+
+
+def _line(*games):
+    return json.dumps({"games": list(games)})
+
+
+def _write(landing, lines, user="al", month="2025-03", name="a"):
+    d = os.path.join(landing, f"username={user}", f"archive={month}")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, f"{name}.json"), "w") as f:
+        f.write("\n".join(lines))
+
+
+# ---------------------------------------------------------------- the automaton
+
+def plain_outermost(tokens):
+    depth, out = 0, []
+    for t in tokens:
+        depth = depth + 1 if t == "(" else max(0, depth - 1) if t == ")" else depth
+        if depth == 0 and t not in "()":
+            out.append(t)
+    return out
+
+
+def plain_inside(tokens, level):
+    depth, start, out = 0, None, []
+    for i, t in enumerate(tokens):
+        before, depth = depth, depth + 1 if t == "(" else max(0, depth - 1) if t == ")" else depth
+        if (before, depth) == (level - 1, level):
+            start = i
+        elif (before, depth) == (level, level - 1) and start is not None:
+            out.append(("".join(tokens[start:i + 1]), True))
+            start = None
+    return out + ([("".join(tokens[start:]), False)] if start is not None else [])
+
+
+def test_automaton_against_a_plain_loop(spark):
+    rng = random.Random(6)
+    rows = [(["()ab"[rng.randrange(4)] for _ in range(rng.randrange(0, 30))],) for _ in range(400)]
+    rows += [(["("] * 200 + ["x"] + [")"] * 200 + ["y"],), ([],), (["(", "a"],), ([")", "a", "(", ")", ")", "b"],)]
+    t = F.col("t")
+    got = spark.createDataFrame(rows, "t array<string>").select(
+        t, outermost(t, ("(",), (")",)).alias("out"), *[inside(t, ("(",), (")",), k).alias(f"in{k}") for k in (1, 2, 3)]).collect()
+    for r in got:
+        assert r.out == plain_outermost(r.t)
+        for k in (1, 2, 3):
+            assert [(x.text, x.complete) for x in r[f"in{k}"]] == plain_inside(r.t, k)
+
+
+@pytest.mark.parametrize("text,moves", [
+    ("1. e4 " + "(1. d4 " * 8 + ") " * 8 + "1... e5 2. Nf3", ["e4", "e5", "Nf3"]),
+    ("1. e4 (" + "( x ) " * 50 + ") e5", ["e4", "e5"]),
+    ("1. e4 {a ) (b} e5 ; rest ( of the line\n2. Nf3 (2. c3", ["e4", "e5", "Nf3"]),
+    ("e4 ) e5", ["e4", "e5"]), ("1. e4 {never closed ( e5", ["e4"]),
+    ('[Event "a ] {b ("]\n[Site "c \\" )"]\n1. e4 e5 0-1', ["e4", "e5"]), ("(a)", []), (None, []),
+])
+def test_moves_at_any_depth(spark, text, moves):
+    got = spark.createDataFrame([(text,)], "pgn string").select(sc.ply_tokens("pgn").alias("t")).first().t
+    assert (got or []) == moves
+
+
+# ---------------------------------------------------------------- parsing
+
+LINES = [
+    (_line(_game(1), _game(2), _game(3)), [None] * 3),
+    (_line(_game(4), _game(5), _game(6))[:-40], [None, None, "fragment"]),
+    (_line(_game(7), _game(8))[:len(_line(_game(7))) + 20], [None, "fragment"]),
+    ("<html>", ["line"]), ("", []), ("   ", []), ('{"games":[]}', []), ('{"x":[{"url":"u"}]}', ["line"]), ("[1,2]", ["line"]),
+    ('{"games": 7}', ["line"]), (_line(_game(9), None, 5, "x", {}), [None, "element", "element", "element", None]),
+    (_line(_game(10, white={"username": "a", "rating": "n/a"}), _game(11)), ["field", None]),
+    ('{"games":[{"url":"z"', ["fragment"]), (_line(_game(12, end_time="soon")), ["field"]),
+    ('{"games":[' + json.dumps(_game(13)) + ' oops ' + json.dumps(_game(14)) + "]}", [None, None]),
+    (_line(_game(15, extra={"a": {"b": {"c": [1, {"d": "}"}]}}}))[:-1], [None]),
+]
+
+
+def test_every_line_is_parsed_or_accounted_for(spark, tmpdir_path):
+    _write(tmpdir_path, [x for x, _ in LINES])
+    parsed = qn.parse_lines(qn.read_lines(spark, tmpdir_path)).cache()
+    want = [r for _, rs in LINES for r in rs]
+    assert sorted(r.reason or "" for r in parsed.collect() if r.reason or r.is_game) == sorted(r or "" for r in want)
+    games = {r.g.url for r in qn.kept(parsed).collect()}
+    assert games == {f"u{i}" for i in (1, 2, 3, 4, 5, 7, 9, 11, 13, 14, 15)} | {None}
+    a = qn.account(parsed).first()
+    assert (a.lines, a.broken_lines) == (14, 9) and a.games_kept == want.count(None)
+    assert a.games_read == a.games_kept + a.rejected_fragment + a.rejected_element + a.rejected_field
+    assert [a[f"rejected_{r}"] for r in qn.REASONS] == [want.count(r) for r in qn.REASONS]
+    assert all(r.raw for r in qn.rejects(parsed).collect())
+    parsed.unpersist()
+
+
+def test_a_cut_line_keeps_its_whole_games(spark, tmpdir_path):
+    """Cut anywhere, a line keeps just the games that end before the cut."""
+    full = _line(*[_game(i) for i in range(4)])
+    ends = [full.index(json.dumps(_game(i))) + len(json.dumps(_game(i))) for i in range(4)]
+    cuts = list(range(12, len(full), 37))
+    for c in cuts:
+        _write(tmpdir_path, [full[:c]], user=f"u{c}")
+    parsed = qn.parse_lines(qn.read_lines(spark, tmpdir_path))
+    got = {r.username: r["count"] for r in qn.kept(parsed).groupBy("username").count().collect()}
+    assert got == {f"u{c}": n for c in cuts if (n := sum(e <= c for e in ends))}
+
+
+def test_load_keeps_rejects_and_accounts(spark, tmpdir_path):
+    landing, root = f"{tmpdir_path}/landing", f"{tmpdir_path}/games"
+    _write(landing, [_line(_game(1)), _line(_game(2), _game(3))[:-30], _line({"uuid": "bare", "end_time": 5})])
+    _write(landing, ["junk"], user="bo")
+    ig.load_games(spark, landing, root, P.with_(min_archive="2025/01"), now=NOW)
+    games = {r.game_uuid: r for r in ig.read_snapshots(spark, root, schemas.GAMES).collect()}
+    assert set(games) == {"g1", "g2", "bare"}
+    bare = games["bare"]     # F28: every missing field has its default, audit columns are set
+    assert (bare.url, bare.rated, bare.time_class, bare.white_username, bare.white_rating) == ("", False, "", "", None)
+    assert (bare.username, bare.bq_load_date, bare.load_ts) == ("al", "2025-03-31 06:00:00", "20250331_0600")
+    rejects = spark.read.schema(ig.REJECTS).parquet(ig.rejects_root(root)).collect()
+    assert {(r.username, r.reason, r.load_ts) for r in rejects} == {("al", "fragment", "20250331_0600"), ("bo", "line", "20250331_0600")}
+    accounts = {r.username: r for r in spark.read.schema(ig.ACCOUNTS).parquet(ig.accounts_root(root)).collect()}
+    assert (accounts["al"].games_read, accounts["al"].games_kept, accounts["bo"].games_read) == (4, 3, 0)
+    assert accounts["al"].file.endswith("username=al/archive=2025-03/a.json")
+
+
+def test_stream_keeps_rejects_and_accounts(spark, tmpdir_path):
+    from plyscope.streaming.ingest_stream import ingest_stream
+    landing, root = f"{tmpdir_path}/landing", f"{tmpdir_path}/games"
+    _write(landing, [_line(_game(1)), _line(_game(2), _game(3))[:-30]])
+    for _ in range(2):
+        ingest_stream(spark, landing, root, f"{tmpdir_path}/c", clock=lambda: NOW).awaitTermination()
+    assert {r.game_uuid for r in ig.read_snapshots(spark, root, schemas.GAMES).collect()} == {"g1", "g2"}
+    assert [r.reason for r in spark.read.schema(ig.REJECTS).parquet(ig.rejects_root(root)).collect()] == ["fragment"]
+    assert spark.read.schema(ig.ACCOUNTS).parquet(ig.accounts_root(root)).first().games_kept == 2
+
+
+def test_sound_archives_load_as_before(spark, tmpdir_path):
+    """Parsing game by game gives the rows that reading the objects whole gives."""
+    _write(tmpdir_path, [_line(*[_game(i, rated=True, time_class="blitz") for i in range(3)]), _line(_game(7))])
+    whole = ig.flatten_archive_games(ig.read_archive_json(spark, tmpdir_path), "t")
+    parsed = qn.kept(qn.parse_lines(qn.read_lines(spark, tmpdir_path))).withColumn(
+        "archive_url", F.lit(whole.first().archive_url))
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, ig.flatten_games(parsed, "t").collect()), key=str)
