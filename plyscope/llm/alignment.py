@@ -7,6 +7,11 @@ same spans). A token whose span is as wide as its decoded bytes ends where its s
 (parts of a multibyte character, byte-fallback tokens, which share or lack a span) form runs that
 are cut by the tokens' decoded bytes instead.
 
+Both tokenizers cut before a single space between two other characters, whatever stands around it (A by its
+pre-tokens, B since no entry has a space after another character, which is checked). So texts are
+encoded in such parts, and a part that occurs again is answered from a bounded cache: groups and links of a text are
+those of its parts.
+
 Where an A and a B token both end, a group ends. Between two neighbouring ends of either kind lies
 just one overlapping pair of tokens, a link.
 
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 from itertools import chain
 
 import numpy as np
@@ -34,8 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm.common import id_text, prepare, written
+from plyscope.llm.wordcache import Generations
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 12 << 20
+#: parts that a worker remembers (twice as many at most)
+CACHED_PARTS = 150_000
+_BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -81,11 +91,16 @@ class Aligner:
         # an id with what follows it in the list of groups
         self.shown = [f"{i}{sep}" for n, seps in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for i in range(n) for sep in seps]
 
-    def text(self, text: str):
-        """(A ids, their byte ends, B ids, their byte ends) in space + text; None without tokens."""
-        if not text:
-            return None
-        spaced = " " + text
+        self.apart = all("▁" not in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.fresh = {}
+        self.known = Generations(lambda part: self.fresh[part], CACHED_PARTS)
+
+    def parts(self, text: str) -> list[str]:
+        return _BREAK.split(text) if self.apart else [text]
+
+    def spans(self, part: str):
+        """(A ids, their byte ends, B ids, their byte ends) in space + part; None where they do not spell it."""
+        spaced = " " + part
         data = spaced.encode()
         enc = self.a.encode(spaced, add_special_tokens=False)
         ids = enc.ids
@@ -98,7 +113,7 @@ class Aligner:
             span = np.concatenate(([0], np.cumsum(wide)))[span]
         ids_a = np.array(ids, np.int64)
         ends_a = cuts(span[::2], span[1::2], self.width_a[ids_a])
-        enc = self.b.encode(text, return_type="offset_mapping", return_bytes=True)
+        enc = self.b.encode(part, return_type="offset_mapping", return_bytes=True)
         ids = enc["ids"]
         if b"".join(map(self.bytes_b.__getitem__, ids)) != data:
             return None
@@ -107,14 +122,72 @@ class Aligner:
         ids_b = np.array(ids, np.int64)
         return ids_a, ends_a, ids_b, cuts(span[::2], span[1::2], self.width_b[ids_b])
 
-    def groups(self, ids_a, ends_a, ids_b, ends_b) -> tuple[int, str]:
-        """The number of groups, and their ids as ``a1,a2|b1;a3|b2,b3``."""
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    def lookup(self, parts) -> list:
+        """(A tokens, B tokens, groups, the groups shown, id pairs of the links) of each part, or None. Parts that are
+        not remembered are encoded together, as one text with spaces between them."""
+        new = [p for p in parts if p not in self.known and p not in self.known.old]
+        for at in range(0, len(new), 50_000):
+            some = new[at:at + 50_000]
+            plain = [p for p in some if self.apart and "▁" not in p and not p[0].isspace() and not p[-1].isspace()]
+            got = self._together(plain) if plain else []
+            if got is None:
+                plain, got = [], []
+            self.fresh.update(zip(plain, got))
+            self.fresh.update((p, self._alone(p)) for p in some if p not in self.fresh)
+        out = [self.known[p] if p not in self.fresh else self.fresh[p] for p in parts]
+        for p in new:
+            if len(p) <= self.known.longest:
+                self.known[p]       # remembered from now on
+        self.fresh.clear()
+        return out
+
+    def _alone(self, part: str):
+        got = self.spans(part)
+        return got and (len(got[0]), len(got[2]), *self.groups(*got), links(*got))
+
+    def _together(self, parts: list[str]):
+        got = self.spans(" ".join(parts))
+        if got is None:
+            return None
+        ids_a, ends_a, ids_b, ends_b = got
+        border = np.cumsum([len(p.encode()) + 1 for p in parts])
+        common, ends = np.intersect1d(ends_a, ends_b, assume_unique=True), np.union1d(ends_a, ends_b)
+        if not np.isin(border, common).all():
+            return None
+        shown, pairs = list(map(self.shown.__getitem__, self._keys(common, *got).tolist())), links(*got)
+        def cut(x):
+            return np.concatenate(([0], np.searchsorted(x, border, "right")))
+        a, b, g, e = map(cut, (ends_a, ends_b, common, ends))
+        s = (a + b).tolist()
+        text = ["".join(shown[s[i]:s[i + 1]])[:-1] for i in range(len(parts))]
+        e = e.tolist()
+        return list(zip(np.diff(a).tolist(), np.diff(b).tolist(), np.diff(g).tolist(), text,
+                        [pairs[e[i]:e[i + 1]].copy() for i in range(len(parts))]))
+
+    def text(self, text: str):
+        """``spans`` of a whole text; None without tokens."""
+        out, at = [], 0
+        for part in self.parts(text) if text else ():
+            got = self.spans(part)
+            if got is None:
+                return None
+            out.append((got[0], got[1] + at, got[2], got[3] + at))
+            at = out[-1][1][-1]
+        return tuple(map(np.concatenate, zip(*out))) if out else None
+
+    def _keys(self, common, ids_a, ends_a, ids_b, ends_b) -> np.ndarray:
+        """Places in ``shown`` of all tokens, group by group."""
         of_a, of_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         keys = np.empty(len(ids_a) + len(ids_b), np.int64)
         keys[np.arange(len(ids_a)) + np.searchsorted(of_b, of_a)] = 2 * ids_a + (common[of_a] == ends_a)
         keys[np.arange(len(ids_b)) + np.searchsorted(of_a, of_b, "right")] = (
             2 * (len(self.bytes_a) + ids_b) + (common[of_b] == ends_b))
+        return keys
+
+    def groups(self, ids_a, ends_a, ids_b, ends_b) -> tuple[int, str]:
+        """The number of groups, and their ids as ``a1,a2|b1;a3|b2,b3``."""
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        keys = self._keys(common, ids_a, ends_a, ids_b, ends_b)
         return len(common), "".join(map(self.shown.__getitem__, keys.tolist()))[:-1]
 
 
@@ -160,51 +233,75 @@ _LINKED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups
 def _gather(path_a: str, path_b: str, chunk_bytes: int):
     """Documents to rows of ``_LINKED``, a chunk at a time."""
     def run(batches):
-        al, task = aligner(path_a, path_b), TaskContext.get().partitionId()
-        held, size, number = [], 0, 0
-
-        def chunk():
-            every = np.concatenate([h[-1] for h in held])
-            pairs, inverse, many = np.unique(every, return_inverse=True, return_counts=True)
-            order = np.argsort(-many, kind="stable")        # frequent pairs first: small places
-            place = np.empty(len(pairs), np.int64)
-            place[order] = np.arange(len(pairs))
-            where, at, places, times = place[inverse].astype("<i4"), 0, [], []
-            for h in held:
-                own, n = np.unique(where[at:at + len(h[-1])], return_counts=True)
-                places.append(own.tobytes())
-                times.append(n.astype("<i4").tobytes())
-                at += len(h[-1])
-            listed = [pairs[order].tolist()] + [None] * (len(held) - 1)
-            counted = [many[order].tolist()] + [None] * (len(held) - 1)
-            cols = list(zip(*held))
-            kinds = [pa.int64()] * 5 + [pa.string()]
-            arrays = [pa.array(c, k) for c, k in zip(cols[:6], kinds)]
-            long_list = pa.list_(pa.int64())
-            arrays += [pa.array([task << 32 | number] * len(held), pa.int64()), pa.array(places, pa.binary()),
-                       pa.array(times, pa.binary()), pa.array(listed, long_list), pa.array(counted, long_list)]
-            return pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in _LINKED.split(", ")])
-
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id"), batch.column("text")):
-                text = text.as_py()
-                got = al.text(text)
-                if got is None:
-                    held.append((doc.as_py(), 0, 0, 0, 0, "", np.zeros(0, np.int64)))
-                else:
-                    n, shown = al.groups(*got)
-                    pairs = links(*got)
-                    held.append((doc.as_py(), len(got[0]), len(got[2]), n, len(pairs),
-                                 hashlib.sha256(shown.encode()).hexdigest(), pairs))
-                size += len(text) + 64
-                if size >= chunk_bytes:
-                    yield chunk()
-                    held, size, number = [], 0, number + 1
-        if held:
-            yield chunk()
+        al, task, number = aligner(path_a, path_b), TaskContext.get().partitionId(), 0
+        for held in _chunks(batches, chunk_bytes):
+            yield _chunk(al, held, task << 32 | number)
+            number += 1
     return run
 
 
+def _chunks(batches, chunk_bytes: int):
+    """Lists of (doc_id, text) of about so many bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column("doc_id"), batch.column("text")):
+            held.append((doc.as_py(), text.as_py()))
+            size += len(held[-1][1]) + 64
+            if size >= chunk_bytes:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _chunk(al: Aligner, held: list, name: int) -> pa.RecordBatch:
+    known, docs = {}, []    # the chunk's distinct parts, numbered; each text's parts by number
+    for _, text in held:
+        docs.append([known.setdefault(p, len(known)) for p in (al.parts(text) if text else ())])
+    parts = al.lookup(known)
+    none = np.zeros(0, np.int64)
+    sizes = np.array([(0, 0, 0) if p is None else p[:3] for p in parts], np.int64).reshape(-1, 3)
+    shown = [None if p is None else p[3] for p in parts]
+    of_part = [none if p is None else p[4] for p in parts]
+    flat = np.concatenate([none, *of_part])
+    length = np.array([len(x) for x in of_part], np.int64)
+    first = np.concatenate(([0], np.cumsum(length)))
+    readable = np.array([s is not None for s in shown], bool)
+    del parts, known
+
+    pairs, place = np.unique(flat, return_inverse=True)
+    numbered, many = [], np.zeros(len(pairs), np.int64)
+    counts, digests = [], []
+    for own in docs:
+        at = np.array(own, np.int64)
+        if not len(at) or not readable[at].all():
+            numbered.append((none, none))
+            counts.append((0, 0, 0, 0))
+            digests.append("")
+            continue
+        counts.append((*sizes[at].sum(0).tolist(), int(length[at].sum())))
+        digests.append(hashlib.sha256(";".join(map(shown.__getitem__, own)).encode()).hexdigest())
+        part, times = np.unique(at, return_counts=True)
+        # the links of the text's distinct parts, each as often as its part occurs
+        n = length[part]
+        link = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[part], n)
+        pair, again = np.unique(place[link], return_inverse=True)
+        times = np.bincount(again, np.repeat(times, n)).astype(np.int64)
+        many[pair] += times
+        numbered.append((pair, times))
+    used = np.flatnonzero(many)
+    used = used[np.argsort(-many[used], kind="stable")]     # frequent pairs first: small places
+    rank = np.zeros(len(pairs), "<i4")
+    rank[used] = np.arange(len(used))
+    long_list, rest = pa.list_(pa.int64()), [None] * (len(held) - 1)
+    cols = [pa.array(c, pa.int64()) for c in zip(*counts)]
+    arrays = [pa.array([d for d, _ in held], pa.int64()), *cols, pa.array(digests, pa.string()),
+              pa.array([name] * len(held), pa.int64()), pa.array([rank[p].tobytes() for p, _ in numbered], pa.binary()),
+              pa.array([t.astype("<i4").tobytes() for _, t in numbered], pa.binary()),
+              pa.array([pairs[used].tolist(), *rest], long_list), pa.array([many[used].tolist(), *rest], long_list)]
+    return pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in _LINKED.split(", ")])
+
+
 _OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 

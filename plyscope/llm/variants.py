@@ -86,7 +86,8 @@ def near_words(words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.bool_()))],
                                              ["word", "key", "pivot"])
 
-    index = written(words.select("word").mapInArrow(run, "word string, key string, pivot boolean"))
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = written(words.select("word").repartition(parts, "word").mapInArrow(run, "word string, key string, pivot boolean"))
     left = index.filter("pivot").select("key", F.col("word").alias("a"))
     right = index.select("key", F.col("word").alias("b"))
     close = ((F.col("a") != F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1)
