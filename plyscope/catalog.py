@@ -20,7 +20,7 @@ from plyscope.plans import intermediate as im
 from plyscope.plans import quality as qa
 from plyscope.plans import reporting as rp
 from plyscope.plans import scoring as sc
-from plyscope.sources import adapter
+from plyscope.sources import adapter, bucketed
 from plyscope.sources import ingest as ig
 
 P = ADAPTER_PARAMS
@@ -29,6 +29,7 @@ PB = BENCHMARK_PARAMS
 PE = P.with_(min_games_played=1)
 PS = P.with_(month_history_depth=Params().month_history_depth)
 PK = P.with_(keep_keyless=True)
+PKS = PK.with_(massive_blunder_drop=70, blunder_drop=40, mistake_drop=10, even_limit=15, balanced_limit=45)
 # Alias seed used by the alias-merge query (case differs on purpose).
 ALIAS_SEED = (("asia", "EURASIA"), ("Europe", "EURASIA"))
 # Audit subject (username, class, range) on the driver tables.
@@ -78,9 +79,9 @@ def _models(spark, sf, p: Params = P):
     return im.games(sg, p), im.games_moves(sm, p)
 
 
-def gwm(spark, sf, p: Params = P, game_filter=None) -> DataFrame:
+def gwm(spark, sf, p: Params = P, game_filter=None, segmented_keyless: bool = False) -> DataFrame:
     g, m = _models(spark, sf, p)
-    return rp.games_with_moves(g, m, rp.mapping_frame(spark, p), p, game_filter)
+    return rp.games_with_moves(g, m, rp.mapping_frame(spark, p), p, game_filter, segmented_keyless)
 
 
 def agg(spark, sf, p: Params = P, with_flag: bool = False) -> DataFrame:
@@ -184,12 +185,46 @@ def q_games_with_moves(spark, sf):
 
 
 def q_keyless_kept(spark, sf):
-    """The move-grain rows with keyless games kept: every keyless game meets every keyless move. Only
-    columns that do not depend on an order within a game, which keyless games share."""
-    return gwm(spark, sf, PK).select("game_uuid", "username", "url", "move_number", "move", "player_color_turn",
+    """The move-grain rows with keyless games kept: every keyless game meets every keyless move."""
+    return gwm(spark, sf, PK, segmented_keyless=True).select("game_uuid", "username", "url", "move_number", "move", "player_color_turn",
                                      "is_playing_turn", "score_playing", "playing_rating_range")
 
 
+def q_keyless_swings(spark, sf):
+    """N1–N5 over the keyless games of a player, which share one key and so one sequence: lags and first
+    values by segmented scans. The thresholds suit the small scores of the seeded supplier."""
+    w = gwm(spark, sf, PKS, segmented_keyless=True).filter(F.col("game_uuid") == "")
+    return w.select("username", "url", "move_number", "move", "score_playing", "prev_score_playing", "variance_score_playing",
+                    "prev_position_status_playing", "miss_category_playing", "miss_category_opponent", "miss_context_playing",
+                    "first_blunder_playing_turn_name", _r("prct_time_remaining"))
+
+
+def _loaded_twice(sg: DataFrame) -> DataFrame:
+    """The staging games, those that ended on every fifth day loaded again with clocks a fifth of a second later."""
+    again = sg.filter(F.floor(F.col("end_time_integer") / 86400) % 5 == 0)
+    return sg.unionByName(again.withColumn("pgn", F.replace("pgn", F.lit(".5]}"), F.lit(".7]}"))))
+
+
+def clock_join_plan(spark, sf):
+    """J3 over co-bucketed tables of games, moves and exploded clocks, some pairs loaded twice."""
+    from plyscope.session import checkpoint_dir
+    sg, sm = _staging(spark, sf)
+    g, m = im.games(_loaded_twice(sg), P), im.games_moves(sm, P)
+    run = uuid.uuid4().hex
+    names = bucketed.stage_by_game({"games": g.drop("pgn"), "moves": m, "times": im.games_times(g)},
+                                   f"{checkpoint_dir(spark)}/bucketed-{run}", f"plyscope_{run}",
+                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
+    own = bucketed.co_located(spark)
+    t = {k: own.table(v) for k, v in names.items()}
+    return rp.games_with_moves(t["games"], t["moves"], rp.mapping_frame(own, P), P, times=t["times"])
+
+
+def q_clock_join(spark, sf):
+    """Every ply of every loaded row with the clocks of all rows of its game and player."""
+    return clock_join_plan(spark, sf).select("game_uuid", "username", "url", "move_number", "move", "time_remaining_seconds",
+                                             "score_playing")
+
+
 # ---------------------------------------------------------------- aggregate
 
 def _agg_rounded(spark, sf, with_flag: bool = False):

@@ -23,3 +23,16 @@ def count_over(df: DataFrame, keys: Sequence[str], out: str, keyed: DataFrame |
         c = df[k].eqNullSafe(renamed[f"__k_{i}"])
         cond = c if cond is None else cond & c
     return df.join(renamed, cond, "left").drop(*[f"__k_{i}" for i in range(len(keys))])
+
+
+def grid_join(left: DataFrame, right: DataFrame, parts: int | None = None) -> DataFrame:
+    """Every row of ``left`` with every row of ``right``, for two sides that share one key value: the rows of one
+    side are dealt over the rows of a grid, the other's over its columns, and each cell is a join key
+    of its own. All cells get the same share of the pairs, whatever the sides hold."""
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = max(1, round(parts ** 0.5))
+    every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    dealt = (F.monotonically_increasing_id() % side).cast("int")
+    a = left.withColumn("__row", dealt).withColumn("__column", every)
+    b = right.withColumn("__column", dealt).withColumn("__row", every)
+    return a.join(b, ["__row", "__column"]).drop("__row", "__column")

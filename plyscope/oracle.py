@@ -432,6 +432,38 @@ FROM scoped s LEFT JOIN (SELECT * FROM {alias} a(account, shown)) ON lower(accou
   m.player_color_turn = playing_as AS is_playing_turn,
   m.score_white * map {{'White': 1, 'Black': -1}}[playing_as] AS score_playing, playing_rating_range
 FROM scoped s, games_moves m WHERE m.game_uuid = s.game_uuid""",
+        "q_keyless_swings": model(cat.PKS) + f""", pair AS (
+  SELECT username, url, m.move_number, m.move, m.player_color_turn AS colour, m.player_color_turn = playing_as AS own,
+         m.score_white * map {{'White': 1, 'Black': -1}}[playing_as] AS score, m.score_white,
+         CASE WHEN m.move_number <= len(regexp_extract_all(pgn, {_q(CLOCK_MARK_PATTERN)})) THEN 3600 - 20 * m.move_number + 0.5 END AS clock
+  FROM scoped s, games_moves m WHERE m.game_uuid = '' AND s.game_uuid = ''
+), told AS (
+  SELECT *, lag(score) OVER of_player AS before, row_number() OVER of_player AS i FROM pair
+  WINDOW of_player AS (PARTITION BY username ORDER BY move_number, url, move, score_white)
+), judged AS (
+  SELECT *, (SELECT max_by(name, loss) FROM miss WHERE CASE WHEN own THEN before - score ELSE score - before END >= loss
+    AND (NOT contested OR (CASE WHEN own THEN before ELSE -before END > -{cat.PKS.balanced_limit}
+                           AND CASE WHEN own THEN score ELSE -score END < {cat.PKS.balanced_limit}))) AS fault FROM told
+)
+SELECT username, url, move_number, move, score AS score_playing, before AS prev_score_playing, score - before AS variance_score_playing,
+  {_status('before', cat.PKS)} AS prev_position_status_playing, CASE WHEN own THEN fault END AS miss_category_playing,
+  CASE WHEN NOT own THEN fault END AS miss_category_opponent,
+  CASE WHEN own AND fault <> 'Mistake' THEN map {{'Even': 'Throw', 'Disadvantage': 'Throw', 'Advantage': 'Missed Opportunity'}}[
+    {_status('before', cat.PKS)}] END AS miss_context_playing,
+  min_by(CASE WHEN own THEN 'Playing Turn' ELSE 'Opponent Turn' END, i) FILTER (fault = 'Massive Blunder') OVER (PARTITION BY username)
+    AS first_blunder_playing_turn_name,
+  round(clock / min_by(clock, i) OVER (PARTITION BY username, colour), {R}) AS prct_time_remaining
+FROM judged""",
+        "q_clock_join": _with(st, f"""
+loaded AS (
+  SELECT * FROM stg_games UNION ALL
+  SELECT * REPLACE (replace(pgn, '.5]}}', '.7]}}') AS pgn) FROM stg_games WHERE end_time_integer // 86400 % 5 = 0
+)""", _lookups(P), _games(P).replace("FROM stg_games", "FROM loaded")) + """SELECT s.game_uuid, s.username, s.url, m.move_number, m.move,
+  t.time_remaining_seconds, score AS score_playing
+FROM scoped s JOIN games_moves m ON m.game_uuid = s.game_uuid
+LEFT JOIN games_times t ON t.game_uuid = s.game_uuid AND t.username = s.username AND t.move_number = m.move_number,
+LATERAL (SELECT m.score_white * map {'White': 1, 'Black': -1}[playing_as] AS score)
+WHERE s.game_uuid <> ''""",
         "q_agg_levels": whole_agg,
         "q_agg_phase_pivot": of_agg(*[c for c in AGG_COLUMNS(P) if c.startswith("nb_")]),
         "q_agg_clock_min": of_agg(*agg_rounded[1:]),

@@ -43,7 +43,9 @@ def run(spark: SparkSession, staging_games: DataFrame, staging_moves: DataFrame,
     paths = {t: f"{out_dir}/{t}" for t in TABLES}
 
     # one partition (or a few, where a month is large) per month, so few files
-    (views["games_with_moves"].hint("rebalance", "end_time_month").write.mode("overwrite").partitionBy("end_time_month")
+    grain = rp.games_with_moves(views["games"], views["games_moves"], mapping if mapping is not None else rp.mapping_frame(spark, params),
+                                params, segmented_keyless=True)
+    (grain.hint("rebalance", "end_time_month").write.mode("overwrite").partitionBy("end_time_month")
      .parquet(paths["games_with_moves"]))
     gwm = spark.read.parquet(paths["games_with_moves"])
 

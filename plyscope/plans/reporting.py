@@ -9,13 +9,15 @@ from plyscope import schemas
 from plyscope.functions import core as fx
 from plyscope.operators import classify as cl
 from plyscope.operators import sequence as sq
-from plyscope.operators.joins import count_over
+from plyscope.operators.joins import count_over, grid_join
+from plyscope.operators.segments import First, Lag, cut_segments, segmented_scan
 from plyscope.params import Params
 
 GAME_KEYS = ("game_uuid", "username")
 # Ply order inside a (game, player) partition. Two aliases of one person in the same game merge into
-# one partition with two rows per ply; their raw account name breaks the tie deterministically.
-PLY_ORDER = ("move_number", "__raw_username")
+# one partition with two rows per ply; their raw account name breaks the tie deterministically. Games
+# that share a key (keyless ones, repeated rows) are told apart by URL, move and score.
+PLY_ORDER = ("move_number", "__raw_username", "url", "move", "score_white")
 
 GWM_COLUMNS = (
     "game_uuid", "archive_url", "username", "url", "end_time", "end_time_date", "end_time_month",
@@ -53,7 +55,8 @@ def merge_accounts(games: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, params: Params = Params(),
-                     game_filter: Column | None = None) -> DataFrame:
+                     game_filter: Column | None = None, segmented_keyless: bool = False,
+                     times: DataFrame | None = None) -> DataFrame:
     """One row per (player, game, ply) with swings, miss categories and their context.
 
     Game-level work (scope, alias, bands, clock seconds) is done before the join so it runs once per
@@ -64,6 +67,14 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
     ``game_filter`` is an optional predicate on game-level columns (e.g. a date window, a class, the
     rating bands). A filter on the finished table cannot be pushed below its windows, so consumers
     that need a subset of games pass it here, where it prunes games before the join.
+
+    ``times`` (``games_times``) makes the clock a join of that table on game, raw player name and ply (J3)
+    instead: a (game, player) pair loaded twice then has each ply of each of its rows with the clocks of
+    both. Over co-bucketed tables (``sources.bucketed``) that join needs no shuffle either.
+
+    Keyless games (see below) are one hot key. The lazy model gives them to plain windows, one
+    partition per player; with ``segmented_keyless`` their pairs are dealt over a grid and scanned in segments
+    instead, which lands them in the shared folder, so that no task gets more than a share of them.
     """
     p = params
     scoped = scope_games(games, p).withColumn("__raw_username", F.col("username"))
@@ -75,7 +86,7 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
         "opponent_rating",
         fx.band_rating(F.col("opponent_rating"), p.rating_edges).alias("opponent_rating_range"),
         "playing_result",
-        fx.clock_seconds_array("pgn").alias("__secs"))
+        *([fx.clock_seconds_array("pgn").alias("__secs")] if times is None else []))
     # A missing uuid is loaded as '' (S3 defaults). Such rows share no real key: the join pairs every
     # keyless game with every keyless move. They are kept unless ``keep_keyless`` is switched off, and
     # counted by the quality report either way.
@@ -85,23 +96,56 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
         g = g.filter(game_filter)
     mv = moves.select("game_uuid", "move_number", "move", "player_color_turn", "score_white", "score_black",
                       "win_probability_white", "win_probability_black")
-    ply = F.col("move_number")
-    secs = F.col("__secs")
-    side = F.col("playing_as")
-    turn = F.col("player_color_turn") == side
     # No join hint: a small game set (one week, one class) is broadcast at run time or filters the
     # moves scan; otherwise this is a sort-merge join on the game key.
-    j = (g.join(mv, "game_uuid", "inner")
-         .withColumns({
-             "time_remaining_seconds": F.when((ply >= 1) & (ply <= F.size(secs)), F.element_at(secs, ply.cast("int"))),
-             "game_phase": fx.band_phase(ply, p.game_phases),
-             "is_playing_turn": turn,
-             "playing_turn_name": F.when(turn, F.lit("Playing Turn")).otherwise(F.lit("Opponent Turn")),
-             "score_playing": fx.pick_by_side(side, "score_white", "score_black"),
-             "win_probability_playing": fx.pick_by_side(side, "win_probability_white", "win_probability_black"),
-             "position_status_playing": fx.position_status(F.col("score_playing"), p.even_limit),
-         })
-         .drop("__secs"))
+    if not (segmented_keyless and p.keep_keyless):
+        return _scanned(_ply_rows(g.join(mv, "game_uuid", "inner"), p, times), p).select(*GWM_COLUMNS)
+    key = F.col("game_uuid")
+    keyed = g.filter(key != "").join(mv.filter(key != ""), "game_uuid", "inner")
+    pairs = grid_join(g.filter(key == ""), mv.filter(key == "").drop("game_uuid"))
+    return _scanned(_ply_rows(keyed, p, times), p).select(*GWM_COLUMNS).unionByName(
+        _scanned_in_segments(_ply_rows(pairs, p, times), p).select(*GWM_COLUMNS))
+
+
+def _with_clock(j: DataFrame, times: DataFrame | None) -> DataFrame:
+    ply = F.col("move_number")
+    if times is None:
+        secs = F.col("__secs")
+        clock = F.when((ply >= 1) & (ply <= F.size(secs)), F.element_at(secs, ply.cast("int")))
+        return j.withColumn("time_remaining_seconds", clock).drop("__secs")
+    t = times.select(F.col("game_uuid").alias("__g"), F.col("username").alias("__u"), F.col("move_number").alias("__m"),
+                     "time_remaining_seconds")
+    return j.join(t, (F.col("game_uuid") == F.col("__g")) & (F.col("__raw_username") == F.col("__u"))
+                  & (ply == F.col("__m")), "left").drop("__g", "__u", "__m")
+
+
+def _ply_rows(j: DataFrame, p: Params, times: DataFrame | None = None) -> DataFrame:
+    """Joined games and moves with what a ply's own row (and its clock) tells."""
+    ply, side = F.col("move_number"), F.col("playing_as")
+    turn = F.col("player_color_turn") == side
+    return _with_clock(j, times).withColumns({
+        "game_phase": fx.band_phase(ply, p.game_phases),
+        "is_playing_turn": turn,
+        "playing_turn_name": F.when(turn, F.lit("Playing Turn")).otherwise(F.lit("Opponent Turn")),
+        "score_playing": fx.pick_by_side(side, "score_white", "score_black"),
+        "win_probability_playing": fx.pick_by_side(side, "win_probability_white", "win_probability_black"),
+        "position_status_playing": fx.position_status(F.col("score_playing"), p.even_limit),
+    })
+
+
+def _judged(j: DataFrame, p: Params) -> DataFrame:
+    j = cl.classify_misses(j, p)
+    return j.withColumn("miss_context_playing", cl.miss_context(F.col("miss_category_playing"),
+                                                                F.col("prev_position_status_playing")))
+
+
+def _massive_turn() -> Column:
+    return cl.massive_blunder_turn(F.col("miss_category_playing"), F.col("miss_category_opponent"),
+                                   F.col("playing_turn_name"))
+
+
+def _scanned(j: DataFrame, p: Params) -> DataFrame:
+    """What other plies of the game tell, by windows."""
     # Clock ÷ clock after the first ply of the same colour in the game. Every player row of a game
     # carries the same plies, so the (game, player) partition finds the same first ply as a
     # (game, colour) partition would.
@@ -109,13 +153,21 @@ def games_with_moves(games: DataFrame, moves: DataFrame, mapping: DataFrame, par
                                    GAME_KEYS, PLY_ORDER, "prct_time_remaining")
     j = sq.score_swing(j, "score_playing", GAME_KEYS, PLY_ORDER, "prev_score_playing", "variance_score_playing")
     j = sq.lag_of(j, "position_status_playing", GAME_KEYS, PLY_ORDER, "prev_position_status_playing")
-    j = cl.classify_misses(j, p)
-    j = j.withColumn("miss_context_playing", cl.miss_context(F.col("miss_category_playing"),
-                                                             F.col("prev_position_status_playing")))
-    first = cl.massive_blunder_turn(F.col("miss_category_playing"), F.col("miss_category_opponent"),
-                                    F.col("playing_turn_name"))
-    j = sq.first_non_null_over(j, first, GAME_KEYS, PLY_ORDER, "first_blunder_playing_turn_name")
-    return j.select(*GWM_COLUMNS)
+    return sq.first_non_null_over(_judged(j, p), _massive_turn(), GAME_KEYS, PLY_ORDER, "first_blunder_playing_turn_name")
+
+
+def _scanned_in_segments(j: DataFrame, p: Params) -> DataFrame:
+    """The same by segmented scans: what does not depend on other scans first, then the first massive blunder."""
+    colour, clock = F.col("player_color_turn"), F.col("time_remaining_seconds")
+    cut = cut_segments(j, GAME_KEYS, PLY_ORDER)
+    j = segmented_scan(cut, GAME_KEYS, PLY_ORDER, [
+        Lag("prev_score_playing", F.col("score_playing")), Lag("prev_position_status_playing", F.col("position_status_playing")),
+        First("__white", clock, colour == F.lit("White")), First("__black", clock, colour == F.lit("Black"))])
+    j = j.withColumns({
+        "variance_score_playing": F.col("score_playing") - F.col("prev_score_playing"),
+        "prct_time_remaining": F.try_divide(clock, F.when(colour == F.lit("White"), F.col("__white")).otherwise(F.col("__black")))})
+    return segmented_scan(_judged(j, p), GAME_KEYS, PLY_ORDER, [
+        First("first_blunder_playing_turn_name", _massive_turn(), skip_nulls=True)])
 
 
 # ---------------------------------------------------------------- A: two-level aggregate
