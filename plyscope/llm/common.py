@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +25,44 @@ def written(df: DataFrame) -> DataFrame:
     that all executors share, and gives Catalyst a true size to choose joins by."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scope():
+    """Collects the paths that ``written`` makes inside, for ``free``."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield paths
+    finally:
+        _OPEN.pop()
+
+
+def free(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that no later plan reads, wherever they are stored."""
+    jvm = spark.sparkContext._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settled(spark: SparkSession, make) -> DataFrame:
+    """The written table of what ``make()`` returns; tables written on the way to it are freed."""
+    with scope() as paths:
+        out = written(make())
+    free(spark, paths[:-1])
+    if _OPEN:
+        _OPEN[-1].append(paths[-1])
+    return out
+
+
 def with_rid(df: DataFrame) -> DataFrame:
     """``df`` plus ``__rid``, a unique row id that is stable because the rows are written with it."""
     return written(df.withColumn(RID, F.monotonically_increasing_id()))

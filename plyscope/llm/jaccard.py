@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import RID, id_text, if_small, prepare, with_rid, written
+from plyscope.llm.common import RID, id_text, if_small, prepare, settled, with_rid, written
 from plyscope.llm.graph import components
 
 GROUPS = 64
@@ -300,8 +300,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
 
     # step 1: members against the least member of each page
     stars = shared.filter("rid <> head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct()
-    links = written(verified(survivors(stars)))
-    label = components(links)
+    links = settled(spark, lambda: verified(survivors(stars)))
+    label = settled(spark, lambda: components(links))
 
     # step 2: pages that still hold several components
     labelled = shared.join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
@@ -324,8 +324,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     found = (rows2.repartition(parts, "page").sortWithinPartitions("page", "rid")
              .select("page", "rid", "label", "n", "vec", "side")
              .mapInArrow(_page_search(num, den), "a long, b long").distinct())
-    more = written(verified(survivors(found)))
-    final = components(links.unionByName(more))
+    more = settled(spark, lambda: verified(survivors(found)))
+    final = settled(spark, lambda: components(links.unionByName(more)))
 
     # every row: its set's representative, that one's component, the component's smallest id
     of_rep = reps.join(final.select(F.col("node").alias("rid"), "label"), "rid", "left").select(

@@ -24,6 +24,10 @@ def _rows(df, names):
 
 def _input(spark):
     docs = table(spark, SF, "documents")
+    # documents labelled as good hold a secret, so that some of those that reach the secret scan do
+    good = F.col("doc_id").isin([r.doc_id for r in table(spark, SF, "labels").filter("quality = 1").collect()])
+    text = F.when(good, F.concat("text", F.lit(" api_key = abcdef123456"))).otherwise(F.col("text"))
+    docs = docs.withColumns({"text": text, "n_chars": F.when(good, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)})
     extra = spark.createDataFrame(AWKWARD + [AWKWARD[3]], DOCS).select(docs.columns)
     return written(clash(docs.unionByName(extra)))
 
