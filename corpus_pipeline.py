@@ -7,10 +7,27 @@ by their file and place in it, so repeated rows, repeated or null ids and extra
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyscope.llm.common import RID, if_small, numbered, table, written
+from plyscope.llm.common import RID, free, if_small, numbered, scope, table, written
+
+_HELD: dict[str, list[str]] = {}
+
+
+def _stage(fn):
+    """A stage whose own tables are freed when the next one begins: its result must be written by then."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        free(spark, _HELD.pop(app, []))
+        with scope() as paths:
+            out = fn(spark, docs, sf_dir)
+        _HELD[app] = paths
+        return out
+    return run
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -24,6 +41,7 @@ def _without(docs: DataFrame, names: list[str], dropped: DataFrame) -> DataFrame
     return docs.join(gone, docs[RID] == gone["__gone"], "left_anti").select(*[F.col(f"`{c}`") for c in names])
 
 
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     from plyscope.llm.quality import score_quality
@@ -32,6 +50,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return _without(docs, names, scored.filter("rejected").select(F.col(RID).alias("doc_id")))
 
 
+@_stage
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents (five-word shingles, similarity 0.8) the one with the
     smallest id stays; documents without words are linked with nothing and stay."""
@@ -46,6 +65,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without(docs, names, gone)
 
 
+@_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a window of a benchmark item go."""
     from plyscope.llm.decontaminate import decontaminate
@@ -54,6 +74,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return _without(docs, names, found.filter("contaminated").select("doc_id"))
 
 
+@_stage
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets, and weak candidates linked with their complements, are replaced in the text by
     ``[SECRET]``; n_chars of such documents follows. No document goes."""
@@ -66,6 +87,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(*[F.col(f"`{c}`") for c in names])
 
 
+@_stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents' token pieces and their places in sequences of 4096 tokens."""
     import public_tokenizers
@@ -87,7 +109,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each one's rows written and read back before the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        with scope() as paths:
+            docs = written(stage(spark, docs, sf_dir))
+        free(spark, before)
+        before = paths
     return STAGES[-1][1](spark, docs, sf_dir)
