@@ -125,21 +125,22 @@ class Aligner:
     def lookup(self, parts) -> list:
         """(A tokens, B tokens, groups, the groups shown, id pairs of the links) of each part, or None. Parts that are
         not remembered are encoded together, as one text with spaces between them."""
-        new = [p for p in parts if p not in self.known and p not in self.known.old]
+        # read before anything is remembered, which may push out older parts
+        found = {p: held[p] for p in parts for held in (self.known, self.known.old) if p in held}
+        new = [p for p in parts if p not in found]
         for at in range(0, len(new), 50_000):
             some = new[at:at + 50_000]
             plain = [p for p in some if self.apart and "▁" not in p and not p[0].isspace() and not p[-1].isspace()]
             got = self._together(plain) if plain else []
-            if got is None:
-                plain, got = [], []
-            self.fresh.update(zip(plain, got))
-            self.fresh.update((p, self._alone(p)) for p in some if p not in self.fresh)
-        out = [self.known[p] if p not in self.fresh else self.fresh[p] for p in parts]
-        for p in new:
+            if got is not None:
+                found.update(zip(plain, got))
+            found.update((p, self._alone(p)) for p in some if p not in found)
+        self.fresh = found
+        for p in parts:
             if len(p) <= self.known.longest:
-                self.known[p]       # remembered from now on
-        self.fresh.clear()
-        return out
+                self.known[p]   # remembered from now on
+        self.fresh = {}
+        return [found[p] for p in parts]
 
     def _alone(self, part: str):
         got = self.spans(part)

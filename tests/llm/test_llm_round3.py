@@ -91,6 +91,21 @@ def test_alignment_against_all_pairs(spark):
         assert [tuple(r[c] for c in cols) for r in got] == plain_align(texts)
 
 
+def test_a_small_cache_changes_nothing():
+    """Parts pushed out of the cache while a chunk is looked up, odd parts among them."""
+    from plyscope.llm.wordcache import Generations
+    rng = random.Random(9)
+    texts = [" ".join([*words(rng, 40, 500), rng.choice(ODD), *words(rng, 5, 60)]) for _ in range(60)]
+    small, large = alignment.Aligner(A, B), alignment.aligner(A, B)
+    small.known = Generations(lambda p: small.fresh[p], 50)
+    for at in range(0, 60, 10):
+        held = list(enumerate(texts[at:at + 10]))
+        assert alignment._chunk(small, held, 1).equals(alignment._chunk(large, held, 1))
+        assert len(small.known) <= 50 and len(small.known.old) <= 50
+    for part in ["w1", "a\nb", " x", "x ", "▁", "w2"]:
+        assert str(small.lookup([part])) == str([small._alone(part)])
+
+
 def test_alignment_awkward_and_empty(spark):
     docs = awkward(spark)
     got = alignment.align_counts(docs, A, B)
