@@ -87,6 +87,18 @@ def if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: groups of more rows than this are joined to their rows by broadcast: at most one such group per so many rows
+HOT = 2_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
+    """``rows`` left join ``groups`` (one row a key, ``size`` says how many of ``rows`` it has). Large
+    groups meet their rows where those lie, so that no task gets all rows of one key."""
+    hot = if_small(written(groups.filter(F.col(size) > HOT)))
+    rest = rows.join(hot.select(*on), on, "left_anti").join(groups.filter(F.col(size) <= HOT), on, "left")
+    return rows.join(hot, on).unionByName(rest)
+
+
 def ascii_lower(col):
     """A-Z to a-z and nothing else."""
     return F.translate(col, LOWER_FROM, LOWER_TO)

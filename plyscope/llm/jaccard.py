@@ -13,14 +13,18 @@ with too few non-empty blocks also publishes under a finer dealing. Linked docum
 a key ("page"), whatever the rest of the corpus looks like, and a passage that many documents share
 fills a page only with documents that consist of little else.
 
-Pages are resolved in two steps, so that a page of many near copies never becomes all its pairs:
-1. every member is compared with its page's least member; verified links are made components;
+Pages are resolved so that a page of many near copies never becomes all its pairs:
+1. in each of up to ``ROUNDS`` rounds, every document goes, with its set, to one of its unresolved pages
+   (first the one with the least member, then one picked by a seeded hash, on which documents with
+   like pages agree), and each such gathering, dealt into chunks of bounded rows and bytes, is searched
+   in one task: an R-tree over its members' count vectors gives the partners, finer counts and then the
+   sets verify them, and a union-find skips what is joined already, so only spanning links come out;
 2. pages that still hold several components are searched through R-trees over the count vectors,
    for pairs across components only. Pages over ``PAGE`` rows are joined into families (pages that
-   share members), which are dealt into chunks and searched chunk by chunk against chunk.
-Surviving pairs are held against finer counts and then verified on the exact shingle sets (64-bit
-hashes). Sets that are equal are
-collapsed before all this.
+   share members), which are dealt into chunks and searched chunk by chunk against chunk. Those pairs
+   are held against finer counts and then verified on the sets.
+Sets are 64-bit shingle hashes; equal ones are collapsed before all this. A set is built once, for
+documents that share a page, and travels once per round.
 
 Results: no words or null text: ``n_shingles`` 0, component of its own. Repeated rows are kept, each
 with the component they share; rows with a null id are grouped like others but cannot name a
@@ -35,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import RID, id_text, if_small, prepare, settled, with_rid, written
+from plyscope.llm.common import RID, id_text, if_small, join_groups, prepare, settled, with_rid, written
 from plyscope.llm.graph import components
 
 GROUPS = 64
@@ -44,6 +48,10 @@ FINE = 512
 FANOUT = 32
 PAGE = 256
 CHUNK = 512
+#: bytes of sets in a chunk, about (a single longer set is a chunk's own)
+CHUNK_BYTES = 32 << 20
+#: gatherings before what is left of the pages is searched pair by pair
+ROUNDS = 3
 #: candidate ids are broadcast up to this many rows (8 bytes each); beyond it they are joined by a shuffle
 BROADCAST_IDS = 1_000_000
 
@@ -129,14 +137,19 @@ def _points(size: int, num: int, den: int):
 def _full_sets(size: int):
     def run(batches):
         for batch in batches:
-            rows = [(*_digest(u), u.tobytes(), np.bincount((u & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
-                     .astype("<u4").tobytes()) for u in sets_of(batch.column("text"), size)]
-            d1, d2, s, fine = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(s, pa.binary()),
-                                              pa.array(fine, pa.binary())], ["d1", "d2", "items", "fine"])
+            rows = [(*_digest(u), u.tobytes()) for u in sets_of(batch.column("text"), size)]
+            d1, d2, s = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(s, pa.binary())],
+                                             ["d1", "d2", "items"])
     return run
 
 
+def _fine_counts(batches):
+    for batch in batches:
+        fine = [_fine(np.frombuffer(x.as_buffer(), "<u8")).astype("<u4").tobytes() for x in batch.column("items")]
+        yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("n"), pa.array(fine, pa.binary())], ["rid", "n", "fine"])
+
+
 def _bound_filter(num: int, den: int, groups: int):
     """Pairs whose summed coordinate minima, over so many groups, still allow a link."""
     def run(batches):
@@ -243,6 +256,61 @@ def _page_search(num: int, den: int):
     return run
 
 
+def _fine(u: np.ndarray) -> np.ndarray:
+    return np.bincount((u & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
+
+
+def spanning(rids, labels, sizes, vecs, sets, num: int, den: int) -> list[tuple[int, int]]:
+    """Links among the rows, found by the tree and verified on the sets: enough of them to join
+    every two rows that links join, given that rows of one label are joined already."""
+    comp = np.unique(labels, return_inverse=True)[1]
+    tree, out, fine = CountTree(vecs, sizes), [], {}
+
+    def counts(i):
+        if i not in fine:
+            fine[i] = _fine(sets[i]).astype(np.int32)
+        return fine[i]
+    for q in range(len(rids)):
+        hit = tree.probe(vecs[q], int(sizes[q]), num, den)
+        hit = hit[(hit > q) & (comp[hit] != comp[q])]
+        while len(hit):
+            # one partner at a time: a link takes the partner's whole component out of the rest
+            h, hit = hit[0], hit[1:]
+            most = int(np.minimum(counts(q), counts(h)).sum())
+            if not linked(sizes[q], sizes[h], most, num, den):
+                continue
+            both = len(np.intersect1d(sets[q], sets[h], assume_unique=True))
+            if linked(sizes[q], sizes[h], both, num, den):
+                out.append((min(rids[q], rids[h]), max(rids[q], rids[h])))
+                comp[comp == comp[h]] = comp[q]
+                hit = hit[comp[hit] != comp[q]]
+    return out
+
+
+def _gathered(num: int, den: int):
+    """Rows sorted by gathering arrive in batches; each gathering is searched when complete."""
+    def run(batches):
+        held: list = []
+
+        def search():
+            rids, labels, sizes, vecs, sets = zip(*[r[1:] for r in held])
+            got = spanning(np.array(rids), np.array(labels), np.array(sizes), np.stack(vecs), sets, num, den)
+            x, y = zip(*got) if got else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+        for batch in batches:
+            cols = [batch.column(c).to_numpy() for c in ("at", "rid", "label", "n")]
+            for i, (at, rid, label, n) in enumerate(zip(*cols)):
+                if held and held[0][0] != at:
+                    if len(held) > 1:
+                        yield search()
+                    held = []
+                held.append((at, rid, label, n, np.frombuffer(batch.column("vec")[i].as_buffer(), "<u4"),
+                             np.frombuffer(batch.column("items")[i].as_py(), "<u8")))
+        if len(held) > 1:
+            yield search()
+    return run
+
+
 def _semi(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     """``df`` rows whose key is among the distinct ``ids``: broadcast where their count is small."""
     other = if_small(ids.select(*[F.col(c).alias(f"__{c}") for c in on]), BROADCAST_IDS)
@@ -264,51 +332,64 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     points = with_rid(base.mapInArrow(_points(n, num, den),
                                       "doc_id long, n long, d1 long, d2 long, vec binary, keys array<long>"))
     # equal sets: one row for each, named by its least row id
-    reps = written(points.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min(RID).alias("rid"), F.count("*").alias("set_copies")))
+    reps = written(points.filter("n > 0").groupBy("d1", "d2", "n").agg(
+        F.min(RID).alias("rid"), F.count("*").alias("set_copies"), F.min("doc_id").alias("first_id")))
     extra = points.filter("n > 0").select(RID, "d1", "d2", "n").join(reps, ["d1", "d2", "n"]).filter(F.col(RID) != F.col("rid")).select(RID)
     rep_points = points.filter("n > 0").join(extra, RID, "left_anti")
     rows = rep_points.select(F.col(RID).alias("rid"), F.explode("keys").alias("page"))
     heads = written(rows.groupBy("page").agg(F.count("*").alias("members"), F.min("rid").alias("head")).filter("members > 1"))
     shared = written(rows.join(heads, "page").select("page", "members", "head", "rid"))
 
-    where = points.select(F.col(RID).alias("rid"), "d1", "d2", "n", "vec")
-
-    def survivors(pairs: DataFrame) -> DataFrame:
-        left = where.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("vec").alias("va"))
-        right = where.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("vec").alias("vb"))
-        sized = pairs.join(left, "a").join(right, "b").filter(
-            F.col("na") * num <= F.col("nb") * den).filter(F.col("nb") * num <= F.col("na") * den)
-        return sized.select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, GROUPS), "a long, b long")
+    # the sets of documents that share a page, rebuilt from the texts of just those
+    nodes = shared.select("rid").distinct()
+    keyed = written(points.withColumnRenamed(RID, "rid").join(nodes, "rid", "left_semi").select("rid", "doc_id", "d1", "d2", "n", "vec"))
+    full = (_semi(base, keyed.select("doc_id").distinct(), ["doc_id"])
+            .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary").dropDuplicates(["d1", "d2"]))
+    sets = written(full.join(keyed, ["d1", "d2"]).select("rid", "n", "vec", "items"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs that are linked, on sets rebuilt from the texts of just those documents."""
+        """The pairs that are linked. Most of the others fall to finer counts, before sets are sent."""
         pairs = written(pairs)
-        nodes = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct()
-        keyed = written(nodes.join(points.select(F.col(RID).alias("rid"), "doc_id", "d1", "d2"), "rid"))
-        full = (_semi(base, keyed.select("doc_id").distinct(), ["doc_id"])
-                .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary, fine binary"))
-        sets = written(full.join(keyed.select("d1", "d2", "rid"), ["d1", "d2"]).select("rid", "items", "fine")
-                       .dropDuplicates(["rid"]))
-        # most pairs that are no links fall to finer counts, before whole sets are sent for each pair
-        size = (F.octet_length("items") / 8).cast("long")
-        pairs = written(pairs.join(sets.select(F.col("rid").alias("a"), size.alias("na"), F.col("fine").alias("va")), "a")
-                        .join(sets.select(F.col("rid").alias("b"), size.alias("nb"), F.col("fine").alias("vb")), "b")
-                        .select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, FINE), "a long, b long"))
-        both = (pairs.join(sets.select(F.col("rid").alias("a"), F.col("items").alias("ia")), "a")
+        ends = written(pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct())
+        fine = written(sets.join(ends, "rid", "left_semi").select("rid", "n", "items").mapInArrow(_fine_counts, "rid long, n long, fine binary"))
+        near = written(pairs.join(fine.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("fine").alias("va")), "a")
+                       .join(fine.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("vb")), "b")
+                       .select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, FINE), "a long, b long"))
+        both = (near.join(sets.select(F.col("rid").alias("a"), F.col("items").alias("ia")), "a")
                 .join(sets.select(F.col("rid").alias("b"), F.col("items").alias("ib")), "b"))
         return both.select("a", "b", "ia", "ib").mapInArrow(_exact_filter(num, den), "a long, b long")
 
-    # step 1: members against the least member of each page
-    stars = shared.filter("rid <> head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct()
-    links = settled(spark, lambda: verified(survivors(stars)))
-    label = settled(spark, lambda: components(links))
+    def gather(open_rows: DataFrame, turn: int) -> DataFrame:
+        """Spanning links inside the gatherings of the documents of unresolved pages."""
+        if turn == 0:
+            picked = open_rows.groupBy("rid", "label").agg(F.min("head").alias("home"))
+        else:
+            picked = open_rows.groupBy("rid", "label").agg(F.min(F.xxhash64("page", F.lit(turn))).alias("home"))
+        came = written(picked.join(sets.select("rid", "n"), "rid"))
+        homes = came.groupBy("home").agg(F.count("*").alias("came"), F.sum(8 * F.col("n")).alias("bytes"), F.min("rid").alias("least")).filter("came > 1")
+        homes = homes.select("home", "least", F.greatest(F.ceil(F.col("came") / CHUNK), F.ceil(F.col("bytes") / CHUNK_BYTES)).cast("int").alias("parts"))
+        # the least member goes to every chunk, so that what is linked with it is joined at once
+        dealt = came.join(homes, "home").select("rid", "label", "home", F.explode(
+            F.when(F.col("rid") == F.col("least"), F.sequence(F.lit(0), F.col("parts") - 1))
+            .otherwise(F.array(F.pmod(F.xxhash64("rid", F.lit(turn)), F.col("parts")).cast("int")))).alias("part"))
+        rows = dealt.select("rid", "label", F.xxhash64("home", "part").alias("at")).join(sets, "rid")
+        return (rows.repartition(parts, "at").sortWithinPartitions("at", "rid").select("at", "rid", "label", "n", "vec", "items")
+                .mapInArrow(_gathered(num, den), "a long, b long"))
+
+    # step 1: gatherings
+    open_rows, links, label = shared.withColumn("label", F.col("rid")), None, None
+    for turn in range(ROUNDS):
+        found = settled(spark, lambda: gather(open_rows, turn))
+        links = found if links is None else written(links.unionByName(found))
+        label = settled(spark, lambda: components(links))
+        labelled = shared.join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+        mixed = labelled.groupBy("page").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("page")
+        open_rows = written(labelled.join(mixed, "page", "left_semi"))
+        if open_rows.isEmpty():
+            break
 
     # step 2: pages that still hold several components
-    labelled = shared.join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
-        "label", F.coalesce("label", "rid"))
-    labelled = written(labelled)
-    mixed = labelled.groupBy("page").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("page")
-    open_rows = written(labelled.join(mixed, "page", "left_semi"))
     small = open_rows.filter(F.col("members") <= PAGE).select("page", "rid", "label", F.lit(0).alias("side"))
     large = open_rows.filter(F.col("members") > PAGE)
     family = components(large.select(F.col("head").alias("a"), F.col("rid").alias("b")))
@@ -319,18 +400,20 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     met = dealt.select("family", "rid", "label", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     met = met.select(F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")).alias("page"), "rid", "label",
                      F.when(F.col("other") < F.col("part"), 1).otherwise(0).alias("side"))
-    rows2 = small.unionByName(met).join(where.select("rid", "n", "vec"), "rid")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows2 = small.unionByName(met).join(sets.select("rid", "n", "vec"), "rid")
     found = (rows2.repartition(parts, "page").sortWithinPartitions("page", "rid")
              .select("page", "rid", "label", "n", "vec", "side")
              .mapInArrow(_page_search(num, den), "a long, b long").distinct())
-    more = settled(spark, lambda: verified(survivors(found)))
+    more = settled(spark, lambda: verified(found))
     final = settled(spark, lambda: components(links.unionByName(more)))
 
     # every row: its set's representative, that one's component, the component's smallest id
-    of_rep = reps.join(final.select(F.col("node").alias("rid"), "label"), "rid", "left").select(
-        "d1", "d2", "n", "set_copies", F.coalesce("label", "rid").alias("label"))
-    narrow = points.select("doc_id", RID, "n", "d1", "d2").join(of_rep, ["d1", "d2", "n"], "left").select(
-        "doc_id", "n", F.coalesce("label", -1 - F.col(RID)).alias("label"), F.coalesce("set_copies", F.lit(1)).alias("set_copies"))
-    least = narrow.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return narrow.join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "set_copies")
+    of_rep = written(reps.join(final.select(F.col("node").alias("rid"), "label"), "rid", "left")
+                     .withColumn("label", F.coalesce("label", "rid")))
+    least = written(of_rep.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count("*").alias("members")))
+    of_rep = join_groups(of_rep, least, ["label"], "members")
+    rows = join_groups(points.select("doc_id", "n", "d1", "d2"), of_rep.select("d1", "d2", "n", "set_copies", "component_id"),
+                       ["d1", "d2", "n"], "set_copies")
+    return rows.select("doc_id", F.col("n").alias("n_shingles"),
+                       F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                       F.coalesce("set_copies", F.lit(1)).alias("set_copies"))

@@ -108,10 +108,11 @@ def _near(rng, base, changes):
     return out
 
 
-@pytest.mark.parametrize("num,page,chunk", [(85, 256, 512), (80, 4, 5)])
-def test_jaccard_groups_match_all_pairs(spark, monkeypatch, num, page, chunk):
+@pytest.mark.parametrize("num,page,chunk,rounds", [(85, 256, 512, 3), (80, 4, 5, 3), (80, 4, 5, 1)])
+def test_jaccard_groups_match_all_pairs(spark, monkeypatch, num, page, chunk, rounds):
     monkeypatch.setattr(jc, "PAGE", page)
     monkeypatch.setattr(jc, "CHUNK", chunk)
+    monkeypatch.setattr(jc, "ROUNDS", rounds)
     rng = random.Random(num)
     docs, passage = [], words(rng, 60)
     for g in range(8):
@@ -162,6 +163,35 @@ def test_count_tree_keeps_every_partner():
         assert want <= set(tree.probe(vecs[q], int(sizes[q]), 85, 100).tolist())
 
 
+def test_gathering_joins_what_all_pairs_join():
+    """Every link of a gathering comes out of the tree, and only a spanning part of them."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (1, 4, 30, 300):
+        base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        for _ in range(25):
+            gone = rng.permutation(base)[int(rng.integers(0, n // 6 + 1)):]
+            sets.append(np.unique(np.concatenate([gone, rng.integers(0, 2**64, int(rng.integers(0, n // 8 + 1)), dtype=np.uint64)])))
+    sizes = np.array([len(x) for x in sets])
+    vecs = np.stack([np.bincount((x & np.uint64(jc.GROUPS - 1)).astype(int), minlength=jc.GROUPS) for x in sets]).astype(np.uint32)
+    rids = np.arange(len(sets)) * 3
+    every = [(i, j) for i in range(len(sets)) for j in range(i)
+             if jc.linked(sizes[i], sizes[j], len(np.intersect1d(sets[i], sets[j])), 80, 100)]
+
+    def parted(pairs):
+        root = list(range(len(sets)))
+        for a, b in pairs:
+            x, y = root[a], root[b]
+            root = [min(x, y) if r in (x, y) else r for r in root]
+        return root
+    got = jc.spanning(rids, rids, sizes, vecs, sets, 80, 100)
+    assert parted([(a // 3, b // 3) for a, b in got]) == parted(every)
+    assert len(got) == len(sets) - len(set(parted(every))) < len(every)
+    joined = np.array(parted(every))
+    assert jc.spanning(rids, joined, sizes, vecs, sets, 80, 100) == []
+
+
 def test_jaccard_empty_table(spark):
     assert jc.jaccard_groups(empty(spark)).count() == 0
 
