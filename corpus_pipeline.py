@@ -12,7 +12,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyscope.llm.common import RID, free, if_small, numbered, scope, table, written
+from plyscope.llm.common import RID, free, if_small, join_groups, numbered, scope, table, written
 
 _HELD: dict[str, list[str]] = {}
 
@@ -59,9 +59,9 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     groups = written(jaccard_groups(docs, id_col=RID).select(F.col("doc_id").alias(RID), "component_id"))
     named = groups.join(docs.select(RID, F.col("doc_id").cast("long").alias("__id")), RID)
     stays = named.groupBy("component_id").agg(
-        F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", RID)).alias("first")).select("component_id", f"first.{RID}")
-    gone = named.select(F.col(RID).alias("doc_id"), "component_id").join(
-        stays, "component_id").filter(F.col("doc_id") != F.col(RID)).select("doc_id")
+        F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", RID)).alias("first"), F.count("*").alias("members"))
+    stays = written(stays.filter("members > 1").select("component_id", "members", F.col(f"first.{RID}").alias("__stays")))
+    gone = join_groups(groups, stays, ["component_id"], "members").filter(F.col(RID) != F.col("__stays")).select(F.col(RID).alias("doc_id"))
     return _without(docs, names, gone)
 
 
