@@ -14,17 +14,17 @@ a key ("page"), whatever the rest of the corpus looks like, and a passage that m
 fills a page only with documents that consist of little else.
 
 Pages are resolved so that a page of many near copies never becomes all its pairs:
-1. in each of up to ``ROUNDS`` rounds, every document goes, with its set, to one of its unresolved pages
+1. in each of up to ``ROUNDS`` rounds, every document goes, with its count vector, to one of its unresolved pages
    (first the one with the least member, then one picked by a seeded hash, on which documents with
    like pages agree), and each such gathering, dealt into chunks of bounded rows and bytes, is searched
-   in one task: an R-tree over its members' count vectors gives the partners, finer counts and then the
-   sets verify them, and a union-find skips what is joined already, so only spanning links come out;
+   in one task: an R-tree over its members' count vectors gives the partners; then the sets of those that
+   have any are sent, finer counts and the sets verify the partners, and a union-find skips what is joined already, so only spanning links come out;
 2. pages that still hold several components are searched through R-trees over the count vectors,
    for pairs across components only. Pages over ``PAGE`` rows are joined into families (pages that
    share members), which are dealt into chunks and searched chunk by chunk against chunk. Those pairs
    are held against finer counts and then verified on the sets.
-Sets are 64-bit shingle hashes; equal ones are collapsed before all this. A set is built once, for
-documents that share a page, and travels once per round.
+Sets are 64-bit shingle hashes; equal ones are collapsed before all this. Sets are built for documents
+with a partner only, and travel once per round.
 
 Results: no words or null text: ``n_shingles`` 0, component of its own. Repeated rows are kept, each
 with the component they share; rows with a null id are grouped like others but cannot name a
@@ -52,6 +52,8 @@ CHUNK = 512
 CHUNK_BYTES = 32 << 20
 #: gatherings before what is left of the pages is searched pair by pair
 ROUNDS = 3
+#: another one is made if the last one gave more than a link for so many unresolved documents
+WORTH = 20
 #: candidate ids are broadcast up to this many rows (8 bytes each); beyond it they are joined by a shuffle
 BROADCAST_IDS = 1_000_000
 
@@ -287,27 +289,46 @@ def spanning(rids, labels, sizes, vecs, sets, num: int, den: int) -> list[tuple[
     return out
 
 
-def _gathered(num: int, den: int):
+def _partnered(num: int, den: int):
+    """The rows that the tree gives a partner in another component."""
+    def search(tab):
+        sizes, vecs = tab.column("n").to_numpy(), _vectors(tab)
+        comp = np.unique(tab.column("label").to_numpy(), return_inverse=True)[1]
+        tree, keep = CountTree(vecs, sizes), np.zeros(len(sizes), bool)
+        for q in range(len(sizes)):
+            hit = tree.probe(vecs[q], int(sizes[q]), num, den)
+            keep[q] = (comp[hit] != comp[q]).any()
+        return tab.filter(pa.array(keep))
+    return search
+
+
+def _spanning_links(num: int, den: int):
+    def search(tab):
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in tab.column("items")]
+        got = spanning(*(tab.column(c).to_numpy() for c in ("rid", "label", "n")), _vectors(tab), sets, num, den)
+        x, y = zip(*got) if got else ((), ())
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+    return search
+
+
+def _vectors(tab) -> np.ndarray:
+    return np.frombuffer(b"".join(tab.column("vec").to_pylist()), "<u4").reshape(-1, GROUPS)
+
+
+def _by_gathering(search):
     """Rows sorted by gathering arrive in batches; each gathering is searched when complete."""
     def run(batches):
         held: list = []
-
-        def search():
-            rids, labels, sizes, vecs, sets = zip(*[r[1:] for r in held])
-            got = spanning(np.array(rids), np.array(labels), np.array(sizes), np.stack(vecs), sets, num, den)
-            x, y = zip(*got) if got else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
         for batch in batches:
-            cols = [batch.column(c).to_numpy() for c in ("at", "rid", "label", "n")]
-            for i, (at, rid, label, n) in enumerate(zip(*cols)):
-                if held and held[0][0] != at:
-                    if len(held) > 1:
-                        yield search()
+            at = batch.column("at").to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)])) if len(at) else []
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if held and held[0].column("at")[0].as_py() != at[i]:
+                    yield from search(pa.Table.from_batches(held)).to_batches()
                     held = []
-                held.append((at, rid, label, n, np.frombuffer(batch.column("vec")[i].as_buffer(), "<u4"),
-                             np.frombuffer(batch.column("items")[i].as_py(), "<u8")))
-        if len(held) > 1:
-            yield search()
+                held.append(batch.slice(i, j - i))
+        if held:
+            yield from search(pa.Table.from_batches(held)).to_batches()
     return run
 
 
@@ -340,22 +361,29 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     heads = written(rows.groupBy("page").agg(F.count("*").alias("members"), F.min("rid").alias("head")).filter("members > 1"))
     shared = written(rows.join(heads, "page").select("page", "members", "head", "rid"))
 
-    # the sets of documents that share a page, rebuilt from the texts of just those
-    nodes = shared.select("rid").distinct()
-    keyed = written(points.withColumnRenamed(RID, "rid").join(nodes, "rid", "left_semi").select("rid", "doc_id", "d1", "d2", "n", "vec"))
-    full = (_semi(base, keyed.select("doc_id").distinct(), ["doc_id"])
-            .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary").dropDuplicates(["d1", "d2"]))
-    sets = written(full.join(keyed, ["d1", "d2"]).select("rid", "n", "vec", "items"))
+    # documents that share a page; the sets of those that are to be verified are rebuilt from their texts
+    keyed = written(points.withColumnRenamed(RID, "rid").join(shared.select("rid").distinct(), "rid", "left_semi")
+                    .select("rid", "doc_id", "d1", "d2", "n", "vec"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def sets_of_rows(rids: DataFrame) -> DataFrame:
+        """(rid, n, items) of the given rows."""
+        need = written(keyed.join(rids, "rid", "left_semi").select("rid", "doc_id", "d1", "d2", "n"))
+        full = (_semi(base, need.select("doc_id").distinct(), ["doc_id"])
+                .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary"))
+        return written(full.join(need.select("rid", "n", "d1", "d2"), ["d1", "d2"]).select("rid", "n", "items").dropDuplicates(["rid"]))
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that are linked. Most of the others fall to finer counts, before sets are sent."""
         pairs = written(pairs)
         ends = written(pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct())
-        fine = written(sets.join(ends, "rid", "left_semi").select("rid", "n", "items").mapInArrow(_fine_counts, "rid long, n long, fine binary"))
+        sets = sets_of_rows(ends)
+        fine = written(sets.mapInArrow(_fine_counts, "rid long, n long, fine binary"))
         near = written(pairs.join(fine.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("fine").alias("va")), "a")
                        .join(fine.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("vb")), "b")
                        .select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, FINE), "a long, b long"))
+        ends = written(near.select(F.col("a").alias("rid")).unionByName(near.select(F.col("b").alias("rid"))).distinct())
+        sets = written(sets.join(ends, "rid", "left_semi"))
         both = (near.join(sets.select(F.col("rid").alias("a"), F.col("items").alias("ia")), "a")
                 .join(sets.select(F.col("rid").alias("b"), F.col("items").alias("ib")), "b"))
         return both.select("a", "b", "ia", "ib").mapInArrow(_exact_filter(num, den), "a long, b long")
@@ -366,16 +394,21 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
             picked = open_rows.groupBy("rid", "label").agg(F.min("head").alias("home"))
         else:
             picked = open_rows.groupBy("rid", "label").agg(F.min(F.xxhash64("page", F.lit(turn))).alias("home"))
-        came = written(picked.join(sets.select("rid", "n"), "rid"))
+        came = written(picked.join(keyed.select("rid", "n", "vec"), "rid"))
         homes = came.groupBy("home").agg(F.count("*").alias("came"), F.sum(8 * F.col("n")).alias("bytes"), F.min("rid").alias("least")).filter("came > 1")
         homes = homes.select("home", "least", F.greatest(F.ceil(F.col("came") / CHUNK), F.ceil(F.col("bytes") / CHUNK_BYTES)).cast("int").alias("parts"))
         # the least member goes to every chunk, so that what is linked with it is joined at once
-        dealt = came.join(homes, "home").select("rid", "label", "home", F.explode(
+        dealt = came.join(homes, "home").select("rid", "label", "n", "vec", "home", F.explode(
             F.when(F.col("rid") == F.col("least"), F.sequence(F.lit(0), F.col("parts") - 1))
             .otherwise(F.array(F.pmod(F.xxhash64("rid", F.lit(turn)), F.col("parts")).cast("int")))).alias("part"))
-        rows = dealt.select("rid", "label", F.xxhash64("home", "part").alias("at")).join(sets, "rid")
-        return (rows.repartition(parts, "at").sortWithinPartitions("at", "rid").select("at", "rid", "label", "n", "vec", "items")
-                .mapInArrow(_gathered(num, den), "a long, b long"))
+        rows = dealt.select(F.xxhash64("home", "part").alias("at"), "rid", "label", "n", "vec")
+        # the trees are asked first, without the sets: who has no partner in its gathering goes no further
+        alive = written(rows.repartition(parts, "at").sortWithinPartitions("at", "rid")
+                        .mapInArrow(_by_gathering(_partnered(num, den)), rows.schema))
+        sets = sets_of_rows(alive.select("rid").distinct())
+        return (alive.join(sets.select("rid", "items"), "rid").repartition(parts, "at").sortWithinPartitions("at", "rid")
+                .select("at", "rid", "label", "n", "vec", "items")
+                .mapInArrow(_by_gathering(_spanning_links(num, den)), "a long, b long"))
 
     # step 1: gatherings
     open_rows, links, label = shared.withColumn("label", F.col("rid")), None, None
@@ -386,7 +419,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         labelled = shared.join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
         mixed = labelled.groupBy("page").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("page")
         open_rows = written(labelled.join(mixed, "page", "left_semi"))
-        if open_rows.isEmpty():
+        # another gathering pays only while they join much of what is left; step 2 misses nothing
+        if found.count() * WORTH <= open_rows.select("rid").distinct().count():
             break
 
     # step 2: pages that still hold several components
@@ -400,7 +434,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     met = dealt.select("family", "rid", "label", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     met = met.select(F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")).alias("page"), "rid", "label",
                      F.when(F.col("other") < F.col("part"), 1).otherwise(0).alias("side"))
-    rows2 = small.unionByName(met).join(sets.select("rid", "n", "vec"), "rid")
+    rows2 = small.unionByName(met).join(keyed.select("rid", "n", "vec"), "rid")
     found = (rows2.repartition(parts, "page").sortWithinPartitions("page", "rid")
              .select("page", "rid", "label", "n", "vec", "side")
              .mapInArrow(_page_search(num, den), "a long, b long").distinct())
