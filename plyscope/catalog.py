@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plyscope.operators import quantiles as qt
 from plyscope.params import ADAPTER_PARAMS, BENCHMARK_PARAMS, Params
 from plyscope.plans import datamart as dm
 from plyscope.plans import intermediate as im
@@ -39,6 +40,8 @@ PREVIOUS_LOAD_END = _dt.date(1999, 1, 1)
 PREVIOUS_LOAD_EPOCH = int((_dt.datetime(1999, 1, 1) - _dt.datetime(1970, 1, 1)).total_seconds())
 ARCHIVE_MIN_MONTH = "1996/01"
 ROUND = 9
+# Coarse score sketches, so that most buckets of the driver tables hold several scores.
+SKETCH_BITS = 3
 # Values of printed moves for the wiring check of the scoring hook.
 SCORE_TABLE = {"AF": 35, "NF": -20, "NO": 10, "RF": -45}
 
@@ -285,6 +288,23 @@ def q_avg_median(spark, sf):
     return out.select(*dm.BENCH_KEYS, _r("avg_median_score_playing"))
 
 
+def _sketched(spark, sf, p: Params) -> DataFrame:
+    p = p.with_(sketch_bits=SKETCH_BITS)
+    grain = gwm(spark, sf, p)
+    return rp.with_score_sketches(rp.aggregate_games(grain, p, with_flag=False), grain, p)
+
+
+def q_score_sketches(spark, sf):
+    near, exact = qt.quantile(F.col("score_sketch"), 0.5, SKETCH_BITS), F.col("median_score_playing")
+    return _sketched(spark, sf, P).select(
+        *_AGG_KEYS, qt.total(F.col("score_sketch")).alias("nb_scores"), F.size("score_sketch").cast("bigint").alias("nb_buckets"),
+        near.alias("near_median_score_playing"), (F.abs(near - exact) * (1 << SKETCH_BITS) <= F.abs(exact)).alias("within_bound"))
+
+
+def q_score_quantiles(spark, sf):
+    return dm.score_quantiles(_sketched(spark, sf, PB), PB.with_(sketch_bits=SKETCH_BITS))
+
+
 def q_cohort(spark, sf):
     return dm.cohort_benchmark(agg_table(spark, sf, PB), PB)
 

@@ -268,6 +268,13 @@ agg_games AS (
 )"""
 
 
+def _near(score: str) -> str:
+    """The middle of a score's bucket: numbers of one binary length, cut into equal steps from the lowest."""
+    steps = 2 ** (cat.SKETCH_BITS - 1)
+    width = f"CAST(greatest(1, pow(2, floor(log2(greatest(1, abs({score}))))) / {steps}) AS BIGINT)"
+    return f"CAST(sign({score}) * (abs({score}) // {width} * {width} + {width} // 2) AS BIGINT)"
+
+
 def _bench(p: Params) -> str:
     ratio = "first_massive_blunder_playing_prct_time_remaining"
     flags = {"nb_blunder_playing": "nb_blunder_playing > 0", "nb_massive_blunder_playing": "nb_massive_blunder_playing > 0",
@@ -478,6 +485,19 @@ WHERE s.game_uuid <> ''""",
         "q_avg_median": bench + f"""SELECT username, time_class, playing_rating_range, game_phase_key, aggregation_level,
   round(avg(median_score_playing), {R}) AS avg_median_score_playing
 FROM equals WHERE end_time_date >= {_months_before(PB, PB.benchmark_window_months)} GROUP BY ALL""",
+        "q_score_sketches": agg + f"""SELECT {', '.join('a.' + k for k in level_keys)}, count(score_playing) AS nb_scores,
+  count(DISTINCT {_near('score_playing')}) AS nb_buckets,
+  {_near('quantile_disc(score_playing, 0.5)')} AS near_median_score_playing,
+  CASE WHEN count(score_playing) > 0 THEN true END AS within_bound
+FROM agg_games a JOIN levelled l ON l.level = aggregation_level AND l.username = a.username AND l.game_uuid = a.game_uuid
+  AND l.game_phase IS NOT DISTINCT FROM a.game_phase
+GROUP BY ALL""",
+        "q_score_quantiles": bench + f"""SELECT e.username, e.time_class, e.playing_rating_range, game_phase_key, aggregation_level,
+  count(score_playing) AS nb_scores,
+  {', '.join(f"{_near(f'quantile_disc(score_playing, {q})')} AS score_p{round(100 * q)}" for q in (0.25, 0.5, 0.75))}
+FROM equals e JOIN levelled l ON l.level = aggregation_level AND l.username = e.username AND l.game_uuid = e.game_uuid
+  AND l.game_phase IS NOT DISTINCT FROM e.game_phase
+WHERE e.end_time_date >= {_months_before(PB, PB.benchmark_window_months)} GROUP BY ALL""",
         "q_cohort": bench + "SELECT * FROM against",
         "q_frequent_range": bench + "SELECT * FROM favourite",
         "q_benchmark": bench + """SELECT a.* FROM against a WHERE (username, time_class, playing_rating_range) IN (

@@ -52,6 +52,7 @@ class Params:
     month_history_depth: int = 5
     time_classes: tuple = DEFAULT_TIME_CLASSES
     min_games_played: int = 20
+    sketch_bits: int = 7  # score sketches: relative error of a quantile at most 1 / 2**bits
     sample_grid: tuple = (1,) + tuple(range(5, 61, 5))
     clock_thresholds: tuple = (0.5, 0.7, 0.9)
     benchmark_window_months: int = 1

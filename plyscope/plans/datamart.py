@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plyscope.functions import core as fx
 from plyscope.operators import classify as cl
+from plyscope.operators import quantiles as qt
 from plyscope.operators.cohort import indicator_counts, with_others
 from plyscope.params import Params
 
@@ -64,6 +65,18 @@ def average_median(agg: DataFrame, params: Params = Params()) -> DataFrame:
         F.avg("median_score_playing").alias("avg_median_score_playing"))
 
 
+SCORE_QUANTILES = (("score_p25", 0.25), ("score_p50", 0.5), ("score_p75", 0.75))
+
+
+def score_quantiles(sketched: DataFrame, params: Params = Params()) -> DataFrame:
+    """D19 above the game: per player × class × own range × level key, quartiles of the scores of all
+    plies (recent equal-level games), from the merged sketches of the aggregate's rows."""
+    one = qt.merged(_equal_level(sketched).filter(_recent(params)), BENCH_KEYS, "score_sketch")
+    sketch = F.col("score_sketch")
+    return one.select(*BENCH_KEYS, qt.total(sketch).alias("nb_scores"),
+                      *[qt.quantile(sketch, q, params.sketch_bits).alias(name) for name, q in SCORE_QUANTILES])
+
+
 def cohort_benchmark(agg: DataFrame, params: Params = Params()) -> DataFrame:
     """Each player's rates next to the same rates over all other players of the cell
     (class, range, level key; every loaded date), kept when the cohort has > N games.

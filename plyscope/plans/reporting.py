@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plyscope import schemas
 from plyscope.functions import core as fx
 from plyscope.operators import classify as cl
+from plyscope.operators import quantiles as qt
 from plyscope.operators import sequence as sq
 from plyscope.operators.joins import count_over, grid_join
 from plyscope.operators.segments import First, Lag, cut_segments, segmented_scan
@@ -243,6 +244,24 @@ def aggregate_games(gwm: DataFrame, params: Params = Params(), with_flag: bool =
     return agg.select(*AGG_COLUMNS(p))
 
 
+def with_score_sketches(agg: DataFrame, gwm: DataFrame, params: Params = Params()) -> DataFrame:
+    """The aggregate with ``score_sketch`` at both levels, a mergeable sketch of the plies' scores.
+
+    Scores are counted by bucket for both levels in one grouping-sets pass that reads four columns of the
+    move grain and none of its windows. What a consumer merges (a player's games, a cell) needs no plies.
+    """
+    keys = ["username", "game_uuid", "game_phase"]
+    scores = gwm.select(*keys, qt.bucket_of(F.col("score_playing"), params.sketch_bits).alias("bucket"))
+    counted = scores.groupingSets([[*keys, "bucket"], [*keys[:2], "bucket"]], *keys, "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping("game_phase").alias("__g"))
+    level = F.when(F.col("__g") == 1, F.lit("Games")).otherwise(F.lit("Game Phases"))
+    keys.append("aggregation_level")
+    made = qt.gathered(counted.withColumn("aggregation_level", level), keys, "score_sketch")
+    made = made.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "score_sketch")
+    same = [agg[k].eqNullSafe(made[f"__k_{k}"]) for k in keys]
+    return agg.join(made, same, "left").drop(*[f"__k_{k}" for k in keys])
+
+
 def AGG_COLUMNS(p: Params = Params()) -> list[str]:
     phase_cols = []
     for _, _, key in p.game_phases:
