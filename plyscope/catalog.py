@@ -35,6 +35,10 @@ PKS = PK.with_(massive_blunder_drop=70, blunder_drop=40, mistake_drop=10, even_l
 ALIAS_SEED = (("asia", "EURASIA"), ("Europe", "EURASIA"))
 # Audit subject (username, class, range) on the driver tables.
 AUDIT_SUBJECT = ("MIDDLE EAST", "blitz", "1800+")
+# Subjects answered from stored sets, under thresholds that find massive blunders; the last two have no games.
+AUDIT_SUBJECTS = (AUDIT_SUBJECT, ("EUROPE", "rapid", "1800+"), ("ASIA", "blitz", "1400-1600"), ("Nobody", "blitz", "1800+"),
+                  ("ASIA", "chess", "none"))
+PA = PB.with_(massive_blunder_drop=70, blunder_drop=40, mistake_drop=10, even_limit=15, balanced_limit=45)
 # "Previous load" cut for the incremental-ingest queries: what ended before this was loaded before.
 PREVIOUS_LOAD_END = _dt.date(1999, 1, 1)
 PREVIOUS_LOAD_EPOCH = int((_dt.datetime(1999, 1, 1) - _dt.datetime(1970, 1, 1)).total_seconds())
@@ -326,6 +330,20 @@ def q_audit(spark, sf):
     return dm.audit_blunder_rates(gwm(spark, sf, PB, dm.audit_games_filter(tclass, rng)), user, tclass, rng, PB)
 
 
+def q_audit_sets(spark, sf):
+    from plyscope.session import checkpoint_dir
+    base = f"{checkpoint_dir(spark)}/audit-{uuid.uuid4().hex}"
+    equal = F.col("playing_rating_range") == F.col("opponent_rating_range")
+    sets = dm.audit_sets(gwm(spark, sf, PA, equal), f"{base}/numbers")
+    sets.write.parquet(f"{base}/sets")
+    stored, out = spark.read.schema(sets.schema).parquet(f"{base}/sets"), None
+    for user, tclass, rng in AUDIT_SUBJECTS:
+        one = dm.audit_from_sets(stored, user, tclass, rng, PA).select(
+            F.lit(user).alias("username"), F.lit(tclass).alias("time_class"), F.lit(rng).alias("playing_rating_range"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------- data quality
 
 def q_not_null(spark, sf):

@@ -268,6 +268,21 @@ agg_games AS (
 )"""
 
 
+def _audit(p: Params, user: str, time_class: str, rating_range: str) -> str:
+    return f"""SELECT population, count(game_uuid) AS nb_games, count(*) FILTER (b) AS nb_games_blunder,
+  count(*) FILTER (m) AS nb_games_massive_blunder, avg(CAST(b AS INTEGER)) AS rate_blunder, avg(CAST(m AS INTEGER)) AS rate_massive_blunder
+FROM {_values([(_q('username'),), (_q('benchmark'),)])} v(population) LEFT JOIN (
+  SELECT game_uuid, CASE username WHEN {_q(user)} THEN 'username' ELSE 'benchmark' END AS population,
+         bool_or(coalesce(miss_category_playing LIKE '%Blunder', false)) AS b,
+         bool_or(coalesce(miss_category_playing = 'Massive Blunder', false)) AS m
+  FROM games_with_moves
+  WHERE time_class = {_q(time_class)} AND playing_rating_range = {_q(rating_range)} AND opponent_rating_range = {_q(rating_range)}
+    AND (username <> {_q(user)} OR end_time_date >= {_months_before(p, p.benchmark_window_months)})
+  GROUP BY ALL
+) USING (population)
+GROUP BY population"""
+
+
 def _near(score: str) -> str:
     """The middle of a score's bucket: numbers of one binary length, cut into equal steps from the lowest."""
     steps = 2 ** (cat.SKETCH_BITS - 1)
@@ -403,7 +418,6 @@ def oracle_sql() -> dict[str, str]:
     alias = _values([(_q(a), _q(b)) for a, b in cat.ALIAS_SEED])
     grid = ", ".join(str(int(x)) for x in P.sample_grid)
     week = f"CAST(date_trunc('week', DATE {_q(P.as_of)} - INTERVAL {7 * P.recent_window_weeks} DAY) AS DATE)"
-    user, tclass, rng = cat.AUDIT_SUBJECT
     earlier = f"end_time_integer < {cat.PREVIOUS_LOAD_EPOCH}"
     seen = f"seen AS (SELECT username, max(archive_url) AS url, max(end_time_integer) AS mark FROM stg_games WHERE {earlier} GROUP BY ALL)"
     worth = _values([(_q(t), v) for t, v in cat.SCORE_TABLE.items()])
@@ -514,19 +528,10 @@ SELECT recent.*, CAST(g.n AS BIGINT) AS move_number, coalesce(score_playing, sco
 FROM recent CROSS JOIN unnest([{grid}]) g(n)
 LEFT JOIN sampled s ON s.game_uuid = recent.game_uuid AND s.username = recent.username AND s.move_number = g.n
 LEFT JOIN latest t ON t.game_uuid = recent.game_uuid AND t.username = recent.username""",
-        "q_audit": model(PB, _plies(PB)) + f""", judged_games AS (
-  SELECT game_uuid, CASE username WHEN {_q(user)} THEN 'username' ELSE 'benchmark' END AS population,
-         bool_or(coalesce(miss_category_playing LIKE '%Blunder', false)) AS b,
-         bool_or(coalesce(miss_category_playing = 'Massive Blunder', false)) AS m
-  FROM games_with_moves
-  WHERE time_class = {_q(tclass)} AND playing_rating_range = {_q(rng)} AND opponent_rating_range = {_q(rng)}
-    AND (username <> {_q(user)} OR end_time_date >= {_months_before(PB, PB.benchmark_window_months)})
-  GROUP BY ALL
-)
-SELECT population, count(game_uuid) AS nb_games, count(*) FILTER (b) AS nb_games_blunder, count(*) FILTER (m) AS nb_games_massive_blunder,
-       avg(CAST(b AS INTEGER)) AS rate_blunder, avg(CAST(m AS INTEGER)) AS rate_massive_blunder
-FROM {_values([(_q('username'),), (_q('benchmark'),)])} v(population) LEFT JOIN judged_games USING (population)
-GROUP BY population""",
+        "q_audit": model(PB, _plies(PB)) + _audit(PB, *cat.AUDIT_SUBJECT),
+        "q_audit_sets": model(cat.PA, _plies(cat.PA)) + " UNION ALL ".join(
+            f"SELECT {_q(u)} AS username, {_q(c)} AS time_class, {_q(r)} AS playing_rating_range, a.* FROM ({_audit(cat.PA, u, c, r)}) a"
+            for u, c, r in cat.AUDIT_SUBJECTS),
         "q_not_null": checks + "SELECT * FROM nulls",
         "q_move_consistency": checks + "SELECT * FROM off_span",
         "q_completeness": checks + "SELECT * FROM off_count",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plyscope.functions import core as fx
 from plyscope.operators import classify as cl
 from plyscope.operators import quantiles as qt
+from plyscope.operators import distinct_sets as ds
 from plyscope.operators.cohort import indicator_counts, with_others
 from plyscope.params import Params
 
@@ -194,7 +195,12 @@ def audit_blunder_rates(gwm: DataFrame, username: str, time_class: str, rating_r
     counts = per_game.groupBy("population").agg(
         F.count("game_uuid").alias("nb_games"), F.count_if("blunder").alias("nb_games_blunder"),
         F.count_if("massive").alias("nb_games_massive_blunder"))
-    both = gwm.sparkSession.createDataFrame([("username",), ("benchmark",)], "population string")
+    return _audit_rates(counts)
+
+
+def _audit_rates(counts: DataFrame) -> DataFrame:
+    """Both populations with their rates; one without games has zero counts and NULL rates."""
+    both = counts.sparkSession.createDataFrame([("username",), ("benchmark",)], "population string")
     out = both.join(counts, "population", "left")
     z = F.lit(0).cast("bigint")
     out = out.select("population", *[F.coalesce(F.col(c), z).alias(c)
@@ -204,3 +210,32 @@ def audit_blunder_rates(gwm: DataFrame, username: str, time_class: str, rating_r
                       .alias("rate_blunder"),
                       F.try_divide(F.col("nb_games_massive_blunder").cast("double"), F.col("nb_games").cast("double"))
                       .alias("rate_massive_blunder")).select(*AUDIT_COLUMNS)
+
+
+AUDIT_CELL = ("time_class", "playing_rating_range", "end_time_month", "username")
+
+
+def audit_sets(gwm: DataFrame, path: str) -> DataFrame:
+    """Per player, class, range and month, the sets of equal-level games, of those with a blunder and
+    of those with a massive blunder. Stored, they answer any audit without the move grain; the sets of
+    new months or games are further rows. Game numbers are written to ``path``."""
+    equal = _equal_level(gwm).filter(F.col("username").isNotNull())
+    miss = F.col("miss_category_playing")
+    games = equal.groupBy("game_uuid", *AUDIT_CELL).agg(
+        F.bool_or(miss.isin(*cl.BLUNDERS)).alias("blunder"), F.bool_or(miss == F.lit(cl.MASSIVE)).alias("massive"))
+    numbers = ds.numbered_members(equal.select("game_uuid", *AUDIT_CELL), "game_uuid", AUDIT_CELL, path)
+    return ds.member_sets(games.join(numbers, "game_uuid"), AUDIT_CELL, "number", {
+        "games": F.lit(True), "games_blunder": F.col("blunder"), "games_massive_blunder": F.col("massive")})
+
+
+def audit_from_sets(sets: DataFrame, username: str, time_class: str, rating_range: str,
+                    params: Params = Params()) -> DataFrame:
+    """The audit of ``audit_blunder_rates`` as unions of stored sets. The recent window begins with a month,
+    so months select its games exactly; a game that two others played counts once, as there."""
+    p = params
+    user, since = F.col("username"), F.date_format(fx.month_window_start(p.as_of, p.benchmark_window_months), "yyyy-MM")
+    population = F.when((user == username) & (F.col("end_time_month") >= since), F.lit("username")).when(
+        user != username, F.lit("benchmark"))
+    cells = sets.filter((F.col("time_class") == time_class) & (F.col("playing_rating_range") == rating_range))
+    cells = cells.withColumn("population", population).filter(F.col("population").isNotNull())
+    return _audit_rates(ds.union_sizes(cells, ["population"], {f"nb_{c}": c for c in ("games", "games_blunder", "games_massive_blunder")}))
