@@ -23,6 +23,7 @@ from plyscope.plans import reporting as rp
 from plyscope.plans import scoring as sc
 from plyscope.sources import adapter, bucketed
 from plyscope.sources import ingest as ig
+from plyscope.sources import loads
 
 P = ADAPTER_PARAMS
 PB = BENCHMARK_PARAMS
@@ -429,10 +430,38 @@ def q_ingest_stream(spark, sf):
     return ig.read_snapshots(spark, root, ig.schemas.GAMES).drop("load_ts", "bq_load_date")
 
 
+def _publish_loads(spark, sf) -> str:
+    """Three published loads of one minute: of the archives as they were before a day, with all games (after
+    a load that was stopped before its entry), and again, with nothing new; then compacted."""
+    from plyscope.session import checkpoint_dir
+    base = f"{checkpoint_dir(spark)}/published-{uuid.uuid4().hex}"
+    sg, _ = _staging(spark, sf)
+    early, late, root, p = f"{base}/early", f"{base}/late", f"{base}/root", Params(min_archive=None)
+    ig.land_archives(sg.filter(F.col("end_time_integer") < PREVIOUS_LOAD_EPOCH), early)
+    ig.land_archives(sg, late)
+    start = loads.load_published(spark, early, root, p, LOAD_TIME)
+    loads.write_load(spark, root, loads.new_tables(spark, late, root, start, p, LOAD_TIME), ig.load_suffix(LOAD_TIME), start)
+    for _ in range(2):
+        loads.load_published(spark, late, root, p, LOAD_TIME)
+    loads.compact(spark, root, "games", ig.schemas.GAMES)
+    return root
+
+
+def q_published_loads(spark, sf):
+    """The games of the published loads, with load suffix and number."""
+    return loads.read_table(spark, _publish_loads(spark, sf), "games", ig.schemas.GAMES)
+
+
+def q_published_marks(spark, sf):
+    """The marks kept with those loads."""
+    return loads.read_marks(spark, _publish_loads(spark, sf))
+
+
 # ---------------------------------------------------------------- damaged archives
 
-GAMES_PER_LINE = 3
 LOAD_TIME = _dt.datetime(2001, 11, 5, 6, 30)
+
+GAMES_PER_LINE = 3
 # Fixed values of the seeded damage; a line's kind is (its number + month + length of the player's name) % 6.
 CUT_OFF, BAD_FIELD, MISSING_FIELDS, NOT_JSON, NO_OBJECT = range(5)
 CUT_CHARACTERS = 20

@@ -581,4 +581,11 @@ SELECT username, archive, CAST(count(*) + count(*) FILTER (kind = {cat.NOT_JSON}
 FROM spoilt GROUP BY ALL""",
         "q_ingest_stream": _with(st) + f"""SELECT * EXCLUDE (bq_load_date) REPLACE (
   {_q(ARCHIVE_BASE)} || username || '/games/' || archive_url[-7:] AS archive_url) FROM stg_games WHERE end_time_integer > 0""",
+        "q_published_loads": _with(st) + f"""SELECT * REPLACE (
+  {_q(ARCHIVE_BASE)} || username || '/games/' || archive_url[-7:] AS archive_url, {_q(f'{cat.LOAD_TIME}')} AS bq_load_date),
+  {_q(f'{cat.LOAD_TIME:%Y%m%d_%H%M}')} AS load_ts, CAST(CASE WHEN {earlier} THEN 1 ELSE 2 END AS BIGINT) AS load_no
+FROM stg_games WHERE end_time_integer > 0""",
+        "q_published_marks": _with(st) + f"""SELECT username, {_q(ARCHIVE_BASE)} || username || '/games/' || max(archive_url[-7:]) AS latest_archive_url,
+  max(end_time_integer) AS latest_end_time
+FROM stg_games WHERE end_time_integer > 0 GROUP BY username""",
     }

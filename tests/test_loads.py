@@ -1,0 +1,124 @@
+"""Published loads: visibility, marks, conflicts, compaction."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from plyscope import schemas
+from plyscope.params import Params
+from plyscope.sources import ingest as ig
+from plyscope.sources import loads
+
+NOW = dt.datetime(2025, 3, 1, 6, 30)
+P = Params(min_archive=None)
+
+
+def _land(landing, user, month, games, name="a"):
+    folder = f"{landing}/username={user}/archive={month}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.json", "a") as f:
+        f.write(json.dumps({"games": [{"uuid": u, "end_time": t, "url": f"https://x/{u}"} for u, t in games]}) + "\n")
+
+
+def _games(spark, root, at=None):
+    return sorted((r.game_uuid, r.load_no) for r in loads.read_table(spark, root, "games", schemas.GAMES, at).collect())
+
+
+def _marks(spark, root, at=None):
+    return {r.username: (r.latest_archive_url[-7:], r.latest_end_time) for r in loads.read_marks(spark, root, at).collect()}
+
+
+@pytest.fixture()
+def place(tmpdir_path):
+    return f"{tmpdir_path}/landing", f"{tmpdir_path}/root"
+
+
+def test_before_the_first_load(spark, place):
+    _, root = place
+    assert loads.version(spark, root) == loads.Version() and _games(spark, root) == [] and _marks(spark, root) == {}
+    assert "load_no" in loads.read_table(spark, root, "games", schemas.GAMES).columns
+
+
+def test_loads_of_one_minute_are_both_kept(spark, place):
+    landing, root = place
+    _land(landing, "alice", "2025-01", [("g1", 100)])
+    first = loads.load_published(spark, landing, root, P, NOW)
+    _land(landing, "alice", "2025-02", [("g2", 200)])
+    _land(landing, "bob", "2025-02", [("g3", 50)])
+    loads.load_published(spark, landing, root, P, NOW)
+    assert _games(spark, root) == [("g1", 1), ("g2", 2), ("g3", 2)]
+    assert _marks(spark, root) == {"alice": ("2025/02", 200), "bob": ("2025/02", 50)}
+    # an older version stays as it was
+    assert _games(spark, root, first) == [("g1", 1)] and _marks(spark, root, first) == {"alice": ("2025/01", 100)}
+    # a replay brings no game twice and leaves the marks
+    loads.load_published(spark, landing, root, P, NOW)
+    assert _games(spark, root) == [("g1", 1), ("g2", 2), ("g3", 2)] and _marks(spark, root)["alice"] == ("2025/02", 200)
+    assert loads.versions(spark, root) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("stop_before", ["entry", "marks"])
+def test_a_load_killed_midway_is_invisible(spark, place, monkeypatch, stop_before):
+    landing, root = place
+    _land(landing, "alice", "2025-01", [("g1", 100)])
+    loads.load_published(spark, landing, root, P, NOW)
+    _land(landing, "alice", "2025-02", [("g2", 200)])
+
+    def killed(*args, **kw):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(*((loads, "_commit") if stop_before == "entry" else (ig, "load_history")), killed)
+        loads.load_published(spark, landing, root, P, NOW)
+    assert _games(spark, root) == [("g1", 1)] and _marks(spark, root) == {"alice": ("2025/01", 100)}
+    loads.load_published(spark, landing, root, P, NOW)
+    assert _games(spark, root) == [("g1", 1), ("g2", 2)] and _marks(spark, root) == {"alice": ("2025/02", 200)}
+
+
+def test_of_two_loads_from_one_version_one_is_refused(spark, place):
+    landing, root = place
+    _land(landing, "alice", "2025-01", [("g1", 100)])
+    start = loads.version(spark, root)
+    tables = loads.new_tables(spark, landing, root, start, P, NOW)
+    loads.load_published(spark, landing, root, P, NOW)
+    with pytest.raises(loads.LoadConflict):
+        loads.publish(spark, root, tables, "x", start)
+    assert _games(spark, root) == [("g1", 1)] and loads.versions(spark, root) == [1]
+    assert not [n for n in os.listdir(f"{root}/commits") if n.startswith("_draft")]
+
+
+def test_a_load_reads_no_old_games(spark, place):
+    landing, root = place
+    _land(landing, "alice", "2025-01", [("g1", 100)])
+    start = loads.load_published(spark, landing, root, P, NOW)
+    _land(landing, "alice", "2025-02", [("g2", 200)])
+    games = loads.new_tables(spark, landing, root, start, P, NOW)["games"]
+    read = [f for f in games.inputFiles() if "/root/" in f]
+    assert read and all("/root/marks/" in f for f in read)
+
+
+def test_rejects_and_accounts_are_published_with_the_games(spark, place):
+    landing, root = place
+    _land(landing, "alice", "2025-01", [("g1", 100)])
+    with open(f"{landing}/username=alice/archive=2025-01/a.json", "a") as f:
+        f.write("<html>\n")
+    at = loads.load_published(spark, landing, root, P, NOW)
+    assert set(at.tables) == {"games", "rejects", "accounts"}
+    assert loads.read_table(spark, root, "rejects", ig.REJECTS).count() == 1
+    (account,) = loads.read_table(spark, root, "accounts", ig.ACCOUNTS).collect()
+    assert (account.games_kept, account.load_ts, account.load_no) == (1, "20250301_0630", 1)
+
+
+def test_compaction_keeps_rows_marks_and_old_versions(spark, place):
+    landing, root = place
+    for i in range(3):
+        _land(landing, "alice", f"2025-0{i + 1}", [(f"g{i}", 100 + i)])
+        loads.load_published(spark, landing, root, P, NOW)
+    before, marks, old = _games(spark, root), _marks(spark, root), loads.version(spark, root)
+    made = loads.compact(spark, root, "games", schemas.GAMES)
+    assert made.number == 4 and len(made.tables["games"]) == 1 and len(made.tables["accounts"]) == 3
+    assert _games(spark, root) == before == _games(spark, root, old) and _marks(spark, root) == marks
+    assert loads.compact(spark, root, "games", schemas.GAMES) == made
+    _land(landing, "alice", "2025-04", [("g9", 900)])
+    loads.load_published(spark, landing, root, P, NOW)
+    assert _games(spark, root) == sorted([*before, ("g9", 5)]) and loads.version(spark, root, 2).number == 2
