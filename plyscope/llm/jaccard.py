@@ -333,7 +333,7 @@ def _by_gathering(search):
 
 
 def _semi(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
-    """``df`` rows whose key is among the distinct ``ids``: broadcast where their count is small."""
+    """``df`` rows whose key is among the ``ids``: broadcast where their count is small."""
     other = if_small(ids.select(*[F.col(c).alias(f"__{c}") for c in on]), BROADCAST_IDS)
     cond = [df[c].eqNullSafe(other[f"__{c}"]) for c in on]
     return df.join(other, cond, "left_semi")
@@ -369,19 +369,23 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     def sets_of_rows(rids: DataFrame) -> DataFrame:
         """(rid, n, items) of the given rows."""
         need = written(keyed.join(rids, "rid", "left_semi").select("rid", "doc_id", "d1", "d2", "n"))
-        full = (_semi(base, need.select("doc_id").distinct(), ["doc_id"])
+        full = (_semi(base, need, ["doc_id"])
                 .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary"))
         return written(full.join(need.select("rid", "n", "d1", "d2"), ["d1", "d2"]).select("rid", "n", "items").dropDuplicates(["rid"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that are linked. Most of the others fall to finer counts, before sets are sent."""
         pairs = written(pairs)
+        if not pairs.count():
+            return pairs
         ends = written(pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct())
         sets = sets_of_rows(ends)
         fine = written(sets.mapInArrow(_fine_counts, "rid long, n long, fine binary"))
         near = written(pairs.join(fine.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("fine").alias("va")), "a")
                        .join(fine.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("vb")), "b")
                        .select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, FINE), "a long, b long"))
+        if not near.count():
+            return near
         ends = written(near.select(F.col("a").alias("rid")).unionByName(near.select(F.col("b").alias("rid"))).distinct())
         sets = written(sets.join(ends, "rid", "left_semi"))
         both = (near.join(sets.select(F.col("rid").alias("a"), F.col("items").alias("ia")), "a")
@@ -410,17 +414,24 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
                 .select("at", "rid", "label", "n", "vec", "items")
                 .mapInArrow(_by_gathering(_spanning_links(num, den)), "a long, b long"))
 
+    def joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
+        return links if label is None else links.unionByName(
+            label.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
+
     # step 1: gatherings
-    open_rows, links, label = shared.withColumn("label", F.col("rid")), None, None
+    # (labels stand for the links found so far: every row hangs on its component's least)
+    open_rows, label = shared.withColumn("label", F.col("rid")), None
     for turn in range(ROUNDS):
         found = settled(spark, lambda: gather(open_rows, turn))
-        links = found if links is None else written(links.unionByName(found))
-        label = settled(spark, lambda: components(links))
+        new = found.count()
+        if label is not None and not new:
+            break   # nothing was joined, so labels and unresolved pages stay
+        label = settled(spark, lambda: components(joined(label, found)))
         labelled = shared.join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
         mixed = labelled.groupBy("page").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("page")
         open_rows = written(labelled.join(mixed, "page", "left_semi"))
         # another gathering pays only while they join much of what is left; step 2 misses nothing
-        if found.count() * WORTH <= open_rows.select("rid").distinct().count():
+        if new * WORTH <= open_rows.select("rid").distinct().count():
             break
 
     # step 2: pages that still hold several components
@@ -439,7 +450,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
              .select("page", "rid", "label", "n", "vec", "side")
              .mapInArrow(_page_search(num, den), "a long, b long").distinct())
     more = settled(spark, lambda: verified(found))
-    final = settled(spark, lambda: components(links.unionByName(more)))
+    final = settled(spark, lambda: components(joined(label, more))) if more.count() else label
 
     # every row: its set's representative, that one's component, the component's smallest id
     of_rep = written(reps.join(final.select(F.col("node").alias("rid"), "label"), "rid", "left")
