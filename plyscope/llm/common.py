@@ -53,6 +53,19 @@ def free(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Python workers get batches of at most so many rows of what is run inside: rows that hold whole texts or
+    sets are several times in memory while a batch is handed over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settled(spark: SparkSession, make) -> DataFrame:
     """The written table of what ``make()`` returns; tables written on the way to it are freed."""
     with scope() as paths:

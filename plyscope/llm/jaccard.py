@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import RID, id_text, if_small, join_groups, prepare, settled, with_rid, written
+from plyscope.llm.common import RID, arrow_rows, id_text, if_small, join_groups, prepare, settled, with_rid, written
 from plyscope.llm.graph import components
 
 GROUPS = 64
@@ -56,6 +56,8 @@ ROUNDS = 3
 WORTH = 20
 #: candidate ids are broadcast up to this many rows (8 bytes each); beyond it they are joined by a shuffle
 BROADCAST_IDS = 1_000_000
+#: rows that a Python worker is handed at once: a row may hold a text, or the sets of two documents
+BATCH = 1_000
 
 
 def spread(n: int, num: int, den: int) -> int:
@@ -349,6 +351,12 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     """
     spark = docs.sparkSession
     prepare(spark)
+    with arrow_rows(spark, BATCH):
+        return _groups(docs, n, num, den, id_col, text_col)
+
+
+def _groups(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    spark = docs.sparkSession
     base = id_text(docs, id_col, text_col)
     points = with_rid(base.mapInArrow(_points(n, num, den),
                                       "doc_id long, n long, d1 long, d2 long, vec binary, keys array<long>"))

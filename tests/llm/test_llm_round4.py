@@ -1,8 +1,12 @@
-"""Rounds of the components."""
+"""Rounds of the components, batch sizes of the Jaccard join."""
 
 import random
 
+import pyarrow as pa
+
 from plyscope.llm import graph
+from plyscope.llm import jaccard as jc
+from plyscope.llm.common import arrow_rows
 
 
 def _labels(spark, pairs):
@@ -26,3 +30,23 @@ def test_components_of_chains_and_random_graphs(spark):
             if a != b:
                 root[a] = root[b] = min(root[a], root[b])
     assert _labels(spark, pairs) == root
+
+
+def test_batches_are_bounded_inside_only(spark):
+    name, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+    with arrow_rows(spark, 100):
+        sizes = [r.n for r in spark.range(1000, numPartitions=2).mapInArrow(count, "n long").collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 1000 and spark.conf.get(name) == before
+
+
+def test_the_join_runs_with_bounded_batches(spark, monkeypatch):
+    seen, real = [], jc._groups
+    monkeypatch.setattr(jc, "_groups", lambda *a: seen.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))) or real(*a))
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in jc.jaccard_groups(docs, 4, 85, 100).collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert seen == [jc.BATCH] and jc.BATCH <= 1000
