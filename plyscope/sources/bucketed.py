@@ -8,6 +8,8 @@ Keyless games are one key and so would be one bucket: they do not belong in such
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +18,19 @@ from plyscope.session import apply_required_conf
 KEY = "game_uuid"
 
 
-def stage_by_game(tables: dict[str, DataFrame], path: str, prefix: str, buckets: int) -> dict[str, str]:
-    """Write the keyed rows of each table under ``path`` as catalog table ``prefix_name``; returns those names."""
+def stage_by_game(tables: dict[str, DataFrame], path: str, prefix: str, buckets: int,
+                  derive: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> dict[str, str]:
+    """Write the keyed rows of each table under ``path`` as catalog table ``prefix_name``; returns those names.
+
+    ``derive`` names tables that are made from the given rows, row by row, once these lie in their buckets (columns and
+    rows that follow from others need not be shuffled); it keeps the game key."""
     names = {}
     for name, df in tables.items():
         names[name] = f"{prefix}_{name}"
         # dealt as the buckets are, so that each bucket is written by one task
-        (df.filter(F.col(KEY) != "").repartition(buckets, KEY).write.bucketBy(buckets, KEY).sortBy(KEY)
+        dealt = df.filter(F.col(KEY) != "").repartition(buckets, KEY)
+        dealt = derive[name](dealt) if derive and name in derive else dealt
+        (dealt.write.bucketBy(buckets, KEY).sortBy(KEY)
          .option("path", f"{path}/{name}").mode("overwrite").saveAsTable(names[name]))
     return names
 

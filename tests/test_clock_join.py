@@ -80,3 +80,26 @@ def test_buckets_hold_one_file_each_and_no_keyless_rows(spark, tmpdir_path):
     names = bucketed.stage_by_game({"games": g}, tmpdir_path, f"t_{uuid.uuid4().hex}", 4)
     files = [f for f in os.listdir(f"{tmpdir_path}/games") if f.endswith(".parquet")]
     assert len(files) <= 4 and spark.table(names["games"]).count() == 3
+
+
+def test_derived_tables_are_shuffled_as_what_they_start_from(spark, tmpdir_path, monkeypatch):
+    """Clocks and ply columns are made in the buckets: the same tables, from a shuffle without them."""
+    g, _ = _models(spark, [game(uuid=f"g{i}", text=pgn(clocks_falling(6))) for i in range(9)], {"g1": 1})
+    dealt, deal = [], type(g).repartition
+    monkeypatch.setattr(type(g), "repartition", lambda self, *a: (dealt.append(self.columns), deal(self, *a))[1] if len(a) > 1 else deal(self, *a))
+    text = g.select("username", "game_uuid", "pgn")
+    names = bucketed.stage_by_game({"times": text}, tmpdir_path, f"t_{uuid.uuid4().hex}", 4, {"times": im.games_times})
+    assert dealt == [["username", "game_uuid", "pgn"]]
+    assert sorted(map(tuple, spark.table(names["times"]).collect())) == sorted(map(tuple, im.games_times(g).collect()))
+
+
+def test_the_registered_join_shuffles_no_derived_columns(spark, monkeypatch):
+    from plyscope import catalog
+    given = {}
+    monkeypatch.setattr(bucketed, "stage_by_game", lambda tables, *a: given.update(tables) or (_ for _ in ()).throw(KeyboardInterrupt))
+    try:
+        catalog.clock_join_plan(spark, "/root/testdata/sf0.001")
+    except KeyboardInterrupt:
+        pass
+    assert given["moves"].columns == ["game_uuid", "move_number", "move", "score_white"]
+    assert given["times"].columns == ["username", "game_uuid", "pgn"]
