@@ -31,7 +31,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from itertools import chain
+from collections import defaultdict
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,9 @@ from plyscope.llm.wordcache import Generations
 CHUNK_BYTES = 12 << 20
 #: parts that a worker remembers (twice as many at most)
 CACHED_PARTS = 150_000
+#: parts of so many are counted together (a longer text alone)
+RUN_PARTS = 100_000
+_NEW = object()
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -90,10 +94,10 @@ class Aligner:
         self.width_a, self.width_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         # an id with what follows it in the list of groups
         self.shown = [f"{i}{sep}" for n, seps in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for i in range(n) for sep in seps]
+        self.shown_length = np.array(list(map(len, self.shown)), np.int64)
 
         self.apart = all("▁" not in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
-        self.fresh = {}
-        self.known = Generations(lambda part: self.fresh[part], CACHED_PARTS)
+        self.known = Generations(self._alone, CACHED_PARTS)
 
     def parts(self, text: str) -> list[str]:
         return _BREAK.split(text) if self.apart else [text]
@@ -123,28 +127,29 @@ class Aligner:
         return ids_a, ends_a, ids_b, cuts(span[::2], span[1::2], self.width_b[ids_b])
 
     def lookup(self, parts) -> list:
-        """(A tokens, B tokens, groups, the groups shown, id pairs of the links) of each part, or None. Parts that are
-        not remembered are encoded together, as one text with spaces between them."""
+        """(A tokens, B tokens, groups, the groups shown, id pairs of the links as bytes) of each of the distinct parts, or
+        None. Parts that are not remembered are encoded together, as one text with spaces between them."""
+        parts = list(parts)
         # read before anything is remembered, which may push out older parts
-        found = {p: held[p] for p in parts for held in (self.known, self.known.old) if p in held}
-        new = [p for p in parts if p not in found]
+        found = list(map(self.known.get, parts, repeat(_NEW)))
+        rest = [i for i, x in enumerate(found) if x is _NEW]
+        for i in rest:
+            found[i] = self.known.old.get(parts[i], _NEW)
+        new = [i for i in rest if found[i] is _NEW]
         for at in range(0, len(new), 50_000):
             some = new[at:at + 50_000]
-            plain = [p for p in some if self.apart and "▁" not in p and not p[0].isspace() and not p[-1].isspace()]
-            got = self._together(plain) if plain else []
-            if got is not None:
-                found.update(zip(plain, got))
-            found.update((p, self._alone(p)) for p in some if p not in found)
-        self.fresh = found
-        for p in parts:
-            if len(p) <= self.known.longest:
-                self.known[p]   # remembered from now on
-        self.fresh = {}
-        return [found[p] for p in parts]
+            plain = [i for i in some if self.apart and "▁" not in parts[i] and not parts[i][0].isspace() and not parts[i][-1].isspace()]
+            for i, x in zip(plain, (self._together([parts[i] for i in plain]) if plain else None) or ()):
+                found[i] = x
+            for i in some:
+                if found[i] is _NEW:
+                    found[i] = self._alone(parts[i])
+        self.known.take([parts[i] for i in rest], [found[i] for i in rest])
+        return found
 
     def _alone(self, part: str):
         got = self.spans(part)
-        return got and (len(got[0]), len(got[2]), *self.groups(*got), links(*got))
+        return got and (len(got[0]), len(got[2]), *self.groups(*got), links(*got).tobytes())
 
     def _together(self, parts: list[str]):
         got = self.spans(" ".join(parts))
@@ -152,18 +157,18 @@ class Aligner:
             return None
         ids_a, ends_a, ids_b, ends_b = got
         border = np.cumsum([len(p.encode()) + 1 for p in parts])
-        common, ends = np.intersect1d(ends_a, ends_b, assume_unique=True), np.union1d(ends_a, ends_b)
+        common, ends = merged(ends_a, ends_b)
         if not np.isin(border, common).all():
             return None
-        shown, pairs = list(map(self.shown.__getitem__, self._keys(common, *got).tolist())), links(*got)
+        keys, pairs = self._keys(common, *got), links(*got, ends).tobytes()
+        shown = "".join(map(self.shown.__getitem__, keys.tolist()))
         def cut(x):
             return np.concatenate(([0], np.searchsorted(x, border, "right")))
         a, b, g, e = map(cut, (ends_a, ends_b, common, ends))
-        s = (a + b).tolist()
-        text = ["".join(shown[s[i]:s[i + 1]])[:-1] for i in range(len(parts))]
-        e = e.tolist()
-        return list(zip(np.diff(a).tolist(), np.diff(b).tolist(), np.diff(g).tolist(), text,
-                        [pairs[e[i]:e[i + 1]].copy() for i in range(len(parts))]))
+        s = np.concatenate(([0], np.cumsum(self.shown_length[keys])))[a + b].tolist()
+        e = (e * 8).tolist()
+        return list(zip(np.diff(a).tolist(), np.diff(b).tolist(), np.diff(g).tolist(),
+                        [shown[i:j - 1] for i, j in zip(s, s[1:])], [pairs[i:j] for i, j in zip(e, e[1:])]))
 
     def text(self, text: str):
         """``spans`` of a whole text; None without tokens."""
@@ -187,14 +192,23 @@ class Aligner:
 
     def groups(self, ids_a, ends_a, ids_b, ends_b) -> tuple[int, str]:
         """The number of groups, and their ids as ``a1,a2|b1;a3|b2,b3``."""
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        common = merged(ends_a, ends_b)[0]
         keys = self._keys(common, ids_a, ends_a, ids_b, ends_b)
         return len(common), "".join(map(self.shown.__getitem__, keys.tolist()))[:-1]
 
 
-def links(ids_a, ends_a, ids_b, ends_b) -> np.ndarray:
-    """The id pair (A id << 32 | B id) of each link, in text order."""
-    ends = np.union1d(ends_a, ends_b)
+def merged(ends_a, ends_b) -> tuple[np.ndarray, np.ndarray]:
+    """The common ends, and all ends, of two ascending lists without repeats."""
+    both = np.concatenate((ends_a, ends_b))
+    both.sort(kind="stable")    # merges the two runs
+    twice = np.zeros(len(both), bool)
+    twice[:-1] = both[1:] == both[:-1]
+    return both[twice], both[~twice]
+
+
+def links(ids_a, ends_a, ids_b, ends_b, ends=None) -> np.ndarray:
+    """The id pair (A id << 32 | B id) of each link, in text order. ``ends``: all ends, where they are known."""
+    ends = merged(ends_a, ends_b)[1] if ends is None else ends
     return ids_a[np.searchsorted(ends_a, ends)] << 32 | ids_b[np.searchsorted(ends_b, ends)]
 
 
@@ -255,47 +269,64 @@ def _chunks(batches, chunk_bytes: int):
         yield held
 
 
+def _runs(docs: list, able: list[int]):
+    """The places in ``able`` in runs of about ``RUN_PARTS`` parts."""
+    run, size = [], 0
+    for i in able:
+        run.append(i)
+        size += len(docs[i])
+        if size >= RUN_PARTS:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def _chunk(al: Aligner, held: list, name: int) -> pa.RecordBatch:
-    known, docs = {}, []    # the chunk's distinct parts, numbered; each text's parts by number
+    known, docs = defaultdict(count().__next__), []     # the chunk's distinct parts, numbered; each text's parts by number
     for _, text in held:
-        docs.append([known.setdefault(p, len(known)) for p in (al.parts(text) if text else ())])
+        own = al.parts(text) if text else ()
+        docs.append(np.fromiter(map(known.__getitem__, own), np.int32, len(own)))
     parts = al.lookup(known)
-    none = np.zeros(0, np.int64)
+    of_part = [b"" if p is None else p[4] for p in parts]
+    length = np.array(list(map(len, of_part)), np.int64) // 8
+    first = np.concatenate(([0], np.cumsum(length)))
+    pairs, place = np.unique(np.frombuffer(b"".join(of_part), np.int64), return_inverse=True)
     sizes = np.array([(0, 0, 0) if p is None else p[:3] for p in parts], np.int64).reshape(-1, 3)
+    sizes = np.concatenate([sizes, length[:, None]], 1)
     shown = [None if p is None else p[3] for p in parts]
-    of_part = [none if p is None else p[4] for p in parts]
-    flat = np.concatenate([none, *of_part])
-    length = np.array([len(x) for x in of_part], np.int64)
-    first = np.concatenate(([0], np.cumsum(length)))
     readable = np.array([s is not None for s in shown], bool)
-    del parts, known
-
-    pairs, place = np.unique(flat, return_inverse=True)
-    numbered, many = [], np.zeros(len(pairs), np.int64)
-    counts, digests = [], []
-    for own in docs:
-        at = np.array(own, np.int64)
-        if not len(at) or not readable[at].all():
-            numbered.append((none, none))
-            counts.append((0, 0, 0, 0))
-            digests.append("")
-            continue
-        counts.append((*sizes[at].sum(0).tolist(), int(length[at].sum())))
-        digests.append(hashlib.sha256(";".join(map(shown.__getitem__, own)).encode()).hexdigest())
-        part, times = np.unique(at, return_counts=True)
-        # the links of the text's distinct parts, each as often as its part occurs
+    del parts, known, of_part
+
+    none, many = np.zeros(0, np.int64), np.zeros(len(pairs), np.int64)
+    numbered, digests = [(none, none)] * len(held), [""] * len(held)
+    counts = np.zeros((len(held), 4), np.int64)
+    able = [i for i, own in enumerate(docs) if len(own) and readable[own].all()]
+    for run in _runs(docs, able):
+        at, n = np.concatenate([docs[i] for i in run]), np.array([len(docs[i]) for i in run])
+        counts[run] = np.add.reduceat(sizes[at], np.cumsum(n) - n)
+        key, times = np.unique(np.repeat(np.arange(len(run)), n) * len(readable) + at, return_counts=True)
+        doc, part = np.divmod(key, len(readable))
+        # the links of the texts' distinct parts, each as often as its part occurs
         n = length[part]
         link = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[part], n)
-        pair, again = np.unique(place[link], return_inverse=True)
-        times = np.bincount(again, np.repeat(times, n)).astype(np.int64)
-        many[pair] += times
-        numbered.append((pair, times))
+        key = np.repeat(doc, n) * len(pairs) + place[link]
+        order = np.argsort(key)
+        key = key[order]
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        times = np.add.reduceat(np.repeat(times, n)[order], start)
+        doc, pair = np.divmod(key[start], len(pairs))
+        many += np.bincount(pair, times, len(pairs)).astype(np.int64)
+        cut = np.searchsorted(doc, np.arange(len(run) + 1))
+        for i, a, b in zip(run, cut, cut[1:]):
+            numbered[i] = pair[a:b].astype(np.int32), times[a:b].astype("<i4")
+            digests[i] = hashlib.sha256(";".join(map(shown.__getitem__, docs[i].tolist())).encode()).hexdigest()
     used = np.flatnonzero(many)
     used = used[np.argsort(-many[used], kind="stable")]     # frequent pairs first: small places
     rank = np.zeros(len(pairs), "<i4")
     rank[used] = np.arange(len(used))
     long_list, rest = pa.list_(pa.int64()), [None] * (len(held) - 1)
-    cols = [pa.array(c, pa.int64()) for c in zip(*counts)]
+    cols = [pa.array(c, pa.int64()) for c in counts.T]
     arrays = [pa.array([d for d, _ in held], pa.int64()), *cols, pa.array(digests, pa.string()),
               pa.array([name] * len(held), pa.int64()), pa.array([rank[p].tobytes() for p, _ in numbered], pa.binary()),
               pa.array([t.astype("<i4").tobytes() for _, t in numbered], pa.binary()),

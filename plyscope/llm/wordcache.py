@@ -22,3 +22,15 @@ class Generations(dict):
             self.clear()
         self[piece] = value
         return value
+
+    def take(self, pieces, values) -> None:
+        """Remember the values of pieces that are not in the young generation, as if each had been asked for."""
+        items = [x for x in zip(pieces, values) if len(x[0]) <= self.longest]
+        at = 0
+        while at < len(items):
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            room = self.limit - len(self)
+            self.update(items[at:at + room])
+            at += room

@@ -1,12 +1,14 @@
-"""Rounds of the components, batch sizes of the Jaccard join."""
+"""Rounds of the components, batch sizes of the Jaccard join, merged ends and bulk cache of the alignment."""
 
 import random
 
+import numpy as np
 import pyarrow as pa
 
-from plyscope.llm import graph
+from plyscope.llm import alignment, graph
 from plyscope.llm import jaccard as jc
 from plyscope.llm.common import arrow_rows
+from plyscope.llm.wordcache import Generations
 
 
 def _labels(spark, pairs):
@@ -50,3 +52,21 @@ def test_the_join_runs_with_bounded_batches(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x")], "doc_id long, text string")
     assert sorted((r.doc_id, r.component_id) for r in jc.jaccard_groups(docs, 4, 85, 100).collect()) == [(1, 1), (2, 1), (3, 3)]
     assert seen == [jc.BATCH] and jc.BATCH <= 1000
+
+
+def test_merged_ends():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 200):
+        a, b = (np.unique(rng.integers(0, 2 * n + 1, n)) for _ in range(2))
+        common, ends = alignment.merged(a, b)
+        assert common.tolist() == sorted(set(a.tolist()) & set(b.tolist())) and ends.tolist() == sorted(set(a.tolist()) | set(b.tolist()))
+
+
+def test_cache_taken_in_bulk_is_bounded_and_right():
+    cache, rng = Generations(len, 10), random.Random(2)
+    for _ in range(200):
+        some = list({"x" * rng.randrange(1, 90) for _ in range(rng.randrange(1, 25))})
+        new = [p for p in some if p not in cache]
+        cache.take(new, map(len, new))
+        assert len(cache) <= 10 and len(cache.old) <= 10
+        assert all(len(p) == n <= 64 for held in (cache, cache.old) for p, n in held.items())
