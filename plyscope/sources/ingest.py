@@ -23,6 +23,8 @@ from plyscope.sources import quarantine
 ARCHIVE_BASE = "https://api.example.invalid/pub/player/"
 # Up to so many players of a load are named in the partition filter.
 PRUNE_PLAYERS = 1000
+# Up to so many selected archives (two short names each) are broadcast, so that no archive's text is shuffled.
+BROADCAST_ARCHIVES = 500_000
 LANDING_SCHEMA = T.StructType([*schemas.ARCHIVE.fields, T.StructField("username", T.StringType()),
                                T.StructField("archive", T.StringType())])
 
@@ -88,15 +90,17 @@ def read_selected_lines(spark: SparkSession, landing: str, history: DataFrame, p
                         archive_base: str = ARCHIVE_BASE) -> DataFrame:
     """S6 and S7 before the read: the archives to load are selected from the listing by history and
     month; their lines are returned. The earliest selected month, and the players where they are few, prune the partitions that
-    are opened; a semi join keeps exactly the selected archives."""
+    are opened; a semi join keeps exactly the selected archives. Their list is written first: its size is known then."""
     listed = list_archives(spark, landing)
     keep = filter_archives_by_min_month(
         filter_archives_by_history(listed.withColumn("archive_url", _archive_url(archive_base)), history), params.min_archive)
-    first, players = keep.agg(F.min("archive"), F.count_distinct("username")).first()
+    keep = landed(keep.select("username", "archive"), "archives")
+    first, players, archives = keep.agg(F.min("archive"), F.count_distinct("username"), F.count("*")).first()
     raw = quarantine.read_lines(spark, landing).filter(F.col("archive") >= (first or "9999-99"))
     if 0 < players <= PRUNE_PLAYERS:
         raw = raw.filter(F.col("username").isin([r[0] for r in keep.select("username").distinct().collect()]))
     kept = keep.select(F.col("username").alias("__u"), F.col("archive").alias("__a"))
+    kept = F.broadcast(kept) if archives <= BROADCAST_ARCHIVES else kept
     return raw.join(kept, (raw["username"] == kept["__u"]) & (raw["archive"] == kept["__a"]), "left_semi")
 
 

@@ -42,8 +42,8 @@ def read_lines(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """One row per game, fragment or unreadable line: the columns of ``lines`` but ``value``, then ``raw``, ``reason``
-    (NULL for a game that is kept) and ``g``, the game; lines without games give one row without ``raw``."""
+    """One row per game, fragment or unreadable line: the columns of ``lines`` but ``value``, then ``raw`` and ``reason``
+    (NULL for a game that is kept, whose text is in ``g``) and ``g``, the game; lines without games give one row without ``raw``."""
     pieces = "array<struct<text:string,complete:boolean>>"
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     line = F.from_json("value", f"games array<string>, {CORRUPT} string", opts)
@@ -69,7 +69,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
               .when(F.col(f"g.{CORRUPT}").isNotNull(), F.lit("field")))
     fields = F.struct(*[F.col(f"g.`{f.name}`").alias(f.name) for f in GAME_TYPE.fields])
     return each.select(
-        *keep, "whole", "place", counted.alias("is_game"), F.coalesce("p.text", F.when(counted, F.lit("null"))).alias("raw"),
+        *keep, "whole", "place", counted.alias("is_game"), F.when(reason.isNotNull(), F.coalesce("p.text", F.when(counted, F.lit("null")))).alias("raw"),
         reason.alias("reason"), F.when(counted & reason.isNull(), fields).alias("g"))
 
 

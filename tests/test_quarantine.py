@@ -162,3 +162,25 @@ def test_sound_archives_load_as_before(spark, tmpdir_path):
     parsed = qn.kept(qn.parse_lines(qn.read_lines(spark, tmpdir_path))).withColumn(
         "archive_url", F.lit(whole.first().archive_url))
     assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, ig.flatten_games(parsed, "t").collect()), key=str)
+
+
+def test_selected_archives_are_not_shuffled(spark, tmpdir_path):
+    """The list of archives is small, their text is not: it is read and parsed where it lies."""
+    landing = f"{tmpdir_path}/landing"
+    for user in ("al", "bo"):
+        _write(landing, [_line(_game(1)), _line(_game(2))[:-30]], user=user)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = ig.read_selected_lines(spark, landing, ig.load_history(ig.read_snapshots(spark, f"{tmpdir_path}/none", schemas.GAMES)),
+                                       P.with_(min_archive="2025/01"))
+        plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(lines._jdf.queryExecution(), "simple")
+        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan and lines.count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_kept_games_carry_no_second_text(spark, tmpdir_path):
+    _write(tmpdir_path, [_line(_game(1), _game(2))[:-30]])
+    rows = qn.parse_lines(qn.read_lines(spark, tmpdir_path)).collect()
+    assert sorted((r.reason or "", r.raw is None) for r in rows) == [("", True), ("fragment", False)]
