@@ -17,14 +17,16 @@ Pages are resolved so that a page of many near copies never becomes all its pair
 1. in each of up to ``ROUNDS`` rounds, every document goes, with its count vector, to one of its unresolved pages
    (first the one with the least member, then one picked by a seeded hash, on which documents with
    like pages agree), and each such gathering, dealt into chunks of bounded rows and bytes, is searched
-   in one task: an R-tree over its members' count vectors gives the partners; then the sets of those that
-   have any are sent, finer counts and the sets verify the partners, and a union-find skips what is joined already, so only spanning links come out;
+   in one task: an R-tree over its members' count vectors, and finer counts where sets are long, give the
+   partners; then the texts of those that have any are sent, finer counts and the sets verify the partners,
+   and a union-find skips what is joined already, so only spanning links come out;
 2. pages that still hold several components are searched through R-trees over the count vectors,
    for pairs across components only. Pages over ``PAGE`` rows are joined into families (pages that
    share members), which are dealt into chunks and searched chunk by chunk against chunk. Those pairs
    are held against finer counts and then verified on the sets.
-Sets are 64-bit shingle hashes; equal ones are collapsed before all this. Sets are built for documents
-with a partner only, and travel once per round.
+Sets are 64-bit shingle hashes; equal ones are collapsed before all this, and of pages with the same
+members one is kept. Sets are built anew where they are compared, for documents with a partner only: a
+text is a fraction of its set's bytes, and travels once per round.
 
 Results: no words or null text: ``n_shingles`` 0, component of its own. Repeated rows are kept, each
 with the component they share; rows with a null id are grouped like others but cannot name a
@@ -39,12 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import RID, arrow_rows, id_text, if_small, join_groups, prepare, settled, with_rid, written
+from plyscope.llm.common import RID, arrow_rows, id_text, if_small, join_groups, numbered, prepare, settled, with_rid, written
 from plyscope.llm.graph import components
 
 GROUPS = 64
 #: groups of the finer count vectors that candidate pairs are held against before verification
 FINE = 512
+#: sets of so many shingles carry finer counts, a byte each, beside their vector: over GROUPS groups the sums of
+#: long sets come close to their sizes whatever they hold
+LONG = 768
 FANOUT = 32
 PAGE = 256
 CHUNK = 512
@@ -54,7 +59,7 @@ CHUNK_BYTES = 32 << 20
 ROUNDS = 3
 #: another one is made if the last one gave more than a link for so many unresolved documents
 WORTH = 20
-#: candidate ids are broadcast up to this many rows (8 bytes each); beyond it they are joined by a shuffle
+#: candidate rows (a few longs each) are broadcast to the texts up to this many; beyond it they are joined by a shuffle
 BROADCAST_IDS = 1_000_000
 #: rows that a Python worker is handed at once: a row may hold a text, or the sets of two documents
 BATCH = 1_000
@@ -120,40 +125,42 @@ def _digest(u: np.ndarray) -> tuple[int, int]:
 def _points(size: int, num: int, den: int):
     def run(batches):
         for batch in batches:
-            out = {"n": [], "d1": [], "d2": [], "vec": [], "keys": []}
+            out = {"n": [], "d1": [], "d2": [], "vec": [], "fine": [], "keys": []}
             for u in sets_of(batch.column("text"), size):
                 d1, d2 = _digest(u)
                 out["n"].append(len(u))
                 out["d1"].append(d1)
                 out["d2"].append(d2)
-                out["vec"].append(np.bincount((u & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                                  .astype("<u4").tobytes() if len(u) else None)
+                out["vec"].append(_counts(u, GROUPS).astype("<u4").tobytes() if len(u) else None)
+                out["fine"].append(np.minimum(_counts(u, FINE), 255).astype("u1").tobytes() if len(u) >= LONG else None)
                 out["keys"].append(tx.as_signed(block_keys(u, num, den)) if len(u) else np.zeros(0, np.int64))
             lens = np.cumsum([0] + [len(k) for k in out["keys"]]).astype(np.int32)
             keys = pa.ListArray.from_arrays(pa.array(lens), pa.array(np.concatenate(out["keys"] or [np.zeros(0, np.int64)])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(out["n"], pa.int64()), pa.array(out["d1"], pa.int64()),
-                 pa.array(out["d2"], pa.int64()), pa.array(out["vec"], pa.binary()), keys],
-                ["doc_id", "n", "d1", "d2", "vec", "keys"])
+                [batch.column("place"), batch.column("doc_id"), pa.array(out["n"], pa.int64()), pa.array(out["d1"], pa.int64()),
+                 pa.array(out["d2"], pa.int64()), pa.array(out["vec"], pa.binary()), pa.array(out["fine"], pa.binary()), keys],
+                ["place", "doc_id", "n", "d1", "d2", "vec", "fine", "keys"])
     return run
 
 
-def _full_sets(size: int):
+def _own_sets(tab, size: int) -> tuple[list[np.ndarray], pa.Array]:
+    """The rows' sets, built from their texts, where they are those that the rows were named for; which rows these are."""
+    sets = [u for c in tab.column("text").chunks for u in sets_of(c, size)]
+    own = [_digest(u) == d for u, d in zip(sets, zip(*(tab.column(c).to_pylist() for c in ("d1", "d2"))))]
+    return [u for u, o in zip(sets, own) if o], pa.array(own, pa.bool_())
+
+
+def _set_bytes(size: int, form):
     def run(batches):
         for batch in batches:
-            rows = [(*_digest(u), u.tobytes()) for u in sets_of(batch.column("text"), size)]
-            d1, d2, s = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(s, pa.binary())],
-                                             ["d1", "d2", "items"])
+            tab = pa.Table.from_batches([batch])
+            sets, own = _own_sets(tab, size)
+            rids = tab.column("rid").filter(own).combine_chunks()
+            yield pa.RecordBatch.from_arrays([rids, pa.array([len(u) for u in sets], pa.int64()),
+                                              pa.array([form(u).tobytes() for u in sets], pa.binary())], ["rid", "n", "items"])
     return run
 
 
-def _fine_counts(batches):
-    for batch in batches:
-        fine = [_fine(np.frombuffer(x.as_buffer(), "<u8")).astype("<u4").tobytes() for x in batch.column("items")]
-        yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("n"), pa.array(fine, pa.binary())], ["rid", "n", "fine"])
-
-
 def _bound_filter(num: int, den: int, groups: int):
     """Pairs whose summed coordinate minima, over so many groups, still allow a link."""
     def run(batches):
@@ -214,19 +221,42 @@ class CountTree:
         return self.order[at[keep]]
 
 
-def _search(rids, labels, sizes, vecs, sides, num, den):
+class LongCounts:
+    """The finer counts of the long sets among some rows. A count stops at 255; what a set holds beyond that is
+    added to the sums whole, so that they stay bounds."""
+
+    def __init__(self, fine: list, sizes: np.ndarray):
+        has = np.array([x is not None for x in fine], bool)
+        self.sizes, self.at = sizes, np.where(has, np.cumsum(has) - 1, -1)
+        self.counts = np.frombuffer(b"".join(x for x in fine if x is not None), "u1").reshape(-1, FINE)
+        self.beyond = sizes[has] - self.counts.sum(1, dtype=np.int64)
+
+    def near(self, q: int, hit: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Those of the rows ``hit`` whose finer counts, where both have them, allow a link with ``q``."""
+        both = self.at[hit] >= 0
+        if self.at[q] < 0 or not both.any():
+            return hit
+        a, b = self.at[q], self.at[hit[both]]
+        most = np.minimum(self.counts[b], self.counts[a]).sum(1, dtype=np.int64) + np.minimum(self.beyond[b], self.beyond[a])
+        keep = ~both
+        keep[both] = linked(self.sizes[q], self.sizes[hit[both]], most, num, den)
+        return hit[keep]
+
+
+def _search(rids, labels, sizes, vecs, fine, sides, num, den):
     """Candidate pairs across components; where rows have two sides, only pairs across those."""
     out = []
     inner, outer = (sides == 0, sides == 1) if sides is not None and sides.any() else (None, None)
     here = np.flatnonzero(inner) if inner is not None else np.arange(len(rids))
     if not len(here):
         return out
-    tree = CountTree(vecs[here], sizes[here])
+    tree, long = CountTree(vecs[here], sizes[here]), LongCounts(fine, sizes)
     for q in (np.flatnonzero(outer) if outer is not None else here):
         hit = here[tree.probe(vecs[q], int(sizes[q]), num, den)]
         hit = hit[labels[hit] != labels[q]]
         if outer is None:
             hit = hit[hit > q]
+        hit = long.near(q, hit, num, den)
         out += [(min(rids[q], rids[h]), max(rids[q], rids[h])) for h in hit]
     return out
 
@@ -239,11 +269,11 @@ def _page_search(num: int, den: int):
             page = tab.column("page").to_numpy()
             cols = [tab.column(c).to_numpy() for c in ("rid", "label", "n")]
             vecs = np.frombuffer(b"".join(tab.column("vec").to_pylist()), "<u4").reshape(-1, GROUPS)
-            sides = tab.column("side").to_numpy()
+            fine, sides = tab.column("fine").to_pylist(), tab.column("side").to_numpy()
             at = np.concatenate(([0], np.flatnonzero(page[1:] != page[:-1]) + 1, [len(page)]))
             pairs = set()
             for a, b in zip(at[:-1], at[1:]):
-                pairs.update(_search(*(c[a:b] for c in cols), vecs[a:b], sides[a:b], num, den))
+                pairs.update(_search(*(c[a:b] for c in cols), vecs[a:b], fine[a:b], sides[a:b], num, den))
             a, b = zip(*pairs) if pairs else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
         for batch in batches:
@@ -260,8 +290,20 @@ def _page_search(num: int, den: int):
     return run
 
 
+def _counts(u: np.ndarray, groups: int) -> np.ndarray:
+    return np.bincount((u & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+
+
 def _fine(u: np.ndarray) -> np.ndarray:
-    return np.bincount((u & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
+    return _counts(u, FINE)
+
+
+def _fine_words(u: np.ndarray) -> np.ndarray:
+    return _fine(u).astype("<u4")
+
+
+def _items(u: np.ndarray) -> np.ndarray:
+    return u.astype("<u8")
 
 
 def spanning(rids, labels, sizes, vecs, sets, num: int, den: int) -> list[tuple[int, int]]:
@@ -292,22 +334,25 @@ def spanning(rids, labels, sizes, vecs, sets, num: int, den: int) -> list[tuple[
 
 
 def _partnered(num: int, den: int):
-    """The rows that the tree gives a partner in another component."""
+    """The rows that the tree and the finer counts give a partner in another component."""
     def search(tab):
         sizes, vecs = tab.column("n").to_numpy(), _vectors(tab)
         comp = np.unique(tab.column("label").to_numpy(), return_inverse=True)[1]
         tree, keep = CountTree(vecs, sizes), np.zeros(len(sizes), bool)
+        long = LongCounts(tab.column("fine").to_pylist(), sizes)
         for q in range(len(sizes)):
             hit = tree.probe(vecs[q], int(sizes[q]), num, den)
-            keep[q] = (comp[hit] != comp[q]).any()
-        return tab.filter(pa.array(keep))
+            keep[q] = len(long.near(q, hit[comp[hit] != comp[q]], num, den)) > 0
+        return tab.filter(pa.array(keep)).drop_columns(["n", "vec", "fine"])
     return search
 
 
-def _spanning_links(num: int, den: int):
+def _spanning_links(size: int, num: int, den: int):
     def search(tab):
-        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in tab.column("items")]
-        got = spanning(*(tab.column(c).to_numpy() for c in ("rid", "label", "n")), _vectors(tab), sets, num, den)
+        sets, own = _own_sets(tab, size)
+        rids, labels = (tab.column(c).filter(own).to_numpy() for c in ("rid", "label"))
+        vecs = np.array([_counts(u, GROUPS) for u in sets], "<u4").reshape(-1, GROUPS)
+        got = spanning(rids, labels, np.array([len(u) for u in sets], np.int64), vecs, sets, num, den) if sets else ()
         x, y = zip(*got) if got else ((), ())
         return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
     return search
@@ -334,11 +379,19 @@ def _by_gathering(search):
     return run
 
 
-def _semi(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
-    """``df`` rows whose key is among the ``ids``: broadcast where their count is small."""
-    other = if_small(ids.select(*[F.col(c).alias(f"__{c}") for c in on]), BROADCAST_IDS)
-    cond = [df[c].eqNullSafe(other[f"__{c}"]) for c in on]
-    return df.join(other, cond, "left_semi")
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """place, doc_id, text: the place tells rows apart and is the same in every scan."""
+    if id_col == RID:
+        return id_text(docs, id_col, text_col).withColumn("place", F.col("doc_id"))
+    return numbered(id_text(docs, id_col, text_col)).withColumnRenamed(RID, "place")
+
+
+def _one_of_alike(shared: DataFrame) -> DataFrame:
+    """Of the pages that have the same members (told by 128 bits of hashes, number and least one) the rows of one."""
+    pages = shared.groupBy("page", "members", "head").agg(
+        *[F.bit_xor(F.xxhash64("rid", F.lit(i))).alias(f"s{i}") for i in (1, 2)])
+    kept = written(pages.groupBy("members", "head", "s1", "s2").agg(F.min("page").alias("page")).select("page"))
+    return shared.join(kept, "page", "left_semi")
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
@@ -357,9 +410,9 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
 
 def _groups(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
-    base = id_text(docs, id_col, text_col)
+    base = _placed(docs, id_col, text_col).select("place", "doc_id", "text")
     points = with_rid(base.mapInArrow(_points(n, num, den),
-                                      "doc_id long, n long, d1 long, d2 long, vec binary, keys array<long>"))
+                                      "place long, doc_id long, n long, d1 long, d2 long, vec binary, fine binary, keys array<long>"))
     # equal sets: one row for each, named by its least row id
     reps = written(points.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(RID).alias("rid"), F.count("*").alias("set_copies"), F.min("doc_id").alias("first_id")))
@@ -367,19 +420,21 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
     rep_points = points.filter("n > 0").join(extra, RID, "left_anti")
     rows = rep_points.select(F.col(RID).alias("rid"), F.explode("keys").alias("page"))
     heads = written(rows.groupBy("page").agg(F.count("*").alias("members"), F.min("rid").alias("head")).filter("members > 1"))
-    shared = written(rows.join(heads, "page").select("page", "members", "head", "rid"))
+    shared = settled(spark, lambda: _one_of_alike(written(rows.join(heads, "page").select("page", "members", "head", "rid"))))
 
     # documents that share a page; the sets of those that are to be verified are rebuilt from their texts
     keyed = written(points.withColumnRenamed(RID, "rid").join(shared.select("rid").distinct(), "rid", "left_semi")
-                    .select("rid", "doc_id", "d1", "d2", "n", "vec"))
+                    .select("rid", "place", "d1", "d2", "n", "vec", "fine"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def sets_of_rows(rids: DataFrame) -> DataFrame:
-        """(rid, n, items) of the given rows."""
-        need = written(keyed.join(rids, "rid", "left_semi").select("rid", "doc_id", "d1", "d2", "n"))
-        full = (_semi(base, need, ["doc_id"])
-                .mapInArrow(_full_sets(n), "d1 long, d2 long, items binary"))
-        return written(full.join(need.select("rid", "n", "d1", "d2"), ["d1", "d2"]).select("rid", "n", "items").dropDuplicates(["rid"]))
+    def with_texts(need: DataFrame) -> DataFrame:
+        """The rows, which have a place, and the text there: they go to the texts, not the texts to them."""
+        return base.select("place", "text").join(if_small(need, BROADCAST_IDS), "place")
+
+    def sets_of_rows(rids: DataFrame, form) -> DataFrame:
+        """(rid, n, items) of the given rows, items being that form of the set."""
+        need = written(keyed.join(rids, "rid", "left_semi").select("place", "rid", "d1", "d2"))
+        return written(with_texts(need).select("rid", "d1", "d2", "text").mapInArrow(_set_bytes(n, form), "rid long, n long, items binary"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that are linked. Most of the others fall to finer counts, before sets are sent."""
@@ -387,15 +442,14 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
         if not pairs.count():
             return pairs
         ends = written(pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct())
-        sets = sets_of_rows(ends)
-        fine = written(sets.mapInArrow(_fine_counts, "rid long, n long, fine binary"))
+        fine = sets_of_rows(ends, _fine_words).withColumnRenamed("items", "fine")
         near = written(pairs.join(fine.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("fine").alias("va")), "a")
                        .join(fine.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("vb")), "b")
                        .select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bound_filter(num, den, FINE), "a long, b long"))
         if not near.count():
             return near
         ends = written(near.select(F.col("a").alias("rid")).unionByName(near.select(F.col("b").alias("rid"))).distinct())
-        sets = written(sets.join(ends, "rid", "left_semi"))
+        sets = sets_of_rows(ends, _items)
         both = (near.join(sets.select(F.col("rid").alias("a"), F.col("items").alias("ia")), "a")
                 .join(sets.select(F.col("rid").alias("b"), F.col("items").alias("ib")), "b"))
         return both.select("a", "b", "ia", "ib").mapInArrow(_exact_filter(num, den), "a long, b long")
@@ -406,21 +460,20 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
             picked = open_rows.groupBy("rid", "label").agg(F.min("head").alias("home"))
         else:
             picked = open_rows.groupBy("rid", "label").agg(F.min(F.xxhash64("page", F.lit(turn))).alias("home"))
-        came = written(picked.join(keyed.select("rid", "n", "vec"), "rid"))
+        came = written(picked.join(keyed, "rid"))
         homes = came.groupBy("home").agg(F.count("*").alias("came"), F.sum(8 * F.col("n")).alias("bytes"), F.min("rid").alias("least")).filter("came > 1")
         homes = homes.select("home", "least", F.greatest(F.ceil(F.col("came") / CHUNK), F.ceil(F.col("bytes") / CHUNK_BYTES)).cast("int").alias("parts"))
         # the least member goes to every chunk, so that what is linked with it is joined at once
-        dealt = came.join(homes, "home").select("rid", "label", "n", "vec", "home", F.explode(
+        dealt = came.join(homes, "home").select("rid", "label", "place", "d1", "d2", "n", "vec", "fine", "home", F.explode(
             F.when(F.col("rid") == F.col("least"), F.sequence(F.lit(0), F.col("parts") - 1))
             .otherwise(F.array(F.pmod(F.xxhash64("rid", F.lit(turn)), F.col("parts")).cast("int")))).alias("part"))
-        rows = dealt.select(F.xxhash64("home", "part").alias("at"), "rid", "label", "n", "vec")
-        # the trees are asked first, without the sets: who has no partner in its gathering goes no further
+        rows = dealt.select(F.xxhash64("home", "part").alias("at"), "rid", "label", "place", "d1", "d2", "n", "vec", "fine")
+        # the trees are asked first, without the texts: who has no partner in its gathering goes no further
         alive = written(rows.repartition(parts, "at").sortWithinPartitions("at", "rid")
-                        .mapInArrow(_by_gathering(_partnered(num, den)), rows.schema))
-        sets = sets_of_rows(alive.select("rid").distinct())
-        return (alive.join(sets.select("rid", "items"), "rid").repartition(parts, "at").sortWithinPartitions("at", "rid")
-                .select("at", "rid", "label", "n", "vec", "items")
-                .mapInArrow(_by_gathering(_spanning_links(num, den)), "a long, b long"))
+                        .mapInArrow(_by_gathering(_partnered(num, den)), "at long, rid long, label long, place long, d1 long, d2 long"))
+        return (with_texts(alive).select("at", "rid", "label", "d1", "d2", "text")
+                .repartition(parts, "at").sortWithinPartitions("at", "rid")
+                .mapInArrow(_by_gathering(_spanning_links(n, num, den)), "a long, b long"))
 
     def joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
         return links if label is None else links.unionByName(
@@ -453,9 +506,9 @@ def _groups(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
     met = dealt.select("family", "rid", "label", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     met = met.select(F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")).alias("page"), "rid", "label",
                      F.when(F.col("other") < F.col("part"), 1).otherwise(0).alias("side"))
-    rows2 = small.unionByName(met).join(keyed.select("rid", "n", "vec"), "rid")
+    rows2 = small.unionByName(met).join(keyed.select("rid", "n", "vec", "fine"), "rid")
     found = (rows2.repartition(parts, "page").sortWithinPartitions("page", "rid")
-             .select("page", "rid", "label", "n", "vec", "side")
+             .select("page", "rid", "label", "n", "vec", "fine", "side")
              .mapInArrow(_page_search(num, den), "a long, b long").distinct())
     more = settled(spark, lambda: verified(found))
     final = settled(spark, lambda: components(joined(label, more))) if more.count() else label
