@@ -53,6 +53,10 @@ def free(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: rows that a Python worker is handed at once where rows hold whole texts
+TEXT_ROWS = 1_000
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Python workers get batches of at most so many rows of what is run inside: rows that hold whole texts or

@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import RID, id_text, prepare, with_rid, written
+from plyscope.llm.common import RID, TEXT_ROWS, arrow_rows, id_text, prepare, with_rid, written
 
 WINDOW = 10
 SHINGLE = 4
@@ -133,10 +133,11 @@ def document_runs(docs: DataFrame, items: DataFrame, block: int = BLOCK_SHINGLES
         got = own.select("size", F.explode("hashes").alias("h")).distinct().toPandas()
         known = {int(s): g["h"].to_numpy(np.int64).view(np.uint64) for s, g in got.groupby("size")}
         shared = spark.sparkContext.broadcast(known)
-        if blocks > 1:
-            one = written(docs.mapInArrow(_find_runs(shared, [RID, "doc_id"]), f"{RID} long, doc_id long, {_RUNS_DDL}"))
-        else:
-            one = with_rid(docs.mapInArrow(_find_runs(shared, ["doc_id"]), f"doc_id long, {_RUNS_DDL}"))
+        with arrow_rows(spark, TEXT_ROWS):
+            if blocks > 1:
+                one = written(docs.mapInArrow(_find_runs(shared, [RID, "doc_id"]), f"{RID} long, doc_id long, {_RUNS_DDL}"))
+            else:
+                one = with_rid(docs.mapInArrow(_find_runs(shared, ["doc_id"]), f"doc_id long, {_RUNS_DDL}"))
         rows = one.select(RID, "doc_id", "n_words") if rows is None else rows
         parts.append(one.select(RID, F.inline("runs")))
     runs = parts[0]

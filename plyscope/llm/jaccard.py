@@ -386,12 +386,32 @@ def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return numbered(id_text(docs, id_col, text_col)).withColumnRenamed(RID, "place")
 
 
+def _pages_of_several(batches):
+    """Rows (page, rid), sorted so, arrive in batches: those of pages with two rows or more go on, with the page's least
+    rid. Of a page that the next batch may go on with, only that one is held."""
+    page, head, sent = None, None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pages, rids = batch.column("page").to_numpy(), batch.column("rid").to_numpy()
+        if page is not None:   # the row held back comes first
+            pages, rids = np.concatenate(([page], pages)), np.concatenate(([head], rids))
+        at = np.flatnonzero(np.concatenate(([True], pages[1:] != pages[:-1])))
+        lens = np.diff(np.concatenate((at, [len(pages)])))
+        heads, keep = np.repeat(rids[at], lens), np.repeat(lens > 1, lens)
+        if sent:
+            keep[0] = False
+        page, head, sent = pages[-1], heads[-1], bool(lens[-1] > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep], pa.int64()) for x in (pages, heads, rids)], ["page", "head", "rid"])
+
+
 def _one_of_alike(shared: DataFrame) -> DataFrame:
-    """Of the pages that have the same members (told by 128 bits of hashes, number and least one) the rows of one."""
-    pages = shared.groupBy("page", "members", "head").agg(
-        *[F.bit_xor(F.xxhash64("rid", F.lit(i))).alias(f"s{i}") for i in (1, 2)])
-    kept = written(pages.groupBy("members", "head", "s1", "s2").agg(F.min("page").alias("page")).select("page"))
-    return shared.join(kept, "page", "left_semi")
+    """Of the pages that have the same members (told by 128 bits of hashes, number and least one) the rows of one,
+    with the number of members."""
+    pages = shared.groupBy("page", "head").agg(
+        F.count("*").alias("members"), *[F.bit_xor(F.xxhash64("rid", F.lit(i))).alias(f"s{i}") for i in (1, 2)])
+    kept = written(pages.groupBy("members", "head", "s1", "s2").agg(F.min("page").alias("page")).select("page", "members"))
+    return shared.select("page", "head", "rid").join(kept, "page").select("page", "members", "head", "rid")
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
@@ -404,24 +424,27 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     """
     spark = docs.sparkSession
     prepare(spark)
-    with arrow_rows(spark, BATCH):
-        return _groups(docs, n, num, den, id_col, text_col)
-
-
-def _groups(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    spark = docs.sparkSession
     base = _placed(docs, id_col, text_col).select("place", "doc_id", "text")
-    points = with_rid(base.mapInArrow(_points(n, num, den),
-                                      "place long, doc_id long, n long, d1 long, d2 long, vec binary, fine binary, keys array<long>"))
+    with arrow_rows(spark, BATCH):
+        points = with_rid(base.mapInArrow(_points(n, num, den),
+                                          "place long, doc_id long, n long, d1 long, d2 long, vec binary, fine binary, keys array<long>"))
     # equal sets: one row for each, named by its least row id
     reps = written(points.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(RID).alias("rid"), F.count("*").alias("set_copies"), F.min("doc_id").alias("first_id")))
     extra = points.filter("n > 0").select(RID, "d1", "d2", "n").join(reps, ["d1", "d2", "n"]).filter(F.col(RID) != F.col("rid")).select(RID)
     rep_points = points.filter("n > 0").join(extra, RID, "left_anti")
     rows = rep_points.select(F.col(RID).alias("rid"), F.explode("keys").alias("page"))
-    heads = written(rows.groupBy("page").agg(F.count("*").alias("members"), F.min("rid").alias("head")).filter("members > 1"))
-    shared = settled(spark, lambda: _one_of_alike(written(rows.join(heads, "page").select("page", "members", "head", "rid"))))
+    # most pages have one row: a sort finds the others in bounded memory, where a table of all pages' counts fills it
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    several = rows.repartition(parts, "page").sortWithinPartitions("page", "rid").mapInArrow(_pages_of_several, "page long, head long, rid long")
+    shared = settled(spark, lambda: _one_of_alike(written(several)))
+    with arrow_rows(spark, BATCH):
+        return _groups(base, points, reps, shared, n, num, den)
+
 
+def _groups(base: DataFrame, points: DataFrame, reps: DataFrame, shared: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``jaccard_groups`` from the rows (place, doc_id, text), their points, the different sets and the shared pages on."""
+    spark = base.sparkSession
     # documents that share a page; the sets of those that are to be verified are rebuilt from their texts
     keyed = written(points.withColumnRenamed(RID, "rid").join(shared.select("rid").distinct(), "rid", "left_semi")
                     .select("rid", "place", "d1", "d2", "n", "vec", "fine"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import id_text, prepare, written
+from plyscope.llm.common import TEXT_ROWS, arrow_rows, id_text, prepare, written
 from plyscope.llm.wordcache import Generations
 
 LENGTH = 4096
@@ -194,7 +194,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID,
     prepare(spark)
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
     pieces = id_text(docs, id_col, text_col).mapInArrow(_pieces(path, length, end_id, with_ids), ddl)
-    pieces = written(pieces if with_ids else pieces.drop("ids"))
+    with arrow_rows(spark, TEXT_ROWS):
+        pieces = written(pieces if with_ids else pieces.drop("ids"))
     cols = pieces.columns
     full = pieces.filter(F.col("length") == length)
     rest = pieces.filter(F.col("length") < length)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import held_out, prepare, written
+from plyscope.llm.common import TEXT_ROWS, arrow_rows, held_out, prepare, written
 
 #: labelled rows used for fitting, at most (chosen by a hash of the id); about 200 bytes each
 SAMPLE = 20_000
@@ -141,10 +141,12 @@ def _pool(stats: DataFrame) -> tuple[float, float, float]:
 def score_quality(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col: str = "lang",
                   threshold: float = 0.5, sample: int = SAMPLE, keep_columns: list[str] | None = None) -> DataFrame:
     """``keep_columns`` of every row of ``docs`` plus evidence, host_mean, path_mean, quality_score and
-    rejected (quality_score < threshold). Columns of ``docs`` under these names are not kept."""
+    rejected (quality_score < threshold). Columns of ``docs`` under these names are not kept. The kept ones are written
+    with the evidence, so that each text is scored once."""
     spark = docs.sparkSession
     prepare(spark)
-    model = fit(docs, labels, sample)
+    with arrow_rows(spark, TEXT_ROWS):
+        model = fit(docs, labels, sample)
     shared = spark.sparkContext.broadcast(model)
     made = ("evidence", "host_mean", "path_mean", "quality_score", "rejected")
     keep = [c for c in (keep_columns or ["doc_id"]) if c not in made]
@@ -152,13 +154,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, host_col: str = "source",
                         F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("__host"),
                         F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("__path"))
     fields = sites.select(*keep, "__host", "__path").schema
-    scored = sites.mapInArrow(_score([*keep, "__host", "__path"], "__text", shared),
-                              _ddl(fields, "__evidence"))
+    with arrow_rows(spark, TEXT_ROWS):
+        scored = written(sites.mapInArrow(_score([*keep, "__host", "__path"], "__text", shared), _ddl(fields, "__evidence")))
     # posteriors: a row per path, which is small and written once
-    narrow = sites.select("__text", "__host", "__path").mapInArrow(
-        _score(["__host", "__path"], "__text", shared), "__host string, __path string, __evidence double")
     sums = (F.count("*").alias("n"), F.sum("__evidence").alias("s"), F.sum(F.col("__evidence") ** 2).alias("q"))
-    paths = written(narrow.groupBy("__host", "__path").agg(*sums))
+    paths = written(scored.groupBy("__host", "__path").agg(*sums))
     hosts = paths.groupBy("__host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
     mean, host_var, host_noise = _pool(hosts)
     _, path_var, path_noise = _pool(paths)
