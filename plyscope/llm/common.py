@@ -70,6 +70,19 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """The shuffle files of what is run inside are deleted when each run ends; else they stay on the executors' disks
+    until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settled(spark: SparkSession, make) -> DataFrame:
     """The written table of what ``make()`` returns; tables written on the way to it are freed."""
     with scope() as paths:

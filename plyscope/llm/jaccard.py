@@ -21,12 +21,16 @@ Pages are resolved so that a page of many near copies never becomes all its pair
    partners; then the texts of those that have any are sent, finer counts and the sets verify the partners,
    and a union-find skips what is joined already, so only spanning links come out;
 2. pages that still hold several components are searched through R-trees over the count vectors,
-   for pairs across components only. Pages over ``PAGE`` rows are joined into families (pages that
-   share members), which are dealt into chunks and searched chunk by chunk against chunk. Those pairs
-   are held against finer counts and then verified on the sets.
+   for pairs across components only. The documents of pages over ``PAGE`` rows, which often have a passage in
+   common and are no links, are dealt anew: each goes to pages of single shingles, the least common ones
+   first, and only as many as a linked pair must share one of. A passage that many have comes last there, so it
+   makes a page only of documents that hold little else. What is over ``PAGE`` rows even so is joined into
+   families (pages that share members), which are dealt into chunks and searched chunk by chunk against
+   chunk. Those pairs are held against finer counts and then verified on the sets.
 Sets are 64-bit shingle hashes; equal ones are collapsed before all this, and of pages with the same
 members one is kept. Sets are built anew where they are compared, for documents with a partner only: a
-text is a fraction of its set's bytes, and travels once per round.
+text is a fraction of its set's bytes, and travels once per round. The published blocks, most of what is
+written, go as soon as the shared pages are known, and shuffle files go with the run that made them.
 
 Results: no words or null text: ``n_shingles`` 0, component of its own. Repeated rows are kept, each
 with the component they share; rows with a null id are grouped like others but cannot name a
@@ -41,7 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plyscope.llm import textops as tx
-from plyscope.llm.common import RID, arrow_rows, id_text, if_small, join_groups, numbered, prepare, settled, with_rid, written
+from plyscope.llm.common import (RID, arrow_rows, free, id_text, if_small, join_groups, numbered, prepare, scope, settled,
+                                 shuffles_dropped, with_rid, written)
 from plyscope.llm.graph import components
 
 GROUPS = 64
@@ -59,6 +64,9 @@ CHUNK_BYTES = 32 << 20
 ROUNDS = 3
 #: another one is made if the last one gave more than a link for so many unresolved documents
 WORTH = 20
+#: the most common shingles (of more than PAGE documents each) that come last in the order of prefixes; others come in
+#: the order of their hashes. Any order gives the same links
+COMMON = 200_000
 #: candidate rows (a few longs each) are broadcast to the texts up to this many; beyond it they are joined by a shuffle
 BROADCAST_IDS = 1_000_000
 #: rows that a Python worker is handed at once: a row may hold a text, or the sets of two documents
@@ -101,6 +109,17 @@ def block_keys(u: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.unique(np.concatenate(keys))
 
 
+def prefix(u: np.ndarray, common: np.ndarray, counts: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The first shingles of the set ``u`` in an order that is the same for all sets, as many that it shares one of them with
+    the prefix of each set with Jaccard >= num/den: the overlap is at least num/den of either set. ``common`` shingles
+    (sorted, with their ``counts``) come after all others."""
+    most = len(u) - -(-num * len(u) // den) + 1
+    if len(common):
+        at = np.minimum(np.searchsorted(common, u), len(common) - 1)
+        u = u[np.lexsort([u, np.where(common[at] == u, counts[at], 0)])]
+    return u[:most]
+
+
 def sets_of(col: pa.Array, size: int):
     """The sorted set of shingle hashes of each text."""
     for i, j, buf, offs in tx.slices(col):
@@ -132,7 +151,7 @@ def _points(size: int, num: int, den: int):
                 out["d1"].append(d1)
                 out["d2"].append(d2)
                 out["vec"].append(_counts(u, GROUPS).astype("<u4").tobytes() if len(u) else None)
-                out["fine"].append(np.minimum(_counts(u, FINE), 255).astype("u1").tobytes() if len(u) >= LONG else None)
+                out["fine"].append(_fine_bytes(u) if len(u) >= LONG else None)
                 out["keys"].append(tx.as_signed(block_keys(u, num, den)) if len(u) else np.zeros(0, np.int64))
             lens = np.cumsum([0] + [len(k) for k in out["keys"]]).astype(np.int32)
             keys = pa.ListArray.from_arrays(pa.array(lens), pa.array(np.concatenate(out["keys"] or [np.zeros(0, np.int64)])))
@@ -161,6 +180,28 @@ def _set_bytes(size: int, form):
     return run
 
 
+def _all_shingles(size: int):
+    def run(batches):
+        for batch in batches:
+            sets, _ = _own_sets(pa.Table.from_batches([batch]), size)
+            yield pa.RecordBatch.from_arrays([pa.array(tx.as_signed(np.concatenate([np.zeros(0, np.uint64), *sets])), pa.int64())], ["shingle"])
+    return run
+
+
+def _prefixes(size: int, common: np.ndarray, counts: np.ndarray, num: int, den: int):
+    """Finer counts, whatever the size, and the prefix of each row's set."""
+    def run(batches):
+        for batch in batches:
+            tab = pa.Table.from_batches([batch])
+            sets, own = _own_sets(tab, size)
+            pages = [prefix(u, common, counts, num, den) for u in sets]
+            lens = np.cumsum([0] + [len(x) for x in pages]).astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(lens), pa.array(tx.as_signed(np.concatenate([np.zeros(0, np.uint64), *pages]))))
+            yield pa.RecordBatch.from_arrays([tab.column("rid").filter(own).combine_chunks(), pa.array([_fine_bytes(u) for u in sets], pa.binary()), keys],
+                                             ["rid", "fine", "keys"])
+    return run
+
+
 def _bound_filter(num: int, den: int, groups: int):
     """Pairs whose summed coordinate minima, over so many groups, still allow a link."""
     def run(batches):
@@ -222,7 +263,7 @@ class CountTree:
 
 
 class LongCounts:
-    """The finer counts of the long sets among some rows. A count stops at 255; what a set holds beyond that is
+    """The finer counts of those rows that carry them. A count stops at 255; what a set holds beyond that is
     added to the sums whole, so that they stay bounds."""
 
     def __init__(self, fine: list, sizes: np.ndarray):
@@ -298,6 +339,10 @@ def _fine(u: np.ndarray) -> np.ndarray:
     return _counts(u, FINE)
 
 
+def _fine_bytes(u: np.ndarray) -> bytes:
+    return np.minimum(_fine(u), 255).astype("u1").tobytes()
+
+
 def _fine_words(u: np.ndarray) -> np.ndarray:
     return _fine(u).astype("<u4")
 
@@ -425,29 +470,41 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     spark = docs.sparkSession
     prepare(spark)
     base = _placed(docs, id_col, text_col).select("place", "doc_id", "text")
-    with arrow_rows(spark, BATCH):
-        points = with_rid(base.mapInArrow(_points(n, num, den),
-                                          "place long, doc_id long, n long, d1 long, d2 long, vec binary, fine binary, keys array<long>"))
-    # equal sets: one row for each, named by its least row id
-    reps = written(points.filter("n > 0").groupBy("d1", "d2", "n").agg(
-        F.min(RID).alias("rid"), F.count("*").alias("set_copies"), F.min("doc_id").alias("first_id")))
+    with shuffles_dropped(spark), arrow_rows(spark, BATCH):
+        with scope() as wide:
+            points = with_rid(base.mapInArrow(_points(n, num, den),
+                                              "place long, doc_id long, n long, d1 long, d2 long, vec binary, fine binary, keys array<long>"))
+        # equal sets: one row for each, named by its least row id
+        reps = written(points.filter("n > 0").groupBy("d1", "d2", "n").agg(
+            F.min(RID).alias("rid"), F.count("*").alias("set_copies"), F.min("doc_id").alias("first_id")))
+        shared = settled(spark, lambda: _one_of_alike(written(_shared_pages(points, reps))))
+        # documents that share a page; the sets of those that are to be verified are rebuilt from their texts
+        keyed = written(points.withColumnRenamed(RID, "rid").join(shared.select("rid").distinct(), "rid", "left_semi")
+                        .select("rid", "place", "d1", "d2", "n", "vec", "fine"))
+        points = written(points.select("doc_id", "n", "d1", "d2"))
+        free(spark, wide)
+        return _groups(base, points, reps, shared, keyed, n, num, den)
+
+
+def _shared_pages(points: DataFrame, reps: DataFrame) -> DataFrame:
+    """(page, head, rid) of the pages that two or more of the different sets publish."""
     extra = points.filter("n > 0").select(RID, "d1", "d2", "n").join(reps, ["d1", "d2", "n"]).filter(F.col(RID) != F.col("rid")).select(RID)
-    rep_points = points.filter("n > 0").join(extra, RID, "left_anti")
-    rows = rep_points.select(F.col(RID).alias("rid"), F.explode("keys").alias("page"))
-    # most pages have one row: a sort finds the others in bounded memory, where a table of all pages' counts fills it
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    several = rows.repartition(parts, "page").sortWithinPartitions("page", "rid").mapInArrow(_pages_of_several, "page long, head long, rid long")
-    shared = settled(spark, lambda: _one_of_alike(written(several)))
-    with arrow_rows(spark, BATCH):
-        return _groups(base, points, reps, shared, n, num, den)
+    # the copies' ids go to the points, not the points with their keys to them
+    rep_points = points.filter("n > 0").join(if_small(written(extra), BROADCAST_IDS), RID, "left_anti")
+    return _several(rep_points.select(F.col(RID).alias("rid"), F.explode("keys").alias("page")))
 
 
-def _groups(base: DataFrame, points: DataFrame, reps: DataFrame, shared: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``jaccard_groups`` from the rows (place, doc_id, text), their points, the different sets and the shared pages on."""
+def _several(rows: DataFrame) -> DataFrame:
+    """(page, head, rid) of the pages of two rows (rid, page) or more. Most pages have one row: a sort finds the others in
+    bounded memory, where a table of all pages' counts fills it."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "page").sortWithinPartitions("page", "rid").mapInArrow(_pages_of_several, "page long, head long, rid long")
+
+
+def _groups(base: DataFrame, points: DataFrame, reps: DataFrame, shared: DataFrame, keyed: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``jaccard_groups`` from the rows (place, doc_id, text), their sizes and digests, the different sets, the shared pages
+    and the points of who shares one on."""
     spark = base.sparkSession
-    # documents that share a page; the sets of those that are to be verified are rebuilt from their texts
-    keyed = written(points.withColumnRenamed(RID, "rid").join(shared.select("rid").distinct(), "rid", "left_semi")
-                    .select("rid", "place", "d1", "d2", "n", "vec", "fine"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def with_texts(need: DataFrame) -> DataFrame:
@@ -498,6 +555,26 @@ def _groups(base: DataFrame, points: DataFrame, reps: DataFrame, shared: DataFra
                 .repartition(parts, "at").sortWithinPartitions("at", "rid")
                 .mapInArrow(_by_gathering(_spanning_links(n, num, den)), "a long, b long"))
 
+    def unresolved(pages: DataFrame, label: DataFrame) -> DataFrame:
+        """The rows of pages that hold several components, with their labels."""
+        labelled = pages.join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+        mixed = labelled.groupBy("page").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("page")
+        return written(labelled.join(mixed, "page", "left_semi"))
+
+    def dealt_anew(rids: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pages of single shingles such that of these rows every linked pair shares one; the rows' points, all with
+        finer counts."""
+        rids = written(keyed.join(rids, "rid", "left_semi"))
+        texts = with_texts(rids.select("place", "rid", "d1", "d2")).select("rid", "d1", "d2", "text")
+        counted = texts.mapInArrow(_all_shingles(n), "shingle long").groupBy("shingle").agg(F.count("*").alias("docs"))
+        common = written(counted.filter(F.col("docs") > PAGE).orderBy(F.desc("docs"), "shingle").limit(COMMON)).toPandas()
+        common["shingle"] = common["shingle"].to_numpy("int64").view("uint64")
+        common = common.sort_values("shingle")
+        found = written(texts.mapInArrow(_prefixes(n, common["shingle"].to_numpy(), common["docs"].to_numpy("int64"), num, den),
+                                         "rid long, fine binary, keys array<long>"))
+        pages = settled(spark, lambda: _one_of_alike(written(_several(found.select("rid", F.explode("keys").alias("page"))))))
+        return pages, rids.select("rid", "n", "vec").join(found.select("rid", "fine"), "rid")
+
     def joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
         return links if label is None else links.unionByName(
             label.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
@@ -511,25 +588,28 @@ def _groups(base: DataFrame, points: DataFrame, reps: DataFrame, shared: DataFra
         if label is not None and not new:
             break   # nothing was joined, so labels and unresolved pages stay
         label = settled(spark, lambda: components(joined(label, found)))
-        labelled = shared.join(label.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-        mixed = labelled.groupBy("page").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("page")
-        open_rows = written(labelled.join(mixed, "page", "left_semi"))
+        open_rows = unresolved(shared, label)
         # another gathering pays only while they join much of what is left; step 2 misses nothing
         if new * WORTH <= open_rows.select("rid").distinct().count():
             break
 
     # step 2: pages that still hold several components
-    small = open_rows.filter(F.col("members") <= PAGE).select("page", "rid", "label", F.lit(0).alias("side"))
-    large = open_rows.filter(F.col("members") > PAGE)
-    family = components(large.select(F.col("head").alias("a"), F.col("rid").alias("b")))
-    member = large.select("rid", "label").distinct().join(family.select(F.col("node").alias("rid"), F.col("label").alias("family")), "rid")
-    chunks = member.groupBy("family").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
-    dealt = member.join(chunks, "family").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
-    # part p meets every part: pair (i, j), i <= j, has part i as side 0 and part j as side 1
-    met = dealt.select("family", "rid", "label", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    met = met.select(F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")).alias("page"), "rid", "label",
-                     F.when(F.col("other") < F.col("part"), 1).otherwise(0).alias("side"))
-    rows2 = small.unionByName(met).join(keyed.select("rid", "n", "vec", "fine"), "rid")
+    plain = ["page", "rid", "label", F.lit(0).alias("side")]
+    rows2 = open_rows.filter(F.col("members") <= PAGE).select(*plain).join(keyed.select("rid", "n", "vec", "fine"), "rid")
+    crowd = written(open_rows.filter(F.col("members") > PAGE).select("rid").distinct())
+    if crowd.count():
+        pages, counts = dealt_anew(crowd)
+        anew = unresolved(pages, label)
+        large = anew.filter(F.col("members") > PAGE)
+        family = components(large.select(F.col("head").alias("a"), F.col("rid").alias("b")))
+        member = large.select("rid", "label").distinct().join(family.select(F.col("node").alias("rid"), F.col("label").alias("family")), "rid")
+        chunks = member.groupBy("family").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
+        dealt = member.join(chunks, "family").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
+        # part p meets every part: pair (i, j), i <= j, has part i as side 0 and part j as side 1
+        met = dealt.select("family", "rid", "label", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        met = met.select(F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")).alias("page"), "rid", "label",
+                         F.when(F.col("other") < F.col("part"), 1).otherwise(0).alias("side"))
+        rows2 = rows2.unionByName(anew.filter(F.col("members") <= PAGE).select(*plain).unionByName(met).join(counts, "rid"))
     found = (rows2.repartition(parts, "page").sortWithinPartitions("page", "rid")
              .select("page", "rid", "label", "n", "vec", "fine", "side")
              .mapInArrow(_page_search(num, den), "a long, b long").distinct())
