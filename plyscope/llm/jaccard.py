@@ -470,8 +470,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     spark = docs.sparkSession
     prepare(spark)
     base = _placed(docs, id_col, text_col).select("place", "doc_id", "text")
-    with shuffles_dropped(spark), arrow_rows(spark, BATCH):
-        with scope() as wide:
+    with shuffles_dropped(spark):
+        with scope() as wide, arrow_rows(spark, BATCH):
             points = with_rid(base.mapInArrow(_points(n, num, den),
                                               "place long, doc_id long, n long, d1 long, d2 long, vec binary, fine binary, keys array<long>"))
         # equal sets: one row for each, named by its least row id
@@ -483,7 +483,8 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
                         .select("rid", "place", "d1", "d2", "n", "vec", "fine"))
         points = written(points.select("doc_id", "n", "d1", "d2"))
         free(spark, wide)
-        return _groups(base, points, reps, shared, keyed, n, num, den)
+        with arrow_rows(spark, BATCH):
+            return _groups(base, points, reps, shared, keyed, n, num, den)
 
 
 def _shared_pages(points: DataFrame, reps: DataFrame) -> DataFrame:
